@@ -131,11 +131,12 @@ def replace_table(marked: DataFrame, root: str, table: str, batch_id: str, commi
     return counts
 
 
-def write_ranges(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_RANGE_FILE) -> None:
+def write_ranges(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_RANGE_FILE, gather: bool = True) -> None:
     """Write rows with a `range_id`, one folder per range, replacing the ranges that are written.
 
     The rebalance hint gathers each range into few files and lets Spark split a range with many rows
-    over several tasks by the sizes it measured.
+    over several tasks, by the sizes it measured. Rows that lie by range already need no `gather`.
     """
-    (df.hint("rebalance", "range_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows = df.hint("rebalance", "range_id") if gather else df
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", rows_per_file).partitionBy("range_id").parquet(path))

@@ -59,7 +59,7 @@ def verify(expected: DataFrame, counted: DataFrame, phase: str, at: str | dt.dat
 
 
 def _written(spark: SparkSession, path: str, ids: list[int]) -> DataFrame:
-    return (spark.read.parquet(path).filter(F.col("range_id").isin(ids))
+    return (spark.read.schema("range_id int").parquet(path).filter(F.col("range_id").isin(ids))
             .groupBy("range_id").agg(F.count(F.lit(1)).alias("row_count")))
 
 
@@ -100,7 +100,7 @@ def load_ranges(spark: SparkSession, staged: str, target: str, log_path: str, at
     if not todo:
         return None
     picked = files.filter(F.col("range_id").isin([r.range_id for r in todo]))
-    sink.write_ranges(picked, target, rows_per_file)
+    sink.write_ranges(picked, target, rows_per_file, gather=False)
     return _record(spark, todo, target, log_path, "load", at)
 
 
