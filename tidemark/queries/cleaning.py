@@ -113,9 +113,9 @@ def load_ready_rows(spark, sf):
     return validate.accepted(marked_orders(spark, sf))
 
 
-@query(f"""SELECT count(*) AS rows_read, count_if(_reject_reason IS NULL) AS rows_accepted,
-       count_if(_reject_reason IS NOT NULL) AS rows_rejected, count_if(_reject_reason = 'null_pk') AS rejected_null_pk,
-       count_if(_reject_reason = 'future_date') AS rejected_future_date
+@query(f"""SELECT count(*) AS rows_read, count(*) FILTER (_reject_reason IS NULL) AS rows_accepted,
+       count(*) FILTER (_reject_reason IS NOT NULL) AS rows_rejected, count(*) FILTER (_reject_reason = 'null_pk') AS rejected_null_pk,
+       count(*) FILTER (_reject_reason = 'future_date') AS rejected_future_date
 FROM ({CLEAN_ORDERS_SQL}) WHERE o_orderdate >= TIMESTAMP '{ORDERS_MARK}'""")
 def load_ready_counts(spark, sf):
     """The delta since the watermark: read, accepted, rejected by reason."""
@@ -140,7 +140,7 @@ _FITS = (("l_orderkey", "BIGINT"), ("l_partkey", "SMALLINT"), ("l_suppkey", "INT
 
 @query(" UNION ALL ".join(
     [f"""SELECT '{c}' AS column_name, 'ok' AS status, count({c}) AS non_null,
-         count_if({c} IS NOT NULL AND try_cast({c} AS {t}) IS NULL) AS lost FROM lineitem""" for c, t in _FITS]
+         count(*) FILTER ({c} IS NOT NULL AND try_cast({c} AS {t}) IS NULL) AS lost FROM lineitem""" for c, t in _FITS]
     + ["SELECT 'l_comment', 'missing', NULL, NULL", "SELECT 'l_tax', 'extra', NULL, NULL"]))
 def conform_schema(spark, sf):
     return conform.conform_report(table(spark, sf, "lineitem"), LINE_SCHEMA)

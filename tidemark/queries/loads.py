@@ -170,7 +170,7 @@ def _run_sync(spark, sf):
 
 
 @query(f"""
-WITH o AS (SELECT count(*) AS r, count_if(o_orderdate < TIMESTAMP '{ORDERS_AS_OF}') AS l FROM orders
+WITH o AS (SELECT count(*) AS r, count(*) FILTER (o_orderdate < TIMESTAMP '{ORDERS_AS_OF}') AS l FROM orders
            WHERE o_orderdate >= TIMESTAMP '{ORDERS_MARK}' AND o_orderdate <> TIMESTAMP '{ORDERS_AS_OF}'),
 e AS (SELECT count(*) AS r FROM events WHERE ts >= TIMESTAMP '1998-12-25 00:00:00')
 SELECT 'FactOrders' AS source_table, 'DELTA' AS load_type, r AS rows_read, l AS rows_loaded, r - l AS rows_rejected, true AS success FROM o

@@ -64,7 +64,7 @@ def v_latest_runs(spark, sf):
 
 
 @query(f"""SELECT CAST(run_started AS DATE) AS run_date, pipeline_name, trigger_type, count(*) AS total_tables,
-       count_if(success) AS successful, count_if(NOT success) AS failed, CAST(sum(rows_read) AS BIGINT) AS total_rows_read,
+       count(*) FILTER (success) AS successful, count(*) FILTER (NOT success) AS failed, CAST(sum(rows_read) AS BIGINT) AS total_rows_read,
        CAST(sum(rows_loaded) AS BIGINT) AS total_rows_loaded, CAST(sum(rows_rejected) AS BIGINT) AS total_rows_rejected,
        CAST(sum(duration_ms) AS DOUBLE) / 1000 AS total_duration_seconds, count(DISTINCT run_id) AS batch_count
 FROM ({LOAD_STATS_SQL}) GROUP BY ALL""")
@@ -83,7 +83,7 @@ def v_dq_issues(spark, sf):
 
 @query(f"""SELECT CAST(run_started AS DATE) AS run_date, source_table, load_type, CAST(sum(rows_loaded) AS BIGINT) AS rows_loaded,
        CAST(sum(rows_rejected) AS BIGINT) AS rows_rejected, CAST(floor(avg(duration_ms)) AS BIGINT) AS avg_duration_ms,
-       count_if(success) AS success_count, count_if(NOT success) AS failure_count
+       count(*) FILTER (success) AS success_count, count(*) FILTER (NOT success) AS failure_count
 FROM ({LOAD_STATS_SQL}) WHERE run_started >= TIMESTAMP '2024-02-10 00:00:00' - INTERVAL 30 DAY GROUP BY ALL""")
 def v_trend_30d(spark, sf):
     return monitoring.trend(load_stats(spark, sf), "2024-02-10 00:00:00").orderBy(F.desc("run_date"), "source_table")
@@ -104,8 +104,8 @@ def failed_runs(spark, sf):
 
 @query(f"""
 WITH s AS ({LOAD_STATS_SQL}), q AS ({QUALITY_LOG_SQL})
-SELECT run_id, count(*) AS tables, count_if(load_type = 'FULL') AS full_loads, count_if(load_type = 'DELTA') AS delta_loads,
-       count_if(success) AS succeeded, count_if(NOT success) AS failed, CAST(sum(rows_loaded) AS BIGINT) AS total_rows_loaded,
+SELECT run_id, count(*) AS tables, count(*) FILTER (load_type = 'FULL') AS full_loads, count(*) FILTER (load_type = 'DELTA') AS delta_loads,
+       count(*) FILTER (success) AS succeeded, count(*) FILTER (NOT success) AS failed, CAST(sum(rows_loaded) AS BIGINT) AS total_rows_loaded,
        CAST(sum(rows_rejected) AS BIGINT) AS total_rows_rejected, CAST(sum(duration_ms) AS DOUBLE) / 1000 AS total_seconds,
        (SELECT count(DISTINCT table_name) FROM q WHERE q.run_id = s.run_id AND NOT is_valid) AS quality_issues
 FROM s GROUP BY run_id""")
@@ -115,7 +115,7 @@ def run_summary(spark, sf):
 
 @query(f"""
 WITH s AS ({LOAD_STATS_SQL}), q AS ({QUALITY_LOG_SQL}),
-r AS (SELECT run_id, count_if(success) AS ok, count_if(NOT success) AS bad, CAST(sum(rows_loaded) AS BIGINT) AS rows FROM s GROUP BY run_id)
+r AS (SELECT run_id, count(*) FILTER (success) AS ok, count(*) FILTER (NOT success) AS bad, CAST(sum(rows_loaded) AS BIGINT) AS rows FROM s GROUP BY run_id)
 SELECT run_id, 'error' AS severity, 'Sync failed: ' || source_table AS title,
        CAST(json_object('table', source_schema || '.' || source_table, 'load_type', load_type, 'rows_read', rows_read, 'error', error_message) AS VARCHAR) AS facts
 FROM s WHERE NOT success
@@ -137,7 +137,7 @@ _AUDIT = {
 @query(f"""SELECT {', '.join(f"'{v}' AS {k}" for k, v in _AUDIT.items())}, 1 AS source_system_id,
        TIMESTAMP '{ORDERS_AS_OF}' AS run_started, TIMESTAMP '1999-01-01 00:01:30.25' AS run_ended,
        'o_orderdate' AS delta_column, CAST(NULL AS VARCHAR) AS delta_start_value, CAST(NULL AS VARCHAR) AS delta_end_value,
-       count(*) AS rows_read, count_if(_reject_reason IS NULL) AS rows_loaded, count_if(_reject_reason IS NOT NULL) AS rows_rejected,
+       count(*) AS rows_read, count(*) FILTER (_reject_reason IS NULL) AS rows_loaded, count(*) FILTER (_reject_reason IS NOT NULL) AS rows_rejected,
        1 AS chunks_processed, CAST(90250 AS BIGINT) AS duration_ms, false AS success, repeat('x', 4000) AS error_message
 FROM ({CLEAN_ORDERS_SQL})""")
 def audit_row(spark, sf):

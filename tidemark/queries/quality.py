@@ -59,8 +59,8 @@ def dq_duplicates_top(spark, sf):
 
 
 @query(" UNION ALL ".join(
-    [f"""SELECT 'orders' AS table_name, '{c}' AS column_name, 'checked' AS status, count_if({c} IS NULL) AS null_count,
-         count_if({c} IS NULL) = 0 AS is_valid FROM ({DIRTY_ORDERS_SQL})""" for c in NOT_NULL[:3]]
+    [f"""SELECT 'orders' AS table_name, '{c}' AS column_name, 'checked' AS status, count(*) FILTER ({c} IS NULL) AS null_count,
+         count(*) FILTER ({c} IS NULL) = 0 AS is_valid FROM ({DIRTY_ORDERS_SQL})""" for c in NOT_NULL[:3]]
     + ["SELECT 'orders', 'o_comment', 'absent', NULL, true"]))
 def dq_nulls(spark, sf):
     return quality.null_check(quality.side_metrics(dirty_orders(spark, sf), "orders", "target", not_null=NOT_NULL), NOT_NULL)
@@ -108,8 +108,8 @@ SELECT 'orders' AS table_name, 'ROW_COUNT' AS check_type, CAST(sc AS VARCHAR) AS
        CAST(abs(sc - tc) AS DOUBLE) / CAST(sc AS DOUBLE) <= 0.01 AS is_valid FROM m
 UNION ALL SELECT 'orders', 'DUPLICATE_KEY', NULL, CAST(dups AS VARCHAR), dups, NULL, dups = 0 FROM m
 UNION ALL SELECT 'orders', 'ID_RANGE', CAST(s0 AS VARCHAR), CAST(t0 AS VARCHAR), s0 - t0, NULL, s0 = t0 FROM m
-UNION ALL SELECT 'orders', 'NULL_CHECK', 'o_orderkey', CAST(count_if(o_orderkey IS NULL) AS VARCHAR), count_if(o_orderkey IS NULL), NULL, count_if(o_orderkey IS NULL) = 0 FROM t
-UNION ALL SELECT 'orders', 'NULL_CHECK', 'o_custkey', CAST(count_if(o_custkey IS NULL) AS VARCHAR), count_if(o_custkey IS NULL), NULL, count_if(o_custkey IS NULL) = 0 FROM t
+UNION ALL SELECT 'orders', 'NULL_CHECK', 'o_orderkey', CAST(count(*) FILTER (o_orderkey IS NULL) AS VARCHAR), count(*) FILTER (o_orderkey IS NULL), NULL, count(*) FILTER (o_orderkey IS NULL) = 0 FROM t
+UNION ALL SELECT 'orders', 'NULL_CHECK', 'o_custkey', CAST(count(*) FILTER (o_custkey IS NULL) AS VARCHAR), count(*) FILTER (o_custkey IS NULL), NULL, count(*) FILTER (o_custkey IS NULL) = 0 FROM t
 UNION ALL SELECT 'orders', 'SUM_CHECK', CAST(ss AS VARCHAR), CAST(ts AS VARCHAR), NULL,
        round(abs(CAST(ts AS DOUBLE) - CAST(ss AS DOUBLE)) / abs(CAST(ss AS DOUBLE)) * 100, 6),
        abs(CAST(ts AS DOUBLE) - CAST(ss AS DOUBLE)) / abs(CAST(ss AS DOUBLE)) * 100 < 1 FROM m)"""
@@ -127,7 +127,7 @@ UNION ALL SELECT 'lineitem', 'NULL_CHECK', NOT EXISTS (FROM lineitem WHERE l_ord
 UNION ALL SELECT 'lineitem', 'ID_RANGE', true),
 e AS (SELECT table_name, check_type, bool_and(is_valid) AS is_valid FROM c WHERE check_type <> 'SUM_CHECK' GROUP BY ALL
       UNION ALL SELECT * FROM l)
-SELECT table_name, count_if(is_valid) AS checks_passed, count(*) AS checks_total,
+SELECT table_name, count(*) FILTER (is_valid) AS checks_passed, count(*) AS checks_total,
        CASE WHEN bool_and(is_valid) THEN 'PASS' ELSE 'FAIL' END AS status FROM e GROUP BY table_name""")
 def dq_scorecard(spark, sf):
     """Four checks per table, sums left out: orders against its changed target, lineitem against itself."""

@@ -122,7 +122,7 @@ def load_plan(spark, sf):
 
 
 @query(PLAN_SQL + """ SELECT phase, count(*) AS tables, CAST(sum(row_count) AS BIGINT) AS total_rows,
-       count_if(load_type = 'DELTA') AS delta_tables, string_agg(table_name, ',' ORDER BY table_name) AS table_names
+       count(*) FILTER (load_type = 'DELTA') AS delta_tables, string_agg(table_name, ',' ORDER BY table_name) AS table_names
 FROM plan GROUP BY phase""")
 def load_phases(spark, sf):
     return control.phase_summary(_plan(spark, sf))
