@@ -135,36 +135,41 @@ def scorecard(table_checks: DataFrame) -> DataFrame:
         F.when(passed == total, "PASS").otherwise("FAIL").alias("status"))
 
 
-def check_rows(checks: DataFrame, check_type: str, source: Column, target: Column,
-               difference: Column, percent: Column) -> DataFrame:
-    """Long-form quality rows, without run id and time."""
-    return checks.select(
-        "table_name", F.lit(check_type).alias("check_type"), source.cast("string").alias("source_value"),
-        target.cast("string").alias("target_value"), difference.cast("bigint").alias("difference"),
-        percent.cast("double").alias("difference_percent"), "is_valid")
-
-
-def all_checks(source: DataFrame, target: DataFrame, table: str, pk: str,
-               not_null: Sequence[str] = (), numeric: Sequence[str] = ()) -> DataFrame:
-    """Every check of one table as long-form rows."""
-    src = side_metrics(source, table, "source", pk, not_null, numeric)
-    tgt = side_metrics(target, table, "target", pk, not_null, numeric)
-    paired = pair_sides(src, tgt)
-    none = F.lit(None)
-    # Values stay text here: a percent would otherwise depend on how an engine prints a double.
-    counts = check_rows(row_count_check(paired), "ROW_COUNT", F.col("source_count"), F.col("target_count"),
-                        F.col("difference"), F.col("difference_percent"))
-    dups = check_rows(duplicate_check(target, table, [pk]), "DUPLICATE_KEY", none, F.col("duplicate_keys"),
-                      F.col("duplicate_keys"), none)
-    ids = check_rows(id_range_check(paired), "ID_RANGE", F.col("src_min_id"), F.col("tgt_min_id"),
-                     F.col("src_min_id") - F.col("tgt_min_id"), none)
-    out = counts.unionByName(dups).unionByName(ids)
-    if not_null:
-        n = null_check(tgt, not_null)
-        nulls = check_rows(n, "NULL_CHECK", F.col("column_name"), F.col("null_count"), F.col("null_count"), none)
-        out = out.unionByName(nulls)
-    if numeric:
-        sums = check_rows(aggregate_check(paired, numeric), "SUM_CHECK", F.col("source_sum"), F.col("target_sum"),
-                          none, F.col("difference_percent"))
-        out = out.unionByName(sums)
-    return out
+def check_row(check_type: str, source: Column | None, target: Column, difference: Column | None,
+              percent: Column | None, valid: Column) -> Column:
+    """One long-form quality row, without table, run id and time."""
+    def of(c: Column | None, dtype: str) -> Column:
+        return (F.lit(None) if c is None else c).cast(dtype)
+    return F.struct(F.lit(check_type).alias("check_type"), of(source, "string").alias("source_value"),
+                    of(target, "string").alias("target_value"), of(difference, "bigint").alias("difference"),
+                    of(percent, "double").alias("difference_percent"), valid.alias("is_valid"))
+
+
+def row_count_row(check_type: str, src: Column, tgt: Column, tolerance: float = COUNT_TOLERANCE) -> Column:
+    fraction = count_difference(src, tgt)
+    return check_row(check_type, src, tgt, src - tgt, fraction * 100, fraction <= tolerance)
+
+
+def all_checks(source: DataFrame, target: DataFrame, table: str, pk: str, not_null: Sequence[str] = (),
+               numeric: Sequence[str] = (), tolerance: float = COUNT_TOLERANCE) -> DataFrame:
+    """Every check of one table as long-form rows.
+
+    All plain checks unfold from the one paired row, so that each side is scanned once for them; the
+    duplicate check reads the target's key.
+    """
+    paired = pair_sides(side_metrics(source, table, "source", pk, not_null, numeric),
+                        side_metrics(target, table, "target", pk, not_null, numeric))
+    src_id, tgt_id = F.col("src_min_id"), F.col("tgt_min_id")
+    rows = [row_count_row("ROW_COUNT", F.col("src_row_count"), F.col("tgt_row_count"), tolerance),
+            check_row("ID_RANGE", src_id, tgt_id, src_id - tgt_id, None, src_id.eqNullSafe(tgt_id))]
+    for c in not_null:
+        n = F.col(f"tgt_nulls_{c}")
+        rows.append(check_row("NULL_CHECK", F.lit(c), n, n, None, F.coalesce(n, F.lit(0)) == 0))
+    for c in numeric:
+        s, t = F.col(f"src_sum_{c}"), F.col(f"tgt_sum_{c}")
+        pct = sum_difference_percent(s, t)
+        rows.append(check_row("SUM_CHECK", s, t, None, F.round(pct, 6), pct < SUM_TOLERANCE_PCT))
+    plain = paired.select("table_name", F.inline(F.array(*rows)))
+    dups = duplicate_check(target, table, [pk]).select("table_name", F.inline(F.array(check_row(
+        "DUPLICATE_KEY", None, F.col("duplicate_keys"), F.col("duplicate_keys"), None, F.col("is_valid")))))
+    return plain.unionByName(dups)

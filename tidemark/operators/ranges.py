@@ -16,6 +16,7 @@ from tidemark.functions.columns import ntz
 NULL_RANGE = -1
 MAX_RANGES = 100_000     # ranges a plan may have; this bounds what is collected and broadcast
 _MAX_BINS = 65_536
+_MAX_BUCKETS = 1_000_000
 _BLOCK = 4_096           # buckets whose running total one task computes
 
 # Fixed values
@@ -34,44 +35,52 @@ def histogram(df: DataFrame, key: str, width: int) -> DataFrame:
     return df.groupBy(bucket_start(F.col(key), width).alias("bucket")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def default_width(df: DataFrame, key: str, target_rows: int) -> int:
+    """A sixteenth of the target, so that a bucket of unique keys is well below it, but no more than
+    a million buckets over the whole span of keys. Collects one row."""
+    b = df.agg(F.min(key).cast("bigint").alias("lo"), F.max(key).cast("bigint").alias("hi")).first()
+    span = 0 if b.lo is None else b.hi - b.lo + 1
+    return max(1, target_rows // 16, span // _MAX_BUCKETS)
+
+
 def running_total(hist: DataFrame, width: int) -> DataFrame:
-    """Add `cum`, the rows up to and including each bucket.
+    """Add `cum`, the rows up to and including each bucket; NULL keys count for nothing.
 
     Totals run inside blocks of buckets, in parallel; only block sums, 4096 times fewer than
-    buckets, meet in one task.
+    buckets, meet in one task. The null-safe join leaves both sides of it with the same histogram,
+    whose shuffle Spark then does once.
     """
     blocks = hist.withColumn("_block", bucket_start(F.col("bucket"), width * _BLOCK))
-    upto = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.groupBy("_block").agg(F.sum("row_count").alias("_rows")).select(
-        "_block", F.coalesce(F.sum("_rows").over(upto), F.lit(0)).alias("_before"))
+    rows = F.sum(F.when(F.col("bucket").isNotNull(), F.col("row_count")))
+    upto = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.groupBy(F.col("_block").alias("_b")).agg(rows.alias("_rows")).select(
+        "_b", F.coalesce(F.sum("_rows").over(upto), F.lit(0)).alias("_before"))
     inside = Window.partitionBy("_block").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    return (blocks.join(offsets, "_block")
-            .select("bucket", "row_count", (F.sum("row_count").over(inside) + F.col("_before")).alias("cum")))
+    return blocks.join(offsets, F.col("_block").eqNullSafe(F.col("_b"))).select(
+        "bucket", "row_count", (F.sum("row_count").over(inside) + F.col("_before")).alias("cum"))
 
 
-def plan_ranges(df: DataFrame, key: str, width: int, target_rows: int) -> DataFrame:
+def plan_ranges(df: DataFrame, key: str, target_rows: int, width: int | None = None) -> DataFrame:
     """Ranges of about `target_rows` rows each.
 
     Empty buckets vanish, small ones merge, and a dense region is split down to `width`. A range
     that still has more rows than the target, because one key repeats, says in `slices` how many
     parallel parts it should be read in.
     """
-    hist = histogram(df, key, width)
-    grouped = (running_total(hist.filter("bucket is not null"), width)
-               .groupBy(F.expr(f"(cum - 1) div {int(target_rows)}").alias("_group"))
-               .agg(F.min("bucket").alias("_start"), F.sum("row_count").alias("row_count")))
+    width = width or default_width(df, key, target_rows)
+    group = F.when(F.col("bucket").isNull(), F.lit(NULL_RANGE)).otherwise(F.expr(f"(cum - 1) div {int(target_rows)}"))
+    grouped = running_total(histogram(df, key, width), width).groupBy(group.alias("_group")).agg(
+        F.min("bucket").alias("_start"), F.sum("row_count").alias("row_count"))
+    # One row per range from here on. The range without key sorts first and is not numbered.
     order = Window.orderBy("_group")
-    number = F.row_number().over(order)
-    keyed = grouped.select(
-        (number - 1).cast("int").alias("range_id"),
-        F.when(number > 1, F.col("_start")).alias("start_id"),
-        F.lead("_start").over(order).alias("end_id"),
-        "row_count")
-    nulls = hist.filter("bucket is null").select(
-        F.lit(NULL_RANGE).alias("range_id"), F.lit(None).cast("bigint").alias("start_id"),
-        F.lit(None).cast("bigint").alias("end_id"), "row_count")
-    return keyed.unionByName(nulls).withColumn(
-        "slices", F.ceil(F.col("row_count") / F.lit(target_rows)).cast("int"))
+    number = F.count("_start").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    keyed = F.col("_start").isNotNull()
+    return grouped.select(
+        F.when(keyed, number - 1).otherwise(F.lit(NULL_RANGE)).cast("int").alias("range_id"),
+        F.when(keyed & (number > 1), F.col("_start")).alias("start_id"),
+        F.when(keyed, F.lead("_start").over(order)).alias("end_id"),
+        "row_count",
+        F.ceil(F.col("row_count") / F.lit(target_rows)).cast("int").alias("slices"))
 
 
 def plan_fixed(df: DataFrame, key: str, width: int) -> DataFrame:
@@ -157,12 +166,14 @@ def progress(plan: DataFrame, log: DataFrame, phase: str, session_start: str | d
     The total is that of the whole plan and the rate counts this session's rows only, so a resumed
     run neither passes 100 % nor looks faster than it is.
     """
-    total = plan.agg(F.sum("row_count").alias("_total")).select(F.lit(phase).alias("phase"), "_total")
-    done = done_entries(log, phase).join(total, "phase")
-    order = Window.partitionBy("phase").orderBy("completed_at", "range_id").rowsBetween(Window.unboundedPreceding, 0)
+    # One row per range, at most MAX_RANGES, so that windows over all of them are small.
+    total = F.sum("row_count").over(Window.partitionBy())
+    done = (plan.select("range_id", "row_count").join(done_entries(log, phase), "range_id", "left")
+            .withColumn("_total", total).filter("completed_at is not null"))
+    upto = Window.orderBy("completed_at", "range_id").rowsBetween(Window.unboundedPreceding, 0)
     start = ntz(session_start)
     mine = F.when(F.col("completed_at") > start, F.col("rows")).otherwise(F.lit(0))
-    done = done.withColumns({"cum_rows": F.sum("rows").over(order), "_mine": F.sum(mine).over(order)})
+    done = done.withColumns({"cum_rows": F.sum("rows").over(upto), "_mine": F.sum(mine).over(upto)})
     seconds = F.timestamp_diff("SECOND", start, F.col("completed_at"))
     rate = F.when(seconds > 0, F.col("_mine").cast("double") / seconds.cast("double"))
     left = F.col("_total") - F.col("cum_rows")

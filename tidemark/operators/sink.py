@@ -43,9 +43,13 @@ def _folders(path: str, batch_id: str) -> list[str]:
     return [f"{path}/{STATUS}={status}/_batch_id={batch_id}" for status in ("accepted", "rejected")]
 
 
-def write_batch(marked: DataFrame, path: str, batch_id: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+def write_batch(marked: DataFrame, path: str, batch_id: str, rows_per_file: int = ROWS_PER_FILE,
+                gather: bool = False) -> DataFrame:
     """Append a stamped and marked batch, replacing whatever the same batch id left before.
 
+    With `gather` the rows are rebalanced first. A delta needs this: the few rows that a big scan
+    leaves would otherwise go out as one small file per task. A full load does not shuffle.
+
     Dynamic overwrite leaves alone a partition that gets no rows. If an earlier try of this batch
     filled one that this try leaves empty, its old files are still there afterwards, and it is cleared.
     Returns what the batch now holds, (status, reason, rows).
@@ -53,7 +57,8 @@ def write_batch(marked: DataFrame, path: str, batch_id: str, rows_per_file: int
     spark = marked.sparkSession
     before = {f: _files(spark, f) for f in _folders(path, check_batch_id(batch_id))}
     split = marked.withColumn(STATUS, F.when(F.col(REASON).isNull(), "accepted").otherwise("rejected"))
-    (split.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows = split.hint("rebalance", STATUS) if gather else split
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", rows_per_file).partitionBy(STATUS, "_batch_id").parquet(path))
     for folder, old in before.items():
         if old & _files(spark, folder):

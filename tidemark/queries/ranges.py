@@ -37,7 +37,7 @@ counts AS (SELECT range_id, start_id, end_id, count(*) AS row_count
 
 
 def _plan(spark, sf):
-    return ranges.plan_ranges(sparse_keys(spark, sf), "k", WIDTH, TARGET)
+    return ranges.plan_ranges(sparse_keys(spark, sf), "k", TARGET, WIDTH)
 
 
 def fixed_counts(spark, sf):

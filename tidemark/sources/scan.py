@@ -7,12 +7,15 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import literal_like
-from tidemark.operators.ranges import NULL_RANGE, collect_plan
+from tidemark.functions.digests import row_hash
+from tidemark.operators.ranges import NULL_RANGE, collect_plan, default_width, histogram, running_total
 
 # Fixed values
 SAMPLE_ROWS = 1_000_000
 SAMPLE_ABOVE = 10_000_000
 
+_LAST_KEY = 2**63 - 1
+
 
 def table(spark: SparkSession, location: str) -> DataFrame:
     """A parquet folder or file, or a catalog table `schema.table`."""
@@ -24,8 +27,35 @@ def sample(df: DataFrame, pk: str, rows: int = SAMPLE_ROWS, above: int = SAMPLE_
     """The first `rows` rows by key if the table has more than `above` rows, else the whole table."""
     if (df.count() if row_count is None else row_count) <= above:
         return df
-    rest = [c for c in df.columns if c != pk]
-    return df.orderBy(pk, *rest).limit(rows)
+    return first_rows(df, pk, rows)
+
+
+def first_rows(df: DataFrame, pk: str, n: int) -> DataFrame:
+    """The first `n` rows by an integer key; rows without a key come last.
+
+    A plain sort-and-limit sends `n` rows of every task to one task. Here a histogram finds the key at
+    which the count is reached, and a filter takes all rows before it. Rows that share that key are
+    cut by a hash of the row in the same way, so the limit that is left only sees a sliver.
+    """
+    key = F.coalesce(F.col(pk).cast("bigint"), F.lit(_LAST_KEY))
+    width = default_width(df, pk, n)
+    slot = F.shiftrightunsigned(row_hash(df.columns), 44)   # the hash's upper 20 bits
+    taken, edge, need = F.lit(False), F.lit(True), n
+    # Each level: the value to count by, its bucket width, and what the scan may be cut to.
+    for value, step in ((key, width), (key, 1), (slot, 1)):
+        hist = histogram(df.filter(edge).select(value.alias("v")), "v", step)
+        cut = running_total(hist, step).filter(F.col("cum") >= need).orderBy("bucket").first()
+        if cut is None:
+            return df
+        last = min(cut.bucket + step - 1, _LAST_KEY)
+        taken = taken | (edge & (value < cut.bucket))
+        edge = edge & (value >= cut.bucket) & (value <= last)
+        if value is key and last < _LAST_KEY:
+            df = df.filter(F.col(pk) <= literal_like(last, df.schema[pk].dataType))   # this one reaches the files
+        need -= cut.cum - cut.row_count
+        if need == cut.row_count:
+            return df.filter(taken | edge)
+    return df.filter(taken).unionAll(df.filter(edge).orderBy(pk, *[c for c in df.columns if c != pk]).limit(need))
 
 
 def since(df: DataFrame, date: str, start: str | dt.datetime) -> DataFrame:

@@ -24,5 +24,9 @@ def late_rows(source: DataFrame, target: DataFrame, pk: str, date: str, watermar
 
 
 def drop_repeats(stream: DataFrame, pk: str, date: str, delay: str) -> DataFrame:
-    """Streaming form: a key that comes again within `delay` of event time is dropped; state stays bounded."""
-    return stream.withWatermark(date, delay).dropDuplicatesWithinWatermark([pk])
+    """Streaming form: a key that comes again within `delay` of event time is dropped; state stays bounded.
+
+    Spark takes event time only from a timestamp with zone, so the date is cast for it in a column of its own.
+    """
+    timed = stream.withColumn("_event_time", F.col(date).cast("timestamp")).withWatermark("_event_time", delay)
+    return timed.dropDuplicatesWithinWatermark([pk]).drop("_event_time")
