@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import Column, functions as F, types as T
 
+from tidemark.functions.casts import cast_or_null
+
 # Fixed values
 NULL_TOKENS = ("nan", "None", "NULL", "null")
 ROUND_PLACES = 10
@@ -61,7 +63,7 @@ def fixed_text(c: Column) -> Column:
 
 def coerce_timestamp(c: Column, dtype: T.DataType) -> Column:
     """Unparseable text becomes NULL; the row stays."""
-    return c.try_cast("timestamp_ntz") if isinstance(dtype, T.StringType) else c
+    return cast_or_null(c, dtype, T.TimestampNTZType()) if isinstance(dtype, T.StringType) else c
 
 
 def clip_text(c: Column, limit: int = MAX_TEXT) -> Column:

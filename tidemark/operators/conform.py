@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tidemark.functions.casts import cast_or_null
+
 
 def as_schema(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
 def _cast(df: DataFrame, field: T.StructField) -> Column:
-    """try_cast to the declared type. varchar(n) keeps the first n characters, because a Spark cast does not cut."""
+    """Cast to the declared type. varchar(n) keeps the first n characters, because a Spark cast does not cut."""
     if field.name not in df.columns:
         return F.lit(None).cast(_plain(field.dataType))
     c = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (T.VarcharType, T.CharType)):
         return F.substring(c.cast("string"), 1, field.dataType.length)
-    return c.try_cast(field.dataType)
+    return cast_or_null(c, df.schema[field.name].dataType, field.dataType)
 
 
 def _plain(dtype: T.DataType) -> T.DataType:

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.casts import cast_or_null
 from tidemark.functions.columns import is_missing
 
 # Fixed values
@@ -30,7 +31,7 @@ def side_metrics(df: DataFrame, table: str, side: str, pk: str | None = None,
         aggs.append((F.count_if(is_missing(F.col(c), dtype[c])) if c in have
                      else F.max(F.lit(None).cast("bigint"))).alias(f"nulls_{c}"))
     for c in numeric:
-        v = F.col(c).try_cast(SUM_TYPE) if c in have else F.lit(None).cast(SUM_TYPE)
+        v = cast_or_null(F.col(c), dtype[c], SUM_TYPE) if c in have else F.lit(None).cast(SUM_TYPE)
         aggs += [F.sum(v).alias(f"sum_{c}"), F.count(v).alias(f"count_{c}")]
     return df.agg(*aggs).select(F.lit(table).alias("table_name"), F.lit(side).alias("side"), "*")
 
