@@ -274,3 +274,19 @@ def test_late_rows(spark, fixed_dates):
     src = src.withColumn("day", F.col("day").cast("timestamp_ntz"))
     got = late.late_rows(src, src.filter("id = 2"), "id", "day", "2024-01-10 00:00:00", 3, fixed_dates)
     assert [r.id for r in got.collect()] == [3, 3]
+
+
+def test_old_versions_expire(spark):
+    root = folder(spark)
+    for i in range(4):
+        sink.replace_table(batch(rows(spark, [(i, T0)]), f"v{i}", T1), root, "t", f"v{i}", f"2024-01-0{i + 1} 00:00:00")
+    assert sorted(sink.expire_versions(spark, root, "t", keep=2)) == ["v0", "v1"]
+    assert sink.expire_versions(spark, root, "t", keep=2) == []
+    assert [r.id for r in sink.read_accepted(spark, sink.current_path(spark, root, "t")).collect()] == [3]
+
+
+def test_a_target_that_gained_a_column(spark):
+    path = folder(spark)
+    sink.write_batch(batch(rows(spark, [(1, T0)]), "b1", T1), path, "b1")
+    sink.write_batch(batch(rows(spark, [(2, T0)]).withColumn("extra", F.lit("x")), "b2", T1), path, "b2")
+    assert {r.id: r.extra for r in sink.read_accepted(spark, path, merge_schema=True).collect()} == {1: None, 2: "x"}

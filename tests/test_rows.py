@@ -3,8 +3,10 @@
 import math
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import round_places
 from tidemark.operators import clean, conform, stamp, validate
 
 INF, NAN = float("inf"), float("nan")
@@ -25,6 +27,15 @@ def test_rounding_is_half_even(spark):
     assert values(clean.round_floats(df), "x") == [0.0, 0.0000000002]
 
 
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.floats(), st.integers(-10**17, 10**17).map(lambda k: k / 1e6), st.integers(-10**17, 10**17).map(lambda k: k / 1e11),
+                          st.floats(-1e10, 1e10)), min_size=1, max_size=80))
+def test_short_cut_in_rounding_changes_nothing(spark, xs):
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    bad = df.filter(~round_places(F.col("x")).eqNullSafe(F.bround("x", 10)))
+    assert bad.collect() == []
+
+
 def test_integral_is_a_property_of_the_column(spark):
     df = spark.createDataFrame([(1.0, 1.0, None, 1e300), (NAN, 2.5, None, 2.0), (3.0, 4.0, None, 3.0)],
                                "a double, b double, empty double, huge double")

@@ -32,7 +32,8 @@ def side_metrics(df: DataFrame, table: str, side: str, pk: str | None = None,
                      else F.max(F.lit(None).cast("bigint"))).alias(f"nulls_{c}"))
     for c in numeric:
         v = cast_or_null(F.col(c), dtype[c], SUM_TYPE) if c in have else F.lit(None).cast(SUM_TYPE)
-        aggs += [F.sum(v).alias(f"sum_{c}"), F.count(v).alias(f"count_{c}")]
+        n = F.count(v) if c in have else F.max(F.lit(None).cast("bigint"))
+        aggs += [F.sum(v).alias(f"sum_{c}"), n.alias(f"count_{c}")]
     return df.agg(*aggs).select(F.lit(table).alias("table_name"), F.lit(side).alias("side"), "*")
 
 
@@ -113,18 +114,23 @@ def sum_difference_percent(src: Column, tgt: Column) -> Column:
 
 
 def aggregate_check(paired: DataFrame, columns: Sequence[str], tolerance_pct: float = SUM_TOLERANCE_PCT) -> DataFrame:
-    """(table_name, column_name, sums, averages, difference_percent, is_valid), one row per column."""
+    """(table_name, column_name, status, sums, averages, difference_percent, is_valid), one row per column.
+
+    A column that neither side has is reported as absent and does not fail; one that a single side
+    has counts as a sum against nothing.
+    """
     def average(side: str, c: str) -> Column:
         n = F.col(f"{side}_count_{c}")
         return F.round(F.when(n > 0, F.col(f"{side}_sum_{c}").cast("double") / n.cast("double")), 4)
 
     def row(c: str) -> Column:
-        pct = sum_difference_percent(F.col(f"src_sum_{c}"), F.col(f"tgt_sum_{c}"))
+        absent = F.col(f"src_count_{c}").isNull() & F.col(f"tgt_count_{c}").isNull()
+        pct = F.when(~absent, sum_difference_percent(F.col(f"src_sum_{c}"), F.col(f"tgt_sum_{c}")))
         return F.struct(
-            F.lit(c).alias("column_name"),
+            F.lit(c).alias("column_name"), F.when(absent, "absent").otherwise("checked").alias("status"),
             F.col(f"src_sum_{c}").alias("source_sum"), F.col(f"tgt_sum_{c}").alias("target_sum"),
             average("src", c).alias("source_avg"), average("tgt", c).alias("target_avg"),
-            F.round(pct, 6).alias("difference_percent"), (pct < tolerance_pct).alias("is_valid"))
+            F.round(pct, 6).alias("difference_percent"), (absent | (pct < tolerance_pct)).alias("is_valid"))
     return paired.select("table_name", F.inline(F.array(*[row(c) for c in columns])))
 
 

@@ -8,6 +8,7 @@ when a batch runs again.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -84,8 +85,10 @@ def batch_files(spark: SparkSession, path: str, batch_id: str) -> int:
     return sum(len(_files(spark, f)) for f in _folders(path, batch_id))
 
 
-def read_accepted(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).filter(F.col(STATUS) == "accepted").drop(STATUS, REASON)
+def read_accepted(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """The target's rows. `merge_schema` opens all file footers, for a target that gained columns on the way."""
+    rows = spark.read.option("mergeSchema", merge_schema).parquet(path)
+    return rows.filter(F.col(STATUS) == "accepted").drop(STATUS, REASON)
 
 
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:
@@ -93,13 +96,19 @@ def read_rejected(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_log(rows: DataFrame, path: str) -> None:
-    """Add rows to a log table. A log is small; one file per append keeps it readable."""
-    rows.coalesce(1).write.mode("append").parquet(path)
+    """Add rows to a log table, one file in a folder of its own per append.
+
+    Appends to one folder at the same time, from threads or from other runs, would clear each other's
+    staging files.
+    """
+    rows.coalesce(1).write.parquet(f"{path}/{uuid.uuid4().hex}")
 
 
 def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A log table, or no rows while nothing has been written."""
-    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
 
 def version_path(root: str, table: str, version: str) -> str:
@@ -136,6 +145,22 @@ def replace_table(marked: DataFrame, root: str, table: str, batch_id: str, commi
     return counts
 
 
+def expire_versions(spark: SparkSession, root: str, table: str, keep: int = 2) -> list[str]:
+    """Delete published versions older than the newest `keep`. Returns their names."""
+    log = read_log(spark, f"{root}/_versions", VERSION_LOG_SCHEMA).filter(F.col("table_name") == table)
+    names = log.groupBy("version").agg(F.max("committed_at").alias("at")).orderBy(F.desc("at"), F.desc("version"))
+    old = [r.version for r in names.collect()[max(keep, 1):] if path_exists(spark, version_path(root, table, r.version))]
+    for version in old:
+        fs, jpath = _hadoop(spark, version_path(root, table, version))
+        fs.delete(jpath, True)
+    return old
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to `path` was committed, not just begun."""
+    return path_exists(spark, f"{path}/_SUCCESS")
+
+
 def write_ranges(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_RANGE_FILE, gather: bool = True) -> None:
     """Write rows with a `range_id`, one folder per range, replacing the ranges that are written.
 

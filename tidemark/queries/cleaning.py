@@ -66,12 +66,12 @@ def stamp_metadata(spark, sf):
 
 
 @query(f"""SELECT *, CAST(NULL AS TIMESTAMP) AS _loaded_at, CAST(NULL AS VARCHAR) AS _batch_id,
-       CAST(NULL AS INTEGER) AS _source_system_id FROM region
-UNION ALL SELECT *, TIMESTAMP '{ORDERS_AS_OF}', '{BATCH}', {SYSTEM} FROM region""")
+       CAST(NULL AS INTEGER) AS _source_system_id FROM part
+UNION ALL SELECT *, TIMESTAMP '{ORDERS_AS_OF}', '{BATCH}', {SYSTEM} FROM part""")
 def evolve_schema(spark, sf):
     """Rows loaded before there were stamp columns, then the same rows with them."""
-    region = table(spark, sf, "region")
-    return stamp.append_evolved(stamp.ensure_stamp(region), stamp.stamp(region, BATCH, ORDERS_AS_OF, SYSTEM))
+    parts = table(spark, sf, "part")
+    return stamp.append_evolved(stamp.ensure_stamp(parts), stamp.stamp(parts, BATCH, ORDERS_AS_OF, SYSTEM))
 
 
 @query(f"""SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey IS NULL THEN 'null_pk' END AS _reject_reason

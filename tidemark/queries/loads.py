@@ -122,7 +122,8 @@ def range_reexport(spark, sf):
 def range_load_counts(spark, sf):
     """A range migration that stops after the first two ranges and goes on; rows per range at each step."""
     root, orders = fresh_folder(spark, "migrate"), table(spark, sf, "orders")
-    plan = fixed_counts(spark, sf)
+    fixed_counts(spark, sf).write.parquet(f"{root}/plan")
+    plan = spark.read.parquet(f"{root}/plan")
     args = (f"{root}/staged", f"{root}/log")
     migrate.export_ranges(spark, orders, "o_orderkey", plan.filter("range_id < 2"), *args, ORDERS_MARK)
     migrate.export_ranges(spark, orders, "o_orderkey", plan, *args, ORDERS_AS_OF)

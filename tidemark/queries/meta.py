@@ -151,13 +151,14 @@ def audit_row(spark, sf):
 
 
 def _systems(spark, sf):
-    """Each nation is a source system; those of one region are switched off."""
-    return table(spark, sf, "nation").select(
-        F.col("n_nationkey").alias("source_system_id"), F.col("n_name").alias("source_system_name"),
-        F.lit("DATABASE").alias("source_system_type"), (F.col("n_regionkey") != 3).alias("is_active"))
+    """Each supplier is a source system; those with a negative balance are switched off."""
+    return table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("int").alias("source_system_id"), F.col("s_name").alias("source_system_name"),
+        F.lit("DATABASE").alias("source_system_type"), (F.col("s_acctbal") >= 0).alias("is_active"))
 
 
-_SYSTEMS = "SELECT n_nationkey AS source_system_id, n_name AS source_system_name, 'DATABASE' AS source_system_type, n_regionkey <> 3 AS is_active FROM nation"
+_SYSTEMS = """SELECT CAST(s_suppkey AS INTEGER) AS source_system_id, s_name AS source_system_name, 'DATABASE' AS source_system_type,
+       s_acctbal >= 0 AS is_active FROM supplier"""
 
 
 @query(f"SELECT * FROM ({_SYSTEMS}) WHERE is_active")
@@ -165,10 +166,11 @@ def active_sources(spark, sf):
     return audit.active_sources(_systems(spark, sf))
 
 
-@query(f"""SELECT c_nationkey AS source_system_id, source_system_name, source_system_type, count(*) AS row_count
-FROM customer LEFT JOIN ({_SYSTEMS}) s ON c_nationkey = s.source_system_id AND is_active GROUP BY ALL""")
+@query(f"""SELECT CAST(l_suppkey AS INTEGER) AS source_system_id, source_system_name, source_system_type, count(*) AS row_count
+FROM lineitem LEFT JOIN ({_SYSTEMS}) s ON l_suppkey = s.source_system_id AND is_active GROUP BY ALL""")
 def rows_by_source(spark, sf):
     """Rows per source system; rows of a system that is switched off keep no name."""
-    rows = table(spark, sf, "customer").select(F.col("c_nationkey").alias("source_system_id"))
-    return audit.with_source_system(rows, _systems(spark, sf)).groupBy(
-        "source_system_id", "source_system_name", "source_system_type").agg(F.count(F.lit(1)).alias("row_count"))
+    counted = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").cast("int").alias("source_system_id")).agg(
+        F.count(F.lit(1)).alias("row_count"))
+    return audit.with_source_system(counted, _systems(spark, sf)).select(
+        "source_system_id", "source_system_name", "source_system_type", "row_count")

@@ -76,18 +76,20 @@ def dq_id_range(spark, sf):
 
 
 @query(" UNION ALL ".join(f"""
-SELECT 'lineitem' AS table_name, '{c}' AS column_name, s AS source_sum, t AS target_sum,
+SELECT 'lineitem' AS table_name, '{c}' AS column_name, 'checked' AS status, s AS source_sum, t AS target_sum,
        round(CAST(s AS DOUBLE) / sn, 4) AS source_avg, round(CAST(t AS DOUBLE) / tn, 4) AS target_avg,
        round(abs(CAST(t AS DOUBLE) - CAST(s AS DOUBLE)) / abs(CAST(s AS DOUBLE)) * 100, 6) AS difference_percent,
        abs(CAST(t AS DOUBLE) - CAST(s AS DOUBLE)) / abs(CAST(s AS DOUBLE)) * 100 < 1 AS is_valid
 FROM (SELECT CAST(sum(CAST({c} AS DECIMAL(19,6))) AS DECIMAL(29,6)) AS s, count({c}) AS sn,
              CAST(sum(CAST({c} AS DECIMAL(19,6))) FILTER (l_orderkey % {FAR} <> 0) AS DECIMAL(29,6)) AS t,
-             count({c}) FILTER (l_orderkey % {FAR} <> 0) AS tn FROM lineitem)""" for c in MONEY))
+             count({c}) FILTER (l_orderkey % {FAR} <> 0) AS tn FROM lineitem)""" for c in MONEY)
+    + " UNION ALL SELECT 'lineitem', 'l_rebate', 'absent', NULL, NULL, NULL, NULL, NULL, true")
 def dq_aggregates(spark, sf):
-    lines = table(spark, sf, "lineitem")
+    """Sums of three columns that differ, and of one that does not exist."""
+    lines, money = table(spark, sf, "lineitem"), [*MONEY, "l_rebate"]
     return quality.aggregate_check(quality.pair_sides(
-        quality.side_metrics(lines, "lineitem", "source", numeric=MONEY),
-        quality.side_metrics(lossy(lines, "l_orderkey", FAR), "lineitem", "target", numeric=MONEY)), MONEY)
+        quality.side_metrics(lines, "lineitem", "source", numeric=money),
+        quality.side_metrics(lossy(lines, "l_orderkey", FAR), "lineitem", "target", numeric=money)), money)
 
 
 def _order_checks(spark, sf):

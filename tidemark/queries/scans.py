@@ -70,9 +70,9 @@ plan AS (SELECT table_name, target_schema, target_table, pk_column, date_column,
 FROM sized)"""
 
 
-@query("SELECT * FROM nation")
+@query("SELECT * FROM lineitem")
 def full_scan(spark, sf):
-    return table(spark, sf, "nation")
+    return table(spark, sf, "lineitem")
 
 
 @query(f"""SELECT * FROM orders QUALIFY row_number() OVER (ORDER BY o_orderkey) <=

@@ -35,6 +35,7 @@ def start_ingest(stream: DataFrame, target: str, checkpoint: str, rules: Rules,
     """
     def load(batch: DataFrame, epoch: int) -> None:
         now, name = as_of(), batch_name(epoch)
-        write_batch(mark(stamp(clean_table(batch), name, now, source_system_id), rules, now), target, name, rows_per_file)
+        rows = mark(stamp(clean_table(batch), name, now, source_system_id), rules, now)
+        write_batch(rows, target, name, rows_per_file, gather=True)
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
