@@ -1,4 +1,4 @@
-"""Order-independent digests of a group of rows."""
+"""Order-independent comparison of two groups of rows by their hashes."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import Column, functions as F
 
 _BITS = 22
 _MASK = (1 << _BITS) - 1
+SLICES = 3
 
 
 def row_hash(columns: Sequence[str]) -> Column:
@@ -19,13 +20,12 @@ def row_hash(columns: Sequence[str]) -> Column:
     return F.xxhash64(*parts, *[p.isNull() for p in parts])
 
 
-def digest_aggregates(hash_column: str, when: Column, prefix: str) -> list[Column]:
-    """Sums of the hash's three 22-bit slices over rows where `when` holds.
+def hash_differences(h: Column, left: Column) -> list[Column]:
+    """Three sums, all zero if the rows where `left` holds have the same hashes as the others.
 
-    A sum, unlike xor, also tells apart groups that hold a row twice. A slice is below 2^22, so a
-    BIGINT sum has room for 2^41 rows per group, and these are plain long additions that Spark
-    combines before the shuffle.
+    Each sums one 22-bit slice of the hash, added on the left and taken off on the right. A sum,
+    unlike xor, also tells apart groups that hold a row twice. A slice is below 2^22, so a BIGINT has
+    room for 2^41 rows per group, and Spark combines these plain additions before the shuffle.
     """
-    h = F.col(hash_column)
-    slices = [F.shiftrightunsigned(h, i * _BITS).bitwiseAND(F.lit(_MASK)) for i in range(3)]
-    return [F.coalesce(F.sum(F.when(when, s)), F.lit(0)).alias(f"{prefix}{i}") for i, s in enumerate(slices)]
+    slices = [F.shiftrightunsigned(h, i * _BITS).bitwiseAND(F.lit(_MASK)) for i in range(SLICES)]
+    return [F.sum(F.when(left, s).otherwise(-s)) for s in slices]

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.digests import digest_aggregates, row_hash
+from tidemark.functions.digests import hash_differences, row_hash
 
 
 def compare_rows(source: DataFrame, target: DataFrame, keys: Sequence[str],
@@ -25,13 +25,14 @@ def compare_rows(source: DataFrame, target: DataFrame, keys: Sequence[str],
         return df.select(*typed).select(*keys, row_hash(cols).alias("_h"), F.lit(flag).alias("_src"))
 
     both = side(source, True).unionByName(side(target, False))
-    src, tgt = F.col("_src"), ~F.col("_src")
+    src = F.col("_src")
+    nets = {f"_net{i}": net for i, net in enumerate(hash_differences(F.col("_h"), src))}
     grouped = both.groupBy(*keys).agg(
-        F.count_if(src).alias("source_rows"), F.count_if(tgt).alias("target_rows"),
-        *digest_aggregates("_h", src, "_s"), *digest_aggregates("_h", tgt, "_t"))
-    equal = (F.col("source_rows") == F.col("target_rows"))
-    for i in range(3):
-        equal = equal & (F.col(f"_s{i}") == F.col(f"_t{i}"))
+        F.count_if(src).alias("source_rows"), F.count_if(~src).alias("target_rows"),
+        *[net.alias(name) for name, net in nets.items()])
+    equal = F.col("source_rows") == F.col("target_rows")
+    for name in nets:
+        equal = equal & (F.col(name) == 0)
     status = (F.when(F.col("target_rows") == 0, "missing").when(F.col("source_rows") == 0, "extra")
               .when(equal, "same").otherwise("changed"))
     return grouped.select(*keys, "source_rows", "target_rows", status.alias("status"))

@@ -180,7 +180,11 @@ def sync_table(spark: SparkSession, open_source: Callable[[TableConfig], DataFra
 def sync_all(spark: SparkSession, tables: Iterable[TableConfig], open_source: Callable[[TableConfig], DataFrame],
              run: Run, parallel: int = 4) -> dict[str, Loaded]:
     """Load several tables, `parallel` at a time, so that small tables fill the gaps that big ones leave."""
+    def one(cfg: TableConfig) -> Loaded:
+        # A scheduler pool per table: within one pool a big table's tasks would go before a small one's.
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", cfg.name)
+        return sync_table(spark, open_source, cfg, run)
+
     tables = list(tables)
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        done = pool.map(lambda cfg: sync_table(spark, open_source, cfg, run), tables)
-        return dict(zip([t.name for t in tables], done))
+    with ThreadPoolExecutor(max_workers=parallel) as workers:
+        return dict(zip([t.name for t in tables], workers.map(one, tables)))

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Tables loaded at the same time share the cluster instead of queueing; see plans.sync.sync_all.
+    "spark.scheduler.mode": "FAIR",
     # Keep a writer open per output partition instead of sorting every task's rows by it.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
