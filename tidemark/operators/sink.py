@@ -10,11 +10,13 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.functions.casts import cast_or_null
 from tidemark.functions.columns import ntz
 from tidemark.operators.stamp import check_batch_id
 from tidemark.operators.validate import REASON
+from tidemark.session import one_row
 
 STATUS = "_load_status"
 VERSION_LOG_SCHEMA = "table_name string, version string, committed_at timestamp_ntz"
@@ -45,7 +47,7 @@ def _folders(path: str, batch_id: str) -> list[str]:
 
 
 def write_batch(marked: DataFrame, path: str, batch_id: str, rows_per_file: int = ROWS_PER_FILE,
-                gather: bool = False) -> DataFrame:
+                gather: bool = False, pk: str | None = None) -> DataFrame:
     """Append a stamped and marked batch, replacing whatever the same batch id left before.
 
     With `gather` the rows are rebalanced first. A delta needs this: the few rows that a big scan
@@ -53,7 +55,7 @@ def write_batch(marked: DataFrame, path: str, batch_id: str, rows_per_file: int
 
     Dynamic overwrite leaves alone a partition that gets no rows. If an earlier try of this batch
     filled one that this try leaves empty, its old files are still there afterwards, and it is cleared.
-    Returns what the batch now holds, (status, reason, rows).
+    Returns what the batch now holds, see `batch_counts`.
     """
     spark = marked.sparkSession
     before = {f: _files(spark, f) for f in _folders(path, check_batch_id(batch_id))}
@@ -64,21 +66,22 @@ def write_batch(marked: DataFrame, path: str, batch_id: str, rows_per_file: int
     for folder, old in before.items():
         if old & _files(spark, folder):
             marked.drop("_batch_id").limit(0).write.mode("overwrite").parquet(folder)
-    return batch_counts(spark, path, batch_id)
+    return batch_counts(spark, path, batch_id, marked.drop("_batch_id").schema, pk)
 
 
-def batch_counts(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
-    """(status, reason, rows) of a written batch; only its own folders are listed.
+def batch_counts(spark: SparkSession, path: str, batch_id: str, schema: T.StructType, pk: str | None = None) -> DataFrame:
+    """(status, reason, rows, max_id) of a written batch; only its own folders are listed and two columns read.
 
     Counted from the committed files, not with a counter that rides along the write: a task that
     runs twice after a lost executor would count its rows twice.
     """
     there = [f for f in _folders(path, batch_id) if path_exists(spark, f)]
     if not there:
-        return spark.createDataFrame([], "status string, reason string, rows bigint")
-    return (spark.read.option("basePath", path).parquet(*there)
+        return spark.createDataFrame([], "status string, reason string, rows bigint, max_id bigint")
+    ids = cast_or_null(F.col(pk), schema[pk].dataType, "bigint") if pk in schema.names else F.lit(None).cast("bigint")
+    return (spark.read.schema(schema).option("basePath", path).parquet(*there)
             .groupBy(F.col(STATUS).alias("status"), F.col(REASON).alias("reason"))
-            .agg(F.count(F.lit(1)).alias("rows")))
+            .agg(F.count(F.lit(1)).alias("rows"), F.max(ids).alias("max_id")))
 
 
 def batch_files(spark: SparkSession, path: str, batch_id: str) -> int:
@@ -117,8 +120,7 @@ def version_path(root: str, table: str, version: str) -> str:
 
 def publish_version(spark: SparkSession, root: str, table: str, version: str, committed_at: str | dt.datetime) -> None:
     """Make a complete version the current one, by adding a row to the version log."""
-    row = spark.range(1).select(F.lit(table).alias("table_name"), F.lit(version).alias("version"),
-                                ntz(committed_at).alias("committed_at"))
+    row = one_row(spark, table_name=F.lit(table), version=F.lit(version), committed_at=ntz(committed_at))
     append_log(row, f"{root}/_versions")
 
 

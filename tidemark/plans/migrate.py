@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.functions.columns import literal_like, ntz
 from tidemark.operators import ranges, sink
 from tidemark.operators.ranges import LOG_SCHEMA, NULL_RANGE
+from tidemark.session import one_row
 
 _MAX_PUSHED = 50
 
@@ -106,7 +107,6 @@ def load_ranges(spark: SparkSession, staged: str, target: str, log_path: str, at
 
 def close(spark: SparkSession, log_path: str, phase: str, at: str | dt.datetime) -> None:
     """End a run without errors: what is logged so far no longer counts for the next run."""
-    row = spark.range(1).select(F.lit(phase).alias("phase"), F.lit(None).cast("int").alias("range_id"),
-                                F.lit(None).cast("bigint").alias("rows"), ntz(at).alias("completed_at"),
-                                F.lit("closed").alias("status"))
+    row = one_row(spark, phase=F.lit(phase), range_id=F.lit(None).cast("int"), rows=F.lit(None).cast("bigint"),
+                  completed_at=ntz(at), status=F.lit("closed"))
     sink.append_log(row, log_path)

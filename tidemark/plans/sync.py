@@ -15,6 +15,7 @@ from tidemark.operators.clean import clean_table
 from tidemark.operators.stamp import stamp
 from tidemark.operators.validate import Rules, mark
 from tidemark.plans.audit import MetaStore, audit_row, quality_rows
+from tidemark.session import one_row
 from tidemark.sources import scan
 
 
@@ -64,6 +65,7 @@ class Loaded:
     loaded: int = 0
     rejected: int = 0
     files: int = 0
+    max_id: int | None = None
     error: str | None = None
 
 
@@ -86,7 +88,7 @@ def prepare(df: DataFrame, cfg: TableConfig, as_of: str, batch: str, source_syst
 
 def delta_window(spark: SparkSession, cfg: TableConfig, run: Run) -> Row:
     """Start of the delta window, and whether it is the table's first. Collects one row."""
-    control = spark.createDataFrame([(cfg.name, cfg.load_type)], "table_name string, load_type string")
+    control = one_row(spark, table_name=F.lit(cfg.name), load_type=F.lit(cfg.load_type))
     return watermark.start_plan(control, run.meta.watermarks(), run.as_of, run.lookback_days).select(
         F.date_format("delta_start", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("start"), "first_run").first()
 
@@ -118,43 +120,37 @@ def _load(spark: SparkSession, source: DataFrame, cfg: TableConfig, run: Run, ou
         path = sink.version_path(schema_root, cfg.target_table, batch)
 
     prepared = prepare(rows, cfg, run.as_of, batch, run.source_system_id)
-    written = sink.write_batch(prepared, path, batch, gather=cfg.load_type == "DELTA")
+    written = sink.write_batch(prepared, path, batch, gather=cfg.load_type == "DELTA", pk=cfg.pk_column)
     for r in written.collect():
         if r.status == "accepted":
             out.loaded += r.rows
+            out.max_id = None if r.max_id is None else max(r.max_id, 0)
         else:
             out.rejected += r.rows
     out.read, out.files = out.loaded + out.rejected, sink.batch_files(spark, path, batch)
     if out.loaded == 0:
         return   # success, but neither target version nor watermark moves
 
-    checks = count_checks(rows, cfg, run, out)
-    run.meta.append("data_quality", quality_rows(checks, run.run_id, run.as_of))
+    source_count = rows.count()
+    run.meta.append("data_quality", quality_rows(count_checks(spark, source_count, cfg, run, out), run.run_id, run.as_of))
     if cfg.load_type == "FULL":
         sink.publish_version(spark, schema_root, cfg.target_table, batch, run.as_of)
-    if run.block_on_mismatch and checks.filter("check_type = 'ROW_COUNT_ADJUSTED' and not is_valid").count():
+    missing = abs(source_count - out.rejected - out.loaded)
+    if run.block_on_mismatch and missing > run.tolerance * max(source_count - out.rejected, 0):
         return
-    run.meta.append("watermark", _watermark_row(spark, cfg, run, out, path, batch))
+    run.meta.append("watermark", one_row(
+        spark, table_name=F.lit(cfg.name), last_load_type=F.lit(cfg.load_type), last_delta_column=F.lit(cfg.date_column),
+        last_delta_value=F.lit(run.as_of if cfg.load_type == "DELTA" else None), last_max_id=F.lit(out.max_id),
+        last_row_count=F.lit(out.loaded), last_batch_id=F.lit(batch), last_success_at=F.lit(run.as_of), updated_at=F.lit(run.as_of)))
 
 
-def count_checks(rows: DataFrame, cfg: TableConfig, run: Run, out: Loaded) -> DataFrame:
+def count_checks(spark: SparkSession, source_count: int, cfg: TableConfig, run: Run, out: Loaded) -> DataFrame:
     """Source count against target count, as they are and with the rejected rows taken off the source."""
-    n, loaded = F.col("n"), F.lit(out.loaded).cast("bigint")
-    checks = [quality.row_count_row("ROW_COUNT", n, loaded, run.tolerance),
-              quality.row_count_row("ROW_COUNT_ADJUSTED", n - out.rejected, loaded, run.tolerance)]
-    return rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(cfg.name).alias("table_name"), F.inline(F.array(*checks)))
-
-
-def _watermark_row(spark: SparkSession, cfg: TableConfig, run: Run, out: Loaded, path: str, batch: str) -> DataFrame:
-    batch_rows = sink.read_accepted(spark, path).filter(F.col("_batch_id") == batch)
-    has_pk = cfg.pk_column in batch_rows.columns and batch_rows.schema[cfg.pk_column].dataType.typeName() != "string"
-    top = watermark.max_id(batch_rows, cfg.pk_column) if has_pk else spark.range(1).select(F.lit(None).alias("max_id"))
-    return top.select(
-        F.lit(cfg.name).alias("table_name"), F.lit(cfg.load_type).alias("last_load_type"),
-        F.lit(cfg.date_column).alias("last_delta_column"),
-        F.lit(run.as_of if cfg.load_type == "DELTA" else None).alias("last_delta_value"),
-        F.col("max_id").alias("last_max_id"), F.lit(out.loaded).alias("last_row_count"),
-        F.lit(batch).alias("last_batch_id"), F.lit(run.as_of).alias("last_success_at"), F.lit(run.as_of).alias("updated_at"))
+    def big(n: int):
+        return F.lit(n).cast("bigint")
+    checks = [quality.row_count_row("ROW_COUNT", big(source_count), big(out.loaded), run.tolerance),
+              quality.row_count_row("ROW_COUNT_ADJUSTED", big(source_count - out.rejected), big(out.loaded), run.tolerance)]
+    return one_row(spark, table_name=F.lit(cfg.name)).select("table_name", F.inline(F.array(*checks)))
 
 
 def sync_table(spark: SparkSession, open_source: Callable[[TableConfig], DataFrame], cfg: TableConfig, run: Run) -> Loaded:
@@ -164,9 +160,8 @@ def sync_table(spark: SparkSession, open_source: Callable[[TableConfig], DataFra
         _load(spark, open_source(cfg), cfg, run, out)
     except Exception as e:   # the audit row must say why, and the other tables go on
         out.error = str(e) or type(e).__name__
-    counts = spark.createDataFrame(
-        [(out.read, out.loaded, out.rejected, out.files)],
-        "rows_read bigint, rows_loaded bigint, rows_rejected bigint, chunks_processed int")
+    counts = one_row(spark, rows_read=F.lit(out.read), rows_loaded=F.lit(out.loaded), rows_rejected=F.lit(out.rejected),
+                     chunks_processed=F.lit(out.files))
     run.meta.append("load_stats", audit_row(
         counts, run_id=run.run_id, pipeline_name=run.job_name, trigger_type=run.trigger_type,
         source_system_id=run.source_system_id, source_system_name=run.source_system_name,

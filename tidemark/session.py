@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 # Correctness settings (time zone, ANSI) plus the adaptive features the write paths rely on:
 # `rebalance` hints are only honoured, and skewed joins only split, when AQE is on.
@@ -33,6 +33,11 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+def one_row(spark: SparkSession, **columns: Column) -> DataFrame:
+    """A single row of constants."""
+    return spark.sql("SELECT 1").select(*[c.alias(name) for name, c in columns.items()])
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir.
 
