@@ -34,7 +34,7 @@ def test_duplicates_count_null_keys_as_one_group(spark):
 def test_all_checks_on_a_clean_copy(spark):
     df = spark.createDataFrame([(1, 2.5), (2, -2.5)], "id bigint, v double")
     checks = quality.all_checks(df, df, "t", "id", ["id", "gone"], ["v", "lost"]).collect()
-    assert len(checks) == 7 and all(c.is_valid for c in checks)
+    assert len(checks) == 8 and all(c.is_valid for c in checks)
 
 
 def test_all_checks_scan_each_side_once_for_plain_metrics(spark, sf):
@@ -61,8 +61,9 @@ def test_id_range_of_empty_tables_agrees(spark):
 
 
 def test_scorecard(spark):
-    df = spark.createDataFrame([("a", "X", True), ("a", "Y", True), ("b", "X", False)], "table_name string, check_type string, is_valid boolean")
-    assert {tuple(r) for r in quality.scorecard(df).collect()} == {("a", 2, 2, "PASS"), ("b", 0, 1, "FAIL")}
+    rows = [("a", "NULL_CHECK", True), ("a", "NULL_CHECK", False), ("a", "ID_RANGE", True), ("b", "ID_RANGE", True), ("b", "SUM_CHECK", False)]
+    df = spark.createDataFrame(rows, "table_name string, check_type string, is_valid boolean")
+    assert {tuple(r) for r in quality.scorecard(df).collect()} == {("a", 1, 2, "FAIL"), ("b", 1, 1, "PASS")}
 
 
 def test_table_equals_itself(spark, sf):

@@ -17,6 +17,7 @@ from tidemark.functions.columns import is_missing
 COUNT_TOLERANCE = 0.01   # a fraction: 1 %
 SUM_TOLERANCE_PCT = 1.0
 SUM_TYPE = "decimal(19,6)"
+SCORED = ("ROW_COUNT_MIN", "DUPLICATE_KEY", "NULL_CHECK", "ID_RANGE")
 
 
 def side_metrics(df: DataFrame, table: str, side: str, pk: str | None = None,
@@ -134,10 +135,15 @@ def aggregate_check(paired: DataFrame, columns: Sequence[str], tolerance_pct: fl
     return paired.select("table_name", F.inline(F.array(*[row(c) for c in columns])))
 
 
-def scorecard(table_checks: DataFrame) -> DataFrame:
-    """Checks passed per table, from rows (table_name, check_type, is_valid); PASS only if all passed."""
+def scorecard(checks: DataFrame, scored: Sequence[str] = SCORED) -> DataFrame:
+    """Checks passed per table, from long-form rows; PASS only if all passed. Sums do not count.
+
+    A check with several rows, one per column, passes if all of them do.
+    """
+    per_check = (checks.filter(F.col("check_type").isin(*scored)).groupBy("table_name", "check_type")
+                 .agg(F.bool_and("is_valid").alias("is_valid")))
     passed, total = F.count_if(F.col("is_valid")), F.count(F.lit(1))
-    return table_checks.groupBy("table_name").agg(
+    return per_check.groupBy("table_name").agg(
         passed.alias("checks_passed"), total.alias("checks_total"),
         F.when(passed == total, "PASS").otherwise("FAIL").alias("status"))
 
@@ -158,8 +164,9 @@ def row_count_row(check_type: str, src: Column, tgt: Column, tolerance: float =
 
 
 def all_checks(source: DataFrame, target: DataFrame, table: str, pk: str, not_null: Sequence[str] = (),
-               numeric: Sequence[str] = (), tolerance: float = COUNT_TOLERANCE) -> DataFrame:
-    """Every check of one table as long-form rows.
+               numeric: Sequence[str] = (), tolerance: float = COUNT_TOLERANCE,
+               keys: Sequence[str] | None = None) -> DataFrame:
+    """Every check of one table as long-form rows. `keys` says what must be unique, if not `pk` alone.
 
     All plain checks unfold from the one paired row, so that each side is scanned once for them; the
     duplicate check reads the target's key.
@@ -167,7 +174,9 @@ def all_checks(source: DataFrame, target: DataFrame, table: str, pk: str, not_nu
     paired = pair_sides(side_metrics(source, table, "source", pk, not_null, numeric),
                         side_metrics(target, table, "target", pk, not_null, numeric))
     src_id, tgt_id = F.col("src_min_id"), F.col("tgt_min_id")
-    rows = [row_count_row("ROW_COUNT", F.col("src_row_count"), F.col("tgt_row_count"), tolerance),
+    src_n, tgt_n = F.col("src_row_count"), F.col("tgt_row_count")
+    rows = [row_count_row("ROW_COUNT", src_n, tgt_n, tolerance),
+            check_row("ROW_COUNT_MIN", src_n, tgt_n, tgt_n - src_n, None, tgt_n >= src_n),
             check_row("ID_RANGE", src_id, tgt_id, src_id - tgt_id, None, src_id.eqNullSafe(tgt_id))]
     for c in not_null:
         n = F.col(f"tgt_nulls_{c}")
@@ -177,6 +186,6 @@ def all_checks(source: DataFrame, target: DataFrame, table: str, pk: str, not_nu
         pct = sum_difference_percent(s, t)
         rows.append(check_row("SUM_CHECK", s, t, None, F.round(pct, 6), pct < SUM_TOLERANCE_PCT))
     plain = paired.select("table_name", F.inline(F.array(*rows)))
-    dups = duplicate_check(target, table, [pk]).select("table_name", F.inline(F.array(check_row(
+    dups = duplicate_check(target, table, list(keys or [pk])).select("table_name", F.inline(F.array(check_row(
         "DUPLICATE_KEY", None, F.col("duplicate_keys"), F.col("duplicate_keys"), None, F.col("is_valid")))))
     return plain.unionByName(dups)

@@ -8,7 +8,7 @@ from tidemark.functions.columns import fixed_text
 from tidemark.operators import clean, conform, stamp, validate
 from tidemark.queries.fixtures import (
     BATCH, CLEAN_ORDERS_SQL, DIRTY_ORDERS_SQL, DIRTY_PRICES_SQL, ORDERS_AS_OF, ORDERS_MARK, SYSTEM, dirty_orders,
-    dirty_prices, table,
+    dirty_prices, plain, table,
 )
 from tidemark.queries.registry import query
 
@@ -131,10 +131,10 @@ def dedupe_latest(spark, sf):
 
 
 LINE_SCHEMA = ("l_orderkey bigint, l_partkey smallint, l_suppkey int, l_linenumber smallint, l_quantity decimal(5,2), "
-               "l_extendedprice decimal(6,2), l_discount decimal(5,5), l_returnflag varchar(1), l_linestatus varchar(20), "
+               "l_extendedprice decimal(6,2), l_discount decimal(6,5), l_returnflag varchar(1), l_linestatus varchar(20), "
                "l_comment varchar(30), l_shipdate timestamp_ntz")
 _FITS = (("l_orderkey", "BIGINT"), ("l_partkey", "SMALLINT"), ("l_suppkey", "INTEGER"), ("l_linenumber", "SMALLINT"),
-         ("l_quantity", "DECIMAL(5,2)"), ("l_extendedprice", "DECIMAL(6,2)"), ("l_discount", "DECIMAL(5,5)"),
+         ("l_quantity", "DECIMAL(5,2)"), ("l_extendedprice", "DECIMAL(6,2)"), ("l_discount", "DECIMAL(6,5)"),
          ("l_returnflag", "VARCHAR"), ("l_linestatus", "VARCHAR"), ("l_shipdate", "TIMESTAMP"))
 
 
@@ -146,6 +146,11 @@ def conform_schema(spark, sf):
     return conform.conform_report(table(spark, sf, "lineitem"), LINE_SCHEMA)
 
 
-@query("SELECT " + ", ".join(f"try_cast({c} AS {t}) AS {c}" for c, t in _FITS) + ", CAST(NULL AS VARCHAR) AS l_comment FROM lineitem")
+def _shown(column: str, kind: str) -> str:
+    cast = f"try_cast({column} AS {kind})"
+    return f"CAST({cast} AS VARCHAR)" if kind.startswith("DECIMAL") else cast
+
+
+@query("SELECT " + ", ".join(f"{_shown(c, t)} AS {c}" for c, t in _FITS) + ", CAST(NULL AS VARCHAR) AS l_comment FROM lineitem")
 def conform_rows(spark, sf):
-    return conform.conform(table(spark, sf, "lineitem"), LINE_SCHEMA)
+    return plain(conform.conform(table(spark, sf, "lineitem"), LINE_SCHEMA))

@@ -29,6 +29,12 @@ def tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {name: table(spark, sf, name) for name in TABLES}
 
 
+def plain(df: DataFrame) -> DataFrame:
+    """Dates and decimals as text, which every engine and client shows alike."""
+    odd = {n: F.col(n).cast("string") for n, t in df.dtypes if t == "date" or t.startswith("decimal")}
+    return df.withColumns(odd) if odd else df
+
+
 def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
 

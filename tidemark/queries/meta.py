@@ -10,7 +10,7 @@ from tidemark.plans import audit, monitoring
 from tidemark.queries.cleaning import marked_orders
 from tidemark.queries.fixtures import (
     CLEAN_ORDERS_SQL, EVENTS_AS_OF, LOAD_STATS_SQL, ORDERS_AS_OF, QUALITY_LOG_SQL, WATERMARK_LOG_SQL, load_stats,
-    quality_log, table, watermark_log,
+    plain, quality_log, table, watermark_log,
 )
 from tidemark.queries.registry import query
 
@@ -63,13 +63,13 @@ def v_latest_runs(spark, sf):
     return monitoring.latest_runs(load_stats(spark, sf)).orderBy(F.desc("run_started"))
 
 
-@query(f"""SELECT CAST(run_started AS DATE) AS run_date, pipeline_name, trigger_type, count(*) AS total_tables,
+@query(f"""SELECT CAST(CAST(run_started AS DATE) AS VARCHAR) AS run_date, pipeline_name, trigger_type, count(*) AS total_tables,
        count(*) FILTER (success) AS successful, count(*) FILTER (NOT success) AS failed, CAST(sum(rows_read) AS BIGINT) AS total_rows_read,
        CAST(sum(rows_loaded) AS BIGINT) AS total_rows_loaded, CAST(sum(rows_rejected) AS BIGINT) AS total_rows_rejected,
        CAST(sum(duration_ms) AS DOUBLE) / 1000 AS total_duration_seconds, count(DISTINCT run_id) AS batch_count
 FROM ({LOAD_STATS_SQL}) GROUP BY ALL""")
 def v_daily_summary(spark, sf):
-    return monitoring.daily_summary(load_stats(spark, sf)).orderBy(F.desc("run_date"))
+    return plain(monitoring.daily_summary(load_stats(spark, sf)).orderBy(F.desc("run_date")))
 
 
 @query(f"""SELECT q.run_id, q.table_name, check_type, source_value, target_value, difference, difference_percent, checked_at,
@@ -81,12 +81,12 @@ def v_dq_issues(spark, sf):
     return monitoring.quality_issues(quality_log(spark, sf), load_stats(spark, sf)).orderBy(F.desc("checked_at"))
 
 
-@query(f"""SELECT CAST(run_started AS DATE) AS run_date, source_table, load_type, CAST(sum(rows_loaded) AS BIGINT) AS rows_loaded,
+@query(f"""SELECT CAST(CAST(run_started AS DATE) AS VARCHAR) AS run_date, source_table, load_type, CAST(sum(rows_loaded) AS BIGINT) AS rows_loaded,
        CAST(sum(rows_rejected) AS BIGINT) AS rows_rejected, CAST(floor(avg(duration_ms)) AS BIGINT) AS avg_duration_ms,
        count(*) FILTER (success) AS success_count, count(*) FILTER (NOT success) AS failure_count
 FROM ({LOAD_STATS_SQL}) WHERE run_started >= TIMESTAMP '2024-02-10 00:00:00' - INTERVAL 30 DAY GROUP BY ALL""")
 def v_trend_30d(spark, sf):
-    return monitoring.trend(load_stats(spark, sf), "2024-02-10 00:00:00").orderBy(F.desc("run_date"), "source_table")
+    return plain(monitoring.trend(load_stats(spark, sf), "2024-02-10 00:00:00").orderBy(F.desc("run_date"), "source_table"))
 
 
 @query(f"""SELECT trigger_type, CAST(floor(avg(duration_ms)) AS BIGINT) AS avg_duration_ms,

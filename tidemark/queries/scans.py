@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators import profile, watermark
 from tidemark.plans import control
 from tidemark.queries.fixtures import (
-    COUNTS_SQL, EVENTS_AS_OF, ORDERS_AS_OF, ORDERS_MARK, TABLES, table, tables,
+    COUNTS_SQL, EVENTS_AS_OF, ORDERS_AS_OF, ORDERS_MARK, TABLES, plain, table, tables,
 )
 from tidemark.queries.registry import query
 from tidemark.sources import scan
@@ -162,9 +162,9 @@ def placeholder_tables(spark, sf):
     return profile.placeholders(profile.table_counts({**tables(spark, sf), "price_floor": floor}))
 
 
-@query("SELECT CAST(ts AS DATE) AS day, count(*) AS rows_changed FROM events GROUP BY ALL")
+@query("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS rows_changed FROM events GROUP BY ALL")
 def daily_change(spark, sf):
-    return profile.daily_change(table(spark, sf, "events"), "ts")
+    return plain(profile.daily_change(table(spark, sf, "events"), "ts"))
 
 
 @query(" UNION ALL ".join(f"""
