@@ -290,3 +290,30 @@ def test_a_target_that_gained_a_column(spark):
     sink.write_batch(batch(rows(spark, [(1, T0)]), "b1", T1), path, "b1")
     sink.write_batch(batch(rows(spark, [(2, T0)]).withColumn("extra", F.lit("x")), "b2", T1), path, "b2")
     assert {r.id: r.extra for r in sink.read_accepted(spark, path, merge_schema=True).collect()} == {1: None, 2: "x"}
+
+
+def test_an_empty_source_is_success(spark):
+    run = make_run(spark, folder(spark), T1)
+    out = sync.sync_table(spark, lambda c: source(spark, []), CFG, run)
+    assert (out.error, out.read, out.loaded) == (None, 0, 0) and sync.read_target(spark, run, CFG) is None
+    assert run.meta.watermarks().count() == 0 and run.meta.read("load_stats").first().success
+
+
+def test_a_half_written_target_is_no_table(spark):
+    root = folder(spark)
+    spark.range(10).write.parquet(f"{root}/a")
+    spark._jvm.org.apache.hadoop.fs.FileSystem.getLocal(spark._jsc.hadoopConfiguration()).mkdirs(
+        spark._jvm.org.apache.hadoop.fs.Path(f"{root}/b/_temporary/0"))
+    row = relocate.relocate(spark, "t", f"{root}/a", f"{root}/b").first()
+    assert (row.target_rows, row.moved_rows, row.verdict) == (None, 10, "moved")
+
+
+def test_rerun_of_one_window_after_the_source_changed(spark):
+    """The window is read again under the same name: rows that left the source leave the target."""
+    root = folder(spark)
+    first = make_run(spark, root, T1, block_on_mismatch=True, tolerance=-1.0)   # never moves the watermark
+    sync.sync_table(spark, lambda c: source(spark, [(1, "2023-12-30 00:00:00"), (2, "2023-12-30 00:00:00")]), CFG, first)
+    assert first.meta.watermarks().count() == 0
+    second = make_run(spark, root, T2)
+    sync.sync_table(spark, lambda c: source(spark, [(2, "2023-12-30 00:00:00")]), CFG, second)
+    assert [r.id for r in sync.read_target(spark, second, CFG).collect()] == [2]

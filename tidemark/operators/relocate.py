@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.operators.sink import path_exists
+from tidemark.operators.sink import has_data
 
 
 def verdict(source: Column, target: Column, moved: Column) -> Column:
@@ -27,7 +27,7 @@ def decide(counts: DataFrame) -> DataFrame:
 
 
 def _rows(spark: SparkSession, path: str) -> int | None:
-    return spark.read.parquet(path).count() if path_exists(spark, path) else None
+    return spark.read.parquet(path).count() if has_data(spark, path) else None
 
 
 def relocate(spark: SparkSession, table: str, source: str, target: str) -> DataFrame:

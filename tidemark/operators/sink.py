@@ -37,9 +37,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _files(spark: SparkSession, folder: str) -> set[str]:
+    """Names of data files and partition folders, as Spark itself picks them."""
     fs, jpath = _hadoop(spark, folder)
     names = [s.getPath().getName() for s in fs.listStatus(jpath)] if fs.exists(jpath) else []
-    return {n for n in names if not n.startswith(("_", "."))}
+    return {n for n in names if "=" in n or not n.startswith(("_", "."))}   # partition folders may start with _
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table; what a write that never finished left behind does not count."""
+    return bool(_files(spark, path))
 
 
 def _folders(path: str, batch_id: str) -> list[str]:

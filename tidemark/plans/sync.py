@@ -102,7 +102,7 @@ def read_target(spark: SparkSession, run: Run, cfg: TableConfig) -> DataFrame |
     path = _target(run, cfg)
     if cfg.load_type == "FULL":
         path = sink.current_path(spark, f"{run.target_root}/{cfg.target_schema}", cfg.target_table)
-    return sink.read_accepted(spark, path) if path and sink.path_exists(spark, path) else None
+    return sink.read_accepted(spark, path) if path and sink.has_data(spark, path) else None
 
 
 def _load(spark: SparkSession, source: DataFrame, cfg: TableConfig, run: Run, out: Loaded) -> None:

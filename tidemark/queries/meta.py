@@ -27,14 +27,14 @@ def watermark_latest(spark, sf):
 def _cut(spark, sf):
     """Current watermarks without one table, updates without another."""
     log, split = watermark_log(spark, sf), F.lit(_SPLIT).cast("timestamp_ntz")
-    current = watermark.latest(log.filter(F.col("updated_at") < split)).filter("table_name <> 'src.click'")
+    current = watermark.latest(log.filter(F.col("updated_at") < split)).filter("table_name <> 'src.signup'")
     updates = watermark.latest(log.filter(F.col("updated_at") >= split)).filter("table_name <> 'src.view'")
     return current, updates
 
 
 _CUT = f"""
 WITH log AS ({WATERMARK_LOG_SQL}),
-cur AS (SELECT * FROM ({_LATEST.format(f"SELECT * FROM log WHERE updated_at < TIMESTAMP '{_SPLIT}'")}) WHERE table_name <> 'src.click'),
+cur AS (SELECT * FROM ({_LATEST.format(f"SELECT * FROM log WHERE updated_at < TIMESTAMP '{_SPLIT}'")}) WHERE table_name <> 'src.signup'),
 upd AS (SELECT * FROM ({_LATEST.format(f"SELECT * FROM log WHERE updated_at >= TIMESTAMP '{_SPLIT}'")}) WHERE table_name <> 'src.view')"""
 
 
