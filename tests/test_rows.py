@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import round_places
+from tidemark.functions.columns import ntz, round_places, seconds_between
 from tidemark.operators import clean, conform, stamp, validate
 
 INF, NAN = float("inf"), float("nan")
@@ -131,3 +131,16 @@ def test_nan_stays_out_of_comparisons(spark):
     assert math.isnan(spark.sql("select double('nan') x").first().x)
     df = spark.createDataFrame([(NAN,)], "x double")
     assert values(clean.null_nonfinite(df), "x") == [None]
+
+
+def test_seconds_do_not_know_clock_changes(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = spark.range(1).select(
+            seconds_between(ntz("2024-03-09 23:00:00"), ntz("2024-03-10 12:00:00.9")).alias("a"),
+            seconds_between(ntz("2024-01-01 00:00:00"), ntz("2024-02-01 01:02:03")).alias("b"))
+        assert tuple(row.first()) == (13 * 3600, 31 * 86400 + 3723)
+        one = stamp.stamp(spark.range(1), "b1", "2024-03-10 02:30:00.5", 1).first()
+        assert str(one._loaded_at) == "2024-03-10 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

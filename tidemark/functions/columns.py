@@ -24,6 +24,14 @@ def ntz(value: str | dt.datetime) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole seconds from one timestamp without zone to another. A timestampdiff would go through the
+    session's time zone and be an hour off across a clock change."""
+    gap = end - start
+    parts = (("DAY", 86_400), ("HOUR", 3_600), ("MINUTE", 60), ("SECOND", 1))
+    return sum((F.floor(F.extract(F.lit(p), gap)).cast("bigint") * n for p, n in parts), F.lit(0).cast("bigint"))
+
+
 def literal_like(value, dtype: T.DataType) -> Column:
     """`value` as a constant of the column's own type, so that the column stays uncast in the filter."""
     if isinstance(value, dt.datetime):

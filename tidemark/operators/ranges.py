@@ -11,7 +11,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.columns import ntz
+from tidemark.functions.columns import ntz, seconds_between
 
 NULL_RANGE = -1
 MAX_RANGES = 100_000     # ranges a plan may have; this bounds what is collected and broadcast
@@ -174,7 +174,7 @@ def progress(plan: DataFrame, log: DataFrame, phase: str, session_start: str | d
     start = ntz(session_start)
     mine = F.when(F.col("completed_at") > start, F.col("rows")).otherwise(F.lit(0))
     done = done.withColumns({"cum_rows": F.sum("rows").over(upto), "_mine": F.sum(mine).over(upto)})
-    seconds = F.timestamp_diff("SECOND", start, F.col("completed_at"))
+    seconds = seconds_between(start, F.col("completed_at"))
     rate = F.when(seconds > 0, F.col("_mine").cast("double") / seconds.cast("double"))
     left = F.col("_total") - F.col("cum_rows")
     return done.select(

@@ -28,7 +28,7 @@ def check_batch_id(batch_id: str) -> str:
 def stamp(df: DataFrame, batch_id: str, loaded_at: str | dt.datetime, source_system_id: int) -> DataFrame:
     """Add the stamp columns; the load time is UTC, cut to whole seconds."""
     return df.withColumns({
-        "_loaded_at": F.date_trunc("second", ntz(loaded_at)).cast("timestamp_ntz"),
+        "_loaded_at": F.substring(ntz(loaded_at).cast("string"), 1, 19).cast("timestamp_ntz"),
         "_batch_id": F.lit(check_batch_id(batch_id)),
         "_source_system_id": F.lit(source_system_id).cast("int"),
     })

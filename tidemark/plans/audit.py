@@ -54,18 +54,17 @@ class MetaStore:
             self.read(name).createOrReplaceTempView(name)
 
 
-def audit_row(counts: DataFrame, **fields) -> DataFrame:
+def audit_row(counts: DataFrame, run_started: str, run_ended: str, error_message: str | None = None, **fields) -> DataFrame:
     """Complete a one-row (rows_read, rows_loaded, rows_rejected, chunks_processed) frame to an audit row.
 
     Duration comes from the two times; error text is cut to 4000 characters.
     """
-    started, ended = ntz(fields.pop("run_started")), ntz(fields.pop("run_ended"))
-    error = fields.pop("error_message", None)
+    took = dt.datetime.fromisoformat(run_ended) - dt.datetime.fromisoformat(run_started)
     return counts.withColumns({
         **{k: F.lit(v) for k, v in fields.items()},
-        "run_started": started, "run_ended": ended,
-        "duration_ms": F.timestamp_diff("MILLISECOND", started, ended),
-        "error_message": clip_text(F.lit(error).cast("string")),
+        "run_started": ntz(run_started), "run_ended": ntz(run_ended),
+        "duration_ms": F.lit(took // dt.timedelta(milliseconds=1)).cast("bigint"),
+        "error_message": clip_text(F.lit(error_message).cast("string")),
     })
 
 

@@ -90,7 +90,7 @@ def delta_window(spark: SparkSession, cfg: TableConfig, run: Run) -> Row:
     """Start of the delta window, and whether it is the table's first. Collects one row."""
     control = one_row(spark, table_name=F.lit(cfg.name), load_type=F.lit(cfg.load_type))
     return watermark.start_plan(control, run.meta.watermarks(), run.as_of, run.lookback_days).select(
-        F.date_format("delta_start", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("start"), "first_run").first()
+        F.col("delta_start").cast("string").alias("start"), "first_run").first()
 
 
 def _target(run: Run, cfg: TableConfig) -> str:
