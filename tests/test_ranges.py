@@ -163,3 +163,18 @@ def test_resumed_export_cuts_the_scan(spark, orders):
     todo = [r for r in plan.collect() if r.range_id != 1]
     text = orders.filter(migrate.key_filter("o_orderkey", todo))._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(o_orderkey,5000)" in text and "GreaterThanOrEqual(o_orderkey,10000)" in text
+
+
+def test_a_new_run_leaves_no_range_of_the_old_one(spark, orders):
+    root = folder(spark)
+    paths = (f"{root}/s", f"{root}/log")
+    for at, later, width in ((T0, T1, 1_000), (T2, "2024-01-04 00:00:00", 5_000)):
+        plan = ranges.plan_fixed(orders, "o_orderkey", width)
+        plan = plan.join(ranges.counts_by_range(orders, "o_orderkey", plan), "range_id")
+        migrate.export_ranges(spark, orders, "o_orderkey", plan, *paths, at)
+        migrate.load_ranges(spark, f"{root}/s", f"{root}/t", f"{root}/log", at)
+        for phase in ("export", "load"):
+            migrate.close(spark, f"{root}/log", phase, later)
+    for place in ("s", "t"):
+        rows = spark.read.parquet(f"{root}/{place}")
+        assert (rows.count(), rows.select("range_id").distinct().count()) == (orders.count(), 3)

@@ -169,12 +169,14 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
 
-def write_ranges(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_RANGE_FILE, gather: bool = True) -> None:
-    """Write rows with a `range_id`, one folder per range, replacing the ranges that are written.
+def write_ranges(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_RANGE_FILE, gather: bool = True,
+                 fresh: bool = False) -> None:
+    """Write rows with a `range_id`, one folder per range, replacing the ranges that are written, or with
+    `fresh` everything that is there.
 
     The rebalance hint gathers each range into few files and lets Spark split a range with many rows
     over several tasks, by the sizes it measured. Rows that lie by range already need no `gather`.
     """
     rows = df.hint("rebalance", "range_id") if gather else df
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "static" if fresh else "dynamic")
      .option("maxRecordsPerFile", rows_per_file).partitionBy("range_id").parquet(path))

@@ -77,6 +77,6 @@ def active_sources(systems: DataFrame) -> DataFrame:
 
 
 def with_source_system(df: DataFrame, systems: DataFrame) -> DataFrame:
-    """Look up name and type of each row's system; the reference table holds a handful of rows."""
+    """Look up name and type of each row's system; there are few systems."""
     ref = active_sources(systems).select("source_system_id", "source_system_name", "source_system_type")
     return df.join(ref, "source_system_id", "left")

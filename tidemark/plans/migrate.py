@@ -71,6 +71,13 @@ def _record(spark: SparkSession, todo: list, path: str, log_path: str, phase: st
     return rows
 
 
+def _is_fresh(spark: SparkSession, path: str, log: DataFrame, phase: str) -> bool:
+    """Whether what lies at `path` is of an earlier run, whose ranges need not be those of this one."""
+    done = ranges.done_entries(log, phase).limit(1).count()
+    mode = ranges.start_mode(F.lit(sink.has_data(spark, path)), F.lit(done))
+    return one_row(spark, mode=mode).first().mode == "rebuild"
+
+
 def export_ranges(spark: SparkSession, source: DataFrame, key: str, plan: DataFrame, path: str, log_path: str,
                   at: str | dt.datetime, rows_per_file: int = sink.ROWS_PER_RANGE_FILE) -> DataFrame | None:
     """Write every pending range to its folder and log it. None if nothing is pending.
@@ -84,7 +91,7 @@ def export_ranges(spark: SparkSession, source: DataFrame, key: str, plan: DataFr
     wanted = key_filter(key, todo)
     rows = source if wanted is None else source.filter(wanted)
     assigned = ranges.assign(rows, key, plan).filter(F.col("range_id").isin([r.range_id for r in todo]))
-    sink.write_ranges(assigned, path, rows_per_file)
+    sink.write_ranges(assigned, path, rows_per_file, fresh=_is_fresh(spark, path, log, "export"))
     return _record(spark, todo, path, log_path, "export", at)
 
 
@@ -97,11 +104,12 @@ def load_ranges(spark: SparkSession, staged: str, target: str, log_path: str, at
     """
     files = spark.read.parquet(staged)
     counts = files.groupBy("range_id").agg(F.count(F.lit(1)).alias("row_count"))
-    todo = ranges.pending(counts, sink.read_log(spark, log_path, LOG_SCHEMA), "load").limit(ranges.MAX_RANGES + 1).collect()
+    log = sink.read_log(spark, log_path, LOG_SCHEMA)
+    todo = ranges.pending(counts, log, "load").limit(ranges.MAX_RANGES + 1).collect()
     if not todo:
         return None
     picked = files.filter(F.col("range_id").isin([r.range_id for r in todo]))
-    sink.write_ranges(picked, target, rows_per_file, gather=False)
+    sink.write_ranges(picked, target, rows_per_file, gather=False, fresh=_is_fresh(spark, target, log, "load"))
     return _record(spark, todo, target, log_path, "load", at)
 
 
