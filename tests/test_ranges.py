@@ -178,3 +178,24 @@ def test_a_new_run_leaves_no_range_of_the_old_one(spark, orders):
     for place in ("s", "t"):
         rows = spark.read.parquet(f"{root}/{place}")
         assert (rows.count(), rows.select("range_id").distinct().count()) == (orders.count(), 3)
+
+
+def test_finished_jobs_stay_done_when_a_later_one_fails(spark, orders, monkeypatch):
+    root = folder(spark)
+    args = (f"{root}/s", f"{root}/log")
+    plan = ranges.plan_fixed(orders, "o_orderkey", 5_000)
+    plan = plan.join(ranges.counts_by_range(orders, "o_orderkey", plan), "range_id")
+    real, calls = sink.write_ranges, []
+
+    def breaks(*a, **kw):
+        calls.append(1)
+        if len(calls) == 3:
+            raise OSError("cluster gone")
+        return real(*a, **kw)
+    monkeypatch.setattr(sink, "write_ranges", breaks)
+    with pytest.raises(OSError):
+        migrate.export_ranges(spark, orders, "o_orderkey", plan, *args, T0, ranges_per_job=1)
+    monkeypatch.setattr(sink, "write_ranges", real)
+    rest = migrate.export_ranges(spark, orders, "o_orderkey", plan, *args, T1, ranges_per_job=1)
+    assert [r.range_id for r in rest.collect()] == [2]
+    assert spark.read.parquet(args[0]).count() == orders.count()

@@ -44,16 +44,22 @@ def cmd_sync(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def cmd_migrate(spark: SparkSession, a: argparse.Namespace) -> int:
-    """Export and load all pending ranges. The plan is kept beside the log, so that a later start goes on with it."""
+    """Export and load all pending ranges.
+
+    The plan is kept beside the log, so that a start after a stop goes on with it; a start with
+    nothing done yet, or after a run that ended well, makes a new one.
+    """
     source, plan_path = scan.table(spark, a.source), f"{a.log}_plan"
-    if not sink.is_complete(spark, plan_path):
+    started = ranges.done_entries(sink.read_log(spark, a.log, ranges.LOG_SCHEMA), "export").limit(1).count()
+    if not started:
         top = migrate.snapshot(source, a.key).first().snapshot_max_id
         inside = migrate.within_snapshot(source, a.key, top)
         ranges.plan_ranges(inside, a.key, a.target_rows).selectExpr(
             "*", f"{top}L as snapshot_max_id").write.mode("overwrite").parquet(plan_path)
     plan = spark.read.parquet(plan_path)
     inside = migrate.within_snapshot(source, a.key, plan.first().snapshot_max_id)
-    migrate.export_ranges(spark, inside, a.key, plan.drop("snapshot_max_id"), a.staged, a.log, sync.utc_now())
+    migrate.export_ranges(spark, inside, a.key, plan.drop("snapshot_max_id"), a.staged, a.log, sync.utc_now(),
+                          ranges_per_job=a.ranges_per_job)
     migrate.load_ranges(spark, a.staged, a.target, a.log, sync.utc_now())
     log = sink.read_log(spark, a.log, ranges.LOG_SCHEMA)
     left = ranges.pending(plan, log, "load").count()
@@ -105,6 +111,7 @@ def parser() -> argparse.ArgumentParser:
     for name in ("--source", "--key", "--staged", "--target", "--log"):
         m.add_argument(name, required=True)
     m.add_argument("--target-rows", type=int, default=50_000_000)
+    m.add_argument("--ranges-per-job", type=int, help="export in several jobs; for tables that lie in key order")
     c = commands["check"]
     for name in ("--source", "--target", "--table", "--key"):
         c.add_argument(name, required=True)

@@ -164,11 +164,6 @@ def expire_versions(spark: SparkSession, root: str, table: str, keep: int = 2) -
     return old
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a write to `path` was committed, not just begun."""
-    return path_exists(spark, f"{path}/_SUCCESS")
-
-
 def write_ranges(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_RANGE_FILE, gather: bool = True,
                  fresh: bool = False) -> None:
     """Write rows with a `range_id`, one folder per range, replacing the ranges that are written, or with

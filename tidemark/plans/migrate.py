@@ -1,7 +1,7 @@
 """First load of a big table by key ranges, in a form that can stop and go on.
 
-All pending ranges run as one Spark job. A range is logged as done only after its rows are counted
-where they were written; a range that failed, or that was cut off, is pending again.
+Pending ranges run together in one Spark job or in a few. A range is logged as done only after its
+rows are counted where they were written; one that failed, or that was cut off, is pending again.
 """
 
 from __future__ import annotations
@@ -64,11 +64,20 @@ def _written(spark: SparkSession, path: str, ids: list[int]) -> DataFrame:
             .groupBy("range_id").agg(F.count(F.lit(1)).alias("row_count")))
 
 
-def _record(spark: SparkSession, todo: list, path: str, log_path: str, phase: str, at) -> DataFrame:
-    expected = spark.createDataFrame([(r.range_id, r.row_count) for r in todo], "range_id int, row_count bigint")
-    rows = verify(expected, _written(spark, path, [r.range_id for r in todo]), phase, at)
-    sink.append_log(rows, log_path)
-    return rows
+def _record(spark: SparkSession, wave: list, path: str, log_path: str, phase: str, at) -> None:
+    expected = spark.createDataFrame([(r.range_id, r.row_count) for r in wave], "range_id int, row_count bigint")
+    sink.append_log(verify(expected, _written(spark, path, [r.range_id for r in wave]), phase, at), log_path)
+
+
+def _waves(todo: list, size: int | None) -> list[list]:
+    """Pending ranges in order, `size` per job, or all in one."""
+    todo = sorted(todo, key=lambda r: r.range_id)
+    size = size or len(todo)
+    return [todo[i:i + size] for i in range(0, len(todo), size)]
+
+
+def _logged(spark: SparkSession, log_path: str, phase: str, at) -> DataFrame:
+    return sink.read_log(spark, log_path, LOG_SCHEMA).filter((F.col("phase") == phase) & (F.col("completed_at") == ntz(at)))
 
 
 def _is_fresh(spark: SparkSession, path: str, log: DataFrame, phase: str) -> bool:
@@ -79,28 +88,35 @@ def _is_fresh(spark: SparkSession, path: str, log: DataFrame, phase: str) -> boo
 
 
 def export_ranges(spark: SparkSession, source: DataFrame, key: str, plan: DataFrame, path: str, log_path: str,
-                  at: str | dt.datetime, rows_per_file: int = sink.ROWS_PER_RANGE_FILE) -> DataFrame | None:
+                  at: str | dt.datetime, rows_per_file: int = sink.ROWS_PER_RANGE_FILE,
+                  ranges_per_job: int | None = None) -> DataFrame | None:
     """Write every pending range to its folder and log it. None if nothing is pending.
 
-    The scan is cut to the pending keys, so going on after a stop does not read the table again.
+    The scan is cut to the pending keys, so going on after a stop does not read the table again. With
+    `ranges_per_job` the ranges go in several jobs, and those of a finished job stay done if a later
+    one fails; that pays if the table lies in key order, for else every job reads all of it.
     """
     log = sink.read_log(spark, log_path, LOG_SCHEMA)
     todo = ranges.pending(plan, log, "export").limit(ranges.MAX_RANGES + 1).collect()
     if not todo:
         return None
-    wanted = key_filter(key, todo)
-    rows = source if wanted is None else source.filter(wanted)
-    assigned = ranges.assign(rows, key, plan).filter(F.col("range_id").isin([r.range_id for r in todo]))
-    sink.write_ranges(assigned, path, rows_per_file, fresh=_is_fresh(spark, path, log, "export"))
-    return _record(spark, todo, path, log_path, "export", at)
+    fresh = _is_fresh(spark, path, log, "export")
+    for wave in _waves(todo, ranges_per_job):
+        wanted = key_filter(key, wave)
+        rows = source if wanted is None else source.filter(wanted)
+        assigned = ranges.assign(rows, key, plan).filter(F.col("range_id").isin([r.range_id for r in wave]))
+        sink.write_ranges(assigned, path, rows_per_file, fresh=fresh)
+        _record(spark, wave, path, log_path, "export", at)
+        fresh = False
+    return _logged(spark, log_path, "export", at)
 
 
 def load_ranges(spark: SparkSession, staged: str, target: str, log_path: str, at: str | dt.datetime,
-                rows_per_file: int = sink.ROWS_PER_RANGE_FILE) -> DataFrame | None:
+                rows_per_file: int = sink.ROWS_PER_RANGE_FILE, ranges_per_job: int | None = 50) -> DataFrame | None:
     """Load every staged range the log does not show as loaded. None if nothing is pending.
 
     What a range must hold is counted in the staged files. A range's folder in the target is
-    replaced, so a repeat adds nothing.
+    replaced, so a repeat adds nothing. A job opens the folders of its own ranges only.
     """
     files = spark.read.parquet(staged)
     counts = files.groupBy("range_id").agg(F.count(F.lit(1)).alias("row_count"))
@@ -108,9 +124,13 @@ def load_ranges(spark: SparkSession, staged: str, target: str, log_path: str, at
     todo = ranges.pending(counts, log, "load").limit(ranges.MAX_RANGES + 1).collect()
     if not todo:
         return None
-    picked = files.filter(F.col("range_id").isin([r.range_id for r in todo]))
-    sink.write_ranges(picked, target, rows_per_file, gather=False, fresh=_is_fresh(spark, target, log, "load"))
-    return _record(spark, todo, target, log_path, "load", at)
+    fresh = _is_fresh(spark, target, log, "load")
+    for wave in _waves(todo, ranges_per_job):
+        picked = files.filter(F.col("range_id").isin([r.range_id for r in wave]))
+        sink.write_ranges(picked, target, rows_per_file, gather=False, fresh=fresh)
+        _record(spark, wave, target, log_path, "load", at)
+        fresh = False
+    return _logged(spark, log_path, "load", at)
 
 
 def close(spark: SparkSession, log_path: str, phase: str, at: str | dt.datetime) -> None:
