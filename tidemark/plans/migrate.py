@@ -112,7 +112,7 @@ def export_ranges(spark: SparkSession, source: DataFrame, key: str, plan: DataFr
 
 
 def load_ranges(spark: SparkSession, staged: str, target: str, log_path: str, at: str | dt.datetime,
-                rows_per_file: int = sink.ROWS_PER_RANGE_FILE, ranges_per_job: int | None = 50) -> DataFrame | None:
+                rows_per_file: int = sink.ROWS_PER_RANGE_FILE, ranges_per_job: int | None = None) -> DataFrame | None:
     """Load every staged range the log does not show as loaded. None if nothing is pending.
 
     What a range must hold is counted in the staged files. A range's folder in the target is
