@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import urls  # noqa: F401  (fills the registry)
+from tidemark.llm import mixing, urls  # noqa: F401  (fills the registry)
 from tidemark.llm.registry import QUERIES
 
 __all__ = ["QUERIES"]
