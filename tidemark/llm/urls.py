@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import LOWER, UPPER, stored, table
 from tidemark.llm.registry import query
+from tidemark.session import one_row
 
 #: (verdict, host, path) of the contract; fixed values
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -138,7 +139,7 @@ def judge_urls(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, st
 
     def cascade(column: str, keys: Sequence[str]) -> Cascade:
         universe = keyed.select(F.explode(column).alias("key"))
-        listed = spark.createDataFrame([(k,) for k in sorted(set(keys))], "key string")
+        listed = one_row(spark, key=F.explode(F.lit(sorted(set(keys))).cast("array<string>")))
         return build_cascade(listed, universe, n_rule_keys if column == "rule_keys" else n_host_keys)
 
     # an upper bound of the universe is enough to size level 1
