@@ -29,6 +29,13 @@ def whole(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """name, with as many underscores before it as make it none of `taken`."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name
+
+
 def words(text: Column, pattern: str = WORD) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 

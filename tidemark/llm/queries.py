@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import kdtree, mixing, quality, secrets, simhash, urls  # noqa: F401  (fills the registry)
+from tidemark.llm import bpe, kdtree, mixing, quality, secrets, simhash, urls  # noqa: F401  (fills the registry)
 from tidemark.llm.registry import QUERIES
 
 __all__ = ["QUERIES"]
