@@ -7,8 +7,9 @@ its alphabet is fixed, so the table is too (ALPHABET ** 3 numbers), however larg
 
 Evidence is learned from labelled rows: for each word and each beginning of 4 to 6 letters, how many documents have
 it and how many of these are toxic. Only features that chance would not bring about once among all features count
-(likelihood ratio of at least twice the logarithm of their number). A document's score is the toxic share of its
-most telling feature, or of the documents without any. Labels are joined to at most TRAIN_ROWS rows, by hash of the
+(likelihood ratio of at least twice the logarithm of their number). A token weighs as its most telling feature: the log
+of the feature's rate in toxic against other texts. A logistic regression turns a document's weights, set against
+the number of its tokens, into the score. Labels are joined to at most TRAIN_ROWS rows, by hash of the
 id; that bounds the broadcast and the model. Nothing but the text goes into a score.
 """
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -140,10 +142,10 @@ def _token_features(model: np.ndarray):
     return of
 
 
-def _pieces(text: str) -> tuple[set[str], list[str]]:
-    """Different tokens of a text, and the stretches that stand letter by letter."""
+def _pieces(text: str, model: np.ndarray) -> Counter:
+    """How often each token stands in a text; what stands letter by letter counts as the word it restores to."""
     text = text.lower()
-    return set(text.split()), [m.group() for m in _SPACED.finditer(text)]
+    return Counter(text.split()) + Counter(restore(m.group(), model) for m in _SPACED.finditer(text))
 
 
 def _counted(model: np.ndarray):
@@ -151,15 +153,22 @@ def _counted(model: np.ndarray):
         cached, counts = functools.lru_cache(_CACHE)(_token_features(model)), {}
 
         def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(counts)), pa.array([v[0] for v in counts.values()], pa.int64()),
-                                               pa.array([v[1] for v in counts.values()], pa.int64())], ["feature", "n", "toxic"])
+            columns = zip(*counts.values())
+            return pa.RecordBatch.from_arrays([pa.array(list(counts)), *[pa.array(c, pa.int64()) for c in columns]],
+                                              ["feature", "n", "toxic", "times", "toxic_times"])
         for batch in batches:
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-                tokens, spaced = _pieces(text.as_py())
-                for f in set().union(*map(cached, tokens), *[_features(restore(s, model)) for s in spaced]):
-                    c = counts.setdefault(f, [0, 0])
+                here: dict[str, int] = {}
+                for token, times in _pieces(text.as_py(), model).items():
+                    here[""] = here.get("", 0) + times  # stands for any token
+                    for f in cached(token):
+                        here[f] = here.get(f, 0) + times
+                for f, times in here.items():
+                    c = counts.setdefault(f, [0, 0, 0, 0])
                     c[0] += 1
                     c[1] += toxic
+                    c[2] += times
+                    c[3] += toxic * times
                 if len(counts) > _CACHE:
                     yield flush()
                     counts = {}
@@ -171,8 +180,27 @@ def _counted(model: np.ndarray):
 @dataclass(frozen=True)
 class Model:
     language: np.ndarray
-    shares: dict[str, float]  # telling feature: toxic share
-    rest: float  # toxic share of the documents without any
+    weights: dict[str, float]  # telling feature: log of its rate in toxic against other texts
+    excess: float  # how much more of the tokens of toxic texts are telling
+    fitted: tuple[float, ...]  # of the logistic regression on _evidence
+
+
+def _evidence(total: float, top: float, tokens: int, excess: float) -> tuple[float, ...]:
+    """Numbers of a document for the regression: its log likelihood ratio (hits as a Poisson number), damped; its weights."""
+    ratio = total - tokens * excess
+    return 1.0, math.copysign(math.log1p(abs(ratio)), ratio) if total else 0.0, math.log1p(total), top
+
+
+def _regression(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
+    """Logistic regression with a small ridge, by Newton's method."""
+    w = np.zeros(x.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(w)), x.T @ (y - p) - 0.1 * w)
+        w += step
+        if np.abs(step).max() < 1e-8:
+            break
+    return tuple(float(v) for v in w)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -189,48 +217,66 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int(train_rows / total * (1 << 32)))
     # about train_rows rows of two numbers at most, so every task may have them
     rows = docs.select("doc_id", whole().alias("text")).join(F.broadcast(known), "doc_id").select("text", "toxic")
-    counts = rows.mapInArrow(_counted(language), "feature string, n long, toxic long")
-    counts = stored(counts.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")), "features")
-    n, bad = known.agg(F.count("*"), F.sum("toxic")).first()
-    rate = ((bad or 0) + 1) / (n + 2)
-    features = max(2, counts.count())
+    counts = rows.mapInArrow(_counted(language), "feature string, n long, toxic long, times long, toxic_times long")
+    counts = stored(counts.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("n", "toxic", "times", "toxic_times")]), "features")
+    every = counts.where("feature = ''").first()
+    if every is None or not 0 < every.toxic < every.n:  # nothing to tell apart
+        return Model(language, {}, 0.0, (0.0, 0.0, 0.0, 0.0))
+    rate, features = every.toxic / every.n, max(2, counts.count())
     gain = lambda k, share: F.when(k > 0, k * F.log(k / (F.col("n") * share))).otherwise(0.0)
     ratio = 2 * (gain(F.col("toxic"), rate) + gain(F.col("n") - F.col("toxic"), 1 - rate))
-    share = (F.col("toxic") + rate) / (F.col("n") + 1)
-    telling = counts.where((ratio >= 2 * math.log(features)) & (share >= 0.5)).select("feature", share.alias("share"))
-    shares = {r.feature: r.share for r in telling.collect()}
-    model = Model(language, shares, 0.0)
-    got = (rows.select(F.lit(None).cast("long").alias("doc_id"), "text", "toxic").mapInArrow(
-        _scored(model, keep="toxic"), "toxic long, score double").where("score = 0").agg(F.count("*"), F.sum("toxic")).first())
-    return Model(language, shares, ((got[1] or 0) + rate) / (got[0] + 1))
-
-
-def _scored(model: Model, keep: str):
+    usual, high = every.times - every.toxic_times, F.col("toxic_times") / every.toxic_times
+    low = (F.col("times") - F.col("toxic_times") + 0.5) / (usual + 0.5)
+    telling = (counts.where("feature <> ''").where((ratio >= 2 * math.log(features)) & (F.col("toxic") >= 2 * rate * F.col("n")))
+               .select("feature", F.log(high / low).alias("weight")).where("weight > 1"))
+    # chance alone brings about one feature at most, so these follow the words that mark the sample, not its size
+    weights = {r.feature: r.weight for r in telling.collect()}
+    plain = Model(language, weights, 0.0, ())
+    seen = rows.mapInArrow(_measured(plain, "toxic"), "toxic long, total double, top double, tokens long, hits long").collect()
+    y = np.array([r.toxic for r in seen], float)
+    tokens, hits = np.array([r.tokens for r in seen], float), np.array([r.hits for r in seen], float)
+    share = lambda of: float(hits[of].sum() / max(1.0, tokens[of].sum()))
+    excess = max(0.0, share(y == 1) - share(y == 0))
+    x = np.array([_evidence(r.total, r.top, r.tokens, excess) for r in seen])
+    return Model(language, weights, excess, _regression(x, y))
+
+
+def _measured(model: Model, keep: str):
+    """keep, total and top weight, tokens, hits of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, shares = _token_features(model.language), model.shares
-        best = lambda piece_features: max((shares.get(f, 0.0) for f in piece_features), default=0.0)
-        cached = functools.lru_cache(_CACHE)(lambda token: best(features(token)))
+        features, weights = _token_features(model.language), model.weights
+        cached = functools.lru_cache(_CACHE)(lambda token: max((weights.get(f, 0.0) for f in features(token)), default=0.0))
         for batch in batches:
-            scores = []
+            rows = []
             for text in batch.column(batch.schema.get_field_index("text")):
-                tokens, spaced = _pieces(text.as_py())
-                score = max(map(cached, tokens), default=0.0)
-                for s in spaced:
-                    score = max(score, best(_features(restore(s, model.language))))
-                scores.append(score or model.rest)
+                total = top = 0.0
+                tokens = hits = 0
+                for token, times in _pieces(text.as_py(), model.language).items():
+                    tokens += times
+                    if w := cached(token):
+                        total, top, hits = total + w * times, max(top, w), hits + times
+                rows.append((total, top, tokens, hits))
+            total, top, tokens, hits = zip(*rows) if rows else ((), (), (), ())
             kept = batch.column(batch.schema.get_field_index(keep)).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([kept, pa.array(scores, pa.float64())], [keep, "score"])
+            yield pa.RecordBatch.from_arrays(
+                [kept, pa.array(total, pa.float64()), pa.array(top, pa.float64()), pa.array(tokens, pa.int64()), pa.array(hits, pa.int64())],
+                [keep, "total", "top", "tokens", "hits"])
     return run
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score (0 to 1), predicted (1 from CUTOFF on) per row of docs.
 
-    A null or empty text gets the share of documents without evidence. Null ids are kept, not held out. Rows that repeat
+    A null or empty text scores like one without evidence. Null ids are kept, not held out. Rows that repeat
     are scored each; an empty table gives none; without labels every score is 0.5. Other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole().alias("text"))
-    found = rows.mapInArrow(_scored(model, keep="doc_id"), "doc_id long, score double")
+    found = rows.mapInArrow(_measured(model, "doc_id"), "doc_id long, total double, top double, tokens long, hits long")
+    ratio = F.col("total") - F.col("tokens") * model.excess
+    numbers = (F.lit(1.0), F.when(F.col("total") > 0, F.signum(ratio) * F.log1p(F.abs(ratio))).otherwise(0.0),
+               F.log1p("total"), F.col("top"))
+    z = sum((n * w for n, w in zip(numbers, model.fitted)), F.lit(0.0))
+    found = found.withColumn("score", 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0)))))
     return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= CUTOFF).cast("int").alias("predicted"))
 
 
