@@ -136,6 +136,10 @@ def judge(docs: DataFrame) -> DataFrame:
     counts = stored(sketch(cheap_measures(docs.select("text", "lang", "source"))), "sketch")
     limits = stored(thresholds(counts), "limits")  # written, so that Spark knows its size before it picks the join
     measured = cheap_measures(repeated_words(docs))
+    # A filter on the verdict must not be pushed into the steps that make the measures: they would be spelled out in
+    # it and evaluated again for every word. Nothing is pushed below a generator that makes what it tests.
+    measures = F.explode(F.array(F.struct("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")))
+    measured = measured.select(*columns, measures.alias("_m")).select(*columns, "_m.*")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     usual = F.lit(True)
     for m, b in bins().items():
