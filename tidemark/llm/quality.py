@@ -132,14 +132,17 @@ def judge(docs: DataFrame) -> DataFrame:
     """
     results = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     columns = [c for c in docs.columns if c.lower() not in results]
-    docs = docs.select(*columns)
+    # the other columns travel in a struct, so that none clashes with a step's
+    own = ("text", "lang", "source")
+    rest = [c for c in columns if c.lower() not in own]
+    docs = docs.select(F.struct(F.lit(0).alias("_"), *[docs[c] for c in rest]).alias("_rest"), *[docs[c] for c in own])
     counts = stored(sketch(cheap_measures(docs.select("text", "lang", "source"))), "sketch")
     limits = stored(thresholds(counts), "limits")  # written, so that Spark knows its size before it picks the join
     measured = cheap_measures(repeated_words(docs))
     # A filter on the verdict must not be pushed into the steps that make the measures: they would be spelled out in
     # it and evaluated again for every word. Nothing is pushed below a generator that makes what it tests.
     measures = F.explode(F.array(F.struct("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")))
-    measured = measured.select(*columns, measures.alias("_m")).select(*columns, "_m.*")
+    measured = measured.select("_rest", *own, measures.alias("_m")).select("_rest", *own, "_m.*")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     usual = F.lit(True)
     for m, b in bins().items():
@@ -147,7 +150,7 @@ def judge(docs: DataFrame) -> DataFrame:
         usual = usual & F.coalesce(b * (F.col("n") + PRIOR) >= F.col(f"{m}_low"), F.lit(True))
     joined = measured.join(limits, docs.lang.eqNullSafe(F.col("_lang")) & docs.source.eqNullSafe(F.col("_source")), "left")
     return (joined.withColumn("base_failed", failed).withColumn("kept", ~failed & F.coalesce(usual, F.lit(True)))
-            .select(*columns, *results))
+            .select(*[F.col(f"_rest.`{c}`") if c in rest else F.col(c) for c in columns], *results))
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
