@@ -29,6 +29,7 @@ from tidemark.llm.registry import query
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 BLOCK_CHARS = 16_000_000  # texts of a block, at least
+_SLICE = 200_000  # words or tokens worked on at once, if the text is not longer
 
 
 def read_ranks(path: str) -> bytes:
@@ -196,34 +197,34 @@ class _Numbered(dict):
 def _encoder(raw: bytes, pattern: str, block_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, split = Vocabulary(raw), regex.compile(pattern).findall
-        held, chars, number, docs, sizes = [], 0, _Numbered(), [], []
+        held, chars, number = [], 0, _Numbered()  # held: (rows of a batch, the numbers of their words)
 
         def flush() -> Iterator[pa.RecordBatch]:
             flat, counts = vocabulary.replay([w.encode() for w in number])
             starts = np.cumsum(counts) - counts
-            done = 0
-            for batch in held:
-                rows = slice(done, done + len(batch))
-                done += len(batch)
-                words = np.concatenate(docs[rows]) if len(batch) else np.array([], np.int32)
-                per_doc = np.add.reduceat(np.r_[counts[words], 0], np.r_[0, np.cumsum(sizes[rows])][:-1]) * (np.array(sizes[rows]) > 0)
-                ids = flat[_ranges(starts[words], counts[words])]
-                offsets = pa.array(np.r_[0, np.cumsum(per_doc)].astype(np.int32))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(offsets, pa.array(ids))],
-                                                 [*batch.schema.names[:-1], "ids"])
+            for rows, docs in held:
+                sizes = np.array([len(d) for d in docs])
+                words = np.concatenate(docs)
+                upto = np.r_[0, np.cumsum(counts[words])]
+                offsets = upto[np.r_[0, np.cumsum(sizes)]].astype(np.int32)
+                ids = pa.array(flat[_ranges(starts[words], counts[words])])
+                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.ListArray.from_arrays(pa.array(offsets), ids)],
+                                                 [*rows.schema.names[:-1], "ids"])
         for batch in batches:
-            if not len(batch):
-                continue
-            held.append(batch)
-            for text in batch.column(len(batch.columns) - 1):
+            texts = batch.column(len(batch.columns) - 1)
+            done, docs, words = 0, [], 0
+            for i, text in enumerate(texts):
                 text = text.as_py()
-                words = split(text)
-                docs.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
-                sizes.append(len(words))
-                chars += len(text)
-            if chars >= block_chars:
-                yield from flush()
-                held, chars, number, docs, sizes = [], 0, _Numbered(), [], []
+                found = split(text)
+                docs.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
+                chars, words = chars + len(text), words + len(found)
+                full = chars >= block_chars
+                if full or words >= _SLICE or i + 1 == len(texts):  # small slices bound what a step holds at once
+                    held.append((batch.slice(done, i + 1 - done), docs))
+                    done, docs, words = i + 1, [], 0
+                if full:
+                    yield from flush()
+                    held, chars, number = [], 0, _Numbered()
         if held:
             yield from flush()
     return run
@@ -252,13 +253,17 @@ def decode(tokens: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(raw)
         for batch in batches:
-            lists = batch.column(len(batch.columns) - 1)
-            ids = lists.flatten().to_numpy(zero_copy_only=False)
-            stops = np.r_[0, np.cumsum(vocabulary.lengths[ids])]
-            at = np.asarray(lists.offsets) - np.asarray(lists.offsets)[0]
-            data = vocabulary.decode(ids).tobytes()
-            out = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(stops[at].astype(np.int32)), pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], out], [*rest, "decoded"])
+            stops = np.asarray(batch.column(len(batch.columns) - 1).offsets)
+            a = 0
+            while a < len(batch):
+                b = max(a + 1, int(np.searchsorted(stops, stops[a] + _SLICE, "right")) - 1)
+                part = batch.slice(a, b - a)
+                ids = batch.column(len(batch.columns) - 1).values[stops[a]:stops[b]].to_numpy(zero_copy_only=False)
+                upto = np.r_[0, np.cumsum(vocabulary.lengths[ids])][stops[a:b + 1] - stops[a]]
+                out = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(upto.astype(np.int32)),
+                                                                 pa.py_buffer(vocabulary.decode(ids).tobytes())])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], out], [*rest, "decoded"])
+                a = b
     return rows.mapInArrow(run, rows.select(*rest).schema.add("decoded", "binary"))
 
 
