@@ -59,8 +59,8 @@ def test_first_rows_against_sorting(spark, n):
 
 
 def test_small_tables_are_not_sampled(orders):
-    assert scan.sample(orders, "o_orderkey", 10, above=20_000).count() == 15_000
-    assert scan.sample(orders, "o_orderkey", 10, above=10_000).count() == 10
+    assert scan.sample(orders, "o_orderkey", 20_000).count() == 15_000
+    assert scan.sample(orders, "o_orderkey", 10).count() == 10
 
 
 def batch(df, name, at, rules=Rules(pk="id", date="day")):
@@ -225,7 +225,7 @@ def test_one_bad_table_does_not_stop_the_others(spark):
         return source(spark, [(1, T0)])
     run = make_run(spark, root, T1)
     got = sync.sync_all(spark, tables, open_source, run, parallel=3)
-    assert {k: v.error is None for k, v in got.items()} == {"s.a": True, "s.bad": False, "s.c": True}
+    assert {k: v.error is None for k, v in got.items()} == {"s.a->t.a": True, "s.bad->t.bad": False, "s.c->t.c": True}
     stats = run.meta.read("load_stats")
     assert stats.count() == 3 and len(stats.filter("not success").first().error_message) == 4000
     summary = monitoring.run_summary(stats, run.meta.read("data_quality")).first()
@@ -317,3 +317,41 @@ def test_rerun_of_one_window_after_the_source_changed(spark):
     second = make_run(spark, root, T2)
     sync.sync_table(spark, lambda c: source(spark, [(2, "2023-12-30 00:00:00")]), CFG, second)
     assert [r.id for r in sync.read_target(spark, second, CFG).collect()] == [2]
+
+
+def test_two_targets_of_one_source(spark):
+    root = folder(spark)
+    tables = [sync.TableConfig("s", "a", t, "a", "DELTA", CFG.date_column, CFG.pk_column) for t in ("t", "u")]
+    run = make_run(spark, root, T1)
+    got = sync.sync_all(spark, tables, lambda c: source(spark, [(1, T0), (2, T0)]), run)
+    assert {k: v.loaded for k, v in got.items()} == {"s.a->t.a": 2, "s.a->u.a": 2}
+
+
+def test_short_full_load_is_not_published_when_blocked(spark, monkeypatch):
+    root = folder(spark)
+    full = sync.TableConfig("s", "a", "t", "a", "FULL", None, "id")
+    run = make_run(spark, root, T1)
+    sync.sync_table(spark, lambda c: source(spark, [(1, T0), (2, T0)]), full, run)
+    before = sync.read_target(spark, run, full).count()
+    sync.sync_table(spark, lambda c: source(spark, [(3, T0)]), full, run)   # the same clock: another version, not the same one
+    assert (before, sync.read_target(spark, run, full).count()) == (2, 1)
+    from dataclasses import replace
+    blocked = replace(make_run(spark, root, T2), block_on_mismatch=True)
+    real = sync.sink.write_batch
+    monkeypatch.setattr(sync.sink, "write_batch", lambda rows, *a, **k: real(rows.filter("id = 1"), *a, **k))
+    sync.sync_table(spark, lambda c: source(spark, [(1, T0), (2, T0), (4, T0)]), full, blocked)
+    assert [r.id for r in sync.read_target(spark, run, full).collect()] == [3]
+
+
+def test_key_predicates_cover_every_row_once():
+    got = scan.key_predicates("id", 0, 99, 4)
+    assert got == ["id < 25 OR id IS NULL", "id >= 25 AND id < 50", "id >= 50 AND id < 75", "id >= 75"]
+    assert scan.key_predicates("id", 5, 5, 64) == ["1 = 1"] and len(scan.key_predicates("id", 0, 2, 64)) == 3
+
+
+def test_more_spans_than_are_pushed_stay_a_filter(spark):
+    from tidemark.plans import migrate
+    todo = [spark.createDataFrame([(i, 10 * i, 10 * i + 5)], "range_id int, start_id bigint, end_id bigint").first() for i in range(60)]
+    df = spark.range(700).withColumnRenamed("id", "k")
+    kept = {r.k for r in df.filter(migrate.key_filter("k", todo)).collect()}
+    assert {k for k in range(600) if k % 10 < 5} <= kept and max(kept) < 600

@@ -34,7 +34,29 @@ def test_duplicates_count_null_keys_as_one_group(spark):
 def test_all_checks_on_a_clean_copy(spark):
     df = spark.createDataFrame([(1, 2.5), (2, -2.5)], "id bigint, v double")
     checks = quality.all_checks(df, df, "t", "id", ["id", "gone"], ["v", "lost"]).collect()
-    assert len(checks) == 8 and all(c.is_valid for c in checks)
+    assert len(checks) == 8
+    # what was asked for and is not there cannot pass
+    assert {(c.check_type, c.target_value) for c in checks if not c.is_valid} == {("NULL_CHECK", "absent"), ("SUM_CHECK", "absent")}
+
+
+def test_sums_hold_big_values_and_say_what_does_not_fit(spark):
+    a = spark.createDataFrame([(5.0, "1"), (2e13, "2")], "v double, t string")
+    b = spark.createDataFrame([(5.0, "1"), (9e13, "x")], "v double, t string")
+    pair = quality.pair_sides(*[quality.side_metrics(d, "t", s, numeric=["v", "t"]) for d, s in ((a, "source"), (b, "target"))])
+    got = {r.column_name: r for r in quality.aggregate_check(pair, ["v", "t"]).collect()}
+    assert not got["v"].is_valid and got["v"].source_sum != got["v"].target_sum
+    assert not got["t"].is_valid and (got["t"].source_unfit, got["t"].target_unfit) == (0, 1)
+    nan = spark.createDataFrame([(float("nan"),), (1.0,), (float("inf"),)], "v double")
+    assert quality.side_metrics(nan, "t", "source", numeric=["v"]).first().unfit_v == 2
+
+
+def test_comparison_sees_columns_and_types_of_both_sides(spark):
+    src = spark.createDataFrame([(1, 5), (2, 6)], "id int, v int")
+    wide = spark.createDataFrame([(1, "5", "new"), (2, "oops", None)], "id bigint, v string, extra string")
+    from tidemark.operators import reconcile
+    assert {r.id: r.status for r in reconcile.compare_rows(src, wide, ["id"]).collect()} == {1: "changed", 2: "changed"}
+    assert {r.id: r.status for r in reconcile.compare_rows(src, wide, ["id"], ["v"]).collect()} == {1: "same", 2: "changed"}
+    assert {r.column_name for r in reconcile.schema_differences(src, wide).collect()} == {"id", "v", "extra"}
 
 
 def test_all_checks_scan_each_side_once_for_plain_metrics(spark, sf):

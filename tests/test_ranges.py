@@ -64,16 +64,40 @@ def test_hot_key_says_how_many_slices(spark):
     assert sum(r.row_count for r in plan) == 300
 
 
-def test_keys_outside_a_fixed_plan_have_no_range(spark):
+def test_fixed_plan_covers_every_key(spark):
     plan = ranges.plan_fixed(keys_df(spark, [10, 19]), "k", 5)
-    assert [tuple(r) for r in plan.collect()] == [(0, 10, 15), (1, 15, 20)]
+    assert sorted(tuple(r) for r in plan.collect()) == [(-1, None, None), (0, None, 15), (1, 15, None)]
     got = {r.k: r.range_id for r in ranges.assign(keys_df(spark, [9, 10, 19, 20, None]), "k", plan).collect()}
-    assert got == {9: None, 10: 0, 19: 1, 20: None, None: -1}
+    assert got == {9: 0, 10: 0, 19: 1, 20: 1, None: -1}
 
 
 def test_fixed_plan_of_a_single_key(spark):
-    assert [tuple(r) for r in ranges.plan_fixed(keys_df(spark, [7]), "k", 5).collect()] == [(0, 7, 8)]
-    assert ranges.plan_fixed(keys_df(spark, []), "k", 5).count() == 0
+    assert sorted(tuple(r) for r in ranges.plan_fixed(keys_df(spark, [7]), "k", 5).collect()) == [(-1, None, None), (0, None, None)]
+    assert [tuple(r) for r in ranges.plan_fixed(keys_df(spark, []), "k", 5).collect()] == [(-1, None, None)]
+    wide = ranges.plan_fixed(keys_df(spark, [0, 2**62]), "k", 2**45)   # too many starts for one row
+    assert wide.count() == 2**17 + 2
+
+
+def test_far_keys_do_not_spoil_plan_or_lookup(spark):
+    keys = [*range(20_000), *range(10**15, 10**15 + 300), -10**15, None]
+    df = keys_df(spark, keys)
+    plan = ranges.plan_ranges(df, "k", 100)
+    rows = plan.collect()
+    assert sum(r.row_count for r in rows) == len(keys) and max(r.row_count for r in rows) <= 200
+    by_id = {r.range_id: r for r in rows}
+    for r in ranges.assign(df, "k", plan).collect():
+        own = by_id[r.range_id]
+        if r.k is None:
+            assert r.range_id == -1
+        else:
+            assert (own.start_id is None or own.start_id <= r.k) and (own.end_id is None or r.k < own.end_id)
+    levels = ranges._lookup(ranges.collect_plan(plan))
+    assert len(levels) > 1
+
+
+def test_one_repeated_key_is_one_range_with_slices(spark):
+    plan = ranges.plan_ranges(keys_df(spark, [5] * 1000 + list(range(10**12, 10**12 + 50))), "k", 100).collect()
+    assert max(r.slices for r in plan) == 10 and sum(r.row_count for r in plan) == 1050
 
 
 def test_default_width_is_bounded(spark):

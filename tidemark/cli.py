@@ -31,11 +31,11 @@ def _read_sheet(spark: SparkSession, path: str) -> DataFrame:
 def cmd_sync(spark: SparkSession, a: argparse.Namespace) -> int:
     meta = audit.MetaStore(spark, a.meta)
     run = sync.Run(a.as_of, a.run_id or f"run {a.as_of}", a.target, meta, trigger_type=a.trigger,
-                   source_system_id=a.system, block_on_mismatch=a.block_on_mismatch)
+                   source_system_id=a.system, block_on_mismatch=a.block_on_mismatch, max_text=a.max_text)
 
     def open_source(cfg: sync.TableConfig) -> DataFrame:
         if a.source.startswith("jdbc:"):
-            return spark.read.jdbc(a.source, cfg.name)
+            return scan.database_table(spark, a.source, cfg.name, cfg.pk_column, a.database_partitions)
         return scan.table(spark, f"{a.source}/{cfg.source_schema}/{cfg.source_table}")
     tables = sync.configs(control.read_control(_read_sheet(spark, a.control)))
     done = sync.sync_all(spark, tables, open_source, run, a.parallel)
@@ -53,6 +53,10 @@ def cmd_migrate(spark: SparkSession, a: argparse.Namespace) -> int:
     started = ranges.done_entries(sink.read_log(spark, a.log, ranges.LOG_SCHEMA), "export").limit(1).count()
     if not started:
         top = migrate.snapshot(source, a.key).first().snapshot_max_id
+        if top is None and source.isEmpty():
+            print("0 ranges left; the source is empty")
+            return 0
+        top = 0 if top is None else top
         inside = migrate.within_snapshot(source, a.key, top)
         ranges.plan_ranges(inside, a.key, a.target_rows).selectExpr(
             "*", f"{top}L as snapshot_max_id").write.mode("overwrite").parquet(plan_path)
@@ -73,7 +77,8 @@ def cmd_migrate(spark: SparkSession, a: argparse.Namespace) -> int:
 def cmd_check(spark: SparkSession, a: argparse.Namespace) -> int:
     checks = quality.all_checks(scan.table(spark, a.source), scan.table(spark, a.target), a.table, a.key,
                                 a.not_null, a.numeric).cache()
-    checks.show(1000, truncate=False)
+    for row in checks.toLocalIterator():   # every row, however many columns were asked for
+        print(*row, sep=" | ")
     if a.meta:
         audit.MetaStore(spark, a.meta).append("data_quality", audit.quality_rows(checks, f"check {a.as_of}", a.as_of))
     return 1 if checks.filter("not is_valid").count() else 0
@@ -86,8 +91,9 @@ def cmd_monitor(spark: SparkSession, a: argparse.Namespace) -> int:
                       ("Quality issues", monitoring.quality_issues(checks, stats)),
                       ("30-day trend", monitoring.trend(stats, a.as_of)), ("Failed runs", monitoring.failed_runs(stats)),
                       ("By trigger, 7 days", monitoring.by_trigger(stats, a.as_of)), ("Watermarks", meta.watermarks())):
-        print(title)
-        df.show(50, truncate=False)
+        n = df.count()
+        print(title if n <= a.rows else f"{title}: {a.rows} of {n} rows, more with --rows")
+        df.show(a.rows, truncate=False)
     return 0
 
 
@@ -107,6 +113,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--system", type=int, default=1)
     s.add_argument("--parallel", type=int, default=4)
     s.add_argument("--block-on-mismatch", action="store_true")
+    s.add_argument("--max-text", type=int, help="cut text to so many characters; by default it stays whole")
+    s.add_argument("--database-partitions", type=int, default=64, help="tasks that read a table of a jdbc: source")
     m = commands["migrate"]
     for name in ("--source", "--key", "--staged", "--target", "--log"):
         m.add_argument(name, required=True)
@@ -119,6 +127,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--numeric", type=names, default=[])
     c.add_argument("--meta")
     commands["monitor"].add_argument("--meta", required=True)
+    commands["monitor"].add_argument("--rows", type=int, default=50, help="rows to print of each view")
     return p
 
 

@@ -16,7 +16,8 @@ from tidemark.functions.columns import is_missing
 # Fixed values
 COUNT_TOLERANCE = 0.01   # a fraction: 1 %
 SUM_TOLERANCE_PCT = 1.0
-SUM_TYPE = "decimal(19,6)"
+SUM_TYPE = "decimal(38,6)"
+ABSENT = "absent"
 SCORED = ("ROW_COUNT_MIN", "DUPLICATE_KEY", "NULL_CHECK", "ID_RANGE")
 
 
@@ -34,7 +35,9 @@ def side_metrics(df: DataFrame, table: str, side: str, pk: str | None = None,
     for c in numeric:
         v = cast_or_null(F.col(c), dtype[c], SUM_TYPE) if c in have else F.lit(None).cast(SUM_TYPE)
         n = F.count(v) if c in have else F.max(F.lit(None).cast("bigint"))
-        aggs += [F.sum(v).alias(f"sum_{c}"), n.alias(f"count_{c}")]
+        # NaN, infinity, text that is no number, and what is beyond the sum's type
+        unfit = F.count_if(F.col(c).isNotNull() & v.isNull()) if c in have else F.max(F.lit(None).cast("bigint"))
+        aggs += [F.try_sum(v).alias(f"sum_{c}"), n.alias(f"count_{c}"), unfit.alias(f"unfit_{c}")]
     return df.agg(*aggs).select(F.lit(table).alias("table_name"), F.lit(side).alias("side"), "*")
 
 
@@ -114,11 +117,16 @@ def sum_difference_percent(src: Column, tgt: Column) -> Column:
     return F.when(s != 0, F.abs(t - s) / F.abs(s) * 100).when(t == 0, F.lit(0.0)).otherwise(F.lit(100.0))
 
 
+def all_fit(column: str) -> Column:
+    """Whether both sides could sum all of the column's values."""
+    return (F.coalesce(f"src_unfit_{column}", F.lit(0)) == 0) & (F.coalesce(f"tgt_unfit_{column}", F.lit(0)) == 0)
+
+
 def aggregate_check(paired: DataFrame, columns: Sequence[str], tolerance_pct: float = SUM_TOLERANCE_PCT) -> DataFrame:
-    """(table_name, column_name, status, sums, averages, difference_percent, is_valid), one row per column.
+    """(table_name, column_name, status, sums, averages, unfit values, difference_percent, is_valid), one row per column.
 
     A column that neither side has is reported as absent and does not fail; one that a single side
-    has counts as a sum against nothing.
+    has counts as a sum against nothing. Values that no sum can hold are counted, and fail the column.
     """
     def average(side: str, c: str) -> Column:
         n = F.col(f"{side}_count_{c}")
@@ -131,7 +139,8 @@ def aggregate_check(paired: DataFrame, columns: Sequence[str], tolerance_pct: fl
             F.lit(c).alias("column_name"), F.when(absent, "absent").otherwise("checked").alias("status"),
             F.col(f"src_sum_{c}").alias("source_sum"), F.col(f"tgt_sum_{c}").alias("target_sum"),
             average("src", c).alias("source_avg"), average("tgt", c).alias("target_avg"),
-            F.round(pct, 6).alias("difference_percent"), (absent | (pct < tolerance_pct)).alias("is_valid"))
+            F.col(f"src_unfit_{c}").alias("source_unfit"), F.col(f"tgt_unfit_{c}").alias("target_unfit"),
+            F.round(pct, 6).alias("difference_percent"), (absent | ((pct < tolerance_pct) & all_fit(c))).alias("is_valid"))
     return paired.select("table_name", F.inline(F.array(*[row(c) for c in columns])))
 
 
@@ -168,8 +177,9 @@ def all_checks(source: DataFrame, target: DataFrame, table: str, pk: str, not_nu
                keys: Sequence[str] | None = None) -> DataFrame:
     """Every check of one table as long-form rows. `keys` says what must be unique, if not `pk` alone.
 
-    All plain checks unfold from the one paired row, so that each side is scanned once for them; the
-    duplicate check reads the target's key.
+    A column that is asked for and not there gives a row that says absent and is not valid. All plain
+    checks unfold from the one paired row, so that each side is scanned once for them; the duplicate
+    check reads the target's key.
     """
     paired = pair_sides(side_metrics(source, table, "source", pk, not_null, numeric),
                         side_metrics(target, table, "target", pk, not_null, numeric))
@@ -179,12 +189,15 @@ def all_checks(source: DataFrame, target: DataFrame, table: str, pk: str, not_nu
             check_row("ROW_COUNT_MIN", src_n, tgt_n, tgt_n - src_n, None, tgt_n >= src_n),
             check_row("ID_RANGE", src_id, tgt_id, src_id - tgt_id, None, src_id.eqNullSafe(tgt_id))]
     for c in not_null:
-        n = F.col(f"tgt_nulls_{c}")
-        rows.append(check_row("NULL_CHECK", F.lit(c), n, n, None, F.coalesce(n, F.lit(0)) == 0))
+        n = F.col(f"tgt_nulls_{c}")   # NULL if the target has no such column: absent, and not valid
+        rows.append(check_row("NULL_CHECK", F.lit(c), F.coalesce(n.cast("string"), F.lit(ABSENT)), n, None, F.coalesce(n == 0, F.lit(False))))
     for c in numeric:
         s, t = F.col(f"src_sum_{c}"), F.col(f"tgt_sum_{c}")
         pct = sum_difference_percent(s, t)
-        rows.append(check_row("SUM_CHECK", s, t, None, F.round(pct, 6), pct < SUM_TOLERANCE_PCT))
+        here = F.col(f"src_count_{c}").isNotNull() & F.col(f"tgt_count_{c}").isNotNull()
+        shown = [F.when(F.col(f"{side}_count_{c}").isNull(), ABSENT).otherwise(v.cast("string")) for side, v in (("src", s), ("tgt", t))]
+        rows.append(check_row("SUM_CHECK", *shown, None, F.when(here, F.round(pct, 6)),
+                              here & (pct < SUM_TOLERANCE_PCT) & all_fit(c)))
     plain = paired.select("table_name", F.inline(F.array(*rows)))
     dups = duplicate_check(target, table, list(keys or [pk])).select("table_name", F.inline(F.array(check_row(
         "DUPLICATE_KEY", None, F.col("duplicate_keys"), F.col("duplicate_keys"), None, F.col("is_valid")))))

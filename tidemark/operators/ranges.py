@@ -12,11 +12,12 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.columns import ntz, seconds_between
+from tidemark.session import stored
 
 NULL_RANGE = -1
-MAX_RANGES = 100_000     # ranges a plan may have; this bounds what is collected and broadcast
-_MAX_BINS = 65_536
-_MAX_BUCKETS = 1_000_000
+_BINS = 4_096            # bins a level of the range lookup has, per crowded bin of the level before
+_CROWDED = 4             # ranges that a bin may touch before it gets bins of its own
+_START_BUCKETS = 1_000_000   # of the first histogram; buckets over the target are cut up further
 _BLOCK = 4_096           # buckets whose running total one task computes
 
 # Fixed values
@@ -36,11 +37,11 @@ def histogram(df: DataFrame, key: str, width: int) -> DataFrame:
 
 
 def default_width(df: DataFrame, key: str, target_rows: int) -> int:
-    """A sixteenth of the target, so that a bucket of unique keys is well below it, but no more than
-    a million buckets over the whole span of keys. Collects one row."""
+    """A sixteenth of the target, so that a bucket of unique keys is well below it; wider over a very wide
+    span of keys, where plan_ranges refines what is crowded. Collects one row."""
     b = df.agg(F.min(key).cast("bigint").alias("lo"), F.max(key).cast("bigint").alias("hi")).first()
     span = 0 if b.lo is None else b.hi - b.lo + 1
-    return max(1, target_rows // 16, span // _MAX_BUCKETS)
+    return max(1, target_rows // 16, span // _START_BUCKETS)
 
 
 def running_total(hist: DataFrame, width: int) -> DataFrame:
@@ -60,16 +61,43 @@ def running_total(hist: DataFrame, width: int) -> DataFrame:
         "bucket", "row_count", (F.sum("row_count").over(inside) + F.col("_before")).alias("cum"))
 
 
+def _refined(df: DataFrame, key: str, target_rows: int, width: int) -> DataFrame:
+    """(bucket, row_count, cum) like running_total, with buckets over the target cut up until they fit or hold one key.
+
+    A level cuts a bucket into at most 4096; its running totals stay inside the bucket. Each level reads the keys
+    of its crowded buckets only, and is written, so that going deeper does not compute it again.
+    """
+    width, k = 1 << (width - 1).bit_length(), F.col(key).cast("bigint")
+    level = stored(running_total(histogram(df, key, width), width), "buckets")
+    leaves = []
+    while width > 1:
+        full = level.filter((F.col("row_count") > target_rows) & F.col("bucket").isNotNull())
+        if full.isEmpty():
+            break
+        leaves.append(level.filter((F.col("row_count") <= target_rows) | F.col("bucket").isNull()))
+        parents = full.select(F.col("bucket").alias("_p"), (F.col("cum") - F.col("row_count")).alias("_before"))
+        rows = df.select(k.alias("_k")).withColumn("_in", bucket_start(F.col("_k"), width)).join(parents, F.col("_in") == F.col("_p"))
+        finer = max(1, width // _BLOCK)   # both are powers of two, so parts nest in their bucket
+        parts = rows.groupBy("_p", "_before", bucket_start(F.col("_k"), finer).alias("bucket")).agg(F.count(F.lit(1)).alias("row_count"))
+        upto = Window.partitionBy("_p").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+        level = stored(parts.select("bucket", "row_count", (F.sum("row_count").over(upto) + F.col("_before")).alias("cum")), "buckets")
+        width = finer
+    for leaf in leaves:
+        level = level.unionByName(leaf)
+    return level
+
+
 def plan_ranges(df: DataFrame, key: str, target_rows: int, width: int | None = None) -> DataFrame:
     """Ranges of about `target_rows` rows each.
 
-    Empty buckets vanish, small ones merge, and a dense region is split down to `width`. A range
-    that still has more rows than the target, because one key repeats, says in `slices` how many
-    parallel parts it should be read in.
+    Empty buckets vanish, small ones merge, and a dense region is split down to single keys, or to `width`
+    if one is given. A range that still has more rows than the target, because one key repeats, says in
+    `slices` how many parallel parts it should be read in.
     """
-    width = width or default_width(df, key, target_rows)
+    buckets = (running_total(histogram(df, key, width), width) if width
+               else _refined(df, key, target_rows, default_width(df, key, target_rows)))
     group = F.when(F.col("bucket").isNull(), F.lit(NULL_RANGE)).otherwise(F.expr(f"(cum - 1) div {int(target_rows)}"))
-    grouped = running_total(histogram(df, key, width), width).groupBy(group.alias("_group")).agg(
+    grouped = buckets.groupBy(group.alias("_group")).agg(
         F.min("bucket").alias("_start"), F.sum("row_count").alias("row_count"))
     # One row per range from here on. The range without key sorts first and is not numbered.
     order = Window.orderBy("_group")
@@ -84,52 +112,90 @@ def plan_ranges(df: DataFrame, key: str, target_rows: int, width: int | None = N
 
 
 def plan_fixed(df: DataFrame, key: str, width: int) -> DataFrame:
-    """Ranges of fixed width from the smallest to the largest key; the last ends just past the largest."""
-    bounds = df.agg(F.min(key).cast("bigint").alias("lo"), F.max(key).cast("bigint").alias("hi")).filter("lo is not null")
-    step = F.lit(width).cast("bigint")
-    return bounds.select("hi", F.posexplode(F.sequence("lo", "hi", step)).alias("range_id", "start_id")).select(
-        "range_id", "start_id", F.least(F.col("start_id") + step, F.col("hi") + 1).alias("end_id"))
+    """Ranges of fixed width from the smallest to the largest key. The first and the last are open-ended, and rows
+    without a key have range -1, if there are such rows or not: every row, also a later one, is in one range."""
+    b = df.agg(F.min(key).cast("bigint").alias("lo"), F.max(key).cast("bigint").alias("hi")).first()
+    if b.lo is None:
+        return df.sparkSession.createDataFrame([(NULL_RANGE, None, None)], "range_id int, start_id bigint, end_id bigint")
+    n = (b.hi - b.lo) // width + 1
+    at = F.lit(b.lo).cast("bigint") + F.col("id") * F.lit(width).cast("bigint")
+    return df.sparkSession.range(-1, n).select(
+        F.col("id").cast("int").alias("range_id"), F.when(F.col("id") > 0, at).alias("start_id"),
+        F.when((F.col("id") >= 0) & (F.col("id") < n - 1), at + F.lit(width).cast("bigint")).alias("end_id"))
 
 
 def collect_plan(plan: DataFrame) -> list:
-    """The keyed ranges in order, after checking that there are not too many to hold."""
-    rows = plan.select("range_id", "start_id", "end_id").filter(F.col("range_id") != NULL_RANGE).limit(MAX_RANGES + 1).collect()
-    if len(rows) > MAX_RANGES:
-        raise ValueError(f"more than {MAX_RANGES} ranges; use a larger target or width")
+    """The keyed ranges in order: a row per range, as many as the table has rows over the target."""
+    rows = plan.select("range_id", "start_id", "end_id").filter(F.col("range_id") != NULL_RANGE).collect()
     return sorted(rows, key=lambda r: r.range_id)
 
 
+def _lookup(found: list) -> list[list[tuple]]:
+    """The ranges as a tree of bins: per level, rows (node, low, size, bin, range_id, start, end, child).
+
+    A node cuts its span into equal bins. A bin that few ranges touch lists them; a crowded one is a node of the
+    next level, over the span of the edges inside it, so uneven edges cost levels instead of long lists.
+    """
+    levels, todo, number = [], [(0, found, None, None)], 0
+    while todo:
+        level, following = [], []
+        for node, own, clip_low, clip_high in todo:
+            edges = [b for r in own for b in (r.start_id, r.end_id)
+                     if b is not None and (clip_low is None or clip_low <= b <= clip_high)]
+            low, high = min(edges) - 1, max(edges)
+            size = (high - low) // _BINS + 1
+            bins: dict[int, list] = {}
+            for r in own:
+                first = low if r.start_id is None else max(low, r.start_id)
+                last = high if r.end_id is None else min(high, r.end_id - 1)
+                for i in range((first - low) // size, (last - low) // size + 1):
+                    bins.setdefault(i, []).append(r)
+            for i, there in bins.items():
+                if len(there) > _CROWDED and size > 1:
+                    number += 1
+                    following.append((number, there, low + i * size, low + (i + 1) * size))
+                    level.append((node, low, high, size, i, None, None, None, number))
+                else:
+                    level += [(node, low, high, size, i, r.range_id, r.start_id, r.end_id, None) for r in there]
+        levels.append(level)
+        todo = following
+    return levels
+
+
 def assign(df: DataFrame, key: str, plan: DataFrame) -> DataFrame:
     """Add `range_id`: -1 without a key, NULL if the plan does not cover the key.
 
-    The range test becomes an equi-join: each range is listed under the bins it touches, rows look
-    up their own bin, and the bounds decide among the few ranges there. The lookup has at most
-    65,536 bins plus one row per range, so it is safe to broadcast and the table is not shuffled.
+    The range test becomes an equi-join on bins, a level of bins per join (see _lookup; even edges need one), and
+    the bounds decide among the few ranges of a bin. The lookup is as small as the plan; Spark broadcasts it if its
+    size allows.
     """
-    ranges = collect_plan(plan)
-    edges = [b for r in ranges for b in (r.start_id, r.end_id) if b is not None]
+    found = collect_plan(plan)
     k = F.col(key).cast("bigint")
-    if not edges:
-        whole = F.lit(ranges[0].range_id if ranges else None).cast("int")
+    if not any(b is not None for r in found for b in (r.start_id, r.end_id)):
+        whole = F.lit(found[0].range_id if found else None).cast("int")
         return df.withColumn("range_id", F.when(k.isNull(), F.lit(NULL_RANGE)).otherwise(whole))
-    low, high = min(edges) - 1, max(edges)
-    size = (high - low) // _MAX_BINS + 1
-
-    def bin_of(value: int) -> int:
-        return (value - low) // size
-
-    lookup = df.sparkSession.createDataFrame(
-        [(r.range_id, r.start_id, r.end_id, bin_of(low if r.start_id is None else r.start_id),
-          bin_of(high if r.end_id is None else r.end_id - 1)) for r in ranges],
-        "range_id int, _start bigint, _end bigint, _first bigint, _last bigint",
-    ).select("range_id", "_start", "_end", F.explode(F.sequence("_first", "_last")).alias("_bin"))
-    keyed = df.withColumn("_key", k).withColumn(
-        "_bin", F.expr(f"(least(greatest(_key, {low}L), {high}L) - {low}L) div {size}L"))
-    inside = ((F.col("_start").isNull() | (F.col("_key") >= F.col("_start")))
-              & (F.col("_end").isNull() | (F.col("_key") < F.col("_end"))))
-    matched = keyed.alias("d").join(F.broadcast(lookup.alias("r")), (F.col("d._bin") == F.col("r._bin")) & inside, "left")
-    return matched.select(*[F.col(f"d.{c}") for c in df.columns],
-                          F.when(F.col("d._key").isNull(), F.lit(NULL_RANGE)).otherwise(F.col("r.range_id")).alias("range_id"))
+    levels = _lookup(found)
+    spark, names = df.sparkSession, [f"`{c}`" for c in df.columns]
+    spans = {}   # node: (low, high, size); the next level's span travels with the row
+    for level in levels:
+        for node, low, high, size, *_ in level:
+            spans[node] = (low, high, size)
+    low, high, size = spans[0]
+    rows = df.select(*names, k.alias("_key"), F.lit(0).alias("_node"), F.lit(low).cast("bigint").alias("_low"),
+                     F.lit(high).cast("bigint").alias("_high"), F.lit(size).cast("bigint").alias("_size"),
+                     F.lit(None).cast("int").alias("range_id"))
+    for level in levels:
+        table = spark.createDataFrame(
+            [(node, i, rid, start, end, *(spans[child] if child else (None,) * 3), child) for node, _, _, _, i, rid, start, end, child in level],
+            "n int, b bigint, rid int, s bigint, e bigint, low bigint, high bigint, size bigint, child int")
+        bin_of = F.expr("(least(greatest(_key, _low), _high) - _low) div _size")
+        inside = (F.col("child").isNotNull() | ((F.col("s").isNull() | (F.col("_key") >= F.col("s")))
+                                                & (F.col("e").isNull() | (F.col("_key") < F.col("e")))))
+        rows = rows.withColumn("_bin", bin_of).join(
+            table, (F.col("_node") == F.col("n")) & (F.col("_bin") == F.col("b")) & inside, "left").select(
+            *names, "_key", F.col("child").alias("_node"), F.col("low").alias("_low"), F.col("high").alias("_high"),
+            F.col("size").alias("_size"), F.coalesce("rid", "range_id").alias("range_id"))
+    return rows.select(*names, F.when(F.col("_key").isNull(), F.lit(NULL_RANGE)).otherwise(F.col("range_id")).alias("range_id"))
 
 
 def counts_by_range(df: DataFrame, key: str, plan: DataFrame) -> DataFrame:
@@ -166,7 +232,7 @@ def progress(plan: DataFrame, log: DataFrame, phase: str, session_start: str | d
     The total is that of the whole plan and the rate counts this session's rows only, so a resumed
     run neither passes 100 % nor looks faster than it is.
     """
-    # One row per range, at most MAX_RANGES, so that windows over all of them are small.
+    # One row per range, so that windows over all of them are small.
     total = F.sum("row_count").over(Window.partitionBy())
     done = (plan.select("range_id", "row_count").join(done_entries(log, phase), "range_id", "left")
             .withColumn("_total", total).filter("completed_at is not null"))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions.casts import cast_or_null
 from tidemark.functions.digests import hash_differences, row_hash
 
 
@@ -15,14 +16,27 @@ def compare_rows(source: DataFrame, target: DataFrame, keys: Sequence[str],
 
     Both sides go through one grouped pass instead of an outer join. Groups are combined before the
     shuffle, so a key that holds much of the table costs each task one row, and repeated keys are
-    compared as multisets instead of being paired with each other.
+    compared as multisets instead of being paired with each other. Without `compare` all columns of
+    either side count; `schema_differences` says which only one side has.
     """
-    cols = list(compare) if compare is not None else [c for c in source.columns if c not in keys and c in target.columns]
+    cols = list(compare) if compare is not None else list(dict.fromkeys(
+        c for c in [*source.columns, *target.columns] if c not in keys))
 
     def side(df: DataFrame, flag: bool) -> DataFrame:
-        # Hash in the source's types, so that a widened target column does not count as a change.
-        typed = [F.col(c) if flag else F.col(c).cast(source.schema[c].dataType).alias(c) for c in [*keys, *cols]]
-        return df.select(*typed).select(*keys, row_hash(cols).alias("_h"), F.lit(flag).alias("_src"))
+        # Hash in the source's types, so that a widened target column does not count as a change. A value that does
+        # not fit them is no NULL of the source's, and a column that only one side has is NULL on the other.
+        typed = [F.col(f"`{c}`") if flag else F.col(f"`{c}`").try_cast(source.schema[c].dataType).alias(c) for c in keys]
+        unfit = F.lit(0)
+        for c in cols:
+            dtype = source.schema[c].dataType if c in source.columns else target.schema[c].dataType
+            if c not in df.columns:
+                typed.append(F.lit(None).cast(dtype).alias(c))
+                continue
+            fitted = F.col(f"`{c}`") if df.schema[c].dataType == dtype else cast_or_null(F.col(f"`{c}`"), df.schema[c].dataType, dtype)
+            typed.append(fitted.alias(c))
+            unfit = unfit + F.when(F.col(f"`{c}`").isNotNull() & fitted.isNull(), 1).otherwise(0)
+        rows = df.select(*typed, unfit.alias("_unfit"))
+        return rows.select(*keys, row_hash([*cols, "_unfit"]).alias("_h"), F.lit(flag).alias("_src"))
 
     both = side(source, True).unionByName(side(target, False))
     src = F.col("_src")
@@ -38,6 +52,13 @@ def compare_rows(source: DataFrame, target: DataFrame, keys: Sequence[str],
     return grouped.select(*keys, "source_rows", "target_rows", status.alias("status"))
 
 
+def schema_differences(source: DataFrame, target: DataFrame) -> DataFrame:
+    """(column_name, source_type, target_type) of the columns that one side lacks or has in another type."""
+    src, tgt = dict(source.dtypes), dict(target.dtypes)
+    rows = [(c, src.get(c), tgt.get(c)) for c in dict.fromkeys([*src, *tgt]) if src.get(c) != tgt.get(c)]
+    return source.sparkSession.createDataFrame(rows, "column_name string, source_type string, target_type string")
+
+
 def differences(source: DataFrame, target: DataFrame, keys: Sequence[str],
                 compare: Sequence[str] | None = None) -> DataFrame:
     """Only the keys that differ."""

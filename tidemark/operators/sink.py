@@ -100,8 +100,8 @@ def read_accepted(spark: SparkSession, path: str, merge_schema: bool = False) ->
     return rows.filter(F.col(STATUS) == "accepted").drop(STATUS, REASON)
 
 
-def read_rejected(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).filter(F.col(STATUS) == "rejected").drop(STATUS)
+def read_rejected(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    return spark.read.option("mergeSchema", merge_schema).parquet(path).filter(F.col(STATUS) == "rejected").drop(STATUS)
 
 
 def append_log(rows: DataFrame, path: str) -> None:

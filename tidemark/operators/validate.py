@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.columns import MAX_TEXT, coerce_timestamp, is_missing, ntz
+from tidemark.functions.columns import coerce_timestamp, is_missing, ntz
 from tidemark.operators.clean import clip_texts
 
 REASON = "_reject_reason"
@@ -23,7 +23,7 @@ class Rules:
     date: str | None = None
     reject_null_pk: bool = True
     reject_future: bool = True
-    max_text: int | None = MAX_TEXT
+    max_text: int | None = None   # a load cuts text only when told to
 
 
 def coerce_date(df: DataFrame, date: str | None) -> DataFrame:

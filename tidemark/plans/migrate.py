@@ -12,10 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import literal_like, ntz
 from tidemark.operators import ranges, sink
+from tidemark.operators.clean import clean_table
+from tidemark.operators.conform import conform
 from tidemark.operators.ranges import LOG_SCHEMA, NULL_RANGE
 from tidemark.session import one_row
+from tidemark.sources.staged import read_csv
 
-_MAX_PUSHED = 50
+_MAX_PUSHED = 50   # spans of a pushed filter
 
 
 def snapshot(source: DataFrame, key: str) -> DataFrame:
@@ -29,16 +32,17 @@ def within_snapshot(source: DataFrame, key: str, snapshot_max_id: int) -> DataFr
     return source.filter((F.col(key) <= literal_like(snapshot_max_id, source.schema[key].dataType)) | F.col(key).isNull())
 
 
-def key_filter(key: str, todo: list) -> Column | None:
-    """A filter for the scan that keeps the pending ranges, neighbours joined; None if it would be too long."""
+def key_filter(key: str, todo: list) -> Column:
+    """A filter for the scan that keeps the pending ranges, neighbours joined; with many spans a little more than them."""
     spans: list[list] = []
     for r in sorted((r for r in todo if r.range_id != NULL_RANGE), key=lambda r: r.range_id):
         if spans and spans[-1][1] is not None and spans[-1][1] == r.start_id:
             spans[-1][1] = r.end_id
         else:
             spans.append([r.start_id, r.end_id])
-    if len(spans) > _MAX_PUSHED:
-        return None
+    while len(spans) > _MAX_PUSHED:   # close the smallest gap: a little more is read, the join drops it
+        at = min(range(1, len(spans)), key=lambda i: spans[i][0] - spans[i - 1][1])
+        spans[at - 1][1] = spans.pop(at)[1]
     out = F.col(key).isNull() if any(r.range_id == NULL_RANGE for r in todo) else F.lit(False)
     for start, end in spans:
         part = F.col(key).isNotNull()
@@ -59,14 +63,19 @@ def verify(expected: DataFrame, counted: DataFrame, phase: str, at: str | dt.dat
         ntz(at).alias("completed_at"), F.when(rows >= F.col("row_count"), "done").otherwise("failed").alias("status"))
 
 
-def _written(spark: SparkSession, path: str, ids: list[int]) -> DataFrame:
-    return (spark.read.schema("range_id int").parquet(path).filter(F.col("range_id").isin(ids))
-            .groupBy("range_id").agg(F.count(F.lit(1)).alias("row_count")))
+def _of(spark: SparkSession, wave: list) -> DataFrame:
+    return spark.createDataFrame([(r.range_id,) for r in wave], "range_id int")
+
+
+def _written(spark: SparkSession, path: str, wave: list) -> DataFrame:
+    ids = [r.range_id for r in wave]
+    rows = spark.read.schema("range_id int").parquet(path).filter(F.col("range_id").between(min(ids), max(ids)))
+    return (rows.join(_of(spark, wave), "range_id", "left_semi").groupBy("range_id").agg(F.count(F.lit(1)).alias("row_count")))
 
 
 def _record(spark: SparkSession, wave: list, path: str, log_path: str, phase: str, at) -> None:
     expected = spark.createDataFrame([(r.range_id, r.row_count) for r in wave], "range_id int, row_count bigint")
-    sink.append_log(verify(expected, _written(spark, path, [r.range_id for r in wave]), phase, at), log_path)
+    sink.append_log(verify(expected, _written(spark, path, wave), phase, at), log_path)
 
 
 def _waves(todo: list, size: int | None) -> list[list]:
@@ -89,45 +98,59 @@ def _is_fresh(spark: SparkSession, path: str, log: DataFrame, phase: str) -> boo
 
 def export_ranges(spark: SparkSession, source: DataFrame, key: str, plan: DataFrame, path: str, log_path: str,
                   at: str | dt.datetime, rows_per_file: int = sink.ROWS_PER_RANGE_FILE,
-                  ranges_per_job: int | None = None) -> DataFrame | None:
-    """Write every pending range to its folder and log it. None if nothing is pending.
+                  ranges_per_job: int | None = None, cleaned: bool = True) -> DataFrame | None:
+    """Clean and write every pending range to its folder and log it. None if nothing is pending.
 
     The scan is cut to the pending keys, so going on after a stop does not read the table again. With
     `ranges_per_job` the ranges go in several jobs, and those of a finished job stay done if a later
     one fails; that pays if the table lies in key order, for else every job reads all of it.
     """
     log = sink.read_log(spark, log_path, LOG_SCHEMA)
-    todo = ranges.pending(plan, log, "export").limit(ranges.MAX_RANGES + 1).collect()
+    todo = ranges.pending(plan, log, "export").collect()   # a row per range
     if not todo:
         return None
     fresh = _is_fresh(spark, path, log, "export")
+    columns = "range_id int, start_id bigint, end_id bigint"
+    every = plan.select("range_id", F.col("start_id").cast("bigint"), F.col("end_id").cast("bigint")).collect()
+    planned = spark.createDataFrame([tuple(r) for r in every], columns)   # computed once, not once per wave
     for wave in _waves(todo, ranges_per_job):
-        wanted = key_filter(key, wave)
-        rows = source if wanted is None else source.filter(wanted)
-        assigned = ranges.assign(rows, key, plan).filter(F.col("range_id").isin([r.range_id for r in wave]))
-        sink.write_ranges(assigned, path, rows_per_file, fresh=fresh)
+        rows = source.filter(key_filter(key, wave))
+        if cleaned:
+            rows = clean_table(rows)
+        picked = _of(spark, wave)
+        sink.write_ranges(ranges.assign(rows, key, planned).join(picked, "range_id", "left_semi"), path, rows_per_file, fresh=fresh)
         _record(spark, wave, path, log_path, "export", at)
         fresh = False
     return _logged(spark, log_path, "export", at)
 
 
 def load_ranges(spark: SparkSession, staged: str, target: str, log_path: str, at: str | dt.datetime,
-                rows_per_file: int = sink.ROWS_PER_RANGE_FILE, ranges_per_job: int | None = None) -> DataFrame | None:
+                rows_per_file: int = sink.ROWS_PER_RANGE_FILE, ranges_per_job: int | None = None,
+                schema: str | None = None, csv_schema: str | None = None) -> DataFrame | None:
     """Load every staged range the log does not show as loaded. None if nothing is pending.
 
-    What a range must hold is counted in the staged files. A range's folder in the target is
+    Staged are parquet folders, or text files if `csv_schema` says what they hold (staged.export_ranges_csv).
+    With `schema` the rows are cast to the declared columns; what does not fit becomes NULL, and
+    conform_report says how much that is. What a range must hold is counted in the staged files. A range's folder in the target is
     replaced, so a repeat adds nothing. A job opens the folders of its own ranges only.
     """
-    files = spark.read.parquet(staged)
+    if csv_schema is not None:
+        files = read_csv(spark, staged, f"{csv_schema}, range_id int")
+    else:
+        files = spark.read.parquet(staged)
+    if schema is not None:
+        files = conform(files, f"{schema}, range_id int")
     counts = files.groupBy("range_id").agg(F.count(F.lit(1)).alias("row_count"))
     log = sink.read_log(spark, log_path, LOG_SCHEMA)
-    todo = ranges.pending(counts, log, "load").limit(ranges.MAX_RANGES + 1).collect()
+    todo = ranges.pending(counts, log, "load").collect()   # a row per range
     if not todo:
         return None
     fresh = _is_fresh(spark, target, log, "load")
     for wave in _waves(todo, ranges_per_job):
-        picked = files.filter(F.col("range_id").isin([r.range_id for r in wave]))
-        sink.write_ranges(picked, target, rows_per_file, gather=False, fresh=fresh)
+        # a static filter prunes the folders of a short list; the join picks whatever its length
+        ids = [r.range_id for r in wave]
+        near = files.filter(F.col("range_id").between(min(ids), max(ids)))
+        sink.write_ranges(near.join(_of(spark, wave), "range_id", "left_semi"), target, rows_per_file, gather=False, fresh=fresh)
         _record(spark, wave, target, log_path, "load", at)
         fresh = False
     return _logged(spark, log_path, "load", at)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -37,6 +38,11 @@ class TableConfig:
     def name(self) -> str:
         return f"{self.source_schema}.{self.source_table}"
 
+    @property
+    def key(self) -> str:
+        """What watermark, batch and result go by: one source may feed several targets."""
+        return f"{self.name}->{self.target_schema}.{self.target_table}"
+
 
 @dataclass(frozen=True)
 class Run:
@@ -52,6 +58,7 @@ class Run:
     source_system_name: str | None = None
     lookback_days: int = watermark.LOOKBACK_DAYS
     tolerance: float = quality.COUNT_TOLERANCE
+    max_text: int | None = None       # cut text to so many characters; None keeps it whole
     block_on_mismatch: bool = False   # leave the watermark where it is when the row counts disagree
     clock: Callable[[], str] = utc_now
 
@@ -80,16 +87,18 @@ def batch_id(table: str, load_type: str, token: str) -> str:
     return "b" + hashlib.sha256("|".join([table, load_type, token]).encode()).hexdigest()[:24]
 
 
-def prepare(df: DataFrame, cfg: TableConfig, as_of: str, batch: str, source_system_id: int) -> DataFrame:
+def prepare(df: DataFrame, cfg: TableConfig, as_of: str, batch: str, source_system_id: int,
+            max_text: int | None = None) -> DataFrame:
     """Clean, stamp and mark: one lazy projection over the scan."""
-    rules = Rules(pk=cfg.pk_column, date=cfg.date_column)
+    rules = Rules(pk=cfg.pk_column, date=cfg.date_column, max_text=max_text)
     return mark(stamp(clean_table(df), batch, as_of, source_system_id), rules, as_of)
 
 
 def delta_window(spark: SparkSession, cfg: TableConfig, run: Run) -> Row:
     """Start of the delta window, and whether it is the table's first. Collects one row."""
-    control = one_row(spark, table_name=F.lit(cfg.name), load_type=F.lit(cfg.load_type))
-    return watermark.start_plan(control, run.meta.watermarks(), run.as_of, run.lookback_days).select(
+    control = one_row(spark, table_name=F.lit(cfg.key), load_type=F.lit(cfg.load_type))
+    marks = run.meta.watermarks().filter(F.col("table_name") == cfg.key)
+    return watermark.start_plan(control, marks, run.as_of, run.lookback_days).select(
         F.col("delta_start").cast("string").alias("start"), "first_run").first()
 
 
@@ -102,7 +111,7 @@ def read_target(spark: SparkSession, run: Run, cfg: TableConfig) -> DataFrame |
     path = _target(run, cfg)
     if cfg.load_type == "FULL":
         path = sink.current_path(spark, f"{run.target_root}/{cfg.target_schema}", cfg.target_table)
-    return sink.read_accepted(spark, path) if path and sink.has_data(spark, path) else None
+    return sink.read_accepted(spark, path, merge_schema=True) if path and sink.has_data(spark, path) else None
 
 
 def _load(spark: SparkSession, source: DataFrame, cfg: TableConfig, run: Run, out: Loaded) -> None:
@@ -113,13 +122,14 @@ def _load(spark: SparkSession, source: DataFrame, cfg: TableConfig, run: Run, ou
         rows = scan.open_window(source, cfg.date_column, win.start, run.as_of)
         # Named by the watermark it starts from, not by the clock: a run that died before it moved the
         # watermark is repeated under the same name, even if the repeat ends later.
-        batch, path = batch_id(cfg.name, "DELTA", "first" if win.first_run else win.start), _target(run, cfg)
+        batch, path = batch_id(cfg.key, "DELTA", "first" if win.first_run else win.start), _target(run, cfg)
     else:
         rows = source
-        batch = batch_id(cfg.name, "FULL", run.as_of)
+        # Named by run and clock as well: a repeat must not write into the version that readers hold.
+        batch = batch_id(cfg.key, "FULL", f"{run.as_of}|{run.run_id}|{run.clock()}|{uuid.uuid4().hex}")
         path = sink.version_path(schema_root, cfg.target_table, batch)
 
-    prepared = prepare(rows, cfg, run.as_of, batch, run.source_system_id)
+    prepared = prepare(rows, cfg, run.as_of, batch, run.source_system_id, run.max_text)
     written = sink.write_batch(prepared, path, batch, gather=cfg.load_type == "DELTA", pk=cfg.pk_column)
     for r in written.collect():
         if r.status == "accepted":
@@ -133,13 +143,13 @@ def _load(spark: SparkSession, source: DataFrame, cfg: TableConfig, run: Run, ou
 
     source_count = rows.count()
     run.meta.append("data_quality", quality_rows(count_checks(spark, source_count, cfg, run, out), run.run_id, run.as_of))
-    if cfg.load_type == "FULL":
-        sink.publish_version(spark, schema_root, cfg.target_table, batch, run.as_of)
     missing = abs(source_count - out.rejected - out.loaded)
     if run.block_on_mismatch and missing > run.tolerance * max(source_count - out.rejected, 0):
-        return
+        return   # neither published nor marked
+    if cfg.load_type == "FULL":
+        sink.publish_version(spark, schema_root, cfg.target_table, batch, run.as_of)
     run.meta.append("watermark", one_row(
-        spark, table_name=F.lit(cfg.name), last_load_type=F.lit(cfg.load_type), last_delta_column=F.lit(cfg.date_column),
+        spark, table_name=F.lit(cfg.key), last_load_type=F.lit(cfg.load_type), last_delta_column=F.lit(cfg.date_column),
         last_delta_value=F.lit(run.as_of if cfg.load_type == "DELTA" else None), last_max_id=F.lit(out.max_id),
         last_row_count=F.lit(out.loaded), last_batch_id=F.lit(batch), last_success_at=F.lit(run.as_of), updated_at=F.lit(run.as_of)))
 
@@ -174,7 +184,7 @@ def sync_table(spark: SparkSession, open_source: Callable[[TableConfig], DataFra
 
 def sync_all(spark: SparkSession, tables: Iterable[TableConfig], open_source: Callable[[TableConfig], DataFrame],
              run: Run, parallel: int = 4) -> dict[str, Loaded]:
-    """Load several tables, `parallel` at a time, so that small tables fill the gaps that big ones leave."""
+    """Results by TableConfig.key. Load several tables, `parallel` at a time, so that small tables fill the gaps that big ones leave."""
     def one(cfg: TableConfig) -> Loaded:
         # A scheduler pool per table: within one pool a big table's tasks would go before a small one's.
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", cfg.name)
@@ -182,4 +192,4 @@ def sync_all(spark: SparkSession, tables: Iterable[TableConfig], open_source: Ca
 
     tables = list(tables)
     with ThreadPoolExecutor(max_workers=parallel) as workers:
-        return dict(zip([t.name for t in tables], workers.map(one, tables)))
+        return dict(zip([t.key for t in tables], workers.map(one, tables)))

@@ -11,7 +11,7 @@ from tidemark.plans import audit, migrate, sync
 from tidemark.plans.control import read_control
 from tidemark.queries.cleaning import ORDER_RULES
 from tidemark.queries.fixtures import (
-    BATCH, CLEAN_ORDERS_SQL, EVENTS_AS_OF, ORDERS_AS_OF, ORDERS_MARK, SYSTEM, dirty_orders, fresh_folder, lossy, plain, table,
+    BATCH, CLEAN_ORDERS_SQL, DIRTY_ORDERS_SQL, EVENTS_AS_OF, ORDERS_AS_OF, ORDERS_MARK, SYSTEM, dirty_orders, fresh_folder, lossy, plain, table,
 )
 from tidemark.queries.ranges import FIXED, _FIXED_PLAN, fixed_counts
 from tidemark.queries.registry import query
@@ -43,7 +43,7 @@ def _staged_orders(spark, sf, folder):
     staged.export_ranges_csv(ranges.assign(orders, "o_orderkey", plan), folder)
 
 
-@query(_FIXED_PLAN + """ SELECT orders.*, range_id FROM orders JOIN plan ON o_orderkey >= start_id AND o_orderkey < end_id
+@query(_FIXED_PLAN + """ SELECT orders.*, range_id FROM orders JOIN plan ON range_id >= 0 AND (start_id IS NULL OR o_orderkey >= start_id) AND (end_id IS NULL OR o_orderkey < end_id)
 WHERE range_id IN (0, 3)""")
 def range_load(spark, sf):
     """Two staged ranges read as one table."""
@@ -106,7 +106,8 @@ def relocate_verify(spark, sf):
 
 @query(_FIXED_PLAN + """ SELECT range_id, count(*) AS row_count,
        CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(19,6))) AS DECIMAL(29,6)) AS VARCHAR) AS total
-FROM plan JOIN orders ON o_orderkey >= start_id AND o_orderkey < end_id WHERE range_id <> 0 OR o_orderkey % 2 = 1 GROUP BY ALL""")
+FROM plan JOIN orders ON range_id >= 0 AND (start_id IS NULL OR o_orderkey >= start_id) AND (end_id IS NULL OR o_orderkey < end_id)
+WHERE range_id <> 0 OR o_orderkey % 2 = 1 GROUP BY ALL""")
 def range_reexport(spark, sf):
     """One range written again with fewer rows: its old files go, the other ranges stay."""
     path, orders = fresh_folder(spark, "reexport"), table(spark, sf, "orders")
@@ -155,11 +156,11 @@ def stream_ingest(spark, sf):
 
 
 def _run_sync(spark, sf):
-    """The control sheet's tables, one of which does not exist, loaded in one run, twice."""
+    """The control sheet's tables, one of which does not exist, loaded in one run."""
     root = fresh_folder(spark, "sync")
     meta = audit.MetaStore(spark, f"{root}/meta")
     meta.append("watermark", spark.createDataFrame(
-        [("src.FactOrders", ORDERS_MARK)], "table_name string, last_delta_value string").select(
+        [("src.FactOrders->stg.FactOrders", ORDERS_MARK)], "table_name string, last_delta_value string").select(
         "*", *[F.lit(None).alias(c) for c in ("last_load_type", "last_delta_column", "last_max_id", "last_row_count")],
         F.lit("b_seed").alias("last_batch_id"), F.lit(ORDERS_MARK).alias("last_success_at"), F.lit(ORDERS_MARK).alias("updated_at")))
 
@@ -187,11 +188,63 @@ def sync_run(spark, sf):
         "source_table", "load_type", "rows_read", "rows_loaded", "rows_rejected", "success")
 
 
-@query(f"""SELECT 'src.FactOrders' AS table_name, '{ORDERS_AS_OF}' AS last_delta_value,
+@query(f"""SELECT 'src.FactOrders->stg.FactOrders' AS table_name, '{ORDERS_AS_OF}' AS last_delta_value,
        (SELECT max(o_orderkey) FROM orders WHERE o_orderdate >= TIMESTAMP '{ORDERS_MARK}' AND o_orderdate < TIMESTAMP '{ORDERS_AS_OF}') AS last_max_id
-UNION ALL SELECT 'src.FactLineitem', NULL, (SELECT max(l_orderkey) FROM lineitem)
-UNION ALL SELECT 'src.DimCustomer', NULL, (SELECT max(c_custkey) FROM customer)
-UNION ALL SELECT 'src.DimNation', NULL, NULL""")
+UNION ALL SELECT 'src.FactLineitem->stg.FactLineitem', NULL, (SELECT max(l_orderkey) FROM lineitem)
+UNION ALL SELECT 'src.DimCustomer->stg.DimCustomer', NULL, (SELECT max(c_custkey) FROM customer)
+UNION ALL SELECT 'src.DimNation->stg.DimNation', NULL, NULL""")
 def sync_watermarks(spark, sf):
     """Watermarks after the run; a table that loaded no row has none."""
     return _run_sync(spark, sf).watermarks().select("table_name", "last_delta_value", "last_max_id")
+
+
+@query("SELECT doc_id, text, lang, source, n_chars, length(text) AS loaded_chars FROM documents")
+def load_long_text(spark, sf):
+    """Texts of any length come out of a load as they went in."""
+    path, docs = fresh_folder(spark, "long_text"), table(spark, sf, "documents")
+    rows = mark(stamp(clean_table(docs), BATCH, ORDERS_AS_OF, SYSTEM), Rules(pk="doc_id"), ORDERS_AS_OF)
+    sink.write_batch(rows, path, BATCH)
+    return sink.read_accepted(spark, path).select("doc_id", "text", "lang", "source", "n_chars",
+                                                  F.length("text").cast("bigint").alias("loaded_chars"))
+
+
+@query(f"""SELECT *, TIMESTAMP '{EVENTS_AS_OF}' AS _loaded_at, CAST({SYSTEM} AS INTEGER) AS _source_system_id
+FROM events WHERE ts <= TIMESTAMP '{EVENTS_AS_OF}'""")
+def stream_two_sources(spark, sf):
+    """Two streams, even and odd events, into one target: neither replaces the other's rows."""
+    root, events = fresh_folder(spark, "two_streams"), table(spark, sf, "events")
+    for part in (0, 1):
+        events.filter(F.col("event_id") % 2 == part).write.parquet(f"{root}/in{part}")
+        stream = ingest.file_stream(spark, f"{root}/in{part}", events.schema)
+        ingest.start_ingest(stream, f"{root}/events", f"{root}/checkpoint{part}", Rules(pk="event_id", date="ts"),
+                            lambda: EVENTS_AS_OF, SYSTEM).awaitTermination()
+    return sink.read_accepted(spark, f"{root}/events").drop("_batch_id")
+
+
+_CLEANED = f"""SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN isfinite(o_totalprice) THEN round_even(o_totalprice, 10) END AS o_totalprice,
+       CASE WHEN o_orderpriority NOT IN ('nan', 'None', 'NULL', 'null') THEN o_orderpriority END AS o_orderpriority FROM ({DIRTY_ORDERS_SQL})"""
+
+
+@query(f"""WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM ({DIRTY_ORDERS_SQL}))
+SELECT c.*, coalesce((o_orderkey - lo) // {FIXED}, -1)::INTEGER AS range_id FROM ({_CLEANED}) c, b""")
+def migrate_clean(spark, sf):
+    """Dirty orders, some without a key, exported in ranges and loaded with a declared schema: clean, and every row there."""
+    root, dirty = fresh_folder(spark, "migrate_clean"), dirty_orders(spark, sf)
+    plan = ranges.plan_fixed(dirty, "o_orderkey", FIXED)
+    plan = plan.join(ranges.counts_by_range(dirty, "o_orderkey", plan), "range_id")
+    migrate.export_ranges(spark, dirty, "o_orderkey", plan, f"{root}/staged", f"{root}/log", ORDERS_AS_OF)
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
+    migrate.load_ranges(spark, f"{root}/staged", f"{root}/target", f"{root}/log", ORDERS_AS_OF, schema=schema)
+    return spark.read.parquet(f"{root}/target")
+
+
+@query(f"""SELECT o_orderkey, o_orderstatus, NULL AS o_channel FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL SELECT o_orderkey, o_orderstatus, 'web' FROM orders WHERE o_orderkey % 2 = 1""")
+def load_evolved(spark, sf):
+    """Two batches, the second with one more column: the target shows it, NULL for the first."""
+    path, orders = fresh_folder(spark, "evolved"), table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    for part, batch in ((0, "b_first"), (1, "b_second")):
+        rows = orders.filter(F.col("o_orderkey") % 2 == part)
+        rows = rows.withColumn("o_channel", F.lit("web")) if part else rows
+        sink.write_batch(mark(stamp(rows, batch, ORDERS_AS_OF, SYSTEM), Rules(pk="o_orderkey"), ORDERS_AS_OF), path, batch)
+    return sink.read_accepted(spark, path, merge_schema=True).select("o_orderkey", "o_orderstatus", "o_channel")

@@ -14,6 +14,7 @@ from tidemark.queries.registry import query
 NEAR, FAR = 211, 31   # a loss inside and one outside the 1 % tolerance
 NOT_NULL = ["o_orderkey", "o_custkey", "o_orderpriority", "o_comment"]
 MONEY = ["l_quantity", "l_extendedprice", "l_discount"]
+BIG = 20_000_000_000_000   # a value beyond 19 digits with 6 decimals
 
 
 def _both_targets(spark, sf):
@@ -79,14 +80,19 @@ def dq_id_range(spark, sf):
 SELECT 'lineitem' AS table_name, '{c}' AS column_name, 'checked' AS status, CAST(s AS VARCHAR) AS source_sum, CAST(t AS VARCHAR) AS target_sum,
        round(CAST(s AS DOUBLE) / sn, 4) AS source_avg, round(CAST(t AS DOUBLE) / tn, 4) AS target_avg,
        round(abs(CAST(t AS DOUBLE) - CAST(s AS DOUBLE)) / abs(CAST(s AS DOUBLE)) * 100, 6) AS difference_percent,
-       abs(CAST(t AS DOUBLE) - CAST(s AS DOUBLE)) / abs(CAST(s AS DOUBLE)) * 100 < 1 AS is_valid
-FROM (SELECT CAST(sum(CAST({c} AS DECIMAL(19,6))) AS DECIMAL(29,6)) AS s, count({c}) AS sn,
-             CAST(sum(CAST({c} AS DECIMAL(19,6))) FILTER (l_orderkey % {FAR} <> 0) AS DECIMAL(29,6)) AS t,
-             count({c}) FILTER (l_orderkey % {FAR} <> 0) AS tn FROM lineitem)""" for c in MONEY)
-    + " UNION ALL SELECT 'lineitem', 'l_rebate', 'absent', NULL, NULL, NULL, NULL, NULL, true")
+       su AS source_unfit, tu AS target_unfit,
+       abs(CAST(t AS DOUBLE) - CAST(s AS DOUBLE)) / abs(CAST(s AS DOUBLE)) * 100 < 1 AND su = 0 AND tu = 0 AS is_valid
+FROM (SELECT CAST(sum(v) AS DECIMAL(38,6)) AS s, count(v) AS sn, CAST(sum(v) FILTER (kept) AS DECIMAL(38,6)) AS t, count(v) FILTER (kept) AS tn,
+             count(*) FILTER (bad) AS su, count(*) FILTER (bad AND kept) AS tu
+      FROM (SELECT l_orderkey % {FAR} <> 0 AS kept, {bad} AS bad, CASE WHEN NOT {bad} THEN CAST({value} AS DECIMAL(38,6)) END AS v FROM lineitem))"""
+    for c, value, bad in (*[(c, f"CAST({c} AS DECIMAL(19,6))", "false") for c in MONEY],
+                          ("l_big", f"l_orderkey * {BIG}", "false"), ("l_nan", "CAST(l_quantity AS DECIMAL(19,6))", "l_linenumber = 1")))
+    + " UNION ALL SELECT 'lineitem', 'l_rebate', 'absent', NULL, NULL, NULL, NULL, NULL, NULL, NULL, true")
 def dq_aggregates(spark, sf):
-    """Sums of three columns that differ, and of one that does not exist."""
-    lines, money = table(spark, sf, "lineitem"), [*MONEY, "l_rebate"]
+    """Sums of three columns that differ, of very large values, of one with NaN, and of one that does not exist."""
+    lines, money = table(spark, sf, "lineitem"), [*MONEY, "l_big", "l_nan", "l_rebate"]
+    lines = lines.withColumn("l_big", F.col("l_orderkey").cast("bigint") * BIG).withColumn(
+        "l_nan", F.when(F.col("l_linenumber") == 1, float("nan")).otherwise(F.col("l_quantity").cast("double")))
     return plain(quality.aggregate_check(quality.pair_sides(
         quality.side_metrics(lines, "lineitem", "source", numeric=money),
         quality.side_metrics(lossy(lines, "l_orderkey", FAR), "lineitem", "target", numeric=money)), money))
@@ -94,15 +100,15 @@ def dq_aggregates(spark, sf):
 
 def _order_checks(spark, sf):
     return quality.all_checks(table(spark, sf, "orders"), changed_orders(spark, sf), "orders", "o_orderkey",
-                              ["o_orderkey", "o_custkey"], ["o_totalprice"])
+                              ["o_orderkey", "o_custkey", "o_comment"], ["o_totalprice", "o_rebate"])
 
 
 _ORDER_CHECKS_SQL = f"""
 WITH t AS ({CHANGED_ORDERS_SQL}),
 m AS (SELECT (SELECT count(*) FROM orders) AS sc, (SELECT count(*) FROM t) AS tc,
              (SELECT min(o_orderkey) FROM orders) AS s0, (SELECT min(o_orderkey) FROM t) AS t0,
-             (SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(19,6))) AS DECIMAL(29,6)) FROM orders) AS ss,
-             (SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(19,6))) AS DECIMAL(29,6)) FROM t) AS ts,
+             (SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(19,6))) AS DECIMAL(38,6)) FROM orders) AS ss,
+             (SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(19,6))) AS DECIMAL(38,6)) FROM t) AS ts,
              (SELECT count(*) FROM (SELECT 1 FROM t GROUP BY o_orderkey HAVING count(*) > 1)) AS dups),
 c AS (
 SELECT 'orders' AS table_name, 'ROW_COUNT' AS check_type, CAST(sc AS VARCHAR) AS source_value, CAST(tc AS VARCHAR) AS target_value,
@@ -115,7 +121,9 @@ UNION ALL SELECT 'orders', 'NULL_CHECK', 'o_orderkey', CAST(count(*) FILTER (o_o
 UNION ALL SELECT 'orders', 'NULL_CHECK', 'o_custkey', CAST(count(*) FILTER (o_custkey IS NULL) AS VARCHAR), count(*) FILTER (o_custkey IS NULL), NULL, count(*) FILTER (o_custkey IS NULL) = 0 FROM t
 UNION ALL SELECT 'orders', 'SUM_CHECK', CAST(ss AS VARCHAR), CAST(ts AS VARCHAR), NULL,
        round(abs(CAST(ts AS DOUBLE) - CAST(ss AS DOUBLE)) / abs(CAST(ss AS DOUBLE)) * 100, 6),
-       abs(CAST(ts AS DOUBLE) - CAST(ss AS DOUBLE)) / abs(CAST(ss AS DOUBLE)) * 100 < 1 FROM m)"""
+       abs(CAST(ts AS DOUBLE) - CAST(ss AS DOUBLE)) / abs(CAST(ss AS DOUBLE)) * 100 < 1 FROM m
+UNION ALL SELECT 'orders', 'NULL_CHECK', 'o_comment', 'absent', NULL, NULL, false
+UNION ALL SELECT 'orders', 'SUM_CHECK', 'absent', 'absent', NULL, NULL, false)"""
 
 
 @query(_ORDER_CHECKS_SQL + f" SELECT *, 'run_1' AS run_id, TIMESTAMP '{ORDERS_AS_OF}' AS checked_at FROM c")
@@ -175,3 +183,13 @@ def reconcile_repeated_keys(spark, sf):
     lines = table(spark, sf, "lineitem")
     target = lines.filter(~((F.col("l_orderkey") % FAR == 0) & (F.col("l_linenumber") == 1)))
     return reconcile.differences(lines, target, ["l_orderkey", "l_linenumber"])
+
+
+@query(f"""SELECT o_orderkey, CAST(1 AS BIGINT) AS source_rows, CAST(1 AS BIGINT) AS target_rows, 'changed' AS status FROM orders
+WHERE o_orderkey % {FAR} = 0 OR o_orderkey % 29 = 0""")
+def reconcile_schema_drift(spark, sf):
+    """A target with prices as text, some unreadable, and one more column, filled in some rows."""
+    orders = table(spark, sf, "orders")
+    price = F.when(F.col("o_orderkey") % FAR == 0, "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    target = orders.withColumn("o_totalprice", price).withColumn("o_channel", F.when(F.col("o_orderkey") % 29 == 0, "web"))
+    return reconcile.differences(orders, target, ["o_orderkey"])

@@ -30,10 +30,12 @@ FROM keys LEFT JOIN plan p ON p.range_id >= 0 AND k >= coalesce(p.start_id, -922
 _FIXED_PLAN = f"""
 WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders),
 starts AS (SELECT hi, unnest(range(lo, hi + 1, {FIXED})) AS start_id FROM b),
-plan AS (SELECT CAST(row_number() OVER (ORDER BY start_id) - 1 AS INTEGER) AS range_id, start_id,
-                least(start_id + {FIXED}, hi + 1) AS end_id FROM starts),
+plan AS (SELECT -1 AS range_id, NULL AS start_id, NULL AS end_id UNION ALL
+         SELECT CAST(row_number() OVER (ORDER BY start_id) - 1 AS INTEGER) AS range_id,
+                CASE WHEN start_id > (SELECT lo FROM b) THEN start_id END AS start_id,
+                CASE WHEN start_id + {FIXED} <= hi THEN start_id + {FIXED} END AS end_id FROM starts),
 counts AS (SELECT range_id, start_id, end_id, count(*) AS row_count
-           FROM plan JOIN orders ON o_orderkey >= start_id AND o_orderkey < end_id GROUP BY ALL)"""
+           FROM plan JOIN orders ON range_id >= 0 AND (start_id IS NULL OR o_orderkey >= start_id) AND (end_id IS NULL OR o_orderkey < end_id) GROUP BY ALL)"""
 
 
 def _plan(spark, sf):
@@ -144,3 +146,18 @@ def start_modes(spark, sf):
 @query(f"SELECT greatest(max(o_orderkey), 0) AS max_id FROM ({CLEAN_ORDERS_SQL}) WHERE _reject_reason IS NULL")
 def batch_max_id(spark, sf):
     return watermark.max_id(accepted(marked_orders(spark, sf)), "o_orderkey")
+
+
+OUTLIER_TARGET = 1_000
+
+
+@query("SELECT count(*) + 1 AS planned_rows, count(*) + 1 AS assigned_rows, CAST(0 AS BIGINT) AS crowded_ranges FROM lineitem")
+def range_plan_outlier(spark, sf):
+    """Lineitem's keys and one far key: no range holds more than the target and one bucket."""
+    keys = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("bigint").alias("k"))
+    keys = keys.unionByName(keys.limit(1).select(F.lit(10**15).cast("bigint").alias("k")))
+    plan = ranges.plan_ranges(keys, "k", OUTLIER_TARGET)
+    found = ranges.counts_by_range(keys, "k", plan).agg(F.sum("row_count").alias("assigned_rows"))
+    of_plan = plan.agg(F.sum("row_count").alias("planned_rows"), F.count_if(F.col("row_count") > 2 * OUTLIER_TARGET).alias("crowded_ranges"))
+    both = of_plan.unionByName(found, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in ("planned_rows", "assigned_rows", "crowded_ranges")])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -33,6 +34,13 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written below the work root and read back, so that nothing computes it again."""
+    path = f"{work_root(df.sparkSession)}/tidemark/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def one_row(spark: SparkSession, **columns: Column) -> DataFrame:
     """A single row of constants."""
     return spark.sql("SELECT 1").select(*[c.alias(name) for name, c in columns.items()])

@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import literal_like
 from tidemark.functions.digests import row_hash
-from tidemark.operators.ranges import NULL_RANGE, collect_plan, default_width, histogram, running_total
+from tidemark.operators.ranges import collect_plan, default_width, histogram, running_total
 
 # Fixed values
 SAMPLE_ROWS = 1_000_000
-SAMPLE_ABOVE = 10_000_000
 
 _LAST_KEY = 2**63 - 1
 
@@ -22,11 +21,8 @@ def table(spark: SparkSession, location: str) -> DataFrame:
     return spark.read.parquet(location) if "/" in location else spark.table(location)
 
 
-def sample(df: DataFrame, pk: str, rows: int = SAMPLE_ROWS, above: int = SAMPLE_ABOVE,
-           row_count: int | None = None) -> DataFrame:
-    """The first `rows` rows by key if the table has more than `above` rows, else the whole table."""
-    if (df.count() if row_count is None else row_count) <= above:
-        return df
+def sample(df: DataFrame, pk: str, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The first `rows` rows by key, for a table the caller wants a sample of."""
     return first_rows(df, pk, rows)
 
 
@@ -96,8 +92,28 @@ def range_predicates(pk: str, plan: DataFrame) -> list[str]:
     def text(start, end) -> str:
         parts = [f"{pk} >= {start}"] * (start is not None) + [f"{pk} < {end}"] * (end is not None)
         return " AND ".join(parts) or f"{pk} IS NOT NULL"
-    null_range = plan.filter(F.col("range_id") == NULL_RANGE).limit(1).collect()
-    return [text(r.start_id, r.end_id) for r in collect_plan(plan)] + [f"{pk} IS NULL"] * len(null_range)
+    return [text(r.start_id, r.end_id) for r in collect_plan(plan)] + [f"{pk} IS NULL"]
+
+
+def key_predicates(pk: str, low: int, high: int, parts: int) -> list[str]:
+    """WHERE texts for `parts` ranges of equal width between two keys; outer ones are open, the first takes NULL keys."""
+    parts = max(1, min(parts, high - low + 1))
+    cuts = [low + (high - low + 1) * i // parts for i in range(1, parts)]
+    if not cuts:
+        return ["1 = 1"]
+    return [f"{pk} < {cuts[0]} OR {pk} IS NULL", *[f"{pk} >= {a} AND {pk} < {b}" for a, b in zip(cuts, cuts[1:])], f"{pk} >= {cuts[-1]}"]
+
+
+def database_table(spark: SparkSession, url: str, table_name: str, pk: str | None, parts: int,
+                   properties: dict[str, str] | None = None) -> DataFrame:
+    """A database table read by key ranges, a task each. The bounds are one row, asked of the database. A table without
+    a key column has nothing to be cut by, and is refused."""
+    if pk is None:
+        raise ValueError(f"{table_name} needs PK_Column_Name in the control table to be read from a database")
+    bounds = spark.read.jdbc(url, f"(SELECT min({pk}) AS lo, max({pk}) AS hi FROM {table_name}) b", predicates=["1 = 1"],
+                             properties=properties or {}).first()
+    low, high = (0, 0) if bounds.lo is None else (int(bounds.lo), int(bounds.hi))
+    return spark.read.jdbc(url, table_name, predicates=key_predicates(pk, low, high, parts), properties=properties or {})
 
 
 def database_ranges(spark: SparkSession, url: str, table_name: str, pk: str, plan: DataFrame,
