@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 from tidemark.operators import quality, ranges, sink  # noqa: E402
 from tidemark.plans import audit, control, migrate, monitoring, sync  # noqa: E402
@@ -30,8 +30,10 @@ def _read_sheet(spark: SparkSession, path: str) -> DataFrame:
 
 def cmd_sync(spark: SparkSession, a: argparse.Namespace) -> int:
     meta = audit.MetaStore(spark, a.meta)
+    system = meta.read("source_systems").filter(F.col("source_system_id") == a.system).orderBy(F.desc("created_at")).first()
     run = sync.Run(a.as_of, a.run_id or f"run {a.as_of}", a.target, meta, trigger_type=a.trigger,
-                   source_system_id=a.system, block_on_mismatch=a.block_on_mismatch, max_text=a.max_text)
+                   source_system_id=a.system, block_on_mismatch=a.block_on_mismatch, max_text=a.max_text,
+                   source_system_name=system.source_system_name if system else None)
 
     def open_source(cfg: sync.TableConfig) -> DataFrame:
         if a.source.startswith("jdbc:"):
@@ -39,7 +41,11 @@ def cmd_sync(spark: SparkSession, a: argparse.Namespace) -> int:
         return scan.table(spark, f"{a.source}/{cfg.source_schema}/{cfg.source_table}")
     tables = sync.configs(control.read_control(_read_sheet(spark, a.control)))
     done = sync.sync_all(spark, tables, open_source, run, a.parallel)
-    monitoring.latest_runs(meta.read("load_stats").filter(f"run_id = '{run.run_id}'")).show(len(tables), truncate=False)
+    stats = meta.read("load_stats").filter(F.col("run_id") == run.run_id)
+    monitoring.latest_runs(stats).show(len(tables), truncate=False)
+    print("Alerts")
+    for row in monitoring.alerts(stats, meta.read("data_quality").filter(F.col("run_id") == run.run_id)).toLocalIterator():
+        print(*row, sep=" | ")
     return 1 if any(d.error for d in done.values()) else 0
 
 

@@ -19,7 +19,7 @@ from tidemark.operators.validate import REASON
 from tidemark.session import one_row
 
 STATUS = "_load_status"
-VERSION_LOG_SCHEMA = "table_name string, version string, committed_at timestamp_ntz"
+VERSION_LOG_SCHEMA = "table_name string, version string, committed_at timestamp_ntz, number bigint"
 
 # Fixed values
 ROWS_PER_FILE = 500_000
@@ -125,14 +125,17 @@ def version_path(root: str, table: str, version: str) -> str:
 
 
 def publish_version(spark: SparkSession, root: str, table: str, version: str, committed_at: str | dt.datetime) -> None:
-    """Make a complete version the current one, by adding a row to the version log."""
-    row = one_row(spark, table_name=F.lit(table), version=F.lit(version), committed_at=ntz(committed_at))
+    """Make a complete version the current one, by adding a row to the version log. Of versions committed at the same
+    time the one published last is current; `number` says which that is."""
+    before = read_log(spark, f"{root}/_versions", VERSION_LOG_SCHEMA).filter(F.col("table_name") == table).count()
+    row = one_row(spark, table_name=F.lit(table), version=F.lit(version), committed_at=ntz(committed_at),
+                  number=F.lit(before).cast("bigint"))
     append_log(row, f"{root}/_versions")
 
 
 def current_version(spark: SparkSession, root: str, table: str) -> str | None:
     row = (read_log(spark, f"{root}/_versions", VERSION_LOG_SCHEMA).filter(F.col("table_name") == table)
-           .orderBy(F.desc("committed_at"), F.desc("version")).limit(1).collect())
+           .orderBy(F.desc("committed_at"), F.desc("number"), F.desc("version")).limit(1).collect())
     return row[0].version if row else None
 
 
@@ -156,7 +159,8 @@ def replace_table(marked: DataFrame, root: str, table: str, batch_id: str, commi
 def expire_versions(spark: SparkSession, root: str, table: str, keep: int = 2) -> list[str]:
     """Delete published versions older than the newest `keep`. Returns their names."""
     log = read_log(spark, f"{root}/_versions", VERSION_LOG_SCHEMA).filter(F.col("table_name") == table)
-    names = log.groupBy("version").agg(F.max("committed_at").alias("at")).orderBy(F.desc("at"), F.desc("version"))
+    names = log.groupBy("version").agg(F.max("committed_at").alias("at"), F.max("number").alias("n")).orderBy(
+        F.desc("at"), F.desc("n"), F.desc("version"))
     old = [r.version for r in names.collect()[max(keep, 1):] if path_exists(spark, version_path(root, table, r.version))]
     for version in old:
         fs, jpath = _hadoop(spark, version_path(root, table, version))

@@ -44,11 +44,11 @@ def clean_round(spark, sf):
     return clean.round_floats(lines)
 
 
-@query(f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
+@query(f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        CASE WHEN o_orderpriority NOT IN ('nan', 'None', 'NULL', 'null') THEN o_orderpriority END AS o_orderpriority
 FROM ({DIRTY_ORDERS_SQL})""")
 def clean_null_tokens(spark, sf):
-    return clean.null_tokens(dirty_orders(spark, sf).drop("o_totalprice"))
+    return clean.null_tokens(dirty_orders(spark, sf))
 
 
 @query("""SELECT p_partkey, printf('%.10f', p_retailprice) AS price_text,
@@ -74,24 +74,24 @@ def evolve_schema(spark, sf):
     return stamp.append_evolved(stamp.ensure_stamp(parts), stamp.stamp(parts, BATCH, ORDERS_AS_OF, SYSTEM))
 
 
-@query(f"""SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey IS NULL THEN 'null_pk' END AS _reject_reason
+@query(f"""SELECT *, CASE WHEN o_orderkey IS NULL THEN 'null_pk' END AS _reject_reason
 FROM ({DIRTY_ORDERS_SQL})""")
 def reject_null_pk(spark, sf):
     rules = validate.Rules(pk="o_orderkey", max_text=None)
-    return validate.mark(dirty_orders(spark, sf).select("o_orderkey", "o_custkey"), rules, ORDERS_AS_OF)
+    return validate.mark(dirty_orders(spark, sf), rules, ORDERS_AS_OF)
 
 
-@query(f"""SELECT o_orderkey, o_custkey, try_cast(o_orderdate AS TIMESTAMP) AS o_orderdate FROM ({DIRTY_ORDERS_SQL})""")
+@query(f"""SELECT * REPLACE (try_cast(o_orderdate AS TIMESTAMP) AS o_orderdate) FROM ({DIRTY_ORDERS_SQL})""")
 def coerce_dates(spark, sf):
-    return validate.coerce_date(dirty_orders(spark, sf).select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderdate")
+    return validate.coerce_date(dirty_orders(spark, sf), "o_orderdate")
 
 
-@query(f"""SELECT o_orderkey, o_custkey, try_cast(o_orderdate AS TIMESTAMP) AS o_orderdate,
+@query(f"""SELECT * REPLACE (try_cast(o_orderdate AS TIMESTAMP) AS o_orderdate),
        CASE WHEN try_cast(o_orderdate AS TIMESTAMP) > TIMESTAMP '{ORDERS_AS_OF}' THEN 'future_date' END AS _reject_reason
 FROM ({DIRTY_ORDERS_SQL})""")
 def reject_future(spark, sf):
     rules = validate.Rules(date="o_orderdate")
-    return validate.mark(dirty_orders(spark, sf).select("o_orderkey", "o_custkey", "o_orderdate"), rules, ORDERS_AS_OF)
+    return validate.mark(dirty_orders(spark, sf), rules, ORDERS_AS_OF)
 
 
 @query("SELECT doc_id, substring(text, 1, 4000) AS text, lang, source, n_chars FROM documents")

@@ -37,10 +37,10 @@ def csv_roundtrip(spark, sf):
     return staged.read_csv(spark, folder, PART_SCHEMA)
 
 
-def _staged_orders(spark, sf, folder):
+def _staged_orders(spark, sf, folder, rows_per_file=1_000):
     orders = table(spark, sf, "orders")
     plan = ranges.plan_fixed(orders, "o_orderkey", FIXED)
-    staged.export_ranges_csv(ranges.assign(orders, "o_orderkey", plan), folder)
+    staged.export_ranges_csv(ranges.assign(orders, "o_orderkey", plan), folder, rows_per_file=rows_per_file)
 
 
 @query(_FIXED_PLAN + """ SELECT orders.*, range_id FROM orders JOIN plan ON range_id >= 0 AND (start_id IS NULL OR o_orderkey >= start_id) AND (end_id IS NULL OR o_orderkey < end_id)
@@ -52,12 +52,11 @@ def range_load(spark, sf):
     return staged.read_range(spark, folder, [0, 3], ORDER_SCHEMA)
 
 
-@query(_FIXED_PLAN + " SELECT range_id, row_count AS rows, true AS has_files FROM counts")
+@query(_FIXED_PLAN + " SELECT range_id, row_count AS rows, CAST(ceil(row_count / 1000) AS BIGINT) AS files FROM counts")
 def staged_inventory(spark, sf):
     folder = fresh_folder(spark, "inventory")
     _staged_orders(spark, sf, folder)
-    found = staged.inventory(staged.read_csv(spark, folder, ORDER_SCHEMA))
-    return found.select("range_id", "rows", (F.col("files") > 0).alias("has_files"))
+    return staged.inventory(staged.read_csv(spark, folder, ORDER_SCHEMA)).select("range_id", "rows", "files")
 
 
 @query(f"SELECT *, {STAMPS_SQL} FROM customer")
@@ -123,8 +122,7 @@ def range_reexport(spark, sf):
 def range_load_counts(spark, sf):
     """A range migration that stops after the first two ranges and goes on; rows per range at each step."""
     root, orders = fresh_folder(spark, "migrate"), table(spark, sf, "orders")
-    fixed_counts(spark, sf).write.parquet(f"{root}/plan")
-    plan = spark.read.parquet(f"{root}/plan")
+    plan = fixed_counts(spark, sf)
     args = (f"{root}/staged", f"{root}/log")
     migrate.export_ranges(spark, orders, "o_orderkey", plan.filter("range_id < 2"), *args, ORDERS_MARK)
     migrate.export_ranges(spark, orders, "o_orderkey", plan, *args, ORDERS_AS_OF)

@@ -9,6 +9,7 @@ from tidemark.queries.fixtures import CLEAN_ORDERS_SQL, ORDERS_AS_OF, SPARSE_KEY
 from tidemark.queries.cleaning import marked_orders
 from tidemark.operators.validate import accepted
 from tidemark.queries.registry import query
+from tidemark.session import stored
 
 WIDTH, TARGET = 500, 10_000
 FIXED = 2_500
@@ -43,10 +44,10 @@ def _plan(spark, sf):
 
 
 def fixed_counts(spark, sf):
-    """Fixed-width ranges of orders with the rows in each."""
+    """Fixed-width ranges of orders with the rows in each; written, so that orders is scanned once however often it is used."""
     orders = table(spark, sf, "orders")
     plan = ranges.plan_fixed(orders, "o_orderkey", FIXED)
-    return plan.join(ranges.counts_by_range(orders, "o_orderkey", plan), "range_id")
+    return stored(plan.join(ranges.counts_by_range(orders, "o_orderkey", plan), "range_id"), "counts")
 
 
 @query(_RANGE_PLAN + f" SELECT *, CAST(ceil(row_count / {TARGET}) AS INTEGER) AS slices FROM plan")
@@ -78,12 +79,11 @@ def _at(seconds):
     return F.lit(ORDERS_AS_OF).cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
-def range_log(spark, sf):
+def range_log(spark, c):
     """A log over the fixed ranges: every third range failed, the others are done, one after the other.
 
     Before them lie the rows of an earlier run over the same ranges, which was closed.
     """
-    c = fixed_counts(spark, sf)
     rid = F.col("range_id")
     now = c.select(F.lit("export").alias("phase"), rid, F.col("row_count").alias("rows"),
                    _at((rid + 1) * 60).alias("completed_at"), F.when(rid % 3 == 2, "failed").otherwise("done").alias("status"))
@@ -106,12 +106,14 @@ prog AS (SELECT range_id, completed_at, rows, CAST(sum(rows) OVER w AS BIGINT) A
 
 @query(_FIXED_PLAN + " SELECT * FROM counts WHERE range_id % 3 = 2")
 def pending_ranges(spark, sf):
-    return ranges.pending(fixed_counts(spark, sf), range_log(spark, sf), "export")
+    counts = fixed_counts(spark, sf)
+    return ranges.pending(counts, range_log(spark, counts), "export")
 
 
 def _progress(spark, sf):
     """The session began two minutes in, after the first ranges were done by an earlier one."""
-    return ranges.progress(fixed_counts(spark, sf), range_log(spark, sf), "export", "1999-01-01 00:02:00")
+    counts = fixed_counts(spark, sf)
+    return ranges.progress(counts, range_log(spark, counts), "export", "1999-01-01 00:02:00")
 
 
 @query(_PROGRESS + """ SELECT *, CASE WHEN rows_per_second > 0 THEN CAST(floor(
@@ -132,7 +134,7 @@ UNION ALL SELECT 'target of this run', n, CASE WHEN n = 0 THEN 'rebuild' ELSE 'r
 UNION ALL SELECT 'target of a closed run', 0, 'rebuild'""")
 def start_modes(spark, sf):
     """Fresh, resumed, or rebuilt, decided by the target and the current run's finished ranges."""
-    log = range_log(spark, sf)
+    log = stored(range_log(spark, fixed_counts(spark, sf)), "range_log")
     ended = log.filter(F.col("completed_at") <= F.lit(ORDERS_AS_OF).cast("timestamp_ntz"))
 
     def case(situation, entries, exists):

@@ -22,9 +22,14 @@ def export_csv(df: DataFrame, path: str, header: bool = True, rows_per_file: int
      .option("header", header).option("maxRecordsPerFile", rows_per_file).csv(path))
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str, header: bool = True) -> DataFrame:
-    """Staged files, folders or wildcards read as one table. Empty text is NULL."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine="true", mode="FAILFAST", header=str(header)).csv(path)
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str, header: bool = True,
+             line_breaks: bool = True) -> DataFrame:
+    """Staged files, folders or wildcards read as one table. Empty text is NULL.
+
+    A file with line breaks inside values cannot be split, so a task reads it whole; exports therefore cut files by
+    rows. For files from elsewhere without such values, `line_breaks=False` lets Spark split them.
+    """
+    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=str(line_breaks), mode="FAILFAST", header=str(header)).csv(path)
 
 
 def export_ranges_csv(df: DataFrame, path: str, header: bool = True, rows_per_file: int = ROWS_PER_RANGE_FILE) -> None:

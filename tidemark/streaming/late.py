@@ -13,14 +13,17 @@ def late_rows(source: DataFrame, target: DataFrame, pk: str, date: str, watermar
               overlap_days: int, dates_never_change: bool = False) -> DataFrame:
     """Source rows dated in the `overlap_days` before the watermark whose key the target does not have.
 
-    Only the target's key column is read, and each key once, so a repeated key does not weigh on one
-    task. If a row never changes its date, the target is read in the overlap only.
+    The target's keys are first cut to those of the overlap (Spark can prune that scan by the few keys it is joined
+    with), so no shuffle of all keys is made distinct. If a row never changes its date, the target is read in the
+    overlap only.
     """
     mark = ntz(watermark)
     low = mark - F.make_dt_interval(F.lit(overlap_days))
     overlap = (F.col(date) >= low) & (F.col(date) < mark)
-    known = (target.filter(overlap) if dates_never_change else target).select(pk).distinct()
-    return source.filter(overlap).join(known, pk, "left_anti").select(*source.columns)
+    rows = source.filter(overlap)
+    keys = rows.select(pk).distinct()
+    known = (target.filter(overlap) if dates_never_change else target).select(pk).join(keys, pk, "left_semi").distinct()
+    return rows.join(known, pk, "left_anti").select(*source.columns)
 
 
 def drop_repeats(stream: DataFrame, pk: str, date: str, delay: str) -> DataFrame:
