@@ -58,3 +58,31 @@ def test_odd_rows(spark, model):
     empty = t.fit(docs.limit(0), none)
     assert [r.score for r in t.score(docs.limit(1), empty).collect()] == [0.5]
     assert t.score(docs.limit(0), model).count() == 0
+
+
+def test_trigrams_do_not_depend_on_chunks(monkeypatch):
+    texts = ["abc défg", "", "x", "A longer text, with 12 words or so.", "zz" * 40]
+    batch = t.pa.RecordBatch.from_arrays([t.pa.array(texts)], ["text"])
+    want = np.zeros(t.ALPHABET ** 3, np.int64)
+    for chunk in (1 << 20, 7, 1):
+        monkeypatch.setattr(t, "_CHUNK", chunk)
+        got = np.zeros(t.ALPHABET ** 3, np.int64)
+        for out in t._trigrams([batch, batch]):
+            got[out.column(0).to_numpy()] += out.column(1).to_numpy()
+        if chunk == 1 << 20:
+            want = got
+        assert got.sum() > 0 and (got == want).all(), chunk
+
+
+def test_tally_counts_documents_and_occurrences(monkeypatch):
+    model = np.zeros((64, 64, 64), np.float32)
+    texts, toxic = ["stupid man stupid", "man of the house", "houses stupid"], [1, 0, 1]
+    for cache in (1 << 18, 1):
+        monkeypatch.setattr(t, "_CACHE", cache)
+        found = {}
+        batch = t.pa.RecordBatch.from_arrays([t.pa.array(texts), t.pa.array(toxic)], ["text", "toxic"])
+        for out in t._counted(model)([batch]):
+            for row in zip(*[c.to_pylist() for c in out.columns]):
+                found[row[0]] = tuple(a + b for a, b in zip(found.get(row[0], (0,) * 4), row[1:]))
+        assert found["stupid"] == found["stup~"] == (2, 2, 3, 3) and found["hous~"] == (2, 1, 2, 1)
+        assert found["man"] == (2, 1, 2, 1) and found[""] == (3, 2, 9, 5)

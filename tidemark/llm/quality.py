@@ -30,7 +30,7 @@ REPEAT_PERCENT = 20
 PRIOR = 50
 SPREAD = 3
 #: measure: (slack above, slack below, or None where low is fine), in bins
-SLACK = {"symbols": (100, None), "dup_lines": (500, None), "word_length": (80, 35)}
+SLACK = {"symbols": (200, None), "dup_lines": (500, None), "word_length": (80, 35)}
 LAST_BIN = 1000
 
 
@@ -177,7 +177,7 @@ b AS (SELECT r, lang, source, unnest([{'m': 1, 'b': least(1000 * n_symbols // gr
     {'m': 3, 'b': least(10 * word_chars // greatest(n_words, 1), 1000)}], recursive := true) FROM m),
 own AS (SELECT lang, source, m, count(*) AS n, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM b GROUP BY ALL),
 lng AS (SELECT lang, m, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM b GROUP BY ALL),
-s(m, up, down) AS (VALUES (1, 100, NULL), (2, 500, NULL), (3, 80, 35)),
+s(m, up, down) AS (VALUES (1, 200, NULL), (2, 500, NULL), (3, 80, 35)),
 lim AS (SELECT o.lang, o.source, o.m, n,
     n * (o.q3 + greatest(3 * (o.q3 - o.q1), up)) + 50 * (l.q3 + greatest(3 * (l.q3 - l.q1), up)) AS hi,
     CASE WHEN down IS NOT NULL THEN n * (o.q1 - greatest(3 * (o.q3 - o.q1), down))
