@@ -13,6 +13,7 @@ word is encoded alone, always taking its lowest, leftmost pair. A word that is i
 from __future__ import annotations
 
 import base64
+import functools
 import heapq
 from collections.abc import Iterator
 
@@ -45,25 +46,29 @@ class Vocabulary:
         tokens = [b""] * n
         for t, r in self.ranks.items():
             tokens[r] = t
-        self.bytes_of = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+        self.bytes_of = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
         self.blob = np.frombuffer(b"".join(tokens), np.uint8)
         self.lengths = np.array([len(t) for t in tokens], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
+
+    @functools.cached_property
+    def merges(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of tokens, as one sorted number each, and the rank that they merge to. Decoding does without."""
         pairs = {}
         for t, r in self.ranks.items():
             for cut in range(1, len(t)):
                 a, b = self.ranks.get(t[:cut]), self.ranks.get(t[cut:])
                 if a is not None and b is not None:
                     pairs[a << 32 | b] = r
-        self.pair_ranks = pairs
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.values = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        keys = np.array(sorted(pairs), np.int64)
+        return keys, np.array([pairs[k] for k in keys.tolist()], np.int64)
 
     def merged(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank of each pair, -1 if no merge makes it."""
-        k = a << 32 | b
-        at = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
-        return np.where(self.keys[at] == k, self.values[at], -1)
+        keys, values = self.merges
+        k = a.astype(np.int64) << 32 | b
+        at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+        return np.where(keys[at] == k, values[at], -1)
 
     def alone(self, word: bytes) -> list[int]:
         """One word: its lowest pair, the leftmost of equals, until none is left."""
@@ -73,7 +78,7 @@ class Vocabulary:
         rank = [-1] * n
 
         def look(i: int) -> None:
-            rank[i] = self.pair_ranks.get(ids[i] << 32 | ids[after[i]], -1) if after[i] >= 0 else -1
+            rank[i] = int(self.merged(np.int64(ids[i]), np.int64(ids[after[i]]))) if after[i] >= 0 else -1
             if rank[i] >= 0:
                 heapq.heappush(heap, (rank[i], i))
         heap: list[tuple[int, int]] = []
@@ -101,7 +106,7 @@ class Vocabulary:
         if rest:
             sizes = np.array([len(words[i]) for i in rest])
             symbols, alive, odd = self._merge_all(self.bytes_of[np.frombuffer(b"".join(words[i] for i in rest), np.uint8)], sizes)
-            owner = np.repeat(np.arange(len(rest)), sizes)
+            owner = np.repeat(np.arange(len(rest), dtype=np.int32), sizes)
             tally = np.bincount(owner[alive], minlength=len(rest))
             own = {}
             for i in odd.tolist():
@@ -123,12 +128,12 @@ class Vocabulary:
     def _merge_all(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """symbols after all merges, which of them are left, and the words to encode alone."""
         n, ends = len(symbols), np.cumsum(sizes)
-        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         after[ends - 1] = -1
         before[ends - sizes] = -1
-        word = np.repeat(np.arange(len(sizes)), sizes)
+        word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         alive, odd = np.ones(n, bool), np.zeros(len(sizes), bool)
-        rank = np.full(n, -1, np.int64)
+        rank = np.full(n, -1, np.int32)
         index: dict[int, list[np.ndarray]] = {}
         heap: list[int] = []
 
@@ -151,12 +156,14 @@ class Vocabulary:
                     heapq.heappush(heap, r)
                 index[r].append(part)
 
-        look(np.arange(n), -1)
+        for i in range(0, n, _SLICE):
+            look(np.arange(i, min(n, i + _SLICE), dtype=np.int32), -1)
         while heap:
             r = heapq.heappop(heap)
             parts = index.pop(r)
-            at = np.unique(np.concatenate(parts) if len(parts) > 1 else parts[0])
-            at = at[rank[at] == r]
+            at = np.concatenate(parts) if len(parts) > 1 else parts[0]
+            at = np.sort(at[rank[at] == r])
+            at = at[np.r_[True, at[1:] != at[:-1]][:len(at)]]  # a pair may have been indexed twice
             if len(at) > 1:  # of pairs that overlap in a chain, the first, third, ... merge
                 fresh = np.r_[True, after[at[:-1]] != at[1:]]
                 if not fresh.all():
@@ -173,7 +180,7 @@ class Vocabulary:
             left = before[at]
             left = left[left >= 0]
             rank[left] = -1
-            look(np.unique(np.r_[left, at]), r)
+            look(np.concatenate((left, at)), r)
         return symbols, alive, np.flatnonzero(odd)
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
