@@ -59,13 +59,25 @@ def _classes(text: str) -> np.ndarray:
 
 
 def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(ALPHABET ** 3, np.int64)
+    counts, held, size = np.zeros(ALPHABET ** 3, np.int64), [], 0
+    gap = np.zeros(2, np.uint8)
+
+    def count() -> None:  # many texts at once: a pass over the table costs more than a short text
+        c = np.concatenate(held).astype(np.int64)
+        counts[:] += np.bincount((c[:-2] * ALPHABET + c[1:-1]) * ALPHABET + c[2:], minlength=ALPHABET ** 3)
     for batch in batches:
         for text in batch.column(0):
             text = text.as_py().lower()
-            for at in range(0, len(text), _CHUNK):  # two characters of overlap
-                c = _classes(("  " if not at else "") + text[max(0, at - 2):at + _CHUNK]).astype(np.int64)
-                counts += np.bincount((c[:-2] * ALPHABET + c[1:-1]) * ALPHABET + c[2:], minlength=ALPHABET ** 3)
+            held.append(gap)
+            for at in range(0, len(text), _CHUNK):
+                held.append(_classes(text[at:at + _CHUNK]))
+                size += len(held[-1])
+                if size >= _CHUNK:
+                    count()
+                    held, size = [np.concatenate(held[-3:])[-2:]], 0  # what the next characters follow
+    if held:
+        held.append(gap)
+        count()
     at = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["code", "n"])
 
@@ -142,38 +154,85 @@ def _token_features(model: np.ndarray):
     return of
 
 
-def _pieces(text: str, model: np.ndarray) -> Counter:
-    """How often each token stands in a text; what stands letter by letter counts as the word it restores to."""
+def _pieces(text: str, model: np.ndarray) -> list[str]:
+    """The tokens of a text; what stands letter by letter comes again as the word it restores to."""
     text = text.lower()
-    return Counter(text.split()) + Counter(restore(m.group(), model) for m in _SPACED.finditer(text))
+    tokens = text.split()
+    tokens.extend(restore(m.group(), model) for m in _SPACED.finditer(text))
+    return tokens
+
+
+class _Tally:
+    """Documents and occurrences of each feature, all and toxic ones, over the texts of a task so far."""
+
+    def __init__(self, model: np.ndarray):
+        self.model, self.features = model, _token_features(model)
+        self.reset()
+
+    def reset(self) -> None:
+        self.tokens: dict[str, int] = {}
+        self.names: dict[str, int] = {"": 0}  # the empty one stands for any token
+        self.flat, self.sizes = [], []
+        self.counts = np.zeros((4, 1), np.int64)
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids, self.times, self.owner, self.toxic = [], [], [], []
+
+    def number(self, token: str) -> int:
+        n = self.tokens[token] = len(self.tokens)
+        found = [0, *(self.names.setdefault(f, len(self.names)) for f in self.features(token))]
+        self.flat.extend(found)
+        self.sizes.append(len(found))
+        return n
+
+    def add(self, text: str, toxic: int) -> None:
+        known, number = self.tokens, self.number
+        found = Counter(_pieces(text, self.model))
+        self.ids.extend([known[t] if t in known else number(t) for t in found])
+        self.times.extend(found.values())
+        self.owner.append(len(found))
+        self.toxic.append(toxic)
+
+    def settle(self) -> None:
+        """Count the texts added since the last time."""
+        if self.ids:
+            ids, sizes = np.array(self.ids), np.array(self.sizes)
+            starts = np.cumsum(sizes) - sizes
+            per = sizes[ids]
+            stops = np.cumsum(per)
+            features = np.array(self.flat)[np.repeat(starts[ids] - (stops - per), per) + np.arange(stops[-1])]
+            doc = np.repeat(np.repeat(np.arange(len(self.owner)), self.owner), per)
+            pair, at = np.unique(doc * len(self.names) + features, return_inverse=True)
+            times = np.bincount(at, weights=np.repeat(self.times, per)).astype(np.int64)
+            doc, features = pair // len(self.names), pair % len(self.names)
+            toxic = np.array(self.toxic)[doc]
+            new = [np.bincount(features, weights=w, minlength=len(self.names)).astype(np.int64)
+                   for w in (np.ones(len(pair)), toxic, times, times * toxic)]
+            self.counts = np.pad(self.counts, ((0, 0), (0, len(self.names) - self.counts.shape[1]))) + new
+        self.clear()
+
+    def batch(self) -> pa.RecordBatch:
+        self.settle()
+        out = pa.RecordBatch.from_arrays([pa.array(list(self.names)[:self.counts.shape[1]]), *map(pa.array, self.counts)],
+                                         ["feature", "n", "toxic", "times", "toxic_times"])
+        self.reset()
+        return out
 
 
 def _counted(model: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cached, counts = functools.lru_cache(_CACHE)(_token_features(model)), {}
-
-        def flush() -> pa.RecordBatch:
-            columns = zip(*counts.values())
-            return pa.RecordBatch.from_arrays([pa.array(list(counts)), *[pa.array(c, pa.int64()) for c in columns]],
-                                              ["feature", "n", "toxic", "times", "toxic_times"])
+        tally = _Tally(model)
         for batch in batches:
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-                here: dict[str, int] = {}
-                for token, times in _pieces(text.as_py(), model).items():
-                    here[""] = here.get("", 0) + times  # stands for any token
-                    for f in cached(token):
-                        here[f] = here.get(f, 0) + times
-                for f, times in here.items():
-                    c = counts.setdefault(f, [0, 0, 0, 0])
-                    c[0] += 1
-                    c[1] += toxic
-                    c[2] += times
-                    c[3] += toxic * times
-                if len(counts) > _CACHE:
-                    yield flush()
-                    counts = {}
-        if counts:
-            yield flush()
+                tally.add(text.as_py(), toxic)
+                if len(tally.ids) > _CACHE:
+                    tally.settle()
+                if len(tally.names) > 4 * _CACHE:
+                    yield tally.batch()
+        tally.settle()
+        if tally.counts.any():
+            yield tally.batch()
     return run
 
 
@@ -245,17 +304,20 @@ def _measured(model: Model, keep: str):
     """keep, total and top weight, tokens, hits of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, weights = _token_features(model.language), model.weights
-        cached = functools.lru_cache(_CACHE)(lambda token: max((weights.get(f, 0.0) for f in features(token)), default=0.0))
+        heads, least = {f[:BEGINNINGS[0]] for f in weights}, BEGINNINGS[0]
+
+        @functools.lru_cache(_CACHE)
+        def cached(token: str) -> float:
+            if token.isalpha() and token[:least] not in heads and not _REPEATED.search(token):
+                return 0.0  # most tokens: nothing telling begins like this
+            return max((weights.get(f, 0.0) for f in features(token)), default=0.0)
         for batch in batches:
             rows = []
             for text in batch.column(batch.schema.get_field_index("text")):
-                total = top = 0.0
-                tokens = hits = 0
-                for token, times in _pieces(text.as_py(), model.language).items():
-                    tokens += times
-                    if w := cached(token):
-                        total, top, hits = total + w * times, max(top, w), hits + times
-                rows.append((total, top, tokens, hits))
+                tokens = _pieces(text.as_py(), model.language)
+                telling = {t for t in set(tokens) if cached(t)}
+                found = [cached(t) for t in tokens if t in telling] if telling else []
+                rows.append((math.fsum(found), max(found, default=0.0), len(tokens), len(found)))
             total, top, tokens, hits = zip(*rows) if rows else ((), (), (), ())
             kept = batch.column(batch.schema.get_field_index(keep)).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
