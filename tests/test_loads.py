@@ -2,6 +2,7 @@
 
 import random
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import relocate, sink, watermark
 from tidemark.operators.stamp import stamp
 from tidemark.operators.validate import REASON, Rules, mark
-from tidemark.plans import audit, control, monitoring, sync
+from tidemark.plans import audit, control, migrate, monitoring, sync
 from tidemark.session import work_root
 from tidemark.sources import scan, staged
 from tidemark.streaming import ingest, late
@@ -335,7 +336,6 @@ def test_short_full_load_is_not_published_when_blocked(spark, monkeypatch):
     before = sync.read_target(spark, run, full).count()
     sync.sync_table(spark, lambda c: source(spark, [(3, T0)]), full, run)   # the same clock: another version, not the same one
     assert (before, sync.read_target(spark, run, full).count()) == (2, 1)
-    from dataclasses import replace
     blocked = replace(make_run(spark, root, T2), block_on_mismatch=True)
     real = sync.sink.write_batch
     monkeypatch.setattr(sync.sink, "write_batch", lambda rows, *a, **k: real(rows.filter("id = 1"), *a, **k))
@@ -350,7 +350,6 @@ def test_key_predicates_cover_every_row_once():
 
 
 def test_more_spans_than_are_pushed_stay_a_filter(spark):
-    from tidemark.plans import migrate
     todo = [spark.createDataFrame([(i, 10 * i, 10 * i + 5)], "range_id int, start_id bigint, end_id bigint").first() for i in range(60)]
     df = spark.range(700).withColumnRenamed("id", "k")
     kept = {r.k for r in df.filter(migrate.key_filter("k", todo)).collect()}

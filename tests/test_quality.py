@@ -53,7 +53,6 @@ def test_sums_hold_big_values_and_say_what_does_not_fit(spark):
 def test_comparison_sees_columns_and_types_of_both_sides(spark):
     src = spark.createDataFrame([(1, 5), (2, 6)], "id int, v int")
     wide = spark.createDataFrame([(1, "5", "new"), (2, "oops", None)], "id bigint, v string, extra string")
-    from tidemark.operators import reconcile
     assert {r.id: r.status for r in reconcile.compare_rows(src, wide, ["id"]).collect()} == {1: "changed", 2: "changed"}
     assert {r.id: r.status for r in reconcile.compare_rows(src, wide, ["id"], ["v"]).collect()} == {1: "same", 2: "changed"}
     assert {r.column_name for r in reconcile.schema_differences(src, wide).collect()} == {"id", "v", "extra"}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import ranges, sink
 from tidemark.plans import migrate
 from tidemark.session import work_root
-from tidemark.sources import scan
+from tidemark.sources import scan, staged
 
 T0, T1, T2 = "2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"
 
@@ -223,3 +223,15 @@ def test_finished_jobs_stay_done_when_a_later_one_fails(spark, orders, monkeypat
     rest = migrate.export_ranges(spark, orders, "o_orderkey", plan, *args, T1, ranges_per_job=1)
     assert [r.range_id for r in rest.collect()] == [2]
     assert spark.read.parquet(args[0]).count() == orders.count()
+
+
+def test_staged_text_loads_with_a_declared_schema(spark, sf):
+    root = f"{work_root(spark)}/csv-load-{uuid.uuid4().hex}"
+    df = spark.createDataFrame([(1, "5", "a"), (2, "x", "b"), (None, "7", None)], "k bigint, n string, t string")
+    plan = ranges.plan_fixed(df, "k", 1)
+    staged.export_ranges_csv(ranges.assign(df, "k", plan), f"{root}/staged")
+    done = migrate.load_ranges(spark, f"{root}/staged", f"{root}/target", f"{root}/log", "2024-01-01 00:00:00",
+                               schema="k bigint, n int, t string", csv_schema="k bigint, n string, t string")
+    assert {(r.range_id, r.rows, r.status) for r in done.collect()} == {(-1, 1, "done"), (0, 1, "done"), (1, 1, "done")}
+    got = spark.read.parquet(f"{root}/target")
+    assert {(r.k, r.n, r.t, r.range_id) for r in got.collect()} == {(1, 5, "a", 0), (2, None, "b", 1), (None, 7, None, -1)}

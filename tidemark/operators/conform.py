@@ -53,8 +53,3 @@ def conform_report(df: DataFrame, schema: T.StructType | str) -> DataFrame:
 def _report_row(name: str, status: str, non_null: Column, lost: Column) -> Column:
     return F.struct(F.lit(name).alias("column_name"), F.lit(status).alias("status"),
                     non_null.alias("non_null"), lost.alias("lost"))
-
-
-def nullable_schema(schema: T.StructType) -> T.StructType:
-    """The same schema with every column nullable, as a target is created."""
-    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema])

@@ -183,19 +183,19 @@ def assign(df: DataFrame, key: str, plan: DataFrame) -> DataFrame:
     low, high, size = spans[0]
     rows = df.select(*names, k.alias("_key"), F.lit(0).alias("_node"), F.lit(low).cast("bigint").alias("_low"),
                      F.lit(high).cast("bigint").alias("_high"), F.lit(size).cast("bigint").alias("_size"),
-                     F.lit(None).cast("int").alias("range_id"))
+                     F.lit(None).cast("int").alias("_found"))
     for level in levels:
         table = spark.createDataFrame(
             [(node, i, rid, start, end, *(spans[child] if child else (None,) * 3), child) for node, _, _, _, i, rid, start, end, child in level],
-            "n int, b bigint, rid int, s bigint, e bigint, low bigint, high bigint, size bigint, child int")
+            "_at int, _slot bigint, _range int, _start bigint, _end bigint, _low2 bigint, _high2 bigint, _size2 bigint, _child int")
         bin_of = F.expr("(least(greatest(_key, _low), _high) - _low) div _size")
-        inside = (F.col("child").isNotNull() | ((F.col("s").isNull() | (F.col("_key") >= F.col("s")))
-                                                & (F.col("e").isNull() | (F.col("_key") < F.col("e")))))
+        inside = (F.col("_child").isNotNull() | ((F.col("_start").isNull() | (F.col("_key") >= F.col("_start")))
+                                                 & (F.col("_end").isNull() | (F.col("_key") < F.col("_end")))))
         rows = rows.withColumn("_bin", bin_of).join(
-            table, (F.col("_node") == F.col("n")) & (F.col("_bin") == F.col("b")) & inside, "left").select(
-            *names, "_key", F.col("child").alias("_node"), F.col("low").alias("_low"), F.col("high").alias("_high"),
-            F.col("size").alias("_size"), F.coalesce("rid", "range_id").alias("range_id"))
-    return rows.select(*names, F.when(F.col("_key").isNull(), F.lit(NULL_RANGE)).otherwise(F.col("range_id")).alias("range_id"))
+            table, (F.col("_node") == F.col("_at")) & (F.col("_bin") == F.col("_slot")) & inside, "left").select(
+            *names, "_key", F.col("_child").alias("_node"), F.col("_low2").alias("_low"), F.col("_high2").alias("_high"),
+            F.col("_size2").alias("_size"), F.coalesce("_range", "_found").alias("_found"))
+    return rows.select(*names, F.when(F.col("_key").isNull(), F.lit(NULL_RANGE)).otherwise(F.col("_found")).alias("range_id"))
 
 
 def counts_by_range(df: DataFrame, key: str, plan: DataFrame) -> DataFrame:
