@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import DOCUMENT, row_key, stored, table, whole
 from tidemark.llm.components import components
 from tidemark.llm.registry import query
+from tidemark.llm.similar import near_copies
 
 SHINGLE = 4
 SEED = 42
@@ -227,10 +228,11 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, l
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """documents with one row of each component: the smallest doc_id, among equal ids the smallest hash of the text;
-    of rows that repeat, one. A component without any id keeps one row as well. Columns of documents."""
+    """documents with one row of each group of near copies (five-word shingles, similarity 0.8 or more, see
+    similar.near_copies; not the fingerprints of the query): the smallest doc_id, among equal ids the smallest hash of the text;
+    of rows that repeat, one. A group without any id keeps one row as well. Columns of documents."""
     docs = docs.select(*DOCUMENT)
-    found = near_duplicates(docs, **options)
+    found = near_copies(docs, **options)
     best = (found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "_id", "_hash")).alias("k"))
             .select(F.col("k._id").alias("_id"), F.col("k._hash").alias("_hash")).distinct())
     # joined and made distinct on the same key: one shuffle of the texts
