@@ -86,3 +86,18 @@ def test_tally_counts_documents_and_occurrences(monkeypatch):
                 found[row[0]] = tuple(a + b for a, b in zip(found.get(row[0], (0,) * 4), row[1:]))
         assert found["stupid"] == found["stup~"] == (2, 2, 3, 3) and found["hous~"] == (2, 1, 2, 1)
         assert found["man"] == (2, 1, 2, 1) and found[""] == (3, 2, 9, 5)
+
+
+@pytest.mark.parametrize("share", [60, 80])
+def test_mostly_toxic_labels(spark, share):
+    """Telling words are found when most labelled rows are toxic, and texts without them stay clean."""
+    rng = np.random.default_rng(share)
+    rows = []
+    for i in range(600):
+        toxic = int(i % 100 < share)
+        words = [f"w{chr(97 + a)}{chr(97 + b)}" for a, b in rng.integers(0, 26, (30, 2))]
+        rows.append((i, " ".join([*words, "stupid"] if toxic else words), toxic))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = t.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert "stupid" in model.weights
+    assert {r.doc_id: r.predicted for r in t.score(df.select("doc_id", "text"), model).collect()} == {i: y for i, _, y in rows}

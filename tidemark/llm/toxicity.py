@@ -7,7 +7,8 @@ its alphabet is fixed, so the table is too (ALPHABET ** 3 numbers), however larg
 
 Evidence is learned from labelled rows: for each word and each beginning of 4 to 6 letters, how many documents have
 it and how many of these are toxic. Only features that chance would not bring about once among all features count
-(likelihood ratio of at least twice the logarithm of their number). A token weighs as its most telling feature: the log
+(likelihood ratio of at least twice the logarithm of their number), and that are at least twice as frequent in toxic
+texts as in others, whatever the share of toxic labels. A token weighs as its most telling feature: the log
 of the feature's rate in toxic against other texts. A logistic regression turns a document's weights, set against
 the number of its tokens, into the score. Labels are joined to at most TRAIN_ROWS rows, by hash of the
 id; that bounds the broadcast and the model. Nothing but the text goes into a score.
@@ -32,6 +33,7 @@ from tidemark.llm.registry import query
 
 TRAIN_ROWS = 50_000
 CUTOFF = 0.7
+LIKELIER = 2  # a telling feature is in toxic texts at least so many times as often as in others
 ALPHABET = 64
 BEGINNINGS = (4, 5, 6)
 #: What a sign may stand for; fixed values.
@@ -286,7 +288,9 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     ratio = 2 * (gain(F.col("toxic"), rate) + gain(F.col("n") - F.col("toxic"), 1 - rate))
     usual, high = every.times - every.toxic_times, F.col("toxic_times") / every.toxic_times
     low = (F.col("times") - F.col("toxic_times") + 0.5) / (usual + 0.5)
-    telling = (counts.where("feature <> ''").where((ratio >= 2 * math.log(features)) & (F.col("toxic") >= 2 * rate * F.col("n")))
+    # rates in toxic and in other texts are set against each other, so that the share of toxic labels does not matter
+    likelier = F.col("toxic") * (1 - rate) >= LIKELIER * rate * (F.col("n") - F.col("toxic"))
+    telling = (counts.where("feature <> ''").where((ratio >= 2 * math.log(features)) & likelier)
                .select("feature", F.log(high / low).alias("weight")).where("weight > 1"))
     # chance alone brings about one feature at most, so these follow the words that mark the sample, not its size
     weights = {r.feature: r.weight for r in telling.collect()}
