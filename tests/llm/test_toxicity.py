@@ -101,3 +101,19 @@ def test_mostly_toxic_labels(spark, share):
     model = t.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
     assert "stupid" in model.weights
     assert {r.doc_id: r.predicted for r in t.score(df.select("doc_id", "text"), model).collect()} == {i: y for i, _, y in rows}
+
+
+def test_disguises_are_decoded():
+    """Doubled letters, signs at one or both ends, separators inside, and runs from three letters, under a model of plain words."""
+    batch = t.pa.RecordBatch.from_arrays([t.pa.array(["stupid ass shit fag the man of the house stays "] * 200)], ["text"])
+    counts = np.ones(t.ALPHABET ** 3) * 0.01
+    for out in t._trigrams([batch]):
+        counts[out.column(0).to_numpy()] += out.column(1).to_numpy()
+    tri = counts.reshape((t.ALPHABET,) * 3)
+    model = np.log(tri / tri.sum(axis=2, keepdims=True)).astype(np.float32)
+    features = t._token_features(model)
+    for text, word in [("stuupid", "stupid"), ("a$$", "ass"), ("a55", "ass"), ("@$$", "ass"), ("5h17", "shit"), ("st.up.id", "stupid"),
+                       ("f a g", "fag"), ("s  t  u  p  i  d", "stupid"), ("s\nt\nu\np\ni\nd", "stupid"), ("s - t - u - p - i - d", "stupid")]:
+        found = set().union(*(features(p) for p in t._pieces(text, model)))
+        assert word in found, text
+    assert "fag" not in set().union(*(features(p) for p in t._pieces("the man of the house", model)))

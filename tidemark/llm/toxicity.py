@@ -1,6 +1,7 @@
 """Toxicity of restored texts: noisy-channel deobfuscation, then evidence of words.
 
-Tokens that mix letters with look-alikes, repeat a letter, or stand letter by letter are decoded: every character
+Tokens that hold a look-alike, a doubled letter or a separator inside, and runs of three or more single letters, are
+decoded (a token once per task while cached): every character
 opens the letters it may stand for (or none, for repeats and separators), and a Viterbi walk through this lattice
 finds the likeliest reading under a character trigram model. The model is counted over the texts of all documents;
 its alphabet is fixed, so the table is too (ALPHABET ** 3 numbers), however large the corpus.
@@ -43,9 +44,10 @@ _SEPARATORS = " .-_*"
 _CHUNK = 1 << 20
 _CACHE = 1 << 18
 _LETTERS = re.compile(r"[^\W\d_]+")
-_MIXED = re.compile(r"[^\W\d_][0-9@$!|+*]+[^\W\d_]|^[@$!+0-9]+[^\W\d_]{2}|[^\W\d_]{2}[0-9@$!]$")
-_REPEATED = re.compile(r"([^\W\d_])\1\1")
-_SPACED = re.compile(r"(?<![^\W_])(?:[^\W_][ .\-_*](?=[^\W_](?![^\W_]))){3,}[^\W_]")
+#: Tokens to decode: a look-alike, a doubled letter, or a separator inside.
+_DISGUISED = re.compile(r"[0-9@$!|+*]|([^\W\d_])\1|[^\W_][.\-_]+[^\W_]")
+#: Three signs or more, letter by letter, with short runs of white space or separators between.
+_SPACED = re.compile(r"(?<![^\W_])(?:(?:[^\W_]|[@$!|+])[\s.\-_*]{1,3}(?=(?:[^\W_]|[@$!|+])(?![^\W_]))){2,}(?:[^\W_]|[@$!|+])")
 
 # classes of characters: 0 white space, 1-26 a-z, 27-58 Latin letters with marks, 59 digits, 60 other letters, 61 the rest
 _CLASSES = np.full(0x250, 61, np.uint8)
@@ -108,7 +110,7 @@ def _lattice(piece: str) -> list[list[tuple[str, float]]]:
             options += [(x, -0.3 - math.log(len(LOOKALIKES[c]))) for x in LOOKALIKES[c]]
         if i and c == piece[i - 1] and c.isalpha():
             options.append(("", -0.7))
-        if spaced and c in _SEPARATORS:
+        if (c in _SEPARATORS or c.isspace()) and (spaced or 0 < i < len(piece) - 1):
             options.append(("", -0.1))
         out.append(options)
     return out
@@ -150,7 +152,7 @@ def _token_features(model: np.ndarray):
     """Features of a token, its restored form included."""
     def of(token: str) -> set[str]:
         found = _features(token)
-        if _MIXED.search(token) or _REPEATED.search(token):
+        if _DISGUISED.search(token):
             found |= _features(restore(token, model))
         return found
     return of
@@ -312,7 +314,7 @@ def _measured(model: Model, keep: str):
 
         @functools.lru_cache(_CACHE)
         def cached(token: str) -> float:
-            if token.isalpha() and token[:least] not in heads and not _REPEATED.search(token):
+            if token.isalpha() and token[:least] not in heads and not _DISGUISED.search(token):
                 return 0.0  # most tokens: nothing telling begins like this
             return max((weights.get(f, 0.0) for f in features(token)), default=0.0)
         for batch in batches:
