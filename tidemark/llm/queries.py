@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, chat, kdtree, licenses, mixing, quality, secrets, simhash, toxicity, urls  # noqa: F401  (fills the registry)
+from tidemark.llm import (  # noqa: F401  (fills the registry)
+    bpe, chat, importance, kdtree, licenses, mixing, quality, secrets, simhash, tokencounts, toxicity, urls, vectorcodes)
 from tidemark.llm.registry import QUERIES
 
 __all__ = ["QUERIES"]
