@@ -1,6 +1,8 @@
 """Range planning, assignment, progress and migration on hand-made keys."""
 
+import time
 import uuid
+from collections import namedtuple
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -11,6 +13,7 @@ from tidemark.plans import migrate
 from tidemark.session import work_root
 from tidemark.sources import scan, staged
 
+Range = namedtuple("Range", "range_id start_id end_id")
 T0, T1, T2 = "2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"
 
 
@@ -37,7 +40,7 @@ def test_plan_covers_every_key_once(spark, ks, width, target):
         assert a.end_id == b.start_id
     if keyed:
         assert keyed[0].start_id is None and keyed[-1].end_id is None
-    assert sum(r.row_count for r in rows) == len(ks)
+    assert sum(r.row_count for r in rows) == len(ks) and rows[0].range_id == -1
 
     def where(k):
         if k is None:
@@ -46,7 +49,7 @@ def test_plan_covers_every_key_once(spark, ks, width, target):
     assigned = ranges.assign(df, "k", plan).collect()
     assert len(assigned) == len(ks) and all(r.range_id == where(r.k) for r in assigned)
     by_range = {r.range_id: r.row_count for r in ranges.counts_by_range(df, "k", plan).collect()}
-    assert by_range == {r.range_id: r.row_count for r in rows}
+    assert by_range == {r.range_id: r.row_count for r in rows if r.row_count}
 
 
 def test_running_total_over_many_blocks(spark):
@@ -91,8 +94,6 @@ def test_far_keys_do_not_spoil_plan_or_lookup(spark):
             assert r.range_id == -1
         else:
             assert (own.start_id is None or own.start_id <= r.k) and (own.end_id is None or r.k < own.end_id)
-    levels = ranges._lookup(ranges.collect_plan(plan))
-    assert len(levels) > 1
 
 
 def test_one_repeated_key_is_one_range_with_slices(spark):
@@ -100,6 +101,34 @@ def test_one_repeated_key_is_one_range_with_slices(spark):
     assert max(r.slices for r in plan) == 10 and sum(r.row_count for r in plan) == 1050
 
 
+def test_lookup_is_a_constant_of_the_plan(spark, sf):
+    """No shuffle, no join, arrays folded; 5,000 uneven ranges cost about as much as 50."""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").select((F.col("l_orderkey") * 7 % 15_000).alias("k"))
+    took = {}
+    for n in (50, 5_000):
+        edges = sorted({i * i % 15_000 + i % 3 for i in range(2 * n)})[:n]
+        found = [Range(i, a, b) for i, (a, b) in enumerate(zip([None, *edges], [*edges, None]))]
+        df = ranges.assign_found(lines, "k", found)
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in text and "split(" not in text
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        for _ in range(3):
+            start = time.perf_counter()
+            df.write.format("noop").mode("overwrite").save()
+            took[n] = time.perf_counter() - start
+    assert took[5_000] < 3 * took[50] + 0.5
+
+
+def test_edges_of_gaps_empty_and_overlapping_ranges(spark):
+    found = [Range(4, 20, 30), Range(1, None, 5), Range(2, 5, 5), Range(3, 5, 9), Range(9, 40, None)]
+    assert ranges.edges_of(found) == ([5, 9, 20, 30, 40], [1, 3, None, 4, None, 9])
+    got = {r.k: r.range_id for r in ranges.assign_found(keys_df(spark, [-9, 4, 5, 8, 9, 19, 20, 29, 30, 39, 40, 99, None]), "k", found).collect()}
+    assert got == {-9: 1, 4: 1, 5: 3, 8: 3, 9: None, 19: None, 20: 4, 29: 4, 30: None, 39: None, 40: 9, 99: 9, None: None}
+    for a, b in [(Range(1, 0, 9), Range(2, 5, 12)), (Range(1, None, 9), Range(2, None, 5)), (Range(1, 3, None), Range(2, 5, 9)), (Range(1, 3, 9), Range(2, 3, 5))]:
+        with pytest.raises(ValueError):
+            ranges.edges_of([a, b])
+
+
 def test_default_width_is_bounded(spark):
     assert ranges.default_width(keys_df(spark, [0, 10**15]), "k", 160) == (10**15 + 1) // 1_000_000
     assert ranges.default_width(keys_df(spark, [0, 10]), "k", 160) == 10
@@ -235,3 +264,81 @@ def test_staged_text_loads_with_a_declared_schema(spark, sf):
     assert {(r.range_id, r.rows, r.status) for r in done.collect()} == {(-1, 1, "done"), (0, 1, "done"), (1, 1, "done")}
     got = spark.read.parquet(f"{root}/target")
     assert {(r.k, r.n, r.t, r.range_id) for r in got.collect()} == {(1, 5, "a", 0), (2, None, "b", 1), (None, 7, None, -1)}
+
+
+def test_rows_of_a_failed_export_are_not_loaded_nor_closed(spark, orders):
+    """A range that lost rows stays pending in both phases until it is exported whole."""
+    root = folder(spark)
+    plan = ranges.plan_ranges(orders, "o_orderkey", 4_000).cache()
+    lossy = orders.filter("not (o_orderkey between 5000 and 5009)")
+    migrate.export_ranges(spark, lossy, "o_orderkey", plan, f"{root}/s", f"{root}/log", T0)
+    migrate.load_ranges(spark, f"{root}/s", f"{root}/t", f"{root}/log", T0, plan=plan)
+    log = sink.read_log(spark, f"{root}/log", ranges.LOG_SCHEMA)
+    assert migrate.unfinished(plan, log) == 2
+    assert {r.range_id for r in ranges.pending(plan, log, "load").collect()} == {1}
+    assert migrate.load_ranges(spark, f"{root}/s", f"{root}/t", f"{root}/log", T1, plan=plan) is None
+    migrate.export_ranges(spark, orders, "o_orderkey", plan, f"{root}/s", f"{root}/log", T1)
+    migrate.load_ranges(spark, f"{root}/s", f"{root}/t", f"{root}/log", T1, plan=plan)
+    assert migrate.unfinished(plan, sink.read_log(spark, f"{root}/log", ranges.LOG_SCHEMA)) == 0
+    assert spark.read.parquet(f"{root}/t").count() == orders.count()
+
+
+def test_staged_rows_that_get_lost_fail_the_load(spark, orders):
+    root = folder(spark)
+    plan = ranges.plan_ranges(orders, "o_orderkey", 4_000).cache()
+    migrate.export_ranges(spark, orders, "o_orderkey", plan, f"{root}/s", f"{root}/log", T0)
+    sink.write_ranges(ranges.assign(orders, "o_orderkey", plan).filter("range_id = 1 and o_orderkey % 2 = 0"), f"{root}/s")
+    done = migrate.load_ranges(spark, f"{root}/s", f"{root}/t", f"{root}/log", T0, plan=plan)
+    assert {r.range_id for r in done.collect() if r.status == "failed"} == {1}
+
+
+def test_rows_without_a_key_after_planning_are_exported(spark, orders):
+    root = folder(spark)
+    plan = ranges.plan_ranges(orders, "o_orderkey", 4_000).cache()
+    more = orders.unionByName(orders.limit(7).withColumn("o_orderkey", F.lit(None).cast("bigint")))
+    migrate.export_ranges(spark, more, "o_orderkey", plan, f"{root}/s", f"{root}/log", T0)
+    migrate.load_ranges(spark, f"{root}/s", f"{root}/t", f"{root}/log", T0, plan=plan)
+    assert spark.read.parquet(f"{root}/t").filter("range_id = -1").count() == 7
+    assert spark.read.parquet(f"{root}/t").count() == orders.count() + 7
+
+
+def test_an_export_has_one_shuffle(spark, orders, monkeypatch):
+    plans = []
+    monkeypatch.setattr(sink, "write_ranges", lambda df, *a, **kw: plans.append(df.hint("rebalance", "range_id")._jdf.queryExecution().executedPlan().toString()))
+    plan = ranges.plan_ranges(orders, "o_orderkey", 1_000).cache()
+    migrate.export_ranges(spark, orders, "o_orderkey", plan, f"{folder(spark)}/s", f"{folder(spark)}/log", T0)
+    assert plans[0].count("Exchange") == 1 and "Join" not in plans[0]
+
+
+def asked(spark, keys):
+    """A database that answers in Spark's SQL, and how often it was asked."""
+    spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k bigint, v int").createOrReplaceTempView("keys_table")
+    questions = []
+
+    def ask(query):
+        questions.append(query)
+        rows = spark.sql(query).collect()
+        assert len(rows) <= scan._BUCKETS + 1
+        return rows
+    return ask, questions
+
+
+@pytest.mark.parametrize("keys, parts, at_most", [
+    ([*range(5000)], 10, 600), ([*range(3000), 10**15, None], 8, 500), ([*range(1000)] + [*range(-10**12, -10**12 + 1000)], 10, 300),
+    ([7] * 3000 + [*range(1000)] + [None] * 2000, 12, 600), ([None] * 50, 5, 10), ([5], 4, 1), ([], 4, 0), ([-2**62, 2**62, 0], 3, 1)])
+def test_database_partitions_follow_the_keys(spark, keys, parts, at_most):
+    ask, questions = asked(spark, keys)
+    predicates = scan.histogram_predicates(ask, "keys_table", "k", parts, slice_by="v")
+    counts = [spark.sql(f"SELECT v FROM keys_table WHERE {p}").collect() for p in predicates]
+    assert sorted(r.v for part in counts for r in part) == list(range(len(keys)))
+    assert max(map(len, counts), default=0) <= at_most and len(questions) < 10
+
+
+def test_slices_of_a_plan_cut_a_hot_key(spark):
+    df = spark.createDataFrame([(k, i) for i, k in enumerate([*range(100)] + [50] * 200 + [None] * 30)], "k bigint, v int")
+    plan = ranges.plan_ranges(df, "k", 20, 1)
+    whole, cut = scan.range_predicates("k", plan), scan.range_predicates("k", plan, slice_by="v")
+    assert len(cut) > len(whole)
+    for predicates in (whole, cut):
+        assert sorted(r.v for p in predicates for r in df.filter(p).collect()) == list(range(330))
+    assert max(df.filter(p).count() for p in cut) <= 45 < max(df.filter(p).count() for p in whole)

@@ -37,7 +37,7 @@ def cmd_sync(spark: SparkSession, a: argparse.Namespace) -> int:
 
     def open_source(cfg: sync.TableConfig) -> DataFrame:
         if a.source.startswith("jdbc:"):
-            return scan.database_table(spark, a.source, cfg.name, cfg.pk_column, a.database_partitions)
+            return scan.database_table(spark, a.source, cfg.name, cfg.pk_column, a.database_partitions, slice_by=a.slice_by)
         return scan.table(spark, f"{a.source}/{cfg.source_schema}/{cfg.source_table}")
     tables = sync.configs(control.read_control(_read_sheet(spark, a.control)))
     done = sync.sync_all(spark, tables, open_source, run, a.parallel)
@@ -55,7 +55,11 @@ def cmd_migrate(spark: SparkSession, a: argparse.Namespace) -> int:
     The plan is kept beside the log, so that a start after a stop goes on with it; a start with
     nothing done yet, or after a run that ended well, makes a new one.
     """
-    source, plan_path = scan.table(spark, a.source), f"{a.log}_plan"
+    if a.source.startswith("jdbc:"):
+        source = scan.database_table(spark, a.source, a.table, a.key, a.database_partitions, slice_by=a.slice_by)
+    else:
+        source = scan.table(spark, a.source)
+    plan_path = f"{a.log}_plan"
     started = ranges.done_entries(sink.read_log(spark, a.log, ranges.LOG_SCHEMA), "export").limit(1).count()
     if not started:
         top = migrate.snapshot(source, a.key).first().snapshot_max_id
@@ -70,9 +74,8 @@ def cmd_migrate(spark: SparkSession, a: argparse.Namespace) -> int:
     inside = migrate.within_snapshot(source, a.key, plan.first().snapshot_max_id)
     migrate.export_ranges(spark, inside, a.key, plan.drop("snapshot_max_id"), a.staged, a.log, sync.utc_now(),
                           ranges_per_job=a.ranges_per_job)
-    migrate.load_ranges(spark, a.staged, a.target, a.log, sync.utc_now())
-    log = sink.read_log(spark, a.log, ranges.LOG_SCHEMA)
-    left = ranges.pending(plan, log, "load").count()
+    migrate.load_ranges(spark, a.staged, a.target, a.log, sync.utc_now(), schema=a.schema, plan=plan.drop("snapshot_max_id"))
+    left = migrate.unfinished(plan, sink.read_log(spark, a.log, ranges.LOG_SCHEMA))
     print(f"{left} ranges left; rows after id {plan.first().snapshot_max_id} come with the next delta")
     if left == 0:
         for phase in ("export", "load"):
@@ -121,10 +124,15 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--block-on-mismatch", action="store_true")
     s.add_argument("--max-text", type=int, help="cut text to so many characters; by default it stays whole")
     s.add_argument("--database-partitions", type=int, default=64, help="tasks that read a table of a jdbc: source")
+    s.add_argument("--slice-by", help="SQL of a whole number per row, by which a hot key of a jdbc: source is cut")
     m = commands["migrate"]
     for name in ("--source", "--key", "--staged", "--target", "--log"):
         m.add_argument(name, required=True)
     m.add_argument("--target-rows", type=int, default=50_000_000)
+    m.add_argument("--schema", help="declared columns of the target, as DDL; what does not fit becomes NULL")
+    m.add_argument("--database-partitions", type=int, default=64, help="tasks that read a jdbc: source, given with --table")
+    m.add_argument("--table", help="table of a jdbc: source")
+    m.add_argument("--slice-by", help="SQL of a whole number per row, by which a hot key of a jdbc: source is cut")
     m.add_argument("--ranges-per-job", type=int, help="export in several jobs; for tables that lie in key order")
     c = commands["check"]
     for name in ("--source", "--target", "--table", "--key"):

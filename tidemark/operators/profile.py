@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+
+from tidemark.session import one_row
 
 # Upper bound (exclusive) of rows, tier, strategy
 TIERS = (
@@ -75,3 +77,37 @@ def change_rate(df: DataFrame, date: str, table: str) -> DataFrame:
 
 def key_stats(df: DataFrame, key: str) -> DataFrame:
     return df.agg(F.min(key).alias("min_key"), F.max(key).alias("max_key"), F.count(F.lit(1)).alias("row_count"))
+
+
+def from_footers(spark: SparkSession, path: str, *aggregates: Column) -> DataFrame:
+    """Counts, smallest and largest values of a parquet table, a plan that reads file footers and no pages where Spark can.
+
+    Spark answers count(*), and count, min and max of number, boolean and date columns, from the footers if the newer
+    reader may; of other columns (text, timestamps) it reads the pages as usual. The settings are those of a session of its own.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).agg(*aggregates)
+
+
+def footer_row(spark: SparkSession, path: str, *aggregates: Column) -> Row:
+    """The row of from_footers; files whose footers cannot tell (written without statistics) are read instead."""
+    try:
+        return from_footers(spark, path, *aggregates).first()
+    except Exception as e:   # the reader says so only when it meets such a file
+        if "statistics" not in str(e):
+            raise
+        return spark.read.parquet(path).agg(*aggregates).first()
+
+
+def key_stats_from_footers(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Like key_stats, of a parquet table and a whole-number key."""
+    r = footer_row(spark, path, F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n"))
+    return one_row(spark, min_key=F.lit(r.lo).cast("bigint"), max_key=F.lit(r.hi).cast("bigint"), row_count=F.lit(r.n).cast("bigint"))
+
+
+def table_counts_from_footers(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """Like table_counts, of parquet tables by path."""
+    rows = [(name, footer_row(spark, path, F.count(F.lit(1)).alias("n")).n) for name, path in paths.items()]
+    return spark.createDataFrame(rows, "table_name string, row_count bigint")

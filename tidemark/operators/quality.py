@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.casts import cast_or_null
 from tidemark.functions.columns import is_missing
+from tidemark.session import stored
 
 # Fixed values
 COUNT_TOLERANCE = 0.01   # a fraction: 1 %
@@ -78,9 +79,58 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences")).filter("occurrences > 1")
 
 
-def duplicate_check(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+_WORD = 64   # keys that one counter word holds, a bit each
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _packed(df: DataFrame, keys: Sequence[str]) -> Column | None:
+    """A number that only rows of the same keys share, NULL if a key is: the place in the box that the keys span. None if
+    keys are no whole numbers or their box is beyond a BIGINT. Reads the keys' smallest and largest values: one row."""
+    if not all(isinstance(df.schema[k].dataType, _INTEGRAL) for k in keys):
+        return None
+    ends = df.agg(*[f(F.col(f"`{k}`").cast("bigint")).alias(f"{n}{i}") for i, k in enumerate(keys) for f, n in ((F.min, "lo"), (F.max, "hi"))]).first()
+    code, size = F.lit(0).cast("bigint"), 1
+    for i, k in enumerate(keys):
+        low, high = ends[f"lo{i}"] or 0, ends[f"hi{i}"] or 0
+        size *= high - low + 1
+        if size >= 1 << 62 or low < -(1 << 62):
+            return None
+        code = code * F.lit(high - low + 1).cast("bigint") + (F.col(f"`{k}`").cast("bigint") - F.lit(low).cast("bigint"))
+    return code
+
+
+def counter_words(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column] | None:
+    """(word, rows, bits) and the word of a row. A word counts 64 neighbouring keys: its rows, and a bit per key that
+    occurs. Words merge before the shuffle, so a table that lies roughly by key sends a row per 64 keys and task."""
+    code = _packed(df, keys)
+    if code is None:
+        return None
+    word = F.shiftright(code, _WORD.bit_length() - 1)
+    bit = F.expr("shiftleft(1L, int(_code & 63))")
+    counted = df.select(code.alias("_code")).groupBy(F.shiftright("_code", _WORD.bit_length() - 1).alias("word")).agg(
+        F.count(F.lit(1)).alias("rows"), F.bit_count(F.bit_or(bit)).alias("bits"))
+    return counted, word
+
+
+def duplicate_keys_two_pass(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Like duplicate_keys, for tables whose keys are nearly all unique.
+
+    First the counter words of all keys; a word with more rows than bits has a key twice. Then only rows of such
+    words are shuffled and grouped. Keys that cannot be packed into numbers go through duplicate_keys.
+    """
+    found = counter_words(df, keys)
+    if found is None:
+        return duplicate_keys(df, keys)
+    words, word = found
+    # a key is NULL: no word, but one group, as before; written, so that Spark knows how few they are
+    full = stored(words.filter("word is null or rows > bits").select("word"), "full_words")
+    rows = df.select(*keys, word.alias("_word"))
+    return duplicate_keys(rows.join(full, rows["_word"].eqNullSafe(full["word"]), "left_semi"), keys)
+
+
+def duplicate_check(df: DataFrame, table: str, keys: Sequence[str], two_pass: bool = False) -> DataFrame:
     n = F.count(F.lit(1))
-    return duplicate_keys(df, keys).agg(
+    return (duplicate_keys_two_pass if two_pass else duplicate_keys)(df, keys).agg(
         n.alias("duplicate_keys"),
         F.coalesce(F.sum("occurrences"), F.lit(0)).alias("rows_involved"),
         (n == 0).alias("is_valid"),

@@ -9,14 +9,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.columns import ntz, seconds_between
 from tidemark.session import stored
 
 NULL_RANGE = -1
-_BINS = 4_096            # bins a level of the range lookup has, per crowded bin of the level before
-_CROWDED = 4             # ranges that a bin may touch before it gets bins of its own
+_NO_RANGE = -(1 << 31)   # stands for "no range" in a list of range ids
 _START_BUCKETS = 1_000_000   # of the first histogram; buckets over the target are cut up further
 _BLOCK = 4_096           # buckets whose running total one task computes
 
@@ -97,7 +96,9 @@ def plan_ranges(df: DataFrame, key: str, target_rows: int, width: int | None = N
     buckets = (running_total(histogram(df, key, width), width) if width
                else _refined(df, key, target_rows, default_width(df, key, target_rows)))
     group = F.when(F.col("bucket").isNull(), F.lit(NULL_RANGE)).otherwise(F.expr(f"(cum - 1) div {int(target_rows)}"))
-    grouped = buckets.groupBy(group.alias("_group")).agg(
+    # The range without key is always there: rows without one may turn up after planning.
+    none = df.sparkSession.createDataFrame([(NULL_RANGE, None, 0)], "_group bigint, bucket bigint, row_count bigint")
+    grouped = buckets.select(group.cast("bigint").alias("_group"), "bucket", "row_count").unionByName(none).groupBy("_group").agg(
         F.min("bucket").alias("_start"), F.sum("row_count").alias("row_count"))
     # One row per range from here on. The range without key sorts first and is not numbered.
     order = Window.orderBy("_group")
@@ -108,7 +109,7 @@ def plan_ranges(df: DataFrame, key: str, target_rows: int, width: int | None = N
         F.when(keyed & (number > 1), F.col("_start")).alias("start_id"),
         F.when(keyed, F.lead("_start").over(order)).alias("end_id"),
         "row_count",
-        F.ceil(F.col("row_count") / F.lit(target_rows)).cast("int").alias("slices"))
+        F.greatest(F.ceil(F.col("row_count") / F.lit(target_rows)), F.lit(1)).cast("int").alias("slices"))
 
 
 def plan_fixed(df: DataFrame, key: str, width: int) -> DataFrame:
@@ -130,72 +131,136 @@ def collect_plan(plan: DataFrame) -> list:
     return sorted(rows, key=lambda r: r.range_id)
 
 
-def _lookup(found: list) -> list[list[tuple]]:
-    """The ranges as a tree of bins: per level, rows (node, low, size, bin, range_id, start, end, child).
-
-    A node cuts its span into equal bins. A bin that few ranges touch lists them; a crowded one is a node of the
-    next level, over the span of the edges inside it, so uneven edges cost levels instead of long lists.
+def edges_of(found: list) -> tuple[list, list]:
+    """The edges of ranges that do not overlap, rising, and what lies before, between and after them: a range id or None."""
+    edges, labels = [], [None]
+    for r in sorted(found, key=lambda r: (r.start_id is not None, r.start_id)):
+        if r.start_id is not None and r.end_id is not None and r.end_id <= r.start_id:
+            continue   # an empty range
+        if r.start_id is None:
+            fits = not edges and labels == [None]
+        elif edges and edges[-1] == r.start_id:
+            fits = labels.pop() is None
+        else:
+            fits = labels[-1] is None and (not edges or edges[-1] < r.start_id)
+            edges.append(r.start_id)
+        if not fits:
+            raise ValueError(f"range {r.range_id} overlaps another one")
+        labels = [r.range_id] if r.start_id is None else [*labels, r.range_id]
+        if r.end_id is not None:
+            edges.append(r.end_id)
+            labels.append(None)
+    return edges, labels
+
+
+def position(key: Column, edges: Column, count: int) -> Column:
+    """How many of the `count` rising edges are at or below the key, by binary search in an array."""
+    halves = [1 << i for i in reversed(range(count.bit_length()))]
+    if not halves:
+        return F.lit(0)
+    return F.aggregate(F.array(*[F.lit(h) for h in halves]), F.lit(0), lambda at, half: at + F.when(
+        F.get(edges, at + half - 1) <= key, half).otherwise(0))   # beyond the last edge `get` gives NULL
+
+
+def range_of(key: Column, found: list) -> Column:
+    """The id of the range that a whole-number key lies in, NULL outside of all.
+
+    Edges and ids are two arrays in the plan, which Spark folds to constants, and every row is looked up where it is:
+    no join, no shuffle, and steps that grow with the logarithm of the number of ranges only.
     """
-    levels, todo, number = [], [(0, found, None, None)], 0
-    while todo:
-        level, following = [], []
-        for node, own, clip_low, clip_high in todo:
-            edges = [b for r in own for b in (r.start_id, r.end_id)
-                     if b is not None and (clip_low is None or clip_low <= b <= clip_high)]
-            low, high = min(edges) - 1, max(edges)
-            size = (high - low) // _BINS + 1
-            bins: dict[int, list] = {}
-            for r in own:
-                first = low if r.start_id is None else max(low, r.start_id)
-                last = high if r.end_id is None else min(high, r.end_id - 1)
-                for i in range((first - low) // size, (last - low) // size + 1):
-                    bins.setdefault(i, []).append(r)
-            for i, there in bins.items():
-                if len(there) > _CROWDED and size > 1:
-                    number += 1
-                    following.append((number, there, low + i * size, low + (i + 1) * size))
-                    level.append((node, low, high, size, i, None, None, None, number))
-                else:
-                    level += [(node, low, high, size, i, r.range_id, r.start_id, r.end_id, None) for r in there]
-        levels.append(level)
-        todo = following
-    return levels
+    edges, labels = edges_of(found)
+    ids = [_NO_RANGE if r is None else r for r in labels]
+    if len(ids) == 1:
+        return F.lit(labels[0]).cast("int")
+
+    def constant(values: list, dtype: str) -> Column:
+        return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{dtype}>")
+    at = position(key, constant(edges, "bigint"), len(edges))
+    return F.nullif(F.get(constant(ids, "int"), at), F.lit(_NO_RANGE))
+
+
+def assign_found(df: DataFrame, key: str, found: list) -> DataFrame:
+    """Add `range_id` for collected ranges; NULL for what they do not cover, rows without a key among it if -1 is not there."""
+    k = F.col(f"`{key}`").cast("bigint")
+    keyless = F.lit(NULL_RANGE if any(r.range_id == NULL_RANGE for r in found) else None).cast("int")
+    inside = range_of(k, [r for r in found if r.range_id != NULL_RANGE])
+    return df.withColumn("range_id", F.when(k.isNull(), keyless).otherwise(inside))
 
 
 def assign(df: DataFrame, key: str, plan: DataFrame) -> DataFrame:
     """Add `range_id`: -1 without a key, NULL if the plan does not cover the key.
 
-    The range test becomes an equi-join on bins, a level of bins per join (see _lookup; even edges need one), and
-    the bounds decide among the few ranges of a bin. The lookup is as small as the plan; Spark broadcasts it if its
-    size allows.
+    The plan, a row per range, is collected and becomes a constant of the lookup (see range_of).
     """
-    found = collect_plan(plan)
-    k = F.col(key).cast("bigint")
-    if not any(b is not None for r in found for b in (r.start_id, r.end_id)):
-        whole = F.lit(found[0].range_id if found else None).cast("int")
-        return df.withColumn("range_id", F.when(k.isNull(), F.lit(NULL_RANGE)).otherwise(whole))
-    levels = _lookup(found)
-    spark, names = df.sparkSession, [f"`{c}`" for c in df.columns]
-    spans = {}   # node: (low, high, size); the next level's span travels with the row
-    for level in levels:
-        for node, low, high, size, *_ in level:
-            spans[node] = (low, high, size)
-    low, high, size = spans[0]
-    rows = df.select(*names, k.alias("_key"), F.lit(0).alias("_node"), F.lit(low).cast("bigint").alias("_low"),
-                     F.lit(high).cast("bigint").alias("_high"), F.lit(size).cast("bigint").alias("_size"),
-                     F.lit(None).cast("int").alias("_found"))
-    for level in levels:
-        table = spark.createDataFrame(
-            [(node, i, rid, start, end, *(spans[child] if child else (None,) * 3), child) for node, _, _, _, i, rid, start, end, child in level],
-            "_at int, _slot bigint, _range int, _start bigint, _end bigint, _low2 bigint, _high2 bigint, _size2 bigint, _child int")
-        bin_of = F.expr("(least(greatest(_key, _low), _high) - _low) div _size")
-        inside = (F.col("_child").isNotNull() | ((F.col("_start").isNull() | (F.col("_key") >= F.col("_start")))
-                                                 & (F.col("_end").isNull() | (F.col("_key") < F.col("_end")))))
-        rows = rows.withColumn("_bin", bin_of).join(
-            table, (F.col("_node") == F.col("_at")) & (F.col("_bin") == F.col("_slot")) & inside, "left").select(
-            *names, "_key", F.col("_child").alias("_node"), F.col("_low2").alias("_low"), F.col("_high2").alias("_high"),
-            F.col("_size2").alias("_size"), F.coalesce("_range", "_found").alias("_found"))
-    return rows.select(*names, F.when(F.col("_key").isNull(), F.lit(NULL_RANGE)).otherwise(F.col("_found")).alias("range_id"))
+    inside = range_of(F.col(f"`{key}`").cast("bigint"), collect_plan(plan))
+    return df.withColumn("range_id", F.when(F.col(f"`{key}`").isNull(), F.lit(NULL_RANGE)).otherwise(inside))
+
+
+def plan_time_ranges(df: DataFrame, key: str, target_rows: int) -> DataFrame:
+    """Like plan_ranges over a date or a timestamp without zone; the edges are of the key's type."""
+    if isinstance(df.schema[key].dataType, T.DateType):
+        number, back = F.unix_date(key), lambda c: F.date_from_unix_date(c.cast("int"))
+    else:
+        number, back = F.unix_micros(F.col(key).cast("timestamp")), lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    plan = plan_ranges(df.select(number.cast("bigint").alias("_number")), "_number", target_rows)
+    return plan.withColumns({"start_id": back(F.col("start_id")), "end_id": back(F.col("end_id"))})
+
+
+def _shared(a: str, b: str) -> int:
+    """How many characters two texts begin with alike."""
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def plan_text_ranges(df: DataFrame, key: str, target_rows: int) -> DataFrame:
+    """(range_id, start_id, end_id, row_count, slices) over a text key; range -1 takes rows without one.
+
+    Rows are counted by the first characters of the key. A beginning with more than a quarter of the target is counted
+    again by one character more than what its smallest and largest key share, so common beginnings cost no level. The
+    counts of beginnings, in order, merge to ranges: at most the target and a quarter, but for a key that repeats more
+    often, which shows in `slices`. Crowded beginnings, fewer than four times the ranges, reach the driver.
+    """
+    crowd = max(1, target_rows // 4)
+    rows = df.select(F.col(f"`{key}`").cast("string").alias("_k"))
+    first = rows.filter("_k is not null").agg(F.min("_k").alias("lo"), F.max("_k").alias("hi")).first()
+    leaves = rows.filter("_k is null").agg(F.count(F.lit(1)).alias("n")).select(F.lit(None).cast("string").alias("head"), "n")
+    todo = [] if first.lo is None else [("", _shared(first.lo, first.hi) + 1)]
+    while todo:
+        parents = df.sparkSession.createDataFrame([(p, len(p), n) for p, n in todo], "_head string, _length int, _next int")
+        if len(todo) == 1 and todo[0][0] == "":
+            cut = rows.filter("_k is not null").withColumn("_next", F.lit(todo[0][1]))
+        else:   # the length is joined as well, a bucket per length, so that beginnings of different length do not meet
+            lengths = sorted({len(p) for p, _ in todo})
+            heads = F.array(*[F.when(F.length("_k") >= n, F.struct(F.substring("_k", 1, n).alias("_head"), F.lit(n).alias("_length"))) for n in lengths])
+            cut = rows.filter("_k is not null").select("_k", F.explode(F.filter(heads, lambda h: h.isNotNull())).alias("_h")).select(
+                "_k", "_h.*").join(parents, ["_head", "_length"])
+        counted = stored(cut.groupBy(F.expr("substring(_k, 1, _next)").alias("head")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("_k").alias("lo"), F.max("_k").alias("hi")), "beginnings")
+        full = (F.col("n") > crowd) & (F.col("lo") != F.col("hi"))
+        leaves = leaves.unionByName(counted.filter(~full).select("head", "n"))
+        todo = [(r["head"], _shared(r["lo"], r["hi"]) + 1) for r in counted.filter(full).collect()]
+    leaves = stored(leaves, "leaves")
+    upto = Window.orderBy("head").rowsBetween(Window.unboundedPreceding, -1)   # beginnings, some per range
+    keyed = leaves.filter("head is not null").select("head", "n", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
+    grouped = keyed.groupBy(F.expr(f"before div {int(target_rows)}").alias("_group")).agg(F.min("head").alias("_start"), F.sum("n").alias("row_count"))
+    order = Window.orderBy("_group")
+    number = F.row_number().over(order) - 1
+    slices = F.greatest(F.ceil(F.col("row_count") / F.lit(target_rows)), F.lit(1)).cast("int").alias("slices")
+    plan = grouped.select(number.cast("int").alias("range_id"), F.when(number > 0, F.col("_start")).alias("start_id"),
+                          F.lead("_start").over(order).alias("end_id"), "row_count", slices)
+    none = F.lit(None).cast("string")
+    return plan.unionByName(leaves.filter("head is null").select(
+        F.lit(NULL_RANGE).alias("range_id"), none.alias("start_id"), none.alias("end_id"), F.col("n").alias("row_count")).select("*", slices))
+
+
+def assign_ordered(df: DataFrame, key: str, plan: DataFrame) -> DataFrame:
+    """Add `range_id` for a plan over a key of any type with an order that has no gaps; -1 without a key."""
+    dtype = df.schema[key].dataType
+    starts = [r.start_id for r in collect_plan(plan) if r.start_id is not None]
+    if not starts:
+        at = F.lit(0)
+    else:
+        at = position(F.col(f"`{key}`"), F.array(*[F.lit(s).cast(dtype) for s in starts]), len(starts))
+    return df.withColumn("range_id", F.when(F.col(f"`{key}`").isNull(), F.lit(NULL_RANGE)).otherwise(at))
 
 
 def counts_by_range(df: DataFrame, key: str, plan: DataFrame) -> DataFrame:

@@ -2,26 +2,26 @@
 
 from __future__ import annotations
 
+from collections import namedtuple
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.casts import cast_or_null
 from tidemark.functions.digests import hash_differences, row_hash
+from tidemark.operators import ranges
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+Span = namedtuple("Span", "range_id start_id end_id")
 
-def compare_rows(source: DataFrame, target: DataFrame, keys: Sequence[str],
-                 compare: Sequence[str] | None = None) -> DataFrame:
-    """Per key: rows on each side and a status (missing, extra, changed, same).
 
-    Both sides go through one grouped pass instead of an outer join. Groups are combined before the
-    shuffle, so a key that holds much of the table costs each task one row, and repeated keys are
-    compared as multisets instead of being paired with each other. Without `compare` all columns of
-    either side count; `schema_differences` says which only one side has.
-    """
-    cols = list(compare) if compare is not None else list(dict.fromkeys(
+def _compared(source: DataFrame, target: DataFrame, keys: Sequence[str], compare: Sequence[str] | None) -> list[str]:
+    return list(compare) if compare is not None else list(dict.fromkeys(
         c for c in [*source.columns, *target.columns] if c not in keys))
 
+
+def _hashed(source: DataFrame, target: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """keys, _h (hash of the compared columns) and _src (true for the source's rows) of both sides."""
     def side(df: DataFrame, flag: bool) -> DataFrame:
         # Hash in the source's types, so that a widened target column does not count as a change. A value that does
         # not fit them is no NULL of the source's, and a column that only one side has is NULL on the other.
@@ -38,7 +38,20 @@ def compare_rows(source: DataFrame, target: DataFrame, keys: Sequence[str],
         rows = df.select(*typed, unfit.alias("_unfit"))
         return rows.select(*keys, row_hash([*cols, "_unfit"]).alias("_h"), F.lit(flag).alias("_src"))
 
-    both = side(source, True).unionByName(side(target, False))
+    return side(source, True).unionByName(side(target, False))
+
+
+def compare_rows(source: DataFrame, target: DataFrame, keys: Sequence[str],
+                 compare: Sequence[str] | None = None) -> DataFrame:
+    """Per key: rows on each side and a status (missing, extra, changed, same).
+
+    Both sides go through one grouped pass instead of an outer join. Groups are combined before the
+    shuffle, so a key that holds much of the table costs each task one row, and repeated keys are
+    compared as multisets instead of being paired with each other. Without `compare` all columns of
+    either side count; `schema_differences` says which only one side has.
+    """
+    cols = _compared(source, target, keys, compare)
+    both = _hashed(source, target, keys, cols)
     src = F.col("_src")
     nets = {f"_net{i}": net for i, net in enumerate(hash_differences(F.col("_h"), src))}
     grouped = both.groupBy(*keys).agg(
@@ -70,3 +83,87 @@ def summary(source: DataFrame, target: DataFrame, keys: Sequence[str],
     return compare_rows(source, target, keys, compare).groupBy("status").agg(
         F.count(F.lit(1)).alias("keys"), F.sum("source_rows").alias("source_rows"),
         F.sum("target_rows").alias("target_rows"))
+
+
+_FANOUT = 4_096      # parts that a node of the tree is cut into
+_MAX_NODES = 100_000 # differing nodes that are looked into; beyond, so much differs that finer ones do not pay
+_LEAF_ROWS = 10_000  # differing rows that need no finer nodes
+
+
+def _place(df: DataFrame, keys: Sequence[str], dtype: T.DataType) -> Column:
+    """Where a row hangs in the tree: at its key, if that is one whole number, so that neighbours in the files share a
+    node and scans can be cut; else at a hash of the keys."""
+    if len(keys) == 1 and isinstance(dtype, _INTEGRAL):
+        return F.col(f"`{keys[0]}`").try_cast(dtype).cast("bigint")
+    return row_hash(keys)
+
+
+def _inside(place: Column, nodes: list[tuple], width: int) -> Column:
+    """Whether a place lies in one of the nodes; neighbours are one stretch, and the test is a constant of the plan."""
+    spans, keyless = [], False
+    for low in sorted(n for n in nodes if n is not None):
+        if spans and spans[-1][1] == low:
+            spans[-1][1] = low + width
+        else:
+            spans.append([low, low + width])
+    keyless = None in nodes
+    found = [Span(i, a, b if b < 1 << 63 else None) for i, (a, b) in enumerate(spans)]
+    inside = ranges.range_of(place, found).isNotNull() if found else F.lit(False)
+    if found and len(spans) <= 50:   # plain bounds reach the files
+        near = F.lit(False)
+        for s in found:
+            near = near | ((place >= F.lit(s.start_id)) & (place < F.lit(s.end_id) if s.end_id is not None else F.lit(True)))
+        inside = near
+    return (inside | place.isNull()) if keyless else (inside & place.isNotNull())
+
+
+def differing_nodes(source: DataFrame, target: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None,
+                    fanout: int = _FANOUT, leaf_rows: int = _LEAF_ROWS) -> tuple[list, int, int]:
+    """(lower edges of the nodes that differ, NULL for rows without a key; their width; the rows of both sides in them).
+
+    A node is a stretch of places with, per side, the count and order-free sums of the hashes of its rows; both sides go
+    into them in one pass, merged before the shuffle, so a level sends at most `fanout` rows per node and task. Only
+    what differs is cut finer, while that still halves the rows in question. Nodes, not rows, reach the driver.
+    """
+    cols = _compared(source, target, keys, compare)
+    dtype = source.schema[keys[0]].dataType
+    both = _hashed(source, target, keys, cols)
+    both = both.select(_place(both, keys, dtype).alias("_place"), row_hash([*keys, "_h"]).alias("_h"), "_src")
+    ends = both.agg(F.min("_place").alias("lo"), F.max("_place").alias("hi")).first()
+    if ends.lo is None:
+        return [None], 1, 0
+    width, nodes, before = 1 << (ends.hi - ends.lo + 1).bit_length(), None, None
+    nets = hash_differences(F.col("_h"), F.col("_src"))
+    while True:
+        finer = max(1, width // fanout)   # powers of two, so finer nodes nest
+        rows = both if nodes is None else both.filter(_inside(F.col("_place"), nodes, width))
+        low = F.col("_place") - F.pmod(F.col("_place"), F.lit(finer).cast("bigint")) if finer < 1 << 63 else F.lit(None).cast("bigint")
+        sums = rows.groupBy(low.alias("low")).agg(
+            F.count(F.lit(1)).alias("rows"), (2 * F.count_if("_src") - F.count(F.lit(1))).alias("n"), *[x.alias(f"n{i}") for i, x in enumerate(nets)])
+        differs = F.col("n") != 0
+        for i in range(len(nets)):
+            differs = differs | (F.col(f"n{i}") != 0)
+        found = sums.filter(differs).select("low", "rows").limit(_MAX_NODES + 1).collect()
+        held = sum(r["rows"] for r in found)
+        if len(found) > _MAX_NODES or before is not None and 2 * held > before:
+            return (nodes, width, before) if nodes is not None else ([], 0, -1)
+        nodes, width, before = [r["low"] for r in found], finer, held
+        if held <= leaf_rows or width == 1:
+            return nodes, width, held
+
+
+def tree_differences(source: DataFrame, target: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None,
+                     fanout: int = _FANOUT, leaf_rows: int = _LEAF_ROWS) -> DataFrame:
+    """Like `differences`, for sides that agree nearly everywhere: only rows in differing nodes are shuffled by key."""
+    nodes, width, held = differing_nodes(source, target, keys, compare, fanout, leaf_rows)
+    if held < 0:   # nearly all differs
+        return differences(source, target, keys, compare)
+    dtype = source.schema[keys[0]].dataType
+    near = [df.filter(_inside(_place(df, keys, dtype), nodes, width)) for df in (source, _as_keys(target, source, keys))]
+    return differences(*near, keys, compare)
+
+
+def _as_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """target with its keys in the source's types, in which places are computed."""
+    return target.withColumns({k: F.col(f"`{k}`").try_cast(source.schema[k].dataType) for k in keys
+                               if target.schema[k].dataType != source.schema[k].dataType})

@@ -43,6 +43,11 @@ def _files(spark: SparkSession, folder: str) -> set[str]:
     return {n for n in names if "=" in n or not n.startswith(("_", "."))}   # partition folders may start with _
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, jpath = _hadoop(spark, path)
+    fs.delete(jpath, True)
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     """Whether there is a table; what a write that never finished left behind does not count."""
     return bool(_files(spark, path))
@@ -94,10 +99,13 @@ def batch_files(spark: SparkSession, path: str, batch_id: str) -> int:
     return sum(len(_files(spark, f)) for f in _folders(path, batch_id))
 
 
+def accepted_only(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col(STATUS) == "accepted").drop(STATUS, REASON)
+
+
 def read_accepted(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     """The target's rows. `merge_schema` opens all file footers, for a target that gained columns on the way."""
-    rows = spark.read.option("mergeSchema", merge_schema).parquet(path)
-    return rows.filter(F.col(STATUS) == "accepted").drop(STATUS, REASON)
+    return accepted_only(spark.read.option("mergeSchema", merge_schema).parquet(path))
 
 
 def read_rejected(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
@@ -113,11 +121,69 @@ def append_log(rows: DataFrame, path: str) -> None:
     rows.coalesce(1).write.parquet(f"{path}/{uuid.uuid4().hex}")
 
 
+_CHECKPOINTS = "_checkpoints"   # below a log; readers that list all files of the log do not see it
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, jpath = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(jpath)) if fs.exists(jpath) else []
+
+
+def _entries(spark: SparkSession, path: str) -> list[str]:
+    """Folders of single appends."""
+    return [n for n in _children(spark, path) if not n.startswith(("_", "."))]
+
+
+def _checkpoint(spark: SparkSession, path: str) -> tuple[str | None, set[str]]:
+    """Folder of the newest complete checkpoint of a log, and the appends that it holds."""
+    root = f"{path}/{_CHECKPOINTS}"
+    done = [n.removesuffix(".done") for n in _children(spark, root) if n.endswith(".done")]
+    if not done:
+        return None, set()
+    covers = spark.read.text(f"{root}/{done[-1]}.done").collect()
+    return f"{root}/{done[-1]}", {r.value for r in covers}
+
+
 def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A log table, or no rows while nothing has been written."""
+    """A log table, or no rows while nothing has been written: the newest checkpoint and the appends it does not hold."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    folder, held = _checkpoint(spark, path)
+    if folder is None:
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    later = [f"{path}/{n}" for n in _entries(spark, path) if n not in held]
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{folder}/rows", *later)
+
+
+def compact_log(spark: SparkSession, path: str, schema: str, at_least: int = 1) -> int:
+    """Put all appends so far into one checkpoint, if there are `at_least` outside of the last one. Returns how many were.
+
+    First the rows are written, then a list of the appends they come from, under a hidden name, and renamed (one step on
+    HDFS and local disks): from that moment readers take the checkpoint instead of these appends. A crash before leaves the log as it was. Appends that
+    come meanwhile are not on the list and are read beside it. What the checkpoint before this one held is deleted
+    only now, so a reader that began before the rename still finds its files.
+    """
+    before, held = _checkpoint(spark, path)
+    names = _entries(spark, path)
+    fresh = [n for n in names if n not in held and has_data(spark, f"{path}/{n}")]   # others are still being written
+    if len(fresh) < max(1, at_least):
+        return 0
+    root = f"{path}/{_CHECKPOINTS}"
+    number = 1 + max([int(n.split("-")[0]) for n in _children(spark, root) if n[:1].isdigit()], default=0)
+    name = f"{number:012d}-{uuid.uuid4().hex}"
+    sources = [*([f"{before}/rows"] if before else []), *[f"{path}/{n}" for n in fresh]]
+    spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*sources).coalesce(1).write.parquet(f"{root}/{name}/rows")
+    # what is deleted below need not be listed, as it is gone
+    listed = sorted(set(fresh) | (held & set(names)))
+    spark.createDataFrame([(n,) for n in listed], "value string").coalesce(1).write.text(f"{root}/{name}/_held")
+    fs, done = _hadoop(spark, f"{root}/{name}.done")
+    fs.rename(_hadoop(spark, f"{root}/{name}/_held")[1], done)
+    for n in held & set(names):
+        delete(spark, f"{path}/{n}")
+    for n in _children(spark, root):   # checkpoints before the last one
+        if n[:1].isdigit() and before and n.removesuffix(".done") < before.rsplit("/", 1)[1]:
+            delete(spark, f"{root}/{n}")
+    return len(fresh)
 
 
 def version_path(root: str, table: str, version: str) -> str:
@@ -156,18 +222,29 @@ def replace_table(marked: DataFrame, root: str, table: str, batch_id: str, commi
     return counts
 
 
-def expire_versions(spark: SparkSession, root: str, table: str, keep: int = 2) -> list[str]:
-    """Delete published versions older than the newest `keep`. Returns their names."""
+def expire_versions(spark: SparkSession, root: str, table: str, keep: int = 2, orphans_before: str | dt.datetime | None = None) -> list[str]:
+    """Delete published versions older than the newest `keep`, and versions that were never published (blocked by a
+    check, or cut off) whose folders were last changed before `orphans_before` (UTC). Returns their names."""
     log = read_log(spark, f"{root}/_versions", VERSION_LOG_SCHEMA).filter(F.col("table_name") == table)
     names = log.groupBy("version").agg(F.max("committed_at").alias("at"), F.max("number").alias("n")).orderBy(
         F.desc("at"), F.desc("n"), F.desc("version"))
     old = [r.version for r in names.collect()[max(keep, 1):] if path_exists(spark, version_path(root, table, r.version))]
+    published = {r.version for r in log.select("version").distinct().collect()}
+    fs, jpath = _hadoop(spark, f"{root}/{table}")
+    for status in fs.listStatus(jpath) if orphans_before and fs.exists(jpath) else []:
+        name = status.getPath().getName().removeprefix("version=")
+        if name not in published and status.getPath().getName() != name and status.getModificationTime() < _millis(orphans_before):
+            old.append(name)
     for version in old:
-        fs, jpath = _hadoop(spark, version_path(root, table, version))
-        fs.delete(jpath, True)
+        delete(spark, version_path(root, table, version))
     return old
 
 
+def _millis(at: str | dt.datetime) -> int:
+    at = dt.datetime.fromisoformat(at) if isinstance(at, str) else at
+    return int((at if at.tzinfo else at.replace(tzinfo=dt.timezone.utc)).timestamp() * 1000)
+
+
 def write_ranges(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_RANGE_FILE, gather: bool = True,
                  fresh: bool = False) -> None:
     """Write rows with a `range_id`, one folder per range, replacing the ranges that are written, or with

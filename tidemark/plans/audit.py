@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import clip_text, ntz
 from tidemark.operators import watermark
-from tidemark.operators.sink import append_log, read_log
+from tidemark.operators.sink import append_log, compact_log, read_log
+from tidemark.session import one_row
 
 # Fixed values
 LOAD_STATS_SCHEMA = (
@@ -44,6 +45,11 @@ class MetaStore:
         want = self.spark.createDataFrame([], LOGS[name]).schema
         append_log(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in want]), f"{self.root}/{name}")
 
+    def compact(self, at_least: int = 1) -> None:
+        """Put what the logs hold in few files, each log that gained `at_least` entries since the last time."""
+        for name, schema in LOGS.items():
+            compact_log(self.spark, f"{self.root}/{name}", schema, at_least)
+
     def watermarks(self) -> DataFrame:
         """The newest watermark per table; a log entry replaces an update in place."""
         return watermark.latest(self.read("watermark"))
@@ -76,6 +82,14 @@ def active_sources(systems: DataFrame) -> DataFrame:
     return systems.filter("is_active")
 
 
+def add_source_system(meta: MetaStore, system_id: int, name: str, kind: str, created_at: str | dt.datetime,
+                      description: str | None = None, active: bool = True) -> None:
+    """Write a source system's entry; the newest of an id counts."""
+    meta.append("source_systems", one_row(
+        meta.spark, source_system_id=F.lit(system_id), source_system_name=F.lit(name), source_system_type=F.lit(kind),
+        description=F.lit(description).cast("string"), is_active=F.lit(active), created_at=ntz(created_at)))
+
+
 def with_source_system(df: DataFrame, systems: DataFrame) -> DataFrame:
     """Look up name and type of each row's system; there are few systems."""
     ref = active_sources(systems).select("source_system_id", "source_system_name", "source_system_type")

@@ -63,19 +63,23 @@ def verify(expected: DataFrame, counted: DataFrame, phase: str, at: str | dt.dat
         ntz(at).alias("completed_at"), F.when(rows >= F.col("row_count"), "done").otherwise("failed").alias("status"))
 
 
-def _of(spark: SparkSession, wave: list) -> DataFrame:
-    return spark.createDataFrame([(r.range_id,) for r in wave], "range_id int")
+def _in(wave: list) -> Column:
+    return F.col("range_id").isin([r.range_id for r in wave])   # on a folder column this opens the folders of these ranges only
 
 
 def _written(spark: SparkSession, path: str, wave: list) -> DataFrame:
-    ids = [r.range_id for r in wave]
-    rows = spark.read.schema("range_id int").parquet(path).filter(F.col("range_id").between(min(ids), max(ids)))
-    return (rows.join(_of(spark, wave), "range_id", "left_semi").groupBy("range_id").agg(F.count(F.lit(1)).alias("row_count")))
+    if not sink.has_data(spark, path):   # ranges without rows leave nothing
+        return spark.createDataFrame([], "range_id int, row_count bigint")
+    rows = spark.read.schema("range_id int").parquet(path).filter(_in(wave))
+    return rows.groupBy("range_id").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _expected(spark: SparkSession, wave: list) -> DataFrame:
+    return spark.createDataFrame([(r.range_id, r.row_count) for r in wave], "range_id int, row_count bigint")
 
 
 def _record(spark: SparkSession, wave: list, path: str, log_path: str, phase: str, at) -> None:
-    expected = spark.createDataFrame([(r.range_id, r.row_count) for r in wave], "range_id int, row_count bigint")
-    sink.append_log(verify(expected, _written(spark, path, wave), phase, at), log_path)
+    sink.append_log(verify(_expected(spark, wave), _written(spark, path, wave), phase, at), log_path)
 
 
 def _waves(todo: list, size: int | None) -> list[list]:
@@ -110,15 +114,11 @@ def export_ranges(spark: SparkSession, source: DataFrame, key: str, plan: DataFr
     if not todo:
         return None
     fresh = _is_fresh(spark, path, log, "export")
-    columns = "range_id int, start_id bigint, end_id bigint"
-    every = plan.select("range_id", F.col("start_id").cast("bigint"), F.col("end_id").cast("bigint")).collect()
-    planned = spark.createDataFrame([tuple(r) for r in every], columns)   # computed once, not once per wave
     for wave in _waves(todo, ranges_per_job):
         rows = source.filter(key_filter(key, wave))
         if cleaned:
             rows = clean_table(rows)
-        picked = _of(spark, wave)
-        sink.write_ranges(ranges.assign(rows, key, planned).join(picked, "range_id", "left_semi"), path, rows_per_file, fresh=fresh)
+        sink.write_ranges(ranges.assign_found(rows, key, wave).filter("range_id is not null"), path, rows_per_file, fresh=fresh)
         _record(spark, wave, path, log_path, "export", at)
         fresh = False
     return _logged(spark, log_path, "export", at)
@@ -126,36 +126,50 @@ def export_ranges(spark: SparkSession, source: DataFrame, key: str, plan: DataFr
 
 def load_ranges(spark: SparkSession, staged: str, target: str, log_path: str, at: str | dt.datetime,
                 rows_per_file: int = sink.ROWS_PER_RANGE_FILE, ranges_per_job: int | None = None,
-                schema: str | None = None, csv_schema: str | None = None) -> DataFrame | None:
+                schema: str | None = None, csv_schema: str | None = None, plan: DataFrame | None = None) -> DataFrame | None:
     """Load every staged range the log does not show as loaded. None if nothing is pending.
 
+    With `plan`, the ranges whose export is done are loaded, and each must hold the rows that the plan counted: a
+    range whose export failed, or lost rows since, is not loaded, or logged as failed, and stays pending. Without
+    it (files from elsewhere) every staged range is, and what it must hold is counted in the files.
+
     Staged are parquet folders, or text files if `csv_schema` says what they hold (staged.export_ranges_csv).
     With `schema` the rows are cast to the declared columns; what does not fit becomes NULL, and
-    conform_report says how much that is. What a range must hold is counted in the staged files. A range's folder in the target is
+    conform_report says how much that is. A range's folder in the target is
     replaced, so a repeat adds nothing. A job opens the folders of its own ranges only.
     """
+    log = sink.read_log(spark, log_path, LOG_SCHEMA)
+    if plan is not None:
+        exported = ranges.done_entries(log, "export").select("range_id").distinct()
+        todo = ranges.pending(plan, log, "load").join(exported, "range_id", "left_semi").collect()   # a row per range
+        if not todo or not sink.has_data(spark, staged):   # no file at all: no range has rows
+            if todo:
+                sink.append_log(verify(_expected(spark, todo), _written(spark, staged, todo), "load", at), log_path)
+            return _logged(spark, log_path, "load", at) if todo else None
     if csv_schema is not None:
         files = read_csv(spark, staged, f"{csv_schema}, range_id int")
     else:
         files = spark.read.parquet(staged)
     if schema is not None:
         files = conform(files, f"{schema}, range_id int")
-    counts = files.groupBy("range_id").agg(F.count(F.lit(1)).alias("row_count"))
-    log = sink.read_log(spark, log_path, LOG_SCHEMA)
-    todo = ranges.pending(counts, log, "load").collect()   # a row per range
-    if not todo:
-        return None
+    if plan is None:
+        counts = files.groupBy("range_id").agg(F.count(F.lit(1)).alias("row_count"))
+        todo = ranges.pending(counts, log, "load").collect()   # a row per range
+        if not todo:
+            return None
     fresh = _is_fresh(spark, target, log, "load")
     for wave in _waves(todo, ranges_per_job):
-        # a static filter prunes the folders of a short list; the join picks whatever its length
-        ids = [r.range_id for r in wave]
-        near = files.filter(F.col("range_id").between(min(ids), max(ids)))
-        sink.write_ranges(near.join(_of(spark, wave), "range_id", "left_semi"), target, rows_per_file, gather=False, fresh=fresh)
+        sink.write_ranges(files.filter(_in(wave)), target, rows_per_file, gather=False, fresh=fresh)
         _record(spark, wave, target, log_path, "load", at)
         fresh = False
     return _logged(spark, log_path, "load", at)
 
 
+def unfinished(plan: DataFrame, log: DataFrame) -> int:
+    """How many ranges still have to be exported or loaded; a run with any is not closed."""
+    return sum(ranges.pending(plan, log, phase).count() for phase in ("export", "load"))
+
+
 def close(spark: SparkSession, log_path: str, phase: str, at: str | dt.datetime) -> None:
     """End a run without errors: what is logged so far no longer counts for the next run."""
     row = one_row(spark, phase=F.lit(phase), range_id=F.lit(None).cast("int"), rows=F.lit(None).cast("bigint"),

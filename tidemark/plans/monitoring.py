@@ -24,10 +24,10 @@ def _recent(stats: DataFrame, as_of: str | dt.datetime, days: int) -> DataFrame:
 
 
 def latest_runs(stats: DataFrame) -> DataFrame:
-    """The newest run of each table. Newer first, then by run id, so that ties have one answer."""
-    w = Window.partitionBy("source_table").orderBy(F.desc("run_started"), F.desc("run_id"))
+    """The newest run of each source table and target. Newer first, then by run id, so that ties have one answer."""
+    w = Window.partitionBy("source_schema", "source_table", "target_schema", "target_table").orderBy(F.desc("run_started"), F.desc("run_id"))
     return stats.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(
-        "source_table", "target_table", "load_type", "pipeline_name", "trigger_type", "source_system_id",
+        "source_schema", "source_table", "target_schema", "target_table", "load_type", "pipeline_name", "trigger_type", "source_system_id",
         "rows_read", "rows_loaded", "rows_rejected",
         (F.col("duration_ms").cast("double") / 1000).alias("duration_seconds"),
         F.when(F.col("success"), "Success").otherwise("Failed").alias("status"),
@@ -55,7 +55,7 @@ def quality_issues(quality: DataFrame, stats: DataFrame) -> DataFrame:
 
 def trend(stats: DataFrame, as_of: str | dt.datetime, days: int = 30) -> DataFrame:
     recent = _recent(stats, as_of, days)
-    return recent.groupBy(F.col("run_started").cast("date").alias("run_date"), "source_table", "load_type").agg(
+    return recent.groupBy(F.col("run_started").cast("date").alias("run_date"), "source_schema", "source_table", "load_type").agg(
         F.sum("rows_loaded").alias("rows_loaded"), F.sum("rows_rejected").alias("rows_rejected"), _avg_ms(),
         _flag(F.col("success")).alias("success_count"), _flag(~F.col("success")).alias("failure_count"))
 

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from tidemark.operators import quality, sink, watermark
+from tidemark.operators import quality, sink, watermark, widen
 from tidemark.operators.clean import clean_table
 from tidemark.operators.stamp import stamp
 from tidemark.operators.validate import Rules, mark
@@ -60,6 +60,9 @@ class Run:
     tolerance: float = quality.COUNT_TOLERANCE
     max_text: int | None = None       # cut text to so many characters; None keeps it whole
     block_on_mismatch: bool = False   # leave the watermark where it is when the row counts disagree
+    keep_versions: int | None = None  # of a full load: how many versions stay; None keeps all
+    orphans_after_hours: int = 48     # unpublished versions older than this go with them
+    compact_after: int = 500          # log entries after which a run puts a log in one file
     clock: Callable[[], str] = utc_now
 
 
@@ -94,10 +97,11 @@ def prepare(df: DataFrame, cfg: TableConfig, as_of: str, batch: str, source_syst
     return mark(stamp(clean_table(df), batch, as_of, source_system_id), rules, as_of)
 
 
-def delta_window(spark: SparkSession, cfg: TableConfig, run: Run) -> Row:
-    """Start of the delta window, and whether it is the table's first. Collects one row."""
+def delta_window(spark: SparkSession, cfg: TableConfig, run: Run, marks: DataFrame | None = None) -> Row:
+    """Start of the delta window, and whether it is the table's first. Collects one row. marks: the run's watermarks, if
+    they have been read."""
     control = one_row(spark, table_name=F.lit(cfg.key), load_type=F.lit(cfg.load_type))
-    marks = run.meta.watermarks().filter(F.col("table_name") == cfg.key)
+    marks = (run.meta.watermarks() if marks is None else marks).filter(F.col("table_name") == cfg.key)
     return watermark.start_plan(control, marks, run.as_of, run.lookback_days).select(
         F.col("delta_start").cast("string").alias("start"), "first_run").first()
 
@@ -111,13 +115,16 @@ def read_target(spark: SparkSession, run: Run, cfg: TableConfig) -> DataFrame |
     path = _target(run, cfg)
     if cfg.load_type == "FULL":
         path = sink.current_path(spark, f"{run.target_root}/{cfg.target_schema}", cfg.target_table)
-    return sink.read_accepted(spark, path, merge_schema=True) if path and sink.has_data(spark, path) else None
+    if not path or not sink.has_data(spark, path):
+        return None
+    widened = widen.read_widened(spark, path) if cfg.load_type == "DELTA" else None
+    return sink.read_accepted(spark, path, merge_schema=True) if widened is None else widened
 
 
-def _load(spark: SparkSession, source: DataFrame, cfg: TableConfig, run: Run, out: Loaded) -> None:
+def _load(spark: SparkSession, source: DataFrame, cfg: TableConfig, run: Run, out: Loaded, marks: DataFrame | None) -> None:
     schema_root = f"{run.target_root}/{cfg.target_schema}"
     if cfg.load_type == "DELTA":
-        win = delta_window(spark, cfg, run)
+        win = delta_window(spark, cfg, run, marks)
         out.start = win.start
         rows = scan.open_window(source, cfg.date_column, win.start, run.as_of)
         # Named by the watermark it starts from, not by the clock: a run that died before it moved the
@@ -130,7 +137,10 @@ def _load(spark: SparkSession, source: DataFrame, cfg: TableConfig, run: Run, ou
         path = sink.version_path(schema_root, cfg.target_table, batch)
 
     prepared = prepare(rows, cfg, run.as_of, batch, run.source_system_id, run.max_text)
-    written = sink.write_batch(prepared, path, batch, gather=cfg.load_type == "DELTA", pk=cfg.pk_column)
+    if cfg.load_type == "DELTA":
+        written = widen.write_widening(prepared, path, batch, run.as_of, gather=True, pk=cfg.pk_column)
+    else:
+        written = sink.write_batch(prepared, path, batch, pk=cfg.pk_column)
     for r in written.collect():
         if r.status == "accepted":
             out.loaded += r.rows
@@ -148,6 +158,9 @@ def _load(spark: SparkSession, source: DataFrame, cfg: TableConfig, run: Run, ou
         return   # neither published nor marked
     if cfg.load_type == "FULL":
         sink.publish_version(spark, schema_root, cfg.target_table, batch, run.as_of)
+        if run.keep_versions is not None:
+            old = dt.datetime.fromisoformat(run.as_of) - dt.timedelta(hours=run.orphans_after_hours)
+            sink.expire_versions(spark, schema_root, cfg.target_table, run.keep_versions, old)
     run.meta.append("watermark", one_row(
         spark, table_name=F.lit(cfg.key), last_load_type=F.lit(cfg.load_type), last_delta_column=F.lit(cfg.date_column),
         last_delta_value=F.lit(run.as_of if cfg.load_type == "DELTA" else None), last_max_id=F.lit(out.max_id),
@@ -163,11 +176,12 @@ def count_checks(spark: SparkSession, source_count: int, cfg: TableConfig, run:
     return one_row(spark, table_name=F.lit(cfg.name)).select("table_name", F.inline(F.array(*checks)))
 
 
-def sync_table(spark: SparkSession, open_source: Callable[[TableConfig], DataFrame], cfg: TableConfig, run: Run) -> Loaded:
+def sync_table(spark: SparkSession, open_source: Callable[[TableConfig], DataFrame], cfg: TableConfig, run: Run,
+               marks: DataFrame | None = None) -> Loaded:
     """Load one table and write its audit row, also if the source cannot be opened or the load fails."""
     out, started = Loaded(), run.clock()
     try:
-        _load(spark, open_source(cfg), cfg, run, out)
+        _load(spark, open_source(cfg), cfg, run, out, marks)
     except Exception as e:   # the audit row must say why, and the other tables go on
         out.error = str(e) or type(e).__name__
     counts = one_row(spark, rows_read=F.lit(out.read), rows_loaded=F.lit(out.loaded), rows_rejected=F.lit(out.rejected),
@@ -188,8 +202,12 @@ def sync_all(spark: SparkSession, tables: Iterable[TableConfig], open_source: Ca
     def one(cfg: TableConfig) -> Loaded:
         # A scheduler pool per table: within one pool a big table's tasks would go before a small one's.
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", cfg.name)
-        return sync_table(spark, open_source, cfg, run)
+        return sync_table(spark, open_source, cfg, run, marks)
 
     tables = list(tables)
+    # read once for the run, a row per table
+    marks = spark.createDataFrame(run.meta.watermarks().collect(), watermark.WATERMARK_SCHEMA)
     with ThreadPoolExecutor(max_workers=parallel) as workers:
-        return dict(zip([t.key for t in tables], workers.map(one, tables)))
+        done = dict(zip([t.key for t in tables], workers.map(one, tables)))
+    run.meta.compact(run.compact_after)
+    return done

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import ranges, relocate, sink
+from tidemark.operators import ranges, relocate, sink, upsert, widen
 from tidemark.operators.stamp import stamp
 from tidemark.operators.validate import Rules, mark
 from tidemark.plans import audit, migrate, sync
@@ -17,6 +17,7 @@ from tidemark.queries.ranges import FIXED, _FIXED_PLAN, fixed_counts
 from tidemark.queries.registry import query
 from tidemark.queries.scans import SHEET_TABLES, sheet
 from tidemark.operators.clean import clean_table
+from tidemark.session import stored
 from tidemark.sources import scan, staged
 from tidemark.streaming import ingest, late
 
@@ -246,3 +247,88 @@ def load_evolved(spark, sf):
         rows = rows.withColumn("o_channel", F.lit("web")) if part else rows
         sink.write_batch(mark(stamp(rows, batch, ORDERS_AS_OF, SYSTEM), Rules(pk="o_orderkey"), ORDERS_AS_OF), path, batch)
     return sink.read_accepted(spark, path, merge_schema=True).select("o_orderkey", "o_orderstatus", "o_channel")
+
+
+@query(_FIXED_PLAN + """, n AS (SELECT count(*) AS n FROM orders WHERE o_orderkey % 50 = 0)
+SELECT range_id, row_count AS expected_rows, 'done' AS export_status, 'done' AS load_status, row_count AS loaded_rows FROM counts WHERE range_id <> 1
+UNION ALL SELECT range_id, row_count, 'failed', NULL, NULL FROM counts WHERE range_id = 1
+UNION ALL SELECT -1, 0, 'done', 'done', n FROM n""")
+def migrate_failed_export(spark, sf):
+    """A source that lost rows of range 1 while it was exported, and gained rows without a key: range 1 is neither loaded
+    nor done, so the run cannot be closed; the rows without a key are exported though the plan saw none."""
+    root, orders = fresh_folder(spark, "failed_export"), table(spark, sf, "orders")
+    low, high = (orders.agg(F.min("o_orderkey") + i * FIXED).first()[0] for i in (1, 2))
+    keyless = orders.filter("o_orderkey % 50 = 0").withColumn("o_orderkey", F.lit(None).cast("bigint"))
+    now = orders.filter(~F.col("o_orderkey").between(low + 5, high - 5)).unionByName(keyless)
+    plan = ranges.plan_fixed(orders, "o_orderkey", FIXED)
+    counts = ranges.counts_by_range(orders, "o_orderkey", plan)
+    plan = stored(plan.join(counts, "range_id", "left").fillna(0, ["row_count"]), "plan")
+    for _ in range(2):   # the second time changes nothing
+        migrate.export_ranges(spark, now, "o_orderkey", plan, f"{root}/staged", f"{root}/log", ORDERS_MARK)
+        migrate.load_ranges(spark, f"{root}/staged", f"{root}/target", f"{root}/log", ORDERS_AS_OF, plan=plan)
+    log = sink.read_log(spark, f"{root}/log", ranges.LOG_SCHEMA)
+    exported = log.filter("phase = 'export'").groupBy("range_id").agg(F.max("status").alias("export_status"))
+    loaded = log.filter("phase = 'load'").select("range_id", F.col("status").alias("load_status"), F.col("rows").alias("loaded_rows"))
+    return plan.select("range_id", F.col("row_count").alias("expected_rows")).join(exported, "range_id").join(loaded, "range_id", "left")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 40 = 0 THEN 'X' WHEN o_orderkey % 30 = 0 AND o_orderkey >= 3000 THEN 'Y' ELSE o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 40 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders""")
+def upsert_load(spark, sf):
+    """A target filled without the later orders, then changed: some orders twice in the updates, new ones, the same batch
+    again, and a batch that falls into a few buckets."""
+    root = fresh_folder(spark, "upsert")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    seq = orders.withColumn("seq", F.lit(1))
+    upsert.upsert(seq.filter("o_orderkey < 9000"), root, ["o_orderkey"], "first", ORDERS_MARK, "seq", buckets=64)
+    upsert.upsert(seq.filter("o_orderkey % 30 = 0 and o_orderkey >= 3000").withColumn("o_orderstatus", F.lit("Y")), root, ["o_orderkey"], "second", ORDERS_MARK, "seq")
+    changed = seq.filter("o_orderkey % 40 = 0").withColumns(
+        {"o_orderstatus": F.lit("X"), "o_totalprice": F.col("o_totalprice") + 1, "seq": F.lit(2)})
+    late = changed.unionByName(seq.filter("o_orderkey % 40 = 0")).unionByName(
+        seq.filter("o_orderkey >= 9000 and o_orderkey % 40 <> 0 and o_orderkey % 30 <> 0"))
+    for _ in range(2):
+        upsert.upsert(late, root, ["o_orderkey"], "third", ORDERS_AS_OF, "seq")
+    return upsert.read(spark, root).drop("seq")
+
+
+@query("""SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS day, CAST(o_custkey AS BIGINT) AS who, CAST(round(o_totalprice)::BIGINT AS VARCHAR) || '.00' AS price,
+       CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS status FROM orders WHERE o_orderkey % 2 = 1
+UNION ALL SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP), CAST(o_custkey AS BIGINT), CAST(round(o_totalprice)::BIGINT AS VARCHAR) || '.00', NULL
+FROM orders WHERE o_orderkey % 2 = 0""")
+def load_widened(spark, sf):
+    """Two batches: date, int and decimal(12,0) first, then timestamp, bigint, decimal(14,2) and one more column; the first
+    is read in the second's types."""
+    path, orders = fresh_folder(spark, "widened"), table(spark, sf, "orders")
+    whole = F.floor(F.col("o_totalprice") + 0.5)
+    first = orders.filter("o_orderkey % 2 = 0").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"),
+                                                       F.col("o_custkey").cast("int").alias("who"), whole.cast("decimal(12,0)").alias("price"))
+    second = orders.filter("o_orderkey % 2 = 1").select("o_orderkey", F.col("o_orderdate").alias("day"), F.col("o_custkey").cast("bigint").alias("who"),
+                                                        whole.cast("decimal(14,2)").alias("price"), F.col("o_orderstatus").alias("status"))
+    for rows, batch, at in ((first, "b_first", ORDERS_MARK), (second, "b_second", ORDERS_AS_OF)):
+        widen.write_widening(mark(stamp(rows, batch, at, SYSTEM), Rules(pk="o_orderkey"), at), path, batch, at)
+    return plain(widen.read_widened(spark, path).select("o_orderkey", "day", "who", "price", "status"))
+
+
+@query("SELECT * FROM events")
+def stream_late(spark, sf):
+    """Events that arrive in parts of a week and a day: a fifth one part late, a seventh once more with the part after. The stream
+    drops repeats with ten days of state, is stopped half way and started again; what came too late for its
+    state is found by a catch-up, twice, and every event is there once."""
+    root, events = fresh_folder(spark, "stream_late"), table(spark, sf, "events")
+    first = events.agg(F.min(F.unix_date(F.col("ts").cast("date")))).first()[0]
+    part = F.expr(f"(unix_date(cast(ts as date)) - {first or 0}) div 8") + F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)
+    arriving = events.withColumn("_part", part)
+    again = arriving.filter("event_id % 7 = 0").withColumn("_part", F.col("_part") + 1)
+    arriving = stored(arriving.unionByName(again), "arriving")
+    parts = sorted(r["_part"] for r in arriving.select("_part").distinct().collect())
+    for some in (parts[:len(parts) // 2], parts[len(parts) // 2:]):
+        for p in some:
+            arriving.filter(F.col("_part") == p).drop("_part").coalesce(1).write.parquet(f"{root}/in/part{p}")
+        stream = late.drop_repeats(ingest.file_stream(spark, f"{root}/in/*", events.schema, max_files=1), "event_id", "ts", "10 days")
+        ingest.start_ingest(stream, f"{root}/events", f"{root}/checkpoint", Rules(pk="event_id"), lambda: EVENTS_AS_OF, SYSTEM).awaitTermination()
+    for n in (1, 2):
+        missed = late.late_rows(spark.read.parquet(f"{root}/in/*"), sink.read_accepted(spark, f"{root}/events"), "event_id", "ts",
+                                "2100-01-01 00:00:00", 365 * 100).dropDuplicates(["event_id"])
+        batch = f"late_{n}"
+        sink.write_batch(mark(stamp(missed, batch, EVENTS_AS_OF, SYSTEM), Rules(pk="event_id"), EVENTS_AS_OF), f"{root}/events", batch)
+    return sink.read_accepted(spark, f"{root}/events").select(*events.columns)

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import watermark
+from tidemark.operators import sink, watermark
 from tidemark.operators.validate import reason_counts
 from tidemark.plans import audit, monitoring
 from tidemark.queries.cleaning import marked_orders
 from tidemark.queries.fixtures import (
     CLEAN_ORDERS_SQL, EVENTS_AS_OF, LOAD_STATS_SQL, ORDERS_AS_OF, QUALITY_LOG_SQL, WATERMARK_LOG_SQL, load_stats,
-    plain, quality_log, table, watermark_log,
+    fresh_folder, plain, quality_log, table, watermark_log,
 )
 from tidemark.queries.registry import query
+from tidemark.session import stored
 
 _SPLIT = "2024-01-15 00:00:00"   # older watermark entries are the current table, newer ones the updates
 
@@ -55,10 +56,10 @@ def delta_start_plan(spark, sf):
     return watermark.start_plan(control, _cut(spark, sf)[0], EVENTS_AS_OF)
 
 
-@query(f"""SELECT source_table, target_table, load_type, pipeline_name, trigger_type, source_system_id, rows_read, rows_loaded,
+@query(f"""SELECT source_schema, source_table, target_schema, target_table, load_type, pipeline_name, trigger_type, source_system_id, rows_read, rows_loaded,
        rows_rejected, CAST(duration_ms AS DOUBLE) / 1000 AS duration_seconds,
        CASE WHEN success THEN 'Success' ELSE 'Failed' END AS status, error_message, run_started, run_ended, run_id
-FROM ({LOAD_STATS_SQL}) QUALIFY row_number() OVER (PARTITION BY source_table ORDER BY run_started DESC, run_id DESC) = 1""")
+FROM ({LOAD_STATS_SQL}) QUALIFY row_number() OVER (PARTITION BY source_schema, source_table, target_schema, target_table ORDER BY run_started DESC, run_id DESC) = 1""")
 def v_latest_runs(spark, sf):
     return monitoring.latest_runs(load_stats(spark, sf)).orderBy(F.desc("run_started"))
 
@@ -81,7 +82,7 @@ def v_dq_issues(spark, sf):
     return monitoring.quality_issues(quality_log(spark, sf), load_stats(spark, sf)).orderBy(F.desc("checked_at"))
 
 
-@query(f"""SELECT CAST(CAST(run_started AS DATE) AS VARCHAR) AS run_date, source_table, load_type, CAST(sum(rows_loaded) AS BIGINT) AS rows_loaded,
+@query(f"""SELECT CAST(CAST(run_started AS DATE) AS VARCHAR) AS run_date, source_schema, source_table, load_type, CAST(sum(rows_loaded) AS BIGINT) AS rows_loaded,
        CAST(sum(rows_rejected) AS BIGINT) AS rows_rejected, CAST(floor(avg(duration_ms)) AS BIGINT) AS avg_duration_ms,
        count(*) FILTER (success) AS success_count, count(*) FILTER (NOT success) AS failure_count
 FROM ({LOAD_STATS_SQL}) WHERE run_started >= TIMESTAMP '2024-02-10 00:00:00' - INTERVAL 30 DAY GROUP BY ALL""")
@@ -174,3 +175,16 @@ def rows_by_source(spark, sf):
         F.count(F.lit(1)).alias("row_count"))
     return audit.with_source_system(counted, _systems(spark, sf)).select(
         "source_system_id", "source_system_name", "source_system_type", "row_count")
+
+
+@query(LOAD_STATS_SQL)
+def log_compacted(spark, sf):
+    """Audit rows appended in many small files, put in checkpoints twice on the way, with appends before, between and after."""
+    path, rows = fresh_folder(spark, "log"), stored(load_stats(spark, sf), "stats")
+    days = sorted(r.day for r in rows.select(F.dayofmonth("run_started").alias("day")).distinct().collect())
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    for i, day in enumerate(days):
+        sink.append_log(rows.filter(F.dayofmonth("run_started") == day), path)
+        if i in (len(days) // 3, 2 * len(days) // 3):
+            sink.compact_log(spark, path, schema)
+    return sink.read_log(spark, path, schema)

@@ -54,6 +54,20 @@ def dq_duplicates(spark, sf):
     return quality.duplicate_check(table(spark, sf, "lineitem"), "lineitem", ["l_orderkey", "l_linenumber"])
 
 
+@query(f"""SELECT 'lineitem' AS table_name, count(*) AS duplicate_keys, CAST(coalesce(sum(occurrences), 0) AS BIGINT) AS rows_involved,
+       count(*) = 0 AS is_valid FROM ({_DUPES_SQL})
+UNION ALL SELECT 'orders', (SELECT count(*) FROM orders WHERE o_orderkey % {FAR} = 0) + 1,
+       (SELECT CAST(sum(CASE WHEN o_orderkey % {FAR} = 0 THEN 2 ELSE 0 END) + sum(CASE WHEN o_orderkey % {NEAR} = 0 THEN 1 ELSE 0 END) AS BIGINT) FROM orders), false""")
+def dq_duplicates_two_pass(spark, sf):
+    """Lineitem's keys, and orders with some keys twice and some missing: counter words first, then only what is in full ones."""
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    twice = orders.unionByName(orders.filter(F.col("o_orderkey") % FAR == 0))
+    keyless = F.when(F.col("o_orderkey") % NEAR != 0, F.col("o_orderkey")).alias("o_orderkey")
+    more = twice.unionByName(orders.filter(F.col("o_orderkey") % NEAR == 0).select(keyless))
+    lines = quality.duplicate_check(table(spark, sf, "lineitem"), "lineitem", ["l_orderkey", "l_linenumber"], two_pass=True)
+    return lines.unionByName(quality.duplicate_check(more, "orders", ["o_orderkey"], two_pass=True))
+
+
 @query(f"{_DUPES_SQL} ORDER BY occurrences DESC, l_orderkey, l_linenumber LIMIT 5")
 def dq_duplicates_top(spark, sf):
     return quality.top_duplicates(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], 5)
@@ -163,6 +177,21 @@ def reconcile_rows(spark, sf):
     return reconcile.differences(table(spark, sf, "orders"), changed_orders(spark, sf), ["o_orderkey"])
 
 
+@query(_DIFF_SQL + " SELECT * FROM j WHERE status <> 'same'")
+def reconcile_tree(spark, sf):
+    """Only nodes of the key tree whose sums differ are compared row by row."""
+    return reconcile.tree_differences(table(spark, sf, "orders"), changed_orders(spark, sf), ["o_orderkey"], leaf_rows=100)
+
+
+@query(f"""SELECT l_orderkey, l_linenumber, count(*) AS source_rows, count(*) FILTER (l_partkey % 500 <> 0) AS target_rows,
+       CASE WHEN count(*) FILTER (l_partkey % 500 <> 0) = 0 THEN 'missing' ELSE 'changed' END AS status
+FROM lineitem GROUP BY ALL HAVING count(*) FILTER (l_partkey % 500 = 0) > 0""")
+def reconcile_tree_hashed(spark, sf):
+    """Keys of two columns hang in the tree by their hash; the target lost the lines of some parts."""
+    lines = table(spark, sf, "lineitem")
+    return reconcile.tree_differences(lines, lossy(lines, "l_partkey", 500), ["l_orderkey", "l_linenumber"], leaf_rows=100)
+
+
 @query(_DIFF_SQL + """ SELECT status, count(*) AS keys, CAST(sum(source_rows) AS BIGINT) AS source_rows,
        CAST(sum(target_rows) AS BIGINT) AS target_rows FROM j GROUP BY status""")
 def reconcile_summary(spark, sf):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import ranges, watermark
@@ -10,6 +12,7 @@ from tidemark.queries.cleaning import marked_orders
 from tidemark.operators.validate import accepted
 from tidemark.queries.registry import query
 from tidemark.session import stored
+from tidemark.sources import scan
 
 WIDTH, TARGET = 500, 10_000
 FIXED = 2_500
@@ -163,3 +166,62 @@ def range_plan_outlier(spark, sf):
     of_plan = plan.agg(F.sum("row_count").alias("planned_rows"), F.count_if(F.col("row_count") > 2 * OUTLIER_TARGET).alias("crowded_ranges"))
     both = of_plan.unionByName(found, allowMissingColumns=True)
     return both.agg(*[F.max(c).alias(c) for c in ("planned_rows", "assigned_rows", "crowded_ranges")])
+
+
+TEXT_TARGET = 500
+
+
+def _fit(planned, assigned, name, bound):
+    """Rows planned and assigned, ranges whose counts differ, ranges over the bound that hold more than one key."""
+    both = planned.join(assigned, "range_id", "full_outer")
+    return both.agg(F.sum("row_count").alias("planned_rows"), F.sum("found").alias("assigned_rows"),
+                    F.count_if(F.coalesce("row_count", F.lit(0)) != F.coalesce("found", F.lit(0))).alias("other_counts"),
+                    F.count_if((F.col("found") > bound) & (F.col("range_id") >= 0) & (F.col("distinct_keys") > 1)).alias("crowded_ranges"),
+                    F.sum("misplaced").alias("misplaced_rows")).select(F.lit(name).alias("key_name"), "*")
+
+
+def _ordered(df, key, plan, name, bound):
+    """Each row's range, looked up, against the plan's own bounds."""
+    plan = stored(plan, "plan")
+    rows = ranges.assign_ordered(df.select(key), key, plan).join(plan.select("range_id", "start_id", "end_id"), "range_id")
+    inside = (F.col("start_id").isNull() | (F.col(key) >= F.col("start_id"))) & (F.col("end_id").isNull() | (F.col(key) < F.col("end_id")))
+    found = rows.groupBy("range_id").agg(F.count(F.lit(1)).alias("found"), F.count_distinct(key).alias("distinct_keys"),
+                                         F.count_if(~inside).alias("misplaced"))
+    return _fit(plan.select("range_id", "row_count"), found, name, bound)
+
+
+@query("""SELECT 'c_name' AS key_name, count(*) AS planned_rows, count(*) AS assigned_rows, 0::BIGINT AS other_counts, 0::BIGINT AS crowded_ranges,
+       0::BIGINT AS misplaced_rows FROM customer
+UNION ALL SELECT 'p_name', count(*), count(*), 0, 0, 0 FROM part
+UNION ALL SELECT 'url', count(*), count(*), 0, 0, 0 FROM pages
+UNION ALL SELECT 'o_orderdate', count(*), count(*), 0, 0, 0 FROM orders""")
+def range_plan_text(spark, sf):
+    """Ranges over names with a long common beginning, over part names, over urls, and over dates: every row is in the one
+    range that its key lies in, and no range holds more than the target and a quarter, unless it is of one key."""
+    out = None
+    for name, column in (("customer", "c_name"), ("part", "p_name"), ("pages", "url")):
+        df = table(spark, sf, name)
+        one = _ordered(df, column, ranges.plan_text_ranges(df, column, TEXT_TARGET), column, TEXT_TARGET * 5 // 4)
+        out = one if out is None else out.unionByName(one)
+    orders = table(spark, sf, "orders")
+    return out.unionByName(_ordered(orders, "o_orderdate", ranges.plan_time_ranges(orders, "o_orderdate", TEXT_TARGET), "o_orderdate", 2 * TEXT_TARGET))
+
+
+PARTS = 24
+
+
+@query(f"""SELECT count(*) AS row_count, count(*) AS read_rows, CAST(0 AS BIGINT) AS crowded_parts, CAST(0 AS BIGINT) AS overlaps FROM lineitem""")
+def database_partitions(spark, sf):
+    """Sparse keys with gaps, a heavy key and NULLs read by the predicates that a database would be asked with: every row
+    in one part, and no part over twice the share (Spark answers the questions here)."""
+    name = f"keys_{uuid.uuid4().hex}"
+    keys = sparse_keys(spark, sf).withColumn("line", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    keys.createOrReplaceTempView(name)
+    predicates = scan.histogram_predicates(lambda q: spark.sql(q).collect(), name, "k", PARTS, slice_by="line")
+    hits = F.array(*[F.when(F.expr(p), F.lit(i)) for i, p in enumerate(predicates)])
+    rows = keys.select(F.filter(hits, lambda h: h.isNotNull()).alias("parts"))
+    of_part = rows.select(F.explode("parts").alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    total = rows.agg(F.count(F.lit(1)).alias("row_count"), F.count_if(F.size("parts") != 1).alias("overlaps"))
+    both = total.unionByName(of_part.agg(F.sum("n").alias("read_rows"), F.max("n").alias("most")), allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]).select(
+        "row_count", "read_rows", F.when(F.col("most") > 2 * (F.col("row_count") / PARTS + 1), 1).otherwise(0).cast("bigint").alias("crowded_parts"), "overlaps")

@@ -177,6 +177,20 @@ def change_rate(spark, sf):
     return a.unionByName(b).unionByName(c)
 
 
+@query(f"""SELECT 'counts' AS what, table_name, NULL AS min_key, NULL AS max_key, row_count FROM ({COUNTS_SQL}) UNION ALL
+SELECT 'keys', 'orders', min(o_orderkey), max(o_orderkey), count(*) FROM orders UNION ALL
+SELECT 'keys', 'lineitem', min(l_orderkey), max(l_orderkey), count(*) FROM lineitem""")
+def footer_profile(spark, sf):
+    """Counts of all tables and key ends of the large ones, from file footers."""
+    none = F.lit(None).cast("bigint")
+    counts = profile.table_counts_from_footers(spark, {t: f"{sf}/{t}.parquet" for t in TABLES})
+    out = counts.select(F.lit("counts").alias("what"), "table_name", none.alias("min_key"), none.alias("max_key"), "row_count")
+    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        found = profile.key_stats_from_footers(spark, f"{sf}/{name}.parquet", key)
+        out = out.unionByName(found.select(F.lit("keys").alias("what"), F.lit(name).alias("table_name"), "min_key", "max_key", "row_count"))
+    return out
+
+
 @query("SELECT min(o_orderkey) AS min_key, max(o_orderkey) AS max_key, count(*) AS row_count FROM orders")
 def key_stats(spark, sf):
     return profile.key_stats(table(spark, sf, "orders"), "o_orderkey")
