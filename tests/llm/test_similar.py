@@ -54,3 +54,72 @@ def test_large_groups_stay_linked(spark, monkeypatch, small):
     for r in similar.near_copies(docs).collect():
         groups[r.root].add(r.doc_id)
     assert sorted(map(sorted, groups.values())) == [list(range(100 * k, 100 * k + 40)) for k in range(3)]
+
+
+def groups_of(spark, rows):
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS)
+    groups = defaultdict(set)
+    for r in similar.near_copies(docs).collect():
+        groups[r.root].add(r.doc_id)
+    return sorted(map(sorted, groups.values()))
+
+
+def plain_groups(rows):
+    """Components of exact similarity, every pair compared."""
+    parent = {i: i for i, _ in rows}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    sets = [(i, plain_set(t or "")) for i, t in rows]
+    for n, (i, x) in enumerate(sets):
+        for j, y in sets[n + 1:]:
+            if len(x & y) * 100 >= 80 * len(x | y):
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    found = defaultdict(list)
+    for i, _ in rows:
+        found[find(i)].append(i)
+    return sorted(map(sorted, found.values()))
+
+
+@pytest.mark.parametrize("small, changes", [(2, (0, 1, 2)), (8, (1, 3, 4)), (2, (2, 5, 6)), (8, (0, 4, 8))])
+def test_crowded_groups_against_all_pairs(spark, monkeypatch, small, changes):
+    """Families whose members are partly alike, directly or through others, and share buckets with members that are not."""
+    monkeypatch.setattr(similar, "SMALL", small)
+    rng, rows = random.Random(10 * small + sum(changes)), []
+    for k in range(2):
+        base = " ".join(f"w{rng.getrandbits(30)}" for _ in range(220))
+        branch = varied(rng, base, 5)
+        for n in range(30):
+            rows.append((100 * k + n, varied(rng, rng.choice([base, branch]), rng.choice(changes)) + " tail" * rng.choice([0, 0, 9])))
+    assert groups_of(spark, rows) == plain_groups(rows)
+
+
+def test_unlinked_crowds_make_few_pairs(spark, monkeypatch):
+    """Variants of one text that share buckets but lie well below 0.8: the work grows like the nodes, not like the pairs."""
+    compared, work = [], {}
+    real = similar._within
+    monkeypatch.setattr(similar, "_within", lambda small, *a: compared.append(small.count()) or real(small, *a))
+    for n in (150, 600):
+        rng = random.Random(3)
+        base = " ".join(f"w{rng.getrandbits(30)}" for _ in range(300))
+        sets = [(i, similar.shingles(varied(rng, base, 7).encode())) for i in range(n)]
+        nodes = spark.createDataFrame([(i, len(x), [b - (1 << 64) if b >> 63 else b for b in similar._bands(x)]) for i, x in sets], "node long, size long, bands array<long>")
+        own = spark.createDataFrame([(i, x.view("int64").tolist()) for i, x in sets], "node long, own array<long>")
+        compared.clear()
+        found, pairs = similar.candidates(similar.stored(nodes, "t"), similar.stored(own, "t"))
+        assert found.count() == 0
+        work[n] = pairs.count() + sum(compared)
+    assert work[600] <= 2 * 600
+
+
+def test_odd_texts_are_grouped(spark):
+    long = " ".join(f"v{i}" for i in range(120_000))
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A B"), (6, long), (7, long + " more"), (8, long), (8, long), (9, "x" * 300_000)]
+    assert groups_of(spark, rows) == [[1, 2, 3], [4, 5], [6, 7, 8], [9]]
+    docs = spark.createDataFrame([(1, "a b c d e f", "en", "s", 1)], DOCS)
+    for name in ("node", "list", "size", "bands", "_x"):
+        docs = docs.withColumn(name, similar.F.lit("x"))
+    assert similar.near_copies(docs).columns == ["doc_id", "_id", "_hash", "root"] and similar.near_copies(docs.limit(0)).count() == 0

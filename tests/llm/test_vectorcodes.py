@@ -83,11 +83,32 @@ def test_bounds_hold_and_save_work():
     assert looked[-1] < 0.05
 
 
-def test_list_length_adapts(spark):
-    rows = spark.createDataFrame([([0, 9],)] * 50 + [([2, 3],)] * 50 + [([8, 3],)], "need array<int>")
-    assert t._adapted(rows, [8, 8]) == [4, 4]
-    rows = spark.createDataFrame([([7, 9],)] * 50, "need array<int>")
-    assert t._adapted(rows, [8, 8]) == [7, 8]
+def test_lists_cut_and_filled_up_still_hold():
+    rng = np.random.default_rng(8)
+    points, book = rng.integers(-300, 300, (2000, 4)), rng.integers(-300, 300, (40, 4))
+    bounds = t.Bounds.fresh(points, book, 6)
+    for listed in (6, 12, 3, 5, 20):
+        new = book + rng.integers(-9, 9, book.shape)
+        bounds, need = bounds.moved(points, new, np.sqrt(((new - book) ** 2).sum(1)) * t._UP, listed)
+        book = new
+        exact = t.squared(points, book)
+        assert bounds.near.shape == (2000, listed) and (bounds.entry == exact.argmin(1)).all() and need.max() <= listed + 1
+        far = np.sqrt(exact)
+        far[np.arange(2000), bounds.entry] = np.inf
+        for z in range(listed):
+            assert (bounds.low[:, z] <= far.min(1)).all()
+            own = bounds.near[:, z] != bounds.entry
+            far[np.flatnonzero(own), bounds.near[own, z]] = np.inf
+        assert (bounds.outer <= far.min(1)).all()
+
+
+def test_list_length_adapts():
+    assert t.adapted({0: 500, 1: 490, 7: 10}, 16, 256) == 4  # nearly all settled, by few
+    assert t.adapted({0: 500, 9: 490, 17: 1}, 16, 256) == 9
+    assert t.adapted({3: 600, 17: 400}, 16, 256) == 32  # many not settled
+    assert t.adapted({3: 600, 65: 400}, 64, 256) == 64  # a quarter of the entries at most
+    assert t.adapted({3: 10, 17: 990}, 16, 256) == 16  # no list would help
+    assert t.adapted({}, 0, 1) == 0
 
 
 def test_odd_rows(spark):

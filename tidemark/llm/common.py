@@ -58,6 +58,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove a table that `stored` wrote and nothing reads any more."""
+    spark = df.sparkSession
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        if "/tidemark-llm/" not in folder:
+            raise ValueError(f"{folder} is no work table")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def running_before(df: DataFrame, group: list[str], bucket: str, order: list[str], amount: str, out: str) -> DataFrame:
     """df with `out`: the sum of `amount` over the rows of the group that come earlier in (bucket, order).
 

@@ -7,8 +7,9 @@ whose upper bound lies below its first lower bound keeps its entry unseen; other
 first lower bound that is high enough are looked at; if even the outer bound is too low, all are. What is looked at
 is decided by integer distances, ties to the lower index, so the bounds (rounded to the safe side) only save work.
 
-The number of listed entries per part adapts: it shrinks to what nearly all parts needed in the last round. The rows
-with their bounds are a written table per round; sums per entry come from it, and only codebooks reach the driver.
+The number of listed entries adapts to what the parts needed in the last round (see adapted). The rows with their
+bounds are a written table per round, a record of bytes each; sums per entry come from it, and only codebooks and
+counts reach the driver. A table goes when the next one is written.
 """
 
 from __future__ import annotations
@@ -22,16 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import discard, stored, table
 from tidemark.llm.registry import query
 
 PARTS = 4
 ENTRIES = 256
 ROUNDS = 4
 SCALE = 1024
-LISTED = 32  # entries listed per part at first
+LISTED = 16  # entries listed per part at first
 LEAST_LISTED = 4
-_ENOUGH = 0.99  # of the parts that their list settled: so many must be settled by the shortened one
+_ENOUGH = 0.99  # nearly all
 _LONG = (1 << 63) - 1
 _EXACT = 2.0 ** 52  # sums of squares up to here are exact in doubles
 _ROWS = 4096  # rows worked on at once
@@ -79,7 +80,8 @@ def _below(x: np.ndarray) -> np.ndarray:
 
 
 class Bounds:
-    """What the parts of a block of vectors, at one position, keep: a row per vector."""
+    """What the parts of a block of vectors, at one position, keep: a row per vector. A list that is shorter than the others
+    is filled up with the row's own entry."""
 
     def __init__(self, entry, upper, near, low, outer):
         self.entry, self.upper, self.near, self.low, self.outer = entry, upper, near, low, outer
@@ -101,27 +103,28 @@ class Bounds:
         else:
             closest, outer = far.argsort(1, kind="stable"), np.full(n, np.inf, np.float32)
         near = closest[:, 1:listed + 1]
-        return cls(entry.astype(np.int64), upper, near.astype(np.int32), _below(np.take_along_axis(far, near, 1)), outer)
+        return cls(entry, upper, near, _below(np.take_along_axis(far, near, 1)), outer)
 
-    def shortened(self, listed: int) -> Bounds:
-        """With lists of at most so many entries."""
-        if listed >= self.near.shape[1]:
-            return self
-        # a lower bound holds for all entries after its own
-        return Bounds(self.entry, self.upper, self.near[:, :listed], self.low[:, :listed], self.low[:, listed])
+    def resized(self, listed: int) -> Bounds:
+        """With lists of so many entries: cut, as a lower bound holds for all entries after its own, or filled up."""
+        more = listed - self.near.shape[1]
+        if more < 0:
+            return Bounds(self.entry, self.upper, self.near[:, :listed], self.low[:, :listed], self.low[:, listed])
+        return Bounds(self.entry, self.upper, np.concatenate((self.near, np.repeat(self.entry[:, None], more, 1)), 1),
+                      np.concatenate((self.low, np.repeat(self.outer[:, None], more, 1)), 1), self.outer)
 
     def moved(self, points: np.ndarray, book: np.ndarray, drift: np.ndarray, listed: int) -> tuple[Bounds, np.ndarray]:
         """The bounds after the entries moved, each by drift at most, and how many listed entries each part needed (one
         more than listed: all entries)."""
-        self = self.shortened(listed)
-        listed = self.near.shape[1]
-        most = float(drift.max(initial=0.0))
+        self = self.resized(listed)
+        filler = self.near == self.entry[:, None]
         upper = (self.upper + drift[self.entry]) * _UP
-        outer = _below(self.outer.astype(float) - most)
-        low = _below(self.low.astype(float) - drift[self.near])
+        outer = _below(self.outer.astype(float) - float(drift.max(initial=0.0)))
+        low = np.where(filler, outer[:, None], _below(self.low.astype(float) - drift[self.near]))
         bounds = np.minimum.accumulate(np.concatenate((low, outer[:, None]), 1)[:, ::-1], 1)[:, ::-1]
         safe = upper[:, None] < bounds
         need = np.where(safe.any(1), safe.argmax(1), listed + 1)
+        need[need > listed - filler.sum(1)] = listed + 1  # fillers cannot settle anything
         if not _small(points, book):
             need[:] = listed + 1
         out = Bounds(self.entry.copy(), upper, self.near.copy(), bounds[:, :listed].copy(), bounds[:, listed].copy())
@@ -132,6 +135,7 @@ class Bounds:
             order = np.lexsort((found, exact), axis=1)
             found, exact = np.take_along_axis(found, order, 1), np.sqrt(np.take_along_axis(exact, order, 1).astype(float))
             out.entry[rows], out.upper[rows] = found[:, 0], exact[:, 0] * _UP
+            out.near[rows] = np.where(filler[rows], found[:, :1], out.near[rows])
             out.near[rows, :z] = found[:, 1:]
             fresh = np.concatenate((_below(exact[:, 1:]), bounds[rows, z:]), 1)
             fresh = np.minimum.accumulate(fresh[:, ::-1], 1)[:, ::-1]
@@ -143,137 +147,152 @@ class Bounds:
         return out, need
 
 
-_KEPT = ("entry array<int>, upper array<double>, near array<int>, low array<float>, outer array<float>, need array<int>")
+class Layout:
+    """A vector and what its parts keep, as one record of bytes."""
 
+    def __init__(self, size: int, parts: int, kind: str, listed: int):
+        self.spans, self.listed, self.kind = cuts(size, parts), listed, kind
+        self.record = np.dtype([("v", kind, (size,)), ("entry", "u1", (parts,)), ("need", "u2", (parts,)), ("upper", "f8", (parts,)),
+                                ("outer", "f4", (parts,)), ("near", "u1", (parts, listed)), ("low", "f4", (parts, listed))])
 
-def _matrix(column: pa.ListArray, kind, width: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False).reshape(len(column), width)
+    def with_lists(self, listed: int) -> Layout:
+        size, parts = self.spans[-1][1], len(self.spans)
+        return Layout(size, parts, self.kind, listed)
 
+    def read(self, column: pa.BinaryArray) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), self.record)
 
-def _listing(matrix: np.ndarray, kind: pa.DataType) -> pa.ListArray:
-    offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(matrix).ravel(), kind))
+    def bounds(self, rows: np.ndarray, p: int) -> Bounds:
+        return Bounds(*(rows[c][:, p].astype(k) for c, k in (("entry", np.int64), ("upper", float), ("near", np.int64), ("low", np.float32), ("outer", np.float32))))
 
+    def written(self, v: np.ndarray, kept: list[tuple[Bounds, np.ndarray]]) -> pa.BinaryArray:
+        rows = np.zeros(len(v), self.record)
+        rows["v"] = v
+        for p, (b, need) in enumerate(kept):
+            rows["need"][:, p] = need
+            for c in ("entry", "upper", "near", "low", "outer"):
+                rows[c][:, p] = getattr(b, c)
+        offsets = np.arange(len(v) + 1, dtype=np.int32) * self.record.itemsize
+        return pa.Array.from_buffers(pa.binary(), len(v), [None, pa.py_buffer(offsets), pa.py_buffer(rows.tobytes())])
 
-def _assigning(books: list[np.ndarray], drifts: list[np.ndarray] | None, had: list[int], listed: list[int], size: int):
-    """vec_id, label, v and what is kept -> the same for these codebooks. drifts: None in the first round."""
-    spans = cuts(size, len(books))
 
+def _assigning(books: list[np.ndarray], drifts: list[np.ndarray] | None, old: Layout, new: Layout):
+    """vec_id, label, and v or (from the second round on, when there are drifts) kept -> vec_id, label, kept."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, len(whole), _ROWS):
                 batch = whole.slice(at, _ROWS)
-                v = _matrix(batch.column(2), np.int64, size)
+                if drifts is None:
+                    v = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), new.spans[-1][1])
+                else:
+                    rows = old.read(batch.column(2))
+                    v = rows["v"].astype(np.int64)
                 kept = []
-                if drifts is not None:
-                    entry, upper, outer = (_matrix(batch.column(i), k, len(books)) for i, k in ((3, np.int64), (4, float), (7, np.float32)))
-                    near, low = (np.split(_matrix(batch.column(i), k, sum(had)), np.cumsum(had)[:-1], axis=1)
-                                 for i, k in ((5, np.int32), (6, np.float32)))
-                for p, (a, b) in enumerate(spans):
+                for p, (a, b) in enumerate(new.spans):
                     if drifts is None:
-                        new = Bounds.fresh(v[:, a:b], books[p], listed[p])
-                        kept.append((new, np.full(len(v), new.near.shape[1] + 1)))
+                        kept.append((Bounds.fresh(v[:, a:b], books[p], new.listed), np.full(len(v), new.listed + 1)))
                     else:
-                        old = Bounds(entry[:, p], upper[:, p], near[p], low[p], outer[:, p])
-                        kept.append(old.moved(v[:, a:b], books[p], drifts[p], listed[p]))
-                column = lambda f, k: _listing(np.stack([f(x, need) for x, need in kept], 1), k)
-                row = lambda f, k: _listing(np.concatenate([f(x) for x, _ in kept], 1), k)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:3], column(lambda x, _: x.entry, pa.int32()), column(lambda x, _: x.upper, pa.float64()),
-                     row(lambda x: x.near, pa.int32()), row(lambda x: x.low, pa.float32()),
-                     column(lambda x, _: x.outer, pa.float32()), column(lambda _, need: need, pa.int32())],
-                    ["vec_id", "label", "v", "entry", "upper", "near", "low", "outer", "need"])
+                        kept.append(old.bounds(rows, p).moved(v[:, a:b], books[p], drifts[p], new.listed))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), new.written(v, kept)], ["vec_id", "label", "kept"])
     return run
 
 
-def _summing(size: int, parts: int, entries: int):
-    """v, entry -> at (component), entry, n, high, low: sums of the parts of each entry, cut at 32 bits so that none overflows."""
-    spans = cuts(size, parts)
+def _summing(layout: Layout, entries: int):
+    """kept -> at, entry, n, high, low. at from 0: sums of a component over the parts of an entry, cut at 32 bits so that
+    none overflows. at -1: entry is how many listed entries parts needed, n how many parts."""
+    size, parts = layout.spans[-1][1], len(layout.spans)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, size, entries), np.int64)
-        n = np.zeros((parts, entries), np.int64)
+        sums, n = np.zeros((2, size, entries), np.int64), np.zeros((parts, entries), np.int64)
+        needs = np.zeros(layout.listed + 2, np.int64)
         for batch in batches:
-            v, entry = _matrix(batch.column(0), np.int64, size), _matrix(batch.column(1), np.int64, parts)
-            for p, (a, b) in enumerate(spans):
+            rows = layout.read(batch.column(0))
+            v, entry = rows["v"].astype(np.int64), rows["entry"]
+            needs += np.bincount(rows["need"].ravel(), minlength=len(needs))
+            for p, (a, b) in enumerate(layout.spans):
                 n[p] += np.bincount(entry[:, p], minlength=entries)
                 for j in range(a, b):
                     for half, x in enumerate((v[:, j] >> 32, v[:, j] & 0xFFFFFFFF)):
                         sums[half, j] += np.bincount(entry[:, p], weights=x, minlength=entries).astype(np.int64)
-        for p, (a, b) in enumerate(spans):
-            used = np.flatnonzero(n[p])
-            at, e = (x.ravel() for x in np.meshgrid(np.arange(a, b), used, indexing="ij"))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, e, n[p, e], sums[0, at, e], sums[1, at, e])],
-                                             ["at", "entry", "n", "high", "low"])
+        z, none = np.arange(len(needs)), np.zeros(len(needs), np.int64)
+        found = [(none - 1, z, needs, none, none)]
+        for p, (a, b) in enumerate(layout.spans):
+            at, e = (x.ravel() for x in np.meshgrid(np.arange(a, b), np.flatnonzero(n[p]), indexing="ij"))
+            found.append((at, e, n[p, e], sums[0, at, e], sums[1, at, e]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], ["at", "entry", "n", "high", "low"])
     return run
 
 
-def _updated(rows: DataFrame, books: list[np.ndarray], size: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """The codebooks of floored means, and how far each entry moved. A row per used entry and component reaches the driver."""
-    sums = (rows.select("v", "entry").mapInArrow(_summing(size, len(books), max(len(b) for b in books)),
-                                                 "at long, entry long, n long, high long, low long")
+def _updated(state: DataFrame, books: list[np.ndarray], layout: Layout) -> tuple[list[np.ndarray], list[np.ndarray], dict[int, int]]:
+    """The codebooks of floored means, how far each entry moved, and how many parts needed how many listed entries.
+
+    A row per used entry and component reaches the driver."""
+    sums = (state.select("kept").mapInArrow(_summing(layout, max(len(b) for b in books)), "at long, entry long, n long, high long, low long")
             .groupBy("at", "entry").agg(*[F.sum(c).alias(c) for c in ("n", "high", "low")]).collect())
-    part_of = {j: (p, j - a) for p, (a, b) in enumerate(cuts(size, len(books))) for j in range(a, b)}
+    part_of = {j: (p, j - a) for p, (a, b) in enumerate(layout.spans) for j in range(a, b)}
     new = [b.copy() for b in books]
     for r in sums:
-        p, j = part_of[r["at"]]
-        new[p][r["entry"], j] = ((r["high"] << 32) + r["low"]) // r["n"]
+        if r["at"] >= 0:
+            p, j = part_of[r["at"]]
+            new[p][r["entry"], j] = ((r["high"] << 32) + r["low"]) // r["n"]
     drifts = [np.sqrt(((x.astype(float) - y.astype(float)) ** 2).sum(1)) * _UP + abs(y.astype(float)).sum(1) * 1e-12 for x, y in zip(new, books)]
-    return new, drifts
-
-
-def _adapted(rows: DataFrame, listed: list[int]) -> list[int]:
-    """How many entries to list next: what nearly all lists that settled their part would have needed."""
-    need = rows.select(F.posexplode("need").alias("part", "need")).groupBy("part", "need").count().collect()
-    out = []
-    for p, most in enumerate(listed):
-        settled = {r["need"]: r["count"] for r in need if r["part"] == p and r["need"] <= most}
-        total, upto, least = sum(settled.values()), 0, most
-        for z in sorted(settled):
-            upto += settled[z]
-            if upto >= _ENOUGH * total:
-                least = z
-                break
-        out.append(min(most, max(LEAST_LISTED, least)))
-    return out
+    return new, drifts, {r["entry"]: r["n"] for r in sums if r["at"] < 0}
 
 
-def _final(books: list[np.ndarray], size: int):
-    """vec_id, label, v, entry -> vec_id, label, code, error."""
-    spans = cuts(size, len(books))
+def adapted(needs: dict[int, int], listed: int, entries: int) -> int:
+    """How many entries to list next, from how many parts needed how many listed ones in the last round.
 
+    If nearly all were settled by their lists: as many as nearly all of these needed. If at least half were: twice as
+    many. Otherwise no list would help yet, as entries still move far, and the number stays.
+    """
+    settled = {z: n for z, n in needs.items() if z <= listed}
+    total, found = sum(needs.values()), sum(settled.values())
+    if 2 * found < total:
+        return listed
+    if found < _ENOUGH * total:
+        return min(2 * listed, max(1, entries // 4), entries - 1)
+    upto = 0
+    for z in sorted(settled):
+        upto += settled[z]
+        if upto >= _ENOUGH * found:
+            return min(listed, max(LEAST_LISTED, z))
+    return listed
+
+
+def _final(books: list[np.ndarray], layout: Layout):
+    """vec_id, label, kept -> vec_id, label, code, error."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v, entry = _matrix(batch.column(2), np.int64, size), _matrix(batch.column(3), np.int64, len(books))
+            rows = layout.read(batch.column(2))
+            v, entry = rows["v"].astype(np.int64), rows["entry"]
             error = np.zeros(len(v), object)
-            for p, (a, b) in enumerate(spans):
+            for p, (a, b) in enumerate(layout.spans):
                 x, y = v[:, a:b], books[p][entry[:, p]]
                 if not _small(x, books[p]):
                     x, y = x.astype(object), y.astype(object)
                 error = error + ((x - y) ** 2).sum(1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(["".join(f"{e:02x}" for e in row) for row in entry.tolist()], pa.string()),
+                [batch.column(0), batch.column(1), pa.array([row.tobytes().hex() for row in entry], pa.string()),
                  pa.array([min(_LONG, int(e)) for e in error], pa.int64())], ["vec_id", "label", "code", "error"])
     return run
 
 
-def _coded(rows: DataFrame, size: int, parts: int, entries: int, rounds: int, listed: int) -> DataFrame:
-    """vec_id, label, code, error, codebooks_sha256 for vectors of one length."""
+def _coded(rows: DataFrame, size: int, top: int, parts: int, entries: int, rounds: int, listed: int) -> DataFrame:
+    """vec_id, label, code, error, codebooks_sha256 for vectors of one length, components up to `top`."""
     first = rows.select("vec_id", "v").orderBy(F.asc_nulls_last("vec_id"), "v").limit(entries).collect()  # the entries, no more
     book = np.array([r.v for r in first], np.int64).reshape(len(first), size)
     books = [book[:, a:b].copy() for a, b in cuts(size, parts)]
-    label = rows.schema["label"].dataType
-    schema = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("label", label), T.StructField("v", T.ArrayType(T.LongType())),
-                           *T.StructType.fromDDL(_KEPT).fields])
-    keep = [min(listed, len(first) - 1)] * parts
-    state = stored(rows.mapInArrow(_assigning(books, None, keep, keep, size), schema), "codes")
+    label = T.StructType([T.StructField("vec_id", T.LongType()), rows.schema["label"]])
+    schema = T.StructType([*label.fields, T.StructField("kept", T.BinaryType())])
+    layout = Layout(size, parts, "i2" if top < 1 << 15 else "i4" if top < 1 << 31 else "i8", min(listed, len(first) - 1))
+    state = stored(rows.mapInArrow(_assigning(books, None, layout, layout), schema), "codes")
     for _ in range(rounds):
-        books, drifts = _updated(state, books, size)
-        had, keep = keep, _adapted(state, keep)
-        state = stored(state.mapInArrow(_assigning(books, drifts, had, keep, size), schema), "codes")
+        books, drifts, needs = _updated(state, books, layout)
+        old, layout = layout, layout.with_lists(adapted(needs, layout.listed, len(first)))
+        before, state = state, stored(state.mapInArrow(_assigning(books, drifts, old, layout), schema), "codes")
+        discard(before)  # the new table does without it
     digest = hashlib.sha256(",".join(str(int(x)) for b in books for x in b.ravel()).encode()).hexdigest()
-    coded = state.select("vec_id", "label", "v", "entry").mapInArrow(
-        _final(books, size), T.StructType([*schema.fields[:2], T.StructField("code", T.StringType()), T.StructField("error", T.LongType())]))
+    coded = state.mapInArrow(_final(books, layout), label.add("code", "string").add("error", "long"))
     return coded.withColumn("codebooks_sha256", F.lit(digest))
 
 
@@ -291,11 +310,12 @@ def codes(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds
         raise ValueError("entries must be 1 to 256")
     kept = stored(integers(vectors).withColumn("size", F.size("v")), "integers")
     # a row per length of vector
-    sizes = sorted(r["size"] for r in kept.select("size").distinct().collect())
+    top = F.max(F.greatest(F.array_max("v"), -1 - F.array_min("v")))
+    sizes = {r["size"]: r["top"] or 0 for r in kept.groupBy("size").agg(top.alias("top")).collect()}
     out = None
-    for size in sizes or [0]:
+    for size in sorted(sizes) or [0]:
         own = kept.where(F.col("size") == size).drop("size")
-        coded = _coded(own, size, parts, entries, rounds, listed) if sizes else own.select(
+        coded = _coded(own, size, sizes[size], parts, entries, rounds, listed) if sizes else own.select(
             "vec_id", "label", F.lit("").alias("code"), F.lit(0).cast("long").alias("error"), F.lit("").alias("codebooks_sha256"))
         out = coded if out is None else out.unionByName(coded)
     out = stored(out, "coded")
