@@ -1,5 +1,6 @@
 """Toxicity: the split, held-out accuracy, restored obfuscation, odd rows."""
 
+import random
 import zlib
 from itertools import product
 
@@ -117,3 +118,45 @@ def test_disguises_are_decoded():
         found = set().union(*(features(p) for p in t._pieces(text, model)))
         assert word in found, text
     assert "fag" not in set().union(*(features(p) for p in t._pieces("the man of the house", model)))
+
+
+def test_pieces_passed_over_have_no_telling_reading():
+    """A piece without the outline of any telling feature: no way through its lattice spells one."""
+    rng = random.Random(5)
+    features = {f: 1.0 for f in ("stup~", "idiot", "ass", "l0l~", "été~", "looser", "fool")}
+    telling = t.Telling(features)
+    letters = "astupidloe015$@!|.-_é"
+    pieces = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 7))) for _ in range(1500)] + ["st*pid", "a**", "s.t.u.p", "a s s"]
+    passed = 0
+    for piece in pieces:
+        if telling.possible(piece):
+            continue
+        passed += 1
+        for choice in product(*[[c for c, _ in options] for options in t._lattice(piece)]):
+            assert not t._features("".join(choice)) & features.keys(), piece
+    assert passed > 500
+    for piece in ("stup1d", "a$$", "5tuupid", "l00ser", "f.o.o.l", "st*pid"):
+        assert telling.possible(piece)
+    assert not t.Telling({}).possible("stup1d")
+
+
+def test_passing_over_changes_no_number(spark, model):
+    """Totals, hits and tops with every token decoded, on whole documents."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()]
+    texts += ["w o r t h l e s s", "1d10t 5tup1d", "l.o.s.e.r st*pid", ""]
+    features = t._token_features(model.language)
+    batch = t.pa.RecordBatch.from_arrays([t.pa.array(range(len(texts))), t.pa.array(texts)], ["doc_id", "text"])
+    got = next(t._measured(model, "doc_id")([batch]))
+    for i, text in enumerate(texts):
+        tokens = t._pieces(text, model.language)
+        found = [w for w in (max((model.weights.get(f, 0.0) for f in features(x)), default=0.0) for x in tokens) if w]
+        assert np.isclose(got.column(1)[i].as_py(), sum(found)) and got.column(3)[i].as_py() == len(tokens) and got.column(4)[i].as_py() == len(found)
+
+
+def test_a_labelled_id_held_by_many_rows_counts_once(spark):
+    rows = [(i, "good words here", 0) for i in range(40)] + [(i, "stupid words here", 1) for i in range(40, 80)]
+    many = rows + [(79, "other words here", 1)] * 500
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(i, x) for i, x, _ in many], "doc_id long, text string")
+    model = t.fit(docs, labels)
+    assert "stupid" in model.weights and "words" not in model.weights

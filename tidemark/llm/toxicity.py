@@ -24,6 +24,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -158,11 +159,57 @@ def _token_features(model: np.ndarray):
     return of
 
 
-def _pieces(text: str, model: np.ndarray) -> list[str]:
-    """The tokens of a text; what stands letter by letter comes again as the word it restores to."""
+def _representatives() -> dict[int, str | None]:
+    """For str.translate: signs that may stand for one letter become one sign, and separators go."""
+    parent = {c: c for c in "abcdefghijklmnopqrstuvwxyz"}
+
+    def find(c: str) -> str:
+        while parent.setdefault(c, c) != c:
+            c = parent[c]
+        return c
+    for sign, letters in LOOKALIKES.items():
+        if sign not in _SEPARATORS:
+            for letter in letters:
+                parent[find(letter)] = find(sign)
+    return {ord(c): find(c) for c in parent} | {ord(c): None for c in _SEPARATORS}
+
+
+_ALIKE = _representatives()
+_RUN = re.compile(r"(.)\1+", re.DOTALL)
+
+
+def _outline(piece: str) -> str:
+    """Every reading of a piece has this outline, up to separators that stay and stand between words."""
+    return _RUN.sub(r"\1", "".join(piece.translate(_ALIKE).split()))
+
+
+class Telling:
+    """Whether a reading of a piece can hold a telling feature.
+
+    A reading leaves signs, puts letters in their place, and drops doubled letters and separators. None of this
+    changes the outline, and a word's beginning stands unbroken in the outline of its text. So a piece without the outline of any
+    telling feature has no reading with one. A star may be dropped or be a vowel, so a piece with one always may.
+    """
+
+    def __init__(self, features: dict[str, float]):
+        self.found = ahocorasick.Automaton()
+        for f in features:
+            if outline := _outline(f.removesuffix("~")):
+                self.found.add_word(outline, 1)
+        self.any = len(self.found) > 0
+        if self.any:
+            self.found.make_automaton()
+
+    def possible(self, piece: str) -> bool:
+        return self.any and ("*" in piece or next(self.found.iter(_outline(piece)), None) is not None)
+
+
+def _pieces(text: str, model: np.ndarray, telling: Telling | None = None) -> list[str]:
+    """The tokens of a text; what stands letter by letter comes again as the word it restores to (with `telling`: as
+    nothing, where no reading can be telling)."""
     text = text.lower()
     tokens = text.split()
-    tokens.extend(restore(m.group(), model) for m in _SPACED.finditer(text))
+    tokens.extend(restore(m.group(), model) if telling is None or telling.possible(m.group()) else "" for m in _SPACED.finditer(text))
     return tokens
 
 
@@ -278,8 +325,9 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     total = known.count()
     if total > train_rows:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int(train_rows / total * (1 << 32)))
-    # about train_rows rows of two numbers at most, so every task may have them
-    rows = docs.select("doc_id", whole().alias("text")).join(F.broadcast(known), "doc_id").select("text", "toxic")
+    # about train_rows rows of two numbers at most, so every task may have them; of rows that repeat an id the least text
+    rows = docs.select("doc_id", whole().alias("text")).join(F.broadcast(known), "doc_id")
+    rows = stored(rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic")).select("text", "toxic"), "training")
     counts = rows.mapInArrow(_counted(language), "feature string, n long, toxic long, times long, toxic_times long")
     counts = stored(counts.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("n", "toxic", "times", "toxic_times")]), "features")
     every = counts.where("feature = ''").first()
@@ -309,20 +357,22 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
 def _measured(model: Model, keep: str):
     """keep, total and top weight, tokens, hits of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, weights = _token_features(model.language), model.weights
+        features, weights, telling = _token_features(model.language), model.weights, Telling(model.weights)
         heads, least = {f[:BEGINNINGS[0]] for f in weights}, BEGINNINGS[0]
 
         @functools.lru_cache(_CACHE)
         def cached(token: str) -> float:
             if token.isalpha() and token[:least] not in heads and not _DISGUISED.search(token):
                 return 0.0  # most tokens: nothing telling begins like this
+            if not telling.possible(token):
+                return 0.0  # nor can a reading
             return max((weights.get(f, 0.0) for f in features(token)), default=0.0)
         for batch in batches:
             rows = []
             for text in batch.column(batch.schema.get_field_index("text")):
-                tokens = _pieces(text.as_py(), model.language)
-                telling = {t for t in set(tokens) if cached(t)}
-                found = [cached(t) for t in tokens if t in telling] if telling else []
+                tokens = _pieces(text.as_py(), model.language, telling)
+                hits = {t for t in set(tokens) if cached(t)}
+                found = [cached(t) for t in tokens if t in hits] if hits else []
                 rows.append((math.fsum(found), max(found, default=0.0), len(tokens), len(found)))
             total, top, tokens, hits = zip(*rows) if rows else ((), (), (), ())
             kept = batch.column(batch.schema.get_field_index(keep)).cast(pa.int64())
