@@ -1,11 +1,12 @@
 """Quality rules with thresholds that adapt to each language and source.
 
 Fixed rules of the contract come first (base_failed). Beyond them a document is turned away if one of its
-measures lies far outside what is usual for its language and source: above the upper quartile by more than
-three quartile ranges, and by a slack at least. Quartiles come from mergeable sketches: counts per bin of
+measures lies far outside what is usual for its language and source: beyond an upper (or lower) quantile of the
+group by several times the distance between two of its quantiles, and by the sketch's error at least (FENCES). There
+is no other cutoff. Quantiles come from mergeable sketches: counts per bin of
 whole numbers, so sketches of parts add up, a source's sum to its language's, and any order of merging gives
-the same thresholds. A bin is a thousandth (shares) or a tenth of a character (word length), which is the
-sketch's error. A source's quartile limits are blended with its language's, weighted n : PRIOR, so small
+the same thresholds. A bin is a thousandth (shares) or a tenth of a character (word length); ERROR bins are taken as
+the sketch's error. A source's limits are blended with its language's, weighted n : PRIOR, so small
 sources lean on their language.
 
 Two passes over the texts: one counts bins (combined before the shuffle, a few hundred rows per group), the
@@ -28,9 +29,10 @@ WINDOW = 5
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 PRIOR = 50
-SPREAD = 3
-#: measure: (slack above, slack below, or None where low is fine), in bins
-SLACK = {"symbols": (200, None), "dup_lines": (500, None), "word_length": (80, 35)}
+#: measure: (lower and upper quantile in percent, how many times their distance a fence stands off, whether there is a lower
+#: one). A few repeated lines are usual in few texts, so that measure takes a high quantile.
+FENCES = {"symbols": (25, 75, 5, False), "dup_lines": (25, 99, 1, False), "word_length": (25, 75, 5, True)}
+ERROR = 5
 LAST_BIN = 1000
 
 
@@ -91,20 +93,21 @@ def sketch(measured: DataFrame) -> DataFrame:
 
 
 def _limits(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, measure, n, low, high: limits from the quartiles of each sketch."""
+    """keys, measure, n, low, high: limits from the quantiles of each sketch."""
     group = W.partitionBy(*keys, "measure")
     upto = group.orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
     run = counts.withColumns({"_upto": F.sum("n").over(upto), "_all": F.sum("n").over(group)})
-    q = (run.groupBy(*keys, "measure").agg(
-        F.max("_all").alias("n"), F.min(F.when(F.col("_upto") * 4 >= F.col("_all"), F.col("bin"))).alias("q1"),
-        F.min(F.when(F.col("_upto") * 4 >= F.col("_all") * 3, F.col("bin"))).alias("q3")))
-    above, below = F.lit(None).cast("int"), F.lit(None).cast("int")
-    for m, (up, down) in SLACK.items():
-        above = F.when(F.col("measure") == m, up).otherwise(above)
-        below = F.when(F.col("measure") == m, down).otherwise(below)
-    spread = SPREAD * (F.col("q3") - F.col("q1"))
-    return q.select(*keys, "measure", "n", F.when(below.isNotNull(), F.col("q1") - F.greatest(spread, below)).alias("low"),
-                    (F.col("q3") + F.greatest(spread, above)).alias("high"))
+    def pick(which):
+        out = F.lit(None).cast("int")
+        for m, fence in FENCES.items():
+            out = F.when(F.col("measure") == m, F.lit(which(fence))).otherwise(out)
+        return out
+    quantile = lambda percent: F.min(F.when(F.col("_upto") * 100 >= F.col("_all") * percent, F.col("bin")))
+    q = run.groupBy(*keys, "measure").agg(F.max("_all").alias("n"), quantile(pick(lambda f: f[0])).alias("lower"),
+                                          quantile(pick(lambda f: f[1])).alias("upper"))
+    off = pick(lambda f: f[2]) * (F.col("upper") - F.col("lower")) + ERROR
+    return q.select(*keys, "measure", "n", F.when(pick(lambda f: int(f[3])) == 1, F.col("lower") - off).alias("low"),
+                    (F.col("upper") + off).alias("high"))
 
 
 def thresholds(counts: DataFrame) -> DataFrame:
@@ -115,7 +118,7 @@ def thresholds(counts: DataFrame) -> DataFrame:
                                               F.col("low").alias("_low"), F.col("high").alias("_high"))
     both = own.join(of_lang, own.lang.eqNullSafe(F.col("_l")) & (F.col("measure") == F.col("_m")))
     sides = []
-    for m in SLACK:
+    for m in FENCES:
         for side in ("low", "high"):
             blend = F.col("n") * F.col(side) + PRIOR * F.col(f"_{side}")
             sides.append(F.max(F.when(F.col("measure") == m, blend)).alias(f"{m}_{side}"))
@@ -175,20 +178,21 @@ m AS (SELECT w.r, doc_id, lang, source, len(ws)::BIGINT AS n_words,
 b AS (SELECT r, lang, source, unnest([{'m': 1, 'b': least(1000 * n_symbols // greatest(word_chars, 1), 1000)},
     {'m': 2, 'b': least(1000 * n_dup_lines // greatest(n_lines, 1), 1000)},
     {'m': 3, 'b': least(10 * word_chars // greatest(n_words, 1), 1000)}], recursive := true) FROM m),
-own AS (SELECT lang, source, m, count(*) AS n, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM b GROUP BY ALL),
-lng AS (SELECT lang, m, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM b GROUP BY ALL),
-s(m, up, down) AS (VALUES (1, 200, NULL), (2, 500, NULL), (3, 80, 35)),
-lim AS (SELECT o.lang, o.source, o.m, n,
-    n * (o.q3 + greatest(3 * (o.q3 - o.q1), up)) + 50 * (l.q3 + greatest(3 * (l.q3 - l.q1), up)) AS hi,
-    CASE WHEN down IS NOT NULL THEN n * (o.q1 - greatest(3 * (o.q3 - o.q1), down))
-        + 50 * (l.q1 - greatest(3 * (l.q3 - l.q1), down)) END AS lo
-    FROM own o JOIN lng l ON o.lang IS NOT DISTINCT FROM l.lang AND o.m = l.m JOIN s ON s.m = o.m),
+f(m, lo, up, times, lowered) AS (VALUES (1, 25, 75, 5, false), (2, 25, 99, 1, false), (3, 25, 75, 5, true)),
+place AS (SELECT lang, source, b.m, b, lo, up, row_number() OVER g AS i, count(*) OVER (PARTITION BY lang, source, b.m) AS n,
+    row_number() OVER h AS li, count(*) OVER (PARTITION BY lang, b.m) AS ln FROM b JOIN f ON f.m = b.m
+    WINDOW g AS (PARTITION BY lang, source, b.m ORDER BY b), h AS (PARTITION BY lang, b.m ORDER BY b)),
+own AS (SELECT lang, source, m, max(n) AS n, min(b) FILTER (100 * i >= lo * n) AS q1, min(b) FILTER (100 * i >= up * n) AS q3 FROM place GROUP BY ALL),
+lng AS (SELECT lang, m, min(b) FILTER (100 * li >= lo * ln) AS q1, min(b) FILTER (100 * li >= up * ln) AS q3 FROM place GROUP BY ALL),
+lim AS (SELECT o.lang, o.source, o.m, n, n * (o.q3 + times * (o.q3 - o.q1) + 5) + 50 * (l.q3 + times * (l.q3 - l.q1) + 5) AS hi,
+    CASE WHEN lowered THEN n * (o.q1 - times * (o.q3 - o.q1) - 5) + 50 * (l.q1 - times * (l.q3 - l.q1) - 5) END AS lo
+    FROM own o JOIN lng l ON o.lang IS NOT DISTINCT FROM l.lang AND o.m = l.m JOIN f ON f.m = o.m),
 odd AS (SELECT DISTINCT b.r FROM b JOIN lim ON b.lang IS NOT DISTINCT FROM lim.lang
     AND b.source IS NOT DISTINCT FROM lim.source AND b.m = lim.m
     WHERE b.b * (n + 50) > hi OR coalesce(b.b * (n + 50) < lo, false)),
-f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    NOT base_failed AND odd.r IS NULL AS kept FROM f LEFT JOIN odd ON f.r = odd.r"""
+    NOT base_failed AND odd.r IS NULL AS kept FROM judged LEFT JOIN odd ON judged.r = odd.r"""
 
 
 @query(_SQL)
