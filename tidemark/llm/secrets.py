@@ -1,9 +1,9 @@
 """Secret scans with corpus-wide ownership.
 
 Base kinds are found by patterns alone. The method adds `live`: bare tokens that look like credentials (long,
-letters and digits, many different characters), overlap no base span, and belong to few owners. Every
+letters and digits, many different characters), overlap no base span, and belong to few owners and repositories. Every
 candidate's value is hashed; the hashes are counted by distinct repositories and owners over the whole corpus. A
-value that many owners have is a copied example; the others are owner-specific.
+value that many owners have, or that stands in many repositories, is a copied example; the others are owner-specific.
 
 Positions come from lengths: a text splits at the matches into gaps, and a match starts after the gaps and
 matches before it. The texts are scanned once; from there on rows carry lengths and hashes only. Counts are
@@ -28,7 +28,8 @@ KINDS = {
     "live": (r"[A-Za-z0-9+/_=-]{20,}", 0, 20),
 }
 LIVE_CHARS = 10  # different characters of a live-looking token
-EXAMPLE_OWNERS = 4  # a value that so many owners have is an example
+EXAMPLE_OWNERS = 4  # a value that so many owners have is an example,
+EXAMPLE_REPOSITORIES = 100  # and so is one in so many repositories, be they of one owner
 MARK = "[SECRET]"
 
 
@@ -71,7 +72,7 @@ def ownership(found: DataFrame) -> DataFrame:
             .groupBy("value").agg(F.sum("n").alias("repositories"), F.count("*").alias("owners")))
 
 
-def spans(found: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def spans(found: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
     """_id, _hash, kind (its place in KINDS), start, stop, example: every span once, rows alike counted once."""
     live = list(KINDS).index("live")
     rows = (found.select("_id", "_hash", F.explode("found").alias("f")).select("_id", "_hash", "f.*")
@@ -86,7 +87,8 @@ def spans(found: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
     after = F.min(base_start).over(whole_text.orderBy(F.desc("start")).rangeBetween(W.unboundedPreceding, 0))
     free = ~(F.coalesce(F.col("_before") > F.col("start"), F.lit(False)) | F.coalesce(F.col("_after") < F.col("stop"), F.lit(False)))
     rows = rows.withColumn("_before", before).withColumn("_after", after).where((F.col("kind") != live) | free)
-    examples = ownership(found).where(F.col("owners") >= example_owners).select("value", F.lit(True).alias("example"))
+    copied = (F.col("owners") >= example_owners) | (F.col("repositories") >= example_repositories)
+    examples = ownership(found).where(copied).select("value", F.lit(True).alias("example"))
     return (rows.join(examples, "value", "left").withColumn("example", F.coalesce("example", F.lit(False)))
             .where((F.col("kind") != live) | ~F.col("example")).select("_id", "_hash", "kind", "start", "stop", "example"))
 
@@ -97,7 +99,7 @@ def _digest(items: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
-                 example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+                 example_owners: int = EXAMPLE_OWNERS, example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
     """Per row of docs: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_examples.
 
     spans: kind:start:end, code points, end exclusive, by start, then kind. Base spans stay even if their value is an
@@ -109,7 +111,7 @@ def find_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_
     found = stored(candidates(docs, owner, repository), "candidates")
     live = list(KINDS).index("live")
     order = F.sort_array(F.collect_list(F.struct("start", "kind", "stop", "example")))
-    per = (spans(found.where(F.size("found") > 0), example_owners).groupBy("_id", "_hash").agg(order.alias("all"))
+    per = (spans(found.where(F.size("found") > 0), example_owners, example_repositories).groupBy("_id", "_hash").agg(order.alias("all"))
            .withColumn("base", F.filter("all", lambda s: s["kind"] != live)))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     per = per.select("_id", "_hash", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
@@ -125,14 +127,14 @@ def find_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_
     return some.unionByName(none)
 
 
-def redact(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def redact(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
     """documents with every owner-specific secret, base or live, replaced by [SECRET] and n_chars counted anew.
 
     Overlapping spans become one mark. Copied examples stay readable. Texts without such a span are untouched.
     """
     docs = docs.select(*DOCUMENT)
     found = stored(candidates(docs), "candidates").where(F.size("found") > 0)
-    hide = spans(found, example_owners).where("NOT example")
+    hide = spans(found, example_owners, example_repositories).where("NOT example")
     upto = W.partitionBy("_id", "_hash").orderBy("start", "stop").rowsBetween(W.unboundedPreceding, -1)
     hide = hide.withColumn("_new", (F.col("start") > F.coalesce(F.max("stop").over(upto), F.lit(-1))).cast("int"))
     hide = hide.withColumn("_run", F.sum("_new").over(W.partitionBy("_id", "_hash").orderBy("start", "stop").rowsBetween(
@@ -168,8 +170,8 @@ def _sql() -> str:
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
 every AS ({union}),
-own AS (SELECT v, count(DISTINCT coalesce(source, chr(0))) AS owners FROM every JOIN d ON every.r = d.r GROUP BY v),
-s AS (SELECT e.*, o.owners >= {EXAMPLE_OWNERS} AS example FROM every e JOIN own o ON e.v = o.v),
+own AS (SELECT v, count(DISTINCT coalesce(source, chr(0))) AS owners, count(DISTINCT concat(coalesce(source, chr(0)), chr(1), doc_id)) AS repositories FROM every JOIN d ON every.r = d.r GROUP BY v),
+s AS (SELECT e.*, o.owners >= {EXAMPLE_OWNERS} OR o.repositories >= {EXAMPLE_REPOSITORIES} AS example FROM every e JOIN own o ON e.v = o.v),
 kept AS (SELECT * FROM s WHERE kind <> 'live' OR (NOT example AND NOT EXISTS (
     SELECT 1 FROM s b WHERE b.r = s.r AND b.kind <> 'live' AND b.start < s.stop AND b.stop > s.start))),
 per AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
