@@ -2,6 +2,7 @@
 
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +51,16 @@ def test_secrets_ownership_decides(spark):
     assert clean[10].text == "use [SECRET] now" and clean[10].n_chars == 16 and clean[0].text == rows[0][1]
 
 
+@pytest.mark.parametrize("owners", [1, 2, 3])
+def test_a_value_in_many_documents_is_an_example(spark, owners):
+    common, rare = "Ab3Cd5Ef7Gh9Jk2Lm4Np6Qr8", "Xy1Zw2Vu3Ts4Rq5Po6Nm7Lk8"
+    rows = [(i, f"see {common} here", f"owner{i % owners}") for i in range(3000)] + [(5000 + i, f"my {rare} is", "owner0") for i in range(20)]
+    got = {r.doc_id: r.n_live for r in secrets.find_secrets(docs_of(spark, rows)).collect()}
+    assert {got[i] for i in range(3000)} == {0} and {got[5000 + i] for i in range(20)} == {1}
+    clean = secrets.redact(docs_of(spark, rows)).where("text LIKE '%[SECRET]%'")
+    assert sorted(r.doc_id for r in clean.collect()) == list(range(5000, 5020))
+
+
 def test_redaction_merges_overlaps_and_keeps_the_rest(spark):
     rows = [(1, f"a {SECRET} b", "s"), (None, None, "s"), (2, "token=" + "0f" * 20 + "\nend", "s"), (2, "", None)]
     got = sorted((r.doc_id or 0, r.text) for r in secrets.redact(clashing(docs_of(spark, rows))).collect() if r.text)
@@ -118,8 +129,23 @@ def test_search_ties_hot_vectors_and_odd_rows(spark):
     assert kdtree.top_k(df.limit(0)).count() == 0
 
 
+def test_rows_that_repeat_an_id_are_rows_of_their_own(spark):
+    rows = [(50, [1.0]), (1, [2.0]), (1, [5.0]), (2, [3.0]), (100, [4.0]), (100, [4.0])]
+    got = [(r.query_id, r.rank, r.vec_id, r.score) for r in kdtree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=3, shard_rows=2).collect()]
+    unit = 256 * 256
+    assert sorted(x for x in got if x[0] == 50) == [(50, 1, 1, 5 * unit), (50, 2, 100, 4 * unit), (50, 3, 100, 4 * unit)]
+    # each of the two rows of id 100 finds the other one
+    assert sorted(x for x in got if x[0] == 100) == sorted(2 * [(100, 1, 1, 20 * unit), (100, 2, 100, 16 * unit), (100, 3, 2, 12 * unit)])
+
+
 # --- urls
 
+def test_hosts_of_very_many_labels(spark):
+    rows = [("s://" + "a." * 100_000 + "spam-farm.example.com/x",), ("s://" + "b." * 100_000 + "net/fr/1",), ("s://" + "." * 100_000,)]
+    got = {(r.rule, r.verdict, len(r.host)) for r in urls.judge_urls(spark.createDataFrame(rows, "url string")).collect()}
+    assert got == {("com/", "allow", 200_021), ("net/fr/", "block", 200_003), (None, "allow", 100_000)}
+
+
 def test_urls(spark):
     cases = {None: ("", "", None, "allow"), "no host": ("", "", None, "allow"), "http://": ("", "", None, "allow"),
              "http://A.COM": ("a.com", "", None, "allow"), "x://com/": ("com", "/", "com/", "allow"),
@@ -182,6 +208,18 @@ def test_quality(spark):
     assert quality.kept_documents(docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_fences_follow_each_group(spark):
+    """What is usual in one source is odd in another: the same share of symbols, the same long words."""
+    rng, rows = random.Random(4), []
+    for i in range(600):
+        signs = rng.randint(8, 14) if i % 2 else 0  # code-like texts in source b
+        rows.append((i, " ".join([f"plainword{rng.randint(0, 9)}{k}" for k in range(60)] + ["a|b"] * signs), "b" if i % 2 else "a"))
+    rows += [(1000, " ".join([f"plainword{k}" for k in range(60)] + ["a|b"] * 10), "a"), (1001, " ".join([f"plainword{k}" for k in range(60)] + ["a|b"] * 10), "b"),
+             (1002, " ".join(["thisisaverylongwordindeed" + str(k) for k in range(60)]), "a")]
+    got = {r.doc_id: r.kept for r in quality.judge(docs_of(spark, rows)).collect()}
+    assert all(got[i] for i in range(600)) and (got[1000], got[1001], got[1002]) == (False, True, False)
+
+
 def test_sketches_merge(spark, sf):
     docs = quality.cheap_measures(spark.read.parquet(f"{sf}/documents.parquet"))
     keys = ["lang", "source", "measure", "bin"]

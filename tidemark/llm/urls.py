@@ -1,8 +1,8 @@
 """URL filters: exact membership of keys by a cascade of Bloom filters, without joining the urls to a list.
 
 A rule (verdict, host, path) fits its host and all subdomains if the url's path starts with the rule's. The
-keys of a url are every suffix of its host at a label, followed by every prefix of its path that is as long
-as some rule's path; a rule fits exactly if its key is among them.
+keys of a url are every suffix of its host at a label with no more labels than any listed host has, followed by
+every prefix of its path that is as long as some rule's path; a rule fits exactly if its key is among them.
 
 A cascade tells listed keys from the other keys of the corpus. Level 1 encodes the listed keys; level 2 the
 corpus keys that level 1 lets through by mistake; level 3 the listed keys that level 2 holds by mistake; and
@@ -102,18 +102,26 @@ def _url_parts(url: str) -> list[Column]:
     return [F.translate(host, UPPER, LOWER).alias("host"), F.regexp_extract(rest, r"^[^?#]*", 0).alias("path")]
 
 
-def _suffixes(host: Column) -> Column:
-    """Suffixes of the host that start at a label, longest first."""
-    labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)),
-                       lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def _labels(hosts: Sequence[str]) -> int:
+    """The most labels that one of these hosts has."""
+    return max((h.count(".") + 1 for h in hosts), default=0)
 
 
-def _keys(host: Column, path: Column, lengths: Sequence[int]) -> Column:
+def _suffixes(host: Column, most: int) -> Column:
+    """Suffixes of the host that start at a label and have at most so many labels, longest first."""
+    if most < 1:
+        return F.array().cast("array<string>")
+    whole = F.size(F.split(host, r"\.")) <= most
+    last = F.when(whole, host).otherwise(F.substring_index(host, ".", -most))  # the only ones that can be listed
+    labels = F.split(last, r"\.")
+    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+
+
+def _keys(host: Column, path: Column, lengths: Sequence[int], most: int) -> Column:
     """Keys of a url, longest first; ties (no two keys of a url are alike in text) by text."""
     prefixes = F.array_compact(F.array(*[
         F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in sorted(lengths, reverse=True)]))
-    pairs = F.flatten(F.transform(_suffixes(host), lambda h: F.transform(prefixes, lambda p: F.concat(h, p))))
+    pairs = F.flatten(F.transform(_suffixes(host, most), lambda h: F.transform(prefixes, lambda p: F.concat(h, p))))
     pairs = F.array_sort(F.transform(pairs, lambda k: F.struct((-F.length(k)).alias("n"), k.alias("key"))))
     return F.transform(pairs, lambda s: s["key"])
 
@@ -131,11 +139,12 @@ def judge_urls(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, st
     """
     spark = pages.sparkSession
     lengths = sorted({len(path) for _, _, path in rules})
+    of_rules, of_hosts = _labels([host for _, host, _ in rules]), _labels(blocked_hosts)
     extra = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     parts = pages.select(*[pages[c] for c in extra], *_url_parts(url))
     keyed = parts.select("host", "path").withColumns({
-        "rule_keys": _keys(F.col("host"), F.col("path"), lengths) if lengths else F.array().cast("array<string>"),
-        "host_keys": _suffixes(F.col("host"))})
+        "rule_keys": _keys(F.col("host"), F.col("path"), lengths, of_rules) if lengths else F.array().cast("array<string>"),
+        "host_keys": _suffixes(F.col("host"), of_hosts)})
 
     def cascade(column: str, keys: Sequence[str]) -> Cascade:
         universe = keyed.select(F.explode(column).alias("key"))
@@ -148,11 +157,11 @@ def judge_urls(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, st
     allowing = cascade("rule_keys", [h + p for v, h, p in rules if v == "allow"])
     hosts = cascade("host_keys", blocked_hosts)
 
-    keys = _keys(F.col("host"), F.col("path"), lengths) if lengths else F.array().cast("array<string>")
+    keys = _keys(F.col("host"), F.col("path"), lengths, of_rules) if lengths else F.array().cast("array<string>")
     found = F.filter(F.transform(keys, lambda k: F.struct(
         k.alias("key"), F.when(blocking.lists(k), "block").when(allowing.lists(k), "allow").alias("verdict"))),
         lambda s: s["verdict"].isNotNull())
-    by_host = F.when(F.exists(_suffixes(F.col("host")), hosts.lists), "block").otherwise("allow")
+    by_host = F.when(F.exists(_suffixes(F.col("host"), of_hosts), hosts.lists), "block").otherwise("allow")
     judged = parts.withColumn("_found", F.get(found, F.lit(0)))
     return judged.select(*extra, "host", "path", F.col("_found.key").alias("rule"),
                          F.coalesce(F.col("_found.verdict"), by_host).alias("verdict"))
