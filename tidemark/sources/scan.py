@@ -110,6 +110,16 @@ def range_predicates(pk: str, plan: DataFrame, slice_by: str | None = None) -> l
     return keyed + sliced(f"{pk} IS NULL", slices.get(NULL_RANGE, 1), slice_by)
 
 
+def key_predicates(pk: str, low: int, high: int, parts: int) -> list[str]:
+    """WHERE texts for `parts` ranges of equal width between two keys, for a source that cannot be asked for counts;
+    outer ones are open, the first takes NULL keys."""
+    parts = max(1, min(parts, high - low + 1))
+    cuts = [low + (high - low + 1) * i // parts for i in range(1, parts)]
+    if not cuts:
+        return ["1 = 1"]
+    return [f"{pk} < {cuts[0]} OR {pk} IS NULL", *[f"{pk} >= {a} AND {pk} < {b}" for a, b in zip(cuts, cuts[1:])], f"{pk} >= {cuts[-1]}"]
+
+
 def key_counts_sql(pk: str, table_name: str, low: int, high: int, width: int) -> str:
     """Rows per bucket of keys in [low, high), a row per bucket that has any; low is the first bucket's edge, so that
     whole-number and decimal division give the same bucket."""
