@@ -1,7 +1,7 @@
 """Toxicity of restored texts: noisy-channel deobfuscation, then evidence of words.
 
 Tokens that hold a look-alike, a doubled letter or a separator inside, and runs of three or more single letters, are
-decoded (a token once per task while cached): every character
+decoded (a token once per task while held): every character
 opens the letters it may stand for (or none, for repeats and separators), and a Viterbi walk through this lattice
 finds the likeliest reading under a character trigram model. The model is counted over the texts of all documents;
 its alphabet is fixed, so the table is too (ALPHABET ** 3 numbers), however large the corpus.
@@ -17,7 +17,6 @@ id; that bounds the broadcast and the model. Nothing but the text goes into a sc
 
 from __future__ import annotations
 
-import functools
 import math
 import re
 from collections import Counter
@@ -117,28 +116,47 @@ def _lattice(piece: str) -> list[list[tuple[str, float]]]:
     return out
 
 
+class Restorer:
+    """The likeliest reading of a lower-case piece of text: Viterbi over the last two characters."""
+
+    def __init__(self, model: np.ndarray):
+        self.table = model.ravel().tolist()  # numbers of a list are read faster one by one than those of an array
+        self.of = {"": 0}
+
+    def number(self, c: str) -> int:
+        if (n := self.of.get(c)) is None:
+            n = self.of[c] = int(_classes(c)[0])
+        return n
+
+    def __call__(self, piece: str) -> str:
+        table, number = self.table, self.number
+        # state: the last two characters -> score, place in the table that their classes lead to, path
+        paths = {("", ""): (0.0, 0, None)}
+        for options in _lattice(piece):
+            new: dict = {}
+            for (a, b), (score, place, path) in paths.items():
+                for c, channel in options:
+                    if c:
+                        n = number(c)
+                        state, s = (b, c), score + channel + table[place + n]
+                        if state not in new or s > new[state][0]:
+                            new[state] = (s, (place + n) % (ALPHABET * ALPHABET) * ALPHABET, (path, c))
+                    else:
+                        state, s = (a, b), score + channel
+                        if state not in new or s > new[state][0]:
+                            new[state] = (s, place, path)
+            paths = new
+        _, _, path = max((s + table[place], n, path) for n, (s, place, path) in enumerate(paths.values()))
+        found = []
+        while path:
+            path, c = path
+            found.append(c)
+        return "".join(reversed(found))
+
+
 def restore(piece: str, model: np.ndarray) -> str:
-    """The likeliest reading of a lower-case piece of text (Viterbi over the last two characters)."""
-    paths = {("", ""): (0.0, None)}
-    ids = functools.cache(lambda c: int(_classes(c or " ")[0]))
-    for options in _lattice(piece):
-        new: dict = {}
-        for (a, b), (score, path) in paths.items():
-            for c, channel in options:
-                if c:
-                    state, s, p = (b, c), score + channel + float(model[ids(a), ids(b), ids(c)]), (path, c)
-                else:
-                    state, s, p = (a, b), score + channel, path
-                if state not in new or s > new[state][0]:
-                    new[state] = (s, p)
-        paths = new
-    space = ids(" ")
-    _, path = max((s + float(model[ids(a), ids(b), space]), n, p) for n, ((a, b), (s, p)) in enumerate(paths.items()))[::2]
-    found = []
-    while path:
-        path, c = path
-        found.append(c)
-    return "".join(reversed(found))
+    """The likeliest reading of one piece."""
+    return Restorer(model)(piece)
 
 
 def _features(piece: str) -> set[str]:
@@ -149,12 +167,12 @@ def _features(piece: str) -> set[str]:
     return out
 
 
-def _token_features(model: np.ndarray):
+def _token_features(restored: Restorer):
     """Features of a token, its restored form included."""
     def of(token: str) -> set[str]:
         found = _features(token)
-        if _DISGUISED.search(token):
-            found |= _features(restore(token, model))
+        if _DISGUISED.search(token) and (reading := restored(token)) != token:
+            found |= _features(reading)
         return found
     return of
 
@@ -204,12 +222,12 @@ class Telling:
         return self.any and ("*" in piece or next(self.found.iter(_outline(piece)), None) is not None)
 
 
-def _pieces(text: str, model: np.ndarray, telling: Telling | None = None) -> list[str]:
+def _pieces(text: str, restored: Restorer, telling: Telling | None = None) -> list[str]:
     """The tokens of a text; what stands letter by letter comes again as the word it restores to (with `telling`: as
     nothing, where no reading can be telling)."""
     text = text.lower()
     tokens = text.split()
-    tokens.extend(restore(m.group(), model) if telling is None or telling.possible(m.group()) else "" for m in _SPACED.finditer(text))
+    tokens.extend(restored(m.group()) if telling is None or telling.possible(m.group()) else "" for m in _SPACED.finditer(text))
     return tokens
 
 
@@ -217,7 +235,8 @@ class _Tally:
     """Documents and occurrences of each feature, all and toxic ones, over the texts of a task so far."""
 
     def __init__(self, model: np.ndarray):
-        self.model, self.features = model, _token_features(model)
+        self.restored = Restorer(model)
+        self.features = _token_features(self.restored)
         self.reset()
 
     def reset(self) -> None:
@@ -239,7 +258,7 @@ class _Tally:
 
     def add(self, text: str, toxic: int) -> None:
         known, number = self.tokens, self.number
-        found = Counter(_pieces(text, self.model))
+        found = Counter(_pieces(text, self.restored))
         self.ids.extend([known[t] if t in known else number(t) for t in found])
         self.times.extend(found.values())
         self.owner.append(len(found))
@@ -357,23 +376,30 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
 def _measured(model: Model, keep: str):
     """keep, total and top weight, tokens, hits of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, weights, telling = _token_features(model.language), model.weights, Telling(model.weights)
-        heads, least = {f[:BEGINNINGS[0]] for f in weights}, BEGINNINGS[0]
-
-        @functools.lru_cache(_CACHE)
-        def cached(token: str) -> float:
-            if token.isalpha() and token[:least] not in heads and not _DISGUISED.search(token):
-                return 0.0  # most tokens: nothing telling begins like this
-            if not telling.possible(token):
+        restored, weights, telling = Restorer(model.language), model.weights, Telling(model.weights)
+        features, heads, least = _token_features(restored), {f[:BEGINNINGS[0]] for f in model.weights}, BEGINNINGS[0]
+
+        def weight(token: str) -> float:
+            if not _DISGUISED.search(token):
+                if all(w[:least] not in heads for w in _LETTERS.findall(token)):
+                    return 0.0  # most tokens: nothing telling begins like this
+            elif not telling.possible(token):
                 return 0.0  # nor can a reading
             return max((weights.get(f, 0.0) for f in features(token)), default=0.0)
+        known, tells = set(), {}  # tokens weighed, and those with a weight
         for batch in batches:
             rows = []
             for text in batch.column(batch.schema.get_field_index("text")):
-                tokens = _pieces(text.as_py(), model.language, telling)
-                hits = {t for t in set(tokens) if cached(t)}
-                found = [cached(t) for t in tokens if t in hits] if hits else []
+                tokens = _pieces(text.as_py(), restored, telling)
+                distinct = set(tokens)
+                for t in distinct - known:
+                    if w := weight(t):
+                        tells[t] = w
+                known |= distinct
+                found = [] if distinct.isdisjoint(tells) else [tells[t] for t in tokens if t in tells]
                 rows.append((math.fsum(found), max(found, default=0.0), len(tokens), len(found)))
+                if len(known) > _CACHE:
+                    known.clear(), tells.clear()
             total, top, tokens, hits = zip(*rows) if rows else ((), (), (), ())
             kept = batch.column(batch.schema.get_field_index(keep)).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
