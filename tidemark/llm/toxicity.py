@@ -154,9 +154,13 @@ class Restorer:
         return "".join(reversed(found))
 
 
-def restore(piece: str, model: np.ndarray) -> str:
+def _restorer(model: np.ndarray | Restorer) -> Restorer:
+    return model if isinstance(model, Restorer) else Restorer(model)
+
+
+def restore(piece: str, model: np.ndarray | Restorer) -> str:
     """The likeliest reading of one piece."""
-    return Restorer(model)(piece)
+    return _restorer(model)(piece)
 
 
 def _features(piece: str) -> set[str]:
@@ -167,8 +171,10 @@ def _features(piece: str) -> set[str]:
     return out
 
 
-def _token_features(restored: Restorer):
+def _token_features(model: np.ndarray | Restorer):
     """Features of a token, its restored form included."""
+    restored = _restorer(model)
+
     def of(token: str) -> set[str]:
         found = _features(token)
         if _DISGUISED.search(token) and (reading := restored(token)) != token:
@@ -222,12 +228,12 @@ class Telling:
         return self.any and ("*" in piece or next(self.found.iter(_outline(piece)), None) is not None)
 
 
-def _pieces(text: str, restored: Restorer, telling: Telling | None = None) -> list[str]:
+def _pieces(text: str, model: np.ndarray | Restorer, telling: Telling | None = None) -> list[str]:
     """The tokens of a text; what stands letter by letter comes again as the word it restores to (with `telling`: as
     nothing, where no reading can be telling)."""
     text = text.lower()
     tokens = text.split()
-    tokens.extend(restored(m.group()) if telling is None or telling.possible(m.group()) else "" for m in _SPACED.finditer(text))
+    tokens.extend(restore(m.group(), model) if telling is None or telling.possible(m.group()) else "" for m in _SPACED.finditer(text))
     return tokens
 
 
