@@ -7,6 +7,9 @@ templates are counted over the whole corpus and ordered from rare to frequent. I
 with a prefix word are cut out and joined on it; the length filter (too few template words in the block) and the
 positional filter (too few left after the match) thin the candidates before the overlap is counted.
 
+A template of more than STRIDE words is cut into pieces of about equal length, at most STRIDE words each; a piece found
+is the template found, so a text that holds a part of a long license is labelled too.
+
 Templates and their words are a parameter of fixed size. The texts are read twice, for the counts and for the
 blocks; what is shuffled are counts and the few candidate blocks.
 """
@@ -44,6 +47,16 @@ def _tokens(text: str) -> list[str]:
     return re.findall(TOKEN, text.translate(str.maketrans(UPPER, LOWER)))
 
 
+def cut_templates(templates: Sequence[tuple[str, str]], stride: int) -> list[tuple[str, str]]:
+    """(label, text) of at most `stride` words each, of about equal length; templates without words go."""
+    out = []
+    for label, text in templates:
+        own = _tokens(text)
+        pieces = -(-len(own) // stride)
+        out += [(label, " ".join(own[len(own) * i // pieces:len(own) * (i + 1) // pieces])) for i in range(pieces)]
+    return out
+
+
 class Templates:
     """Templates in the corpus's order of words. counts: of every word of theirs over all documents."""
 
@@ -120,13 +133,12 @@ def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLA
     """Per row of docs: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     n_base counts the places of all phrases; labels joins theirs with those of templates found in a block; score is 1
-    with a phrase, else the highest containment found, else 0. Templates may have at most `stride` words.
+    with a phrase, else the highest containment found, else 0. Templates of more than `stride` words are cut.
 
     A null or empty text has no words, places null, labels empty, score 0. Rows that repeat get the same answer each;
     null ids are kept; an empty table gives none. Other columns are ignored.
     """
-    if any(len(_tokens(text)) > stride for _, text in templates):
-        raise ValueError("a template is longer than the stride")
+    templates = cut_templates(templates, stride)
     docs = docs.select("doc_id", "text")
     vocabulary = sorted({w for _, text in templates for w in _tokens(text)})
     # one row per word of the templates
