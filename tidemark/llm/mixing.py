@@ -127,8 +127,9 @@ def pieces(sizes: DataFrame, per: DataFrame, block_words: int = BLOCK_WORDS) ->
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, cap: int = CAP,
-        block_words: int = BLOCK_WORDS) -> DataFrame:
-    """A row per document: doc_id, key, size, source_size, target (its source's), taken (words, repeats counted).
+        block_words: int = BLOCK_WORDS, slots_too: bool = False) -> DataFrame:
+    """A row per document: doc_id, key, size, source_size, target (its source's), taken (words, repeats counted); with
+    slots_too also first_slot and last_slot: the slots of the schedule that take words of it first and last, null if none does.
 
     A source's taken words are its target rounded down; no document is taken more than `cap` times. The order
     is by hash of id, source and text, so a rerun agrees whatever the partitions. A null or empty text has size 0
@@ -140,17 +141,20 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     per = stored(targets(sizes, weights, share, cap), "targets")
     slots = schedule(per, block_words)
     # a block is taken at most cap + 1 times, the last time perhaps in part
-    taken = slots.groupBy("source_no", "block").agg(F.collect_list("words").alias("_takes"))
+    taken = slots.groupBy("source_no", "block").agg(F.collect_list(F.struct("words", "slot")).alias("_takes"))
     got = pieces(sizes, per, block_words).join(taken, ["source_no", "block"], "left")
-    words = F.aggregate(F.coalesce("_takes", F.array().cast("array<bigint>")), F.lit(0).cast("long"),
-                        lambda s, w: s + F.greatest(F.lit(0), F.least(w - F.col("start"), F.col("length"))))
-    got = (got.withColumn("_words", words).groupBy("source_no", "place", "doc_id", "key", "size")
-           .agg(F.sum("_words").alias("taken")).drop("place"))
+    takes = F.filter(F.coalesce("_takes", F.array().cast("array<struct<words:bigint,slot:bigint>>")), lambda t: t["words"] > F.col("start"))
+    words = F.aggregate(takes, F.lit(0).cast("long"), lambda s, t: s + F.least(t["words"] - F.col("start"), F.col("length")))
+    slots = F.transform(takes, lambda t: t["slot"])
+    got = (got.withColumns({"_words": words, "_first": F.array_min(slots), "_last": F.array_max(slots)})
+           .groupBy("source_no", "place", "doc_id", "key", "size")
+           .agg(F.sum("_words").alias("taken"), F.min("_first").alias("first_slot"), F.max("_last").alias("last_slot")).drop("place"))
     numbers = per.select(F.col("source").alias("_source"), "source_no")
     empty = (sizes.where("size = 0").join(numbers, sizes.source.eqNullSafe(F.col("_source")))
-             .select("source_no", "doc_id", "key", "size", F.lit(0).cast("long").alias("taken")))
+             .select("source_no", "doc_id", "key", "size", *[F.lit(v).cast("long").alias(c) for v, c in (
+                 (0, "taken"), (None, "first_slot"), (None, "last_slot"))]))
     return (got.unionByName(empty).join(per.drop("source"), "source_no")
-            .select("doc_id", "key", "size", "source_size", "target", "taken"))
+            .select("doc_id", "key", "size", "source_size", "target", "taken", *(("first_slot", "last_slot") if slots_too else ())))
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
@@ -180,15 +184,31 @@ found AS (SELECT arg_min(lev, struct_pack(a := 2.0 * source_size / w, b := sourc
     FILTER (c >= lev * w) AS lev FROM filled),
 goal AS (SELECT source, source_size, CASE WHEN c < f.lev * w THEN c::DOUBLE ELSE f.lev * w END AS target
     FROM filled, found f),
-laid AS (SELECT s.*, g.source_size, g.target, coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY k, doc_id, size
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
-    FROM sizes s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source)
-SELECT doc_id, size, source_size, target,
-    (greatest(0, least(size, floor(target) - place)) + greatest(0, least(size, floor(target) - source_size - place)))::BIGINT
-    AS taken
-FROM laid"""
+laid AS (SELECT s.*, row_number() OVER () AS r, g.source_size, g.target, coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY k, doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place
+    FROM sizes s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source),
+need AS (SELECT source, source_size, floor(target)::BIGINT AS quota, (source_size + {BLOCK_WORDS - 1}) // {BLOCK_WORDS} AS blocks,
+    quota // source_size * blocks + (quota % source_size + {BLOCK_WORDS - 1}) // {BLOCK_WORDS} AS slots FROM goal WHERE source_size > 0),
+spans AS (SELECT *, (sum(slots) OVER (ORDER BY source NULLS LAST) - slots)::BIGINT AS low, (sum(slots) OVER ())::BIGINT AS total FROM need),
+points AS (SELECT slot, floor((slot % {_POINTS} * {_GOLDEN} % {_POINTS}) * ((SELECT max(total) FROM spans) / {_POINTS}::DOUBLE))::BIGINT AS point
+    FROM range((SELECT coalesce(max(total), 0) FROM spans)) t(slot)),
+drawn AS (SELECT source, slot, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS rank
+    FROM points JOIN spans ON point >= low AND point < low + slots),
+added AS (SELECT source, total, unnest(range(coalesce(n, 0), slots)) AS rank
+    FROM spans LEFT JOIN (SELECT source AS s, count(*) AS n FROM drawn GROUP BY source) ON source IS NOT DISTINCT FROM s),
+every AS (SELECT source, slot, rank FROM drawn UNION ALL SELECT source, total + rank, rank FROM added),
+takes AS (SELECT e.source, slot, rank % blocks AS block, least({BLOCK_WORDS}, source_size - rank % blocks * {BLOCK_WORDS},
+    quota - rank // blocks * source_size - rank % blocks * {BLOCK_WORDS}) AS words
+    FROM every e JOIN spans s ON e.source IS NOT DISTINCT FROM s.source WHERE rank < slots),
+parts AS (SELECT r, source, block, greatest(place - block * {BLOCK_WORDS}, 0) AS start,
+    least(place + size, (block + 1) * {BLOCK_WORDS}) - greatest(place, block * {BLOCK_WORDS}) AS length
+    FROM (SELECT *, unnest(range(place // {BLOCK_WORDS}, (place + size - 1) // {BLOCK_WORDS} + 1)) AS block FROM laid WHERE size > 0)),
+got AS (SELECT r, sum(least(words - start, length)) AS taken, min(slot) AS first_slot, max(slot) AS last_slot
+    FROM parts p JOIN takes t ON p.block = t.block AND p.source IS NOT DISTINCT FROM t.source WHERE words > start GROUP BY r)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, first_slot::BIGINT AS first_slot, last_slot::BIGINT AS last_slot
+FROM laid LEFT JOIN got ON laid.r = got.r"""
 
 
 @query(_SQL)
 def op3_mixing(spark, sf_dir):
-    return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("key")
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), slots_too=True).drop("key")
