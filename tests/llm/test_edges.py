@@ -81,6 +81,17 @@ def test_mix_reaches_targets_with_a_hot_source(spark):
     assert sorted(map(repr, got)) == sorted(map(repr, again))
 
 
+def test_slots_of_documents(spark):
+    """The words that slots take of a source's documents, and the same slots whatever the partitions."""
+    rows = [(i, "w " * (1 + i % 37), "hot" if i % 3 else f"s{i % 11}") for i in range(600)] + [(None, "", None), (7, None, "hot")]
+    got = mixing.mix(clashing(docs_of(spark, rows)), block_words=16, slots_too=True).collect()
+    assert all((r.first_slot is None) == (r.last_slot is None) == (r.taken == 0) for r in got)
+    assert all(r.first_slot <= r.last_slot for r in got if r.taken)
+    assert all(r.first_slot < r.last_slot for r in got if r.taken > r.size)  # what comes again comes in a later slot
+    again = mixing.mix(docs_of(spark, rows).repartition(5), block_words=16, slots_too=True).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+
+
 def test_schedule_is_spread(spark):
     """Every stretch of the mix has each source's share, but for a few slots."""
     rows = [(i, "w " * 50, "abc"[i % 3]) for i in range(600)]
@@ -228,6 +239,18 @@ def test_sketches_merge(spark, sf):
     assert sorted(map(str, merged.collect())) == sorted(map(str, quality.sketch(docs).collect()))
 
 
+def test_license_texts_of_any_length(spark):
+    """A template of many words is cut into pieces; a text that holds one of them is labelled, single words are not enough."""
+    words = [f"clause{i}" for i in range(150)]
+    pieces = licenses.cut_templates([("long", " ".join(words)), ("short", "Some Rights"), ("none", " .")], 32)
+    assert [len(t.split()) for _, t in pieces] == [30] * 5 + [2] and " ".join(t for label, t in pieces if label == "long").split() == words
+    changed = words[:60]
+    changed[3], changed[40] = "other", "words"
+    rows = [(1, "x " * 500 + " ".join(words) + " y" * 500, "a"), (2, " ".join(changed), "a"), (3, " ".join(words[::4]), "a"), (4, None, "a")]
+    got = {r.doc_id: r.labels for r in licenses.scan_licenses(docs_of(spark, rows), [("long", " ".join(words))]).collect()}
+    assert got == {1: "long", 2: "long", 3: "", 4: ""}
+
+
 # --- chat
 
 def test_chat_faults_order_and_circles(spark):
@@ -243,13 +266,33 @@ def test_chat_faults_order_and_circles(spark):
         ("a", "linked"): (0, ""), ("b", "linked"): (1, "unknown z"), ("c", "no_result"): (2, "missing s; n is not integer"),
         ("d", "no_result"): (3, "arguments are no object"), ("e", "no_result"): (0, "unknown tool"), ("f", "no_result"): (0, "arguments are no object"),
         ("x", "no_result"): (None, ""), ("y", "no_result"): (None, ""), ("z", "no_result"): (None, "s is not string"),
-        (None, "no_result"): (None, "arguments are no object"), ("q", "no_call"): (None, ""), (None, "no_call"): (None, "")}
-    a = got["a", "linked"]
-    assert (a.n_calls, a.n_results) == (2, 2)
+        (None, "no_result"): (None, "arguments are no object"), ("q", "no_call"): (None, ""), (None, "no_call"): (None, ""),
+        ("a", "no_call"): (None, "")}
+    a, more = got["a", "linked"], got["a", "no_call"]
+    assert (a.ordinal, a.n_calls, a.n_results) == (1, 2, 1)  # the calls are alike, the results are not
+    assert (more.ordinal, more.n_calls, more.n_results, json.loads(more.json)["result"]) == (2, 0, 1, "2")
     assert a.json == '{"arguments":{"n":1,"s":"x"},"id":"a","level":0,"name":"t","result":"1","status":"linked","valid":true}'
     assert all(json.loads(r.json)["status"] == s for (_, s), r in got.items())
 
 
+def test_chat_loses_no_content(spark):
+    """Many calls and results under one identifier and under none, very long ones too."""
+    long = "x " * 200_000
+    calls = [("a", "t", f'{{"n":{i % 40}}}', None) for i in range(400)] + [(None, "t", f'{{"n":{i}}}', "a") for i in range(300)]
+    results = [("a", f"r{i}") for i in range(60)] + [("a", long)] + [(None, f"r{i % 50}") for i in range(300)]
+    got = chat.link_calls(spark.createDataFrame(calls, "call_id string, name string, arguments string, after string").withColumn("ordinal", F.lit(7)),
+                          spark.createDataFrame(results, "call_id string, content string"), {"t": {"n": ("integer", True)}}).collect()
+    own = [r for r in got if r.call_id == "a"]
+    assert sorted(r.ordinal for r in own) == list(range(1, 62))
+    assert [sum(r.status == s for r in own) for s in ("linked", "no_result", "no_call")] == [40, 0, 21]
+    found = [json.loads(r.json) for r in own]
+    assert {f["arguments"]["n"] for f in found if "arguments" in f} == set(range(40)) and all(r.n_calls == 10 for r in own if r.name)
+    assert {f["result"] for f in found} == {long, *(f"r{i}" for i in range(60))}
+    none = [r for r in got if r.call_id is None]
+    assert all(r.ordinal is None and r.level is None for r in none)
+    assert sorted((r.status, r.n_calls, r.n_results) for r in none) == [("no_call", 0, 6)] * 50 + [("no_result", 1, 0)] * 300
+
+
 def test_chat_long_way(spark):
     n = 300
     calls = spark.createDataFrame([(str(i), "t", "{}", str(i - 1)) for i in range(n)], "call_id string, name string, arguments string, after string")
