@@ -16,7 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import running_before, stored, table
+from tidemark.llm.common import discard, running_before, stored, table
 from tidemark.llm.registry import query
 
 #: tool: {argument: (JSON type, required)}
@@ -73,7 +73,9 @@ def _numbered(rows: DataFrame, content: list[str], n: str) -> DataFrame:
     named = running_before(each.where("call_id IS NOT NULL"), ["call_id"], "_bucket", ["_key"], "_one", "ordinal")
     named = named.withColumn("ordinal", (F.col("ordinal") + 1).cast("long"))
     none = each.where("call_id IS NULL").withColumn("ordinal", F.lit(None).cast("long"))
-    return stored(named.unionByName(none).drop("_key", "_bucket", "_one"), "numbered")
+    out = stored(named.unionByName(none).drop("_key", "_bucket", "_one"), "numbered")
+    discard(each)
+    return out
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
