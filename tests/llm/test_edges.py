@@ -4,6 +4,7 @@ import json
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,6 +150,17 @@ def test_rows_that_repeat_an_id_are_rows_of_their_own(spark):
     assert sorted(x for x in got if x[0] == 100) == sorted(2 * [(100, 1, 1, 20 * unit), (100, 2, 100, 16 * unit), (100, 3, 2, 12 * unit)])
 
 
+def test_a_task_walks_one_shard_after_another():
+    """What a task found in its first shard must not be taken for the name of that shard."""
+    batches = [pa.RecordBatch.from_pylist([
+        {"dims": 1, "shard": shard, "is_query": asked, "vec_id": i, "v": [i], "floor_score": None, "floor_id": None, "row": i}
+        for i in ids], schema=pa.schema([("dims", pa.int32()), ("shard", pa.int32()), ("is_query", pa.int32()), ("vec_id", pa.int64()),
+                                         ("v", pa.list_(pa.int64())), ("floor_score", pa.int64()), ("floor_id", pa.int64()), ("row", pa.int64())]))
+        for shard, asked, ids in ((0, 0, [1, 50]), (0, 1, [50]), (0, 1, [100]), (1, 0, [2, 3]), (1, 1, [50]))]
+    got = [tuple(r.values()) for batch in kdtree._walk(1)(iter(batches)) for r in batch.to_pylist()]
+    assert got == [(50, 50, 1, 50), (100, 100, 50, 5000), (50, 50, 3, 150)]
+
+
 # --- urls
 
 def test_hosts_of_very_many_labels(spark):

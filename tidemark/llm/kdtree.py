@@ -142,9 +142,9 @@ def _walk(k: int):
                 if tree is None:
                     continue
                 out = []
-                for own, key, q, s, v in zip(ids, keys, points, part.column(5).to_pylist(), part.column(6).to_pylist()):
-                    for score, minus in tree.search(int(key), q, k, None if s is None else (s, -v)):
-                        out.append((int(key), int(own), -minus, max(-_RANGE, min(_RANGE, score))))
+                for own, row, q, s, v in zip(ids, keys, points, part.column(5).to_pylist(), part.column(6).to_pylist()):
+                    for score, minus in tree.search(int(row), q, k, None if s is None else (s, -v)):
+                        out.append((int(row), int(own), -minus, max(-_RANGE, min(_RANGE, score))))
                 if out:
                     cols = list(zip(*out))
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["query_row", "query_id", "vec_id", "score"])
