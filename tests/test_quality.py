@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality, reconcile
+from tidemark.queries.quality import BIG, dq_aggregates
 
 
 def paired(spark, src, tgt):
@@ -126,3 +127,11 @@ def test_hot_key_is_combined_before_the_shuffle(spark):
     hot = spark.range(0, 60_000, numPartitions=6).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
     got = reconcile.compare_rows(hot, hot.filter("id <> 30000"), ["k"]).filter("status <> 'same'").collect()
     assert [tuple(r) for r in got] == [(0, 20_000, 19_999, "changed")]
+
+
+def test_big_products_of_large_keys_are_summed(spark, sf, tmp_path):
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").limit(50).withColumn("l_orderkey", F.col("l_orderkey") + 10**6)
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    row = next(r for r in dq_aggregates(spark, str(tmp_path)).collect() if r.column_name == "l_big")
+    keys = [r.l_orderkey for r in spark.read.parquet(str(tmp_path / "lineitem.parquet")).select("l_orderkey").collect()]
+    assert row.source_sum == f"{sum(keys) * BIG}.000000" and row.source_unfit == 0

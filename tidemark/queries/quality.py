@@ -105,7 +105,8 @@ FROM (SELECT CAST(sum(v) AS DECIMAL(38,6)) AS s, count(v) AS sn, CAST(sum(v) FIL
 def dq_aggregates(spark, sf):
     """Sums of three columns that differ, of very large values, of one with NaN, and of one that does not exist."""
     lines, money = table(spark, sf, "lineitem"), [*MONEY, "l_big", "l_nan", "l_rebate"]
-    lines = lines.withColumn("l_big", F.col("l_orderkey").cast("bigint") * BIG).withColumn(
+    # a decimal, as the product of a large key is beyond a BIGINT
+    lines = lines.withColumn("l_big", F.col("l_orderkey").cast("decimal(19,0)") * F.lit(BIG).cast("decimal(15,0)")).withColumn(
         "l_nan", F.when(F.col("l_linenumber") == 1, float("nan")).otherwise(F.col("l_quantity").cast("double")))
     return plain(quality.aggregate_check(quality.pair_sides(
         quality.side_metrics(lines, "lineitem", "source", numeric=money),
