@@ -85,6 +85,26 @@ def test_shuffled_rows_follow_the_differences(spark):
     assert shuffled_rows(tree) <= 2 * held and shuffled_rows(plain) >= 400_000
 
 
+def test_differences_everywhere_need_no_finer_nodes(spark):
+    """Hashed keys with differences in nearly every node: finer nodes would hold a row each, and tens of thousands of them be looked into."""
+    a = spark.range(0, 200_000, numPartitions=4).select(F.col("id").alias("k"), F.lit(1).alias("j"), (F.col("id") % 1000).alias("v"))
+    b = a.filter("v <> 7")
+    assert reconcile.differing_nodes(a, b, ["k", "j"], fanout=64, leaf_rows=10) == ([], 0, -1)
+    nodes, width, held = reconcile.differing_nodes(a, b, ["k", "j"], fanout=1024, leaf_rows=10)
+    assert len(nodes) < 1024 and 2 * held < 400_000 and width > 1 << 50   # one level: the next one had more nodes than rows
+    want = {(k, 1, 1, 0, "missing") for k in range(7, 200_000, 1000)}
+    for fanout in (64, 1024):
+        assert set(map(tuple, reconcile.tree_differences(a, b, ["k", "j"], None, fanout, 10).collect())) == want
+
+
+def test_many_nodes_are_a_table_and_keep_rows_without_a_key(spark):
+    df = spark.createDataFrame([(i,) for i in range(-500, 500)] + [(None,)], "k bigint")
+    nodes = list(range(-400, 400, 8))
+    got = lambda nodes: sorted((r.k for r in reconcile._inside(df, F.col("k"), nodes, 4).collect()), key=str)
+    want = [k for k in range(-400, 400) if k % 8 < 4]
+    assert got(nodes) == sorted(want, key=str) and got([*nodes, None]) == sorted([*want, None], key=str)
+
+
 # --- duplicates in two passes
 
 @pytest.mark.parametrize("keys", [["a"], ["a", "b"], ["t"], ["a", "t"], ["wide"]])

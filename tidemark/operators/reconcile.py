@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections import namedtuple
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.casts import cast_or_null
 from tidemark.functions.digests import hash_differences, row_hash
-from tidemark.operators import ranges
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-Span = namedtuple("Span", "range_id start_id end_id")
 
 
 def _compared(source: DataFrame, target: DataFrame, keys: Sequence[str], compare: Sequence[str] | None) -> list[str]:
@@ -88,6 +85,7 @@ def summary(source: DataFrame, target: DataFrame, keys: Sequence[str],
 _FANOUT = 4_096      # parts that a node of the tree is cut into
 _MAX_NODES = 100_000 # differing nodes that are looked into; beyond, so much differs that finer ones do not pay
 _LEAF_ROWS = 10_000  # differing rows that need no finer nodes
+_MAX_SPANS = 50      # stretches that are written into the plan as bounds
 
 
 def _place(df: DataFrame, keys: Sequence[str], dtype: T.DataType) -> Column:
@@ -98,23 +96,23 @@ def _place(df: DataFrame, keys: Sequence[str], dtype: T.DataType) -> Column:
     return row_hash(keys)
 
 
-def _inside(place: Column, nodes: list[tuple], width: int) -> Column:
-    """Whether a place lies in one of the nodes; neighbours are one stretch, and the test is a constant of the plan."""
-    spans, keyless = [], False
+def _inside(df: DataFrame, place: Column, nodes: list, width: int) -> DataFrame:
+    """The rows whose place lies in one of the nodes. Few stretches are plain bounds, which reach the files; many nodes are
+    a broadcast table, one look-up per row however many they are."""
+    spans = []
     for low in sorted(n for n in nodes if n is not None):
         if spans and spans[-1][1] == low:
             spans[-1][1] = low + width
         else:
             spans.append([low, low + width])
-    keyless = None in nodes
-    found = [Span(i, a, b if b < 1 << 63 else None) for i, (a, b) in enumerate(spans)]
-    inside = ranges.range_of(place, found).isNotNull() if found else F.lit(False)
-    if found and len(spans) <= 50:   # plain bounds reach the files
-        near = F.lit(False)
-        for s in found:
-            near = near | ((place >= F.lit(s.start_id)) & (place < F.lit(s.end_id) if s.end_id is not None else F.lit(True)))
-        inside = near
-    return (inside | place.isNull()) if keyless else (inside & place.isNotNull())
+    if len(spans) > _MAX_SPANS:
+        low = place - F.pmod(place, F.lit(width).cast("bigint"))
+        table = F.broadcast(df.sparkSession.createDataFrame([(n,) for n in nodes], "_node bigint"))
+        return df.join(table, low.eqNullSafe(F.col("_node")) if None in nodes else low == F.col("_node"), "left_semi")
+    inside = F.lit(False)
+    for start, end in spans:
+        inside = inside | ((place >= F.lit(start)) & (place < F.lit(end) if end < 1 << 63 else F.lit(True)))
+    return df.filter((inside | place.isNull()) if None in nodes else (inside & place.isNotNull()))
 
 
 def differing_nodes(source: DataFrame, target: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None,
@@ -123,20 +121,24 @@ def differing_nodes(source: DataFrame, target: DataFrame, keys: Sequence[str], c
 
     A node is a stretch of places with, per side, the count and order-free sums of the hashes of its rows; both sides go
     into them in one pass, merged before the shuffle, so a level sends at most `fanout` rows per node and task. Only
-    what differs is cut finer, while that still halves the rows in question. Nodes, not rows, reach the driver.
+    what differs is cut finer, while that still halves the rows in question and nodes are fewer than these rows: beyond,
+    nodes would be as many as keys and merge nothing. Nodes, not rows, reach the driver.
     """
     cols = _compared(source, target, keys, compare)
     dtype = source.schema[keys[0]].dataType
     both = _hashed(source, target, keys, cols)
     both = both.select(_place(both, keys, dtype).alias("_place"), row_hash([*keys, "_h"]).alias("_h"), "_src")
-    ends = both.agg(F.min("_place").alias("lo"), F.max("_place").alias("hi")).first()
+    # hashes lie anywhere, so they need not be read for their ends
+    hashed = len(keys) > 1 or not isinstance(dtype, _INTEGRAL)
+    lo, hi = (F.lit(-(1 << 63)), F.lit((1 << 63) - 2)) if hashed else (F.min("_place"), F.max("_place"))
+    ends = both.agg(F.count(F.lit(1)).alias("rows"), lo.cast("bigint").alias("lo"), hi.cast("bigint").alias("hi")).first()
     if ends.lo is None:
         return [None], 1, 0
-    width, nodes, before = 1 << (ends.hi - ends.lo + 1).bit_length(), None, None
+    width, nodes, before = 1 << (ends.hi - ends.lo + 1).bit_length(), None, ends["rows"]
     nets = hash_differences(F.col("_h"), F.col("_src"))
     while True:
         finer = max(1, width // fanout)   # powers of two, so finer nodes nest
-        rows = both if nodes is None else both.filter(_inside(F.col("_place"), nodes, width))
+        rows = both if nodes is None else _inside(both, F.col("_place"), nodes, width)
         low = F.col("_place") - F.pmod(F.col("_place"), F.lit(finer).cast("bigint")) if finer < 1 << 63 else F.lit(None).cast("bigint")
         sums = rows.groupBy(low.alias("low")).agg(
             F.count(F.lit(1)).alias("rows"), (2 * F.count_if("_src") - F.count(F.lit(1))).alias("n"), *[x.alias(f"n{i}") for i, x in enumerate(nets)])
@@ -145,10 +147,10 @@ def differing_nodes(source: DataFrame, target: DataFrame, keys: Sequence[str], c
             differs = differs | (F.col(f"n{i}") != 0)
         found = sums.filter(differs).select("low", "rows").limit(_MAX_NODES + 1).collect()
         held = sum(r["rows"] for r in found)
-        if len(found) > _MAX_NODES or before is not None and 2 * held > before:
+        if len(found) > _MAX_NODES or 2 * held > before:
             return (nodes, width, before) if nodes is not None else ([], 0, -1)
         nodes, width, before = [r["low"] for r in found], finer, held
-        if held <= leaf_rows or width == 1:
+        if held <= leaf_rows or width == 1 or len(nodes) * min(fanout, width) > held:
             return nodes, width, held
 
 
@@ -159,7 +161,7 @@ def tree_differences(source: DataFrame, target: DataFrame, keys: Sequence[str],
     if held < 0:   # nearly all differs
         return differences(source, target, keys, compare)
     dtype = source.schema[keys[0]].dataType
-    near = [df.filter(_inside(_place(df, keys, dtype), nodes, width)) for df in (source, _as_keys(target, source, keys))]
+    near = [_inside(df, _place(df, keys, dtype), nodes, width) for df in (source, _as_keys(target, source, keys))]
     return differences(*near, keys, compare)
 
 
