@@ -1,5 +1,6 @@
 """Scans, sinks, text files, whole runs and streams."""
 
+import glob
 import random
 import uuid
 from dataclasses import replace
@@ -11,6 +12,7 @@ from tidemark.operators import relocate, sink, watermark
 from tidemark.operators.stamp import stamp
 from tidemark.operators.validate import REASON, Rules, mark
 from tidemark.plans import audit, control, migrate, monitoring, sync
+from tidemark.queries.loads import stream_late
 from tidemark.session import work_root
 from tidemark.sources import scan, staged
 from tidemark.streaming import ingest, late
@@ -354,3 +356,16 @@ def test_more_spans_than_are_pushed_stay_a_filter(spark):
     df = spark.range(700).withColumnRenamed("id", "k")
     kept = {r.k for r in df.filter(migrate.key_filter("k", todo)).collect()}
     assert {k for k in range(600) if k % 10 < 5} <= kept and max(kept) < 600
+
+
+def test_late_events_are_written_and_read_by_all_cores(spark, sf):
+    """A part of the arriving events is several files, all of them in one micro-batch."""
+    def folders():
+        return set(glob.glob(f"{work_root(spark)}/stream_late-*"))
+    before = folders()
+    stream_late(spark, sf)
+    root = (folders() - before).pop()
+    parts = glob.glob(f"{root}/in/part*")
+    assert all(len(glob.glob(f"{p}/*.parquet")) == spark.sparkContext.defaultParallelism > 1 for p in parts) and len(parts) > 2
+    # the source's log has an entry per micro-batch that read files
+    assert len(glob.glob(f"{root}/checkpoint/sources/0/[0-9]*")) == len(parts)

@@ -321,10 +321,11 @@ def stream_late(spark, sf):
     again = arriving.filter("event_id % 7 = 0").withColumn("_part", F.col("_part") + 1)
     arriving = stored(arriving.unionByName(again), "arriving")
     parts = sorted(r["_part"] for r in arriving.select("_part").distinct().collect())
+    files = spark.sparkContext.defaultParallelism   # per part, so that all cores write a part and read it as one micro-batch
     for some in (parts[:len(parts) // 2], parts[len(parts) // 2:]):
         for p in some:
-            arriving.filter(F.col("_part") == p).drop("_part").coalesce(1).write.parquet(f"{root}/in/part{p}")
-        stream = late.drop_repeats(ingest.file_stream(spark, f"{root}/in/*", events.schema, max_files=1), "event_id", "ts", "10 days")
+            arriving.filter(F.col("_part") == p).drop("_part").repartition(files).write.parquet(f"{root}/in/part{p}")
+        stream = late.drop_repeats(ingest.file_stream(spark, f"{root}/in/*", events.schema, max_files=files), "event_id", "ts", "10 days")
         ingest.start_ingest(stream, f"{root}/events", f"{root}/checkpoint", Rules(pk="event_id"), lambda: EVENTS_AS_OF, SYSTEM).awaitTermination()
     for n in (1, 2):
         missed = late.late_rows(spark.read.parquet(f"{root}/in/*"), sink.read_accepted(spark, f"{root}/events"), "event_id", "ts",
