@@ -115,6 +115,28 @@ def test_unlinked_crowds_make_few_pairs(spark, monkeypatch):
     assert 20 * work[600] <= 600 * 599 // 2
 
 
+def test_far_variants_are_left_out_before_lists_are_made(spark, monkeypatch):
+    """Variants whose numbers alone rule out a partner go into no smaller list, however many of them there are."""
+    made, real = [], similar.stored
+
+    def counting(df, name):
+        df = real(df, name)
+        if name == "first":
+            made.append(df.count())  # the step removes it
+        return df
+    monkeypatch.setattr(similar, "stored", counting)
+    for n in (40, 160):
+        rng = random.Random(3)
+        base = " ".join(f"w{rng.getrandbits(30)}" for _ in range(300))
+        sets = [(i, similar.shingles(varied(rng, base, 1 if i < 12 else 9).encode())) for i in range(n)]
+        lists = spark.createDataFrame([(1, i, len(x)) for i, x in sets], "list long, node long, size long")
+        own = spark.createDataFrame([(i, x.view("int64").tolist()) for i, x in sets], "node long, own array<long>")
+        made.clear()
+        sure, _ = similar._split(lists, real(own, "t"), similar.PERCENT)
+        assert {r.a for r in sure.collect()} | {r.b for r in sure.collect()} == set(range(12))
+        assert sum(made) <= n // 2
+
+
 def test_odd_texts_are_grouped(spark):
     long = " ".join(f"v{i}" for i in range(120_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A B"), (6, long), (7, long + " more"), (8, long), (8, long), (9, "x" * 300_000)]

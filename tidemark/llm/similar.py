@@ -17,6 +17,8 @@ that counts, and its excess is weight * |difference| - slack * |x|:
   shared. Of two, the one with the lower excess shares excess / weight at least, so a list needs one with the element
   among these fewer places. Elements that one set alone has take up places and lead nowhere, which leaves variants of
   one text that lie below the limit with nothing.
+* Before that, sets that cannot have a partner are taken out by their numbers alone: two share as many elements as the one with
+  fewer shared ones has at most. What they held counts for the others no longer, so this is done ROUNDS times.
 
 The sets that share such an element are a new, smaller list whose base holds that element; the sets of a list up to
 SMALL are compared in one task. Sets that are alike and not linked yet share such a list.
@@ -46,6 +48,7 @@ ROWS = 6
 SMALL = 8
 VOTERS = 15  # sets that make up a base; which ones only matters for the work
 SALTS = 8  # tasks that a list is spread over
+ROUNDS = 2  # times that sets without a possible partner are taken out; more would only save work
 _CHUNK = 4096
 _RANDOM = np.random.default_rng(SEED)
 _MASKS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
@@ -197,6 +200,36 @@ def _unlike(lists: DataFrame) -> DataFrame:
     return lists.join(one, "list")
 
 
+def _held(rest: DataFrame) -> DataFrame:
+    """rest with `shared` cut to the elements that a free node and another node of the list hold, rare ones first."""
+    each = rest.select("list", "node", "free", F.explode("shared").alias("element"))
+    # an open pair has a free node, so elements that no free node has lead nowhere either
+    counts = each.groupBy("list", "element").agg(F.count("*").alias("n"), F.max("free").alias("any_free")).where("n > 1 AND any_free")
+    held = (each.drop("free").join(counts.drop("any_free"), ["list", "element"]).groupBy("list", "node")
+            .agg(F.sort_array(F.collect_list(F.struct("n", "element"))).alias("_held")))
+    return rest.drop("shared").join(held, ["list", "node"]).withColumn("shared", F.col("_held.element")).drop("_held")
+
+
+def _partnered(rest: DataFrame, weight: int) -> DataFrame:
+    """The rows of rest that some other of their list may be alike to and not linked to yet, by their numbers alone.
+
+    Two share as many elements as the one with fewer shared ones has at most, so of a and b, b with no more than a,
+    excess(a) + excess(b) - 2 * weight * shared(b) must be 0 or less. Only least values per number of elements meet.
+    """
+    low = F.col("excess") - 2 * weight * F.col("_n")
+    rest = rest.withColumn("_n", F.size("shared").cast("long"))
+    when = lambda c: F.min(F.when(F.col("free"), c))
+    least = rest.groupBy("list", "_n").agg(F.min(low).alias("low"), F.min("excess").alias("high"),
+                                           when(low).alias("low_free"), when(F.col("excess")).alias("high_free"))
+    up = W.partitionBy("list").orderBy("_n")
+    fewer, more = up.rowsBetween(W.unboundedPreceding, 0), up.rowsBetween(0, W.unboundedFollowing)
+    least = least.select("list", "_n", *[F.min(c).over(fewer).alias(f"_{c}") for c in ("low", "low_free")],
+                         *[F.min(c).over(more).alias(f"_{c}") for c in ("high", "high_free")])
+    pick = lambda c: F.when(F.col("free"), F.col(f"_{c}")).otherwise(F.col(f"_{c}_free"))
+    open_ = (F.col("excess") + pick("low") <= 0) | (low + pick("high") <= 0)
+    return rest.join(least, ["list", "_n"]).where(F.coalesce(open_, F.lit(False))).select(*[c for c in rest.columns if c != "_n"])
+
+
 def _split(lists: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(a, b: sure links; list, node, size: smaller lists that hold every other pair that may be alike).
 
@@ -220,23 +253,22 @@ def _split(lists: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame,
     rest = _of_list(found, free).withColumn("free", F.col("excess") + F.col("least") > 0)
     other = F.when(F.col("free"), F.col("least")).otherwise(F.col("least_free"))
     share = lambda more: F.ceil((F.col("excess") + more) / F.lit(2 * weight)).cast("long")
+    rest = rest.where(share(other) <= F.col("length")).select("list", "node", "size", "excess", "free", F.col("difference").alias("shared"))
+    for at in range(ROUNDS):
+        rest = stored(_partnered(_held(rest), weight), f"held-{at}")
+    discard(found), discard(least), discard(free)
+    free = rest.groupBy("list").agg(F.min("excess").alias("least"), F.min(F.when(F.col("free"), F.col("excess"))).alias("least_free"))
+    rest = _of_list(rest, stored(free, "free"))
     # a free node shares more with those whose excess is not below its own; others are only linked to free ones, above theirs
-    rest = (rest.withColumns({"share": share(other), "more": share(F.when(F.col("free"), F.col("excess")).otherwise(other))})
-            .where("share <= length").select("list", "node", "size", "excess", "free", "length", "share", "more", "difference"))
-    each = rest.select("list", "node", "free", F.explode("difference").alias("element"))
-    # an open pair has a free node, so elements that no free node has lead nowhere either
-    shared = each.groupBy("list", "element").agg(F.count("*").alias("n"), F.max("free").alias("any_free")).where("n > 1 AND any_free")
-    held = (each.drop("free").join(shared.drop("any_free"), ["list", "element"]).groupBy("list", "node")
-            .agg(F.sort_array(F.collect_list(F.struct("n", "element"))).alias("shared")))
+    rest = rest.withColumns({"share": share(other), "more": share(F.when(F.col("free"), F.col("excess")).otherwise(other))})
     # elements that cannot be shared with such a node come first and take up places
-    places = lambda shared: (1 - F.col(shared) + F.size("shared")).cast("int")
-    first = (rest.drop("difference").join(held, ["list", "node"]).where(places("share") > 0)
+    places = lambda shared: (1 - F.greatest(F.col(shared), F.lit(1)) + F.size("shared")).cast("int")
+    first = (rest.where(places("share") > 0)
              .select("list", "node", "size", "excess", places("more").alias("_lower"), F.size("shared").alias("_shared"),
                      F.posexplode(F.slice("shared", F.lit(1), places("share"))).alias("i", "e")))
     # of two that are alike the one with the lower excess has the element among the places that `more` leaves
-    first = stored(first.groupBy(F.xxhash64("list", "e.element").alias("list"), "node", "size").agg(
+    first = stored(first.groupBy(F.xxhash64("list", "e").alias("list"), "node", "size").agg(
         F.max(F.col("i") < F.col("_lower")).alias("lower"), F.min("excess").alias("excess"), F.max(F.col("_shared") - F.col("i")).alias("left")), "first")
-    discard(found), discard(least), discard(free)
     led = first.where("lower").groupBy("list").agg(F.min("excess").alias("least"))
     # the other must still have enough elements, from this one on, for the lowest that leads the list
     met = stored(first.join(led, "list").where("lower OR left >= ceil((excess + least) / %d)" % (2 * weight)).select("list", "node", "size"), "met")
@@ -299,10 +331,12 @@ def near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     least = F.min(F.struct("_id", "_hash", "size", "bands")).alias("k")
     nodes = stored(rows.groupBy("node").agg(least).select("node", "k.*"), "distinct-nodes")
     met = nodes.select("node", F.explode("bands").alias("bucket"))
-    wanted = _counted(met, "bucket").select("node").distinct().join(nodes.select("node", "_id", "_hash"), "node")
+    repeated = stored(met.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket"), "repeated")
+    wanted = stored(nodes.join(met.join(repeated, "bucket").select("node").distinct(), "node"), "wanted")
+    discard(repeated), discard(nodes)
     # rows alike in _id and _hash have one text; texts are made distinct, as they take less room than their sets
-    one = (texts.select("_id", "_hash", "text").join(stored(wanted, "wanted"), ["_id", "_hash"])
+    one = (texts.select("_id", "_hash", "text").join(wanted.select("node", "_id", "_hash"), ["_id", "_hash"])
            .groupBy("_id", "_hash").agg(F.min("node").alias("node"), F.min("text").alias("text")))
     sets = stored(one.select("node", "text").mapInArrow(_sets, "node long, own array<long>"), "sets")
-    linked = components(near_links(nodes, sets, percent)).select("node", "root")
+    linked = components(near_links(wanted, sets, percent)).select("node", "root")
     return rows.join(linked, "node", "left").select("doc_id", "_id", "_hash", F.coalesce("root", "node").alias("root"))
