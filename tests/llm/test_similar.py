@@ -137,6 +137,19 @@ def test_far_variants_are_left_out_before_lists_are_made(spark, monkeypatch):
         assert sum(made) <= n // 2
 
 
+def test_the_fingerprint_index_links_copies_by_itself(spark, monkeypatch):
+    """Without what bands give, copies within four bits are linked, and no others."""
+    monkeypatch.setattr(similar, "candidates", lambda nodes, sets, percent, known: (known, known.limit(0)))
+    rng, rows, want = random.Random(9), [], []
+    for k in range(0, 80, 2):
+        base = " ".join(f"w{rng.getrandbits(30)}" for _ in range(250))
+        rows += [(k, base), (k + 1, varied(rng, base, 1 + k % 3))]
+        a, b = (simhash.majority(similar.shingles(t.encode())) for _, t in rows[-2:])
+        want += [[k, k + 1]] if (a ^ b).bit_count() <= 4 else [[k], [k + 1]]
+    assert 45 < len(want) < 75
+    assert groups_of(spark, rows) == want
+
+
 def test_odd_texts_are_grouped(spark):
     long = " ".join(f"v{i}" for i in range(120_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A B"), (6, long), (7, long + " more"), (8, long), (8, long), (9, "x" * 300_000)]

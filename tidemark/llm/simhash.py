@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import DOCUMENT, row_key, stored, table, whole
 from tidemark.llm.components import components
 from tidemark.llm.registry import query
-from tidemark.llm.similar import near_copies
 
 SHINGLE = 4
 SEED = 42
@@ -60,6 +59,15 @@ def simhash(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n, bitorder="little").tobytes(), "little")
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of unsigned hashes: a bit is set if it is in over half of them."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), _CHUNK):
+        part = np.ascontiguousarray(hashes[at:at + _CHUNK], "<u8")
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(counts * 2 > len(hashes), bitorder="little").tobytes(), "little")
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, _id, _hash (what names the row) and fingerprint, as a signed long, per row of docs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,8 +237,9 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, l
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """documents with one row of each group of near copies (five-word shingles, similarity 0.8 or more, see
-    similar.near_copies; not the fingerprints of the query): the smallest doc_id, among equal ids the smallest hash of the text;
-    of rows that repeat, one. A group without any id keeps one row as well. Columns of documents."""
+    similar.near_copies: the index above over five-word fingerprints, then what differs in more bits): the smallest doc_id, among
+    equal ids the smallest hash of the text; of rows that repeat, one. A group without any id keeps one row as well. Columns of documents."""
+    from tidemark.llm.similar import near_copies  # which builds on this module
     docs = docs.select(*DOCUMENT)
     found = near_copies(docs, **options)
     best = (found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "_id", "_hash")).alias("k"))

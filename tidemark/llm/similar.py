@@ -1,6 +1,8 @@
-"""Near copies by the Jaccard similarity of five-word shingles: candidates by MinHash bands, decided exactly.
+"""Near copies by the Jaccard similarity of five-word shingles: candidates by fingerprints, then by MinHash bands, decided exactly.
 
-A text is its set of shingles' hashes; texts with equal sets are one node. A signature has BANDS x ROWS minima, and
+A text is its set of shingles' hashes; texts with equal sets are one node. Operator 6's byte-position index over the nodes'
+fingerprints (simhash.links) gives those within four bits, which are verified and linked first. At similarity 0.8 fingerprints
+differ in more bits than an index by bytes can reach, so MinHash bands give what it does not. A signature has BANDS x ROWS minima, and
 nodes that agree in all minima of a band meet in a bucket: at similarity 0.8 two meet in some bucket with
 probability 1 - (1 - 0.8 ** 6) ** 20 = 0.998. Sets are alike if weight * |x ^ y| <= slack * (|x| + |y|), ^ being
 what only one of them holds; weight and slack are 180 and 20 at 0.8.
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import discard, row_key, stored, whole
 from tidemark.llm.components import components
+from tidemark.llm.simhash import links, majority
 
 SHINGLE = 5
 PERCENT = 80
@@ -87,15 +90,17 @@ def _bands(own: np.ndarray) -> list[int]:
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        nodes, sizes, bands = [], [], []
+        nodes, sizes, prints, bands = [], [], [], []
         for text in batch.column(3).cast(pa.binary()):
             own = shingles(text.as_py())
             nodes.append(xxhash.xxh64_intdigest(own.tobytes(), SEED))
             sizes.append(len(own))
+            prints.append(majority(own))
             bands.append(np.array(_bands(own), np.uint64).view(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-            ["doc_id", "_id", "_hash", "node", "size", "bands"])
+            [*batch.columns[:3], pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()),
+             pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(bands, pa.list_(pa.int64()))],
+            ["doc_id", "_id", "_hash", "node", "size", "print", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,8 +290,24 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return both.where(~F.coalesce(F.col("_a") == F.col("_b"), F.lit(False))).select("a", "b")
 
 
-def candidates(nodes: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(a, b: links; a, b: pairs of small buckets to verify). nodes: node, size, bands; sets: node, own."""
+def indexed(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """a, b (a < b): pairs that operator 6's index links, whose sizes allow them to be alike. nodes: node, size, print.
+
+    Of nodes with one fingerprint the least one stands for it and is paired with the others."""
+    first = nodes.groupBy("print").agg(F.min(F.struct("node", "size")).alias("x"))
+    first = stored(first, "prints")
+    end = lambda side: first.select(F.col("print").alias(f"_{side}"), F.col("x").alias(side))
+    near = (links(first.select(F.col("print").alias("fingerprint"))).select(F.col("a").alias("_a"), F.col("b").alias("_b"))
+            .join(end("a"), "_a").join(end("b"), "_b").select("a", "b"))
+    same = nodes.select(F.col("print").alias("_a"), F.struct("node", "size").alias("b")).join(end("a"), "_a").where("a.node <> b.node")
+    both = near.unionByName(same.select("a", "b"))
+    low, high = F.least("a.size", "b.size"), F.greatest("a.size", "b.size")
+    return both.where(100 * low >= percent * high).select(
+        F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
+
+
+def candidates(nodes: DataFrame, sets: DataFrame, percent: int = PERCENT, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(a, b: links, with those known before; a, b: pairs of small buckets to verify). nodes: node, size, bands; sets: node, own."""
     postings = stored(_counted(nodes.select("node", "size", F.explode("bands").alias("bucket")), "bucket"), "postings")
     pairs = _pairs(postings.where(F.col("members") <= SMALL), "bucket", percent).distinct()
     crowded = postings.where(F.col("members") > SMALL)
@@ -300,7 +321,7 @@ def candidates(nodes: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tup
         "root", "node", "size", F.explode(F.array(step, step + 1)).alias("_class"))
     lists = stored(_unlike(lists.select(F.xxhash64("root", "_class").alias("list"), "node", "size")), "lists")
     discard(postings)
-    sure = None
+    sure = known
     while not lists.isEmpty():
         found = stored(_within(lists.where(F.col("members") <= SMALL), sets, percent), "within")
         done = lists
@@ -311,13 +332,18 @@ def candidates(nodes: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tup
     return sure, stored(_apart(pairs, components(sure)), "open-pairs")  # what sure links have joined needs no verifying
 
 
-def near_links(nodes: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """a, b: links that connect what is alike."""
-    found, pairs = candidates(nodes, sets, percent)
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: the pairs whose sets are alike."""
     left = sets.select(F.col("node").alias("a"), F.col("own").alias("_x"))
     right = sets.select(F.col("node").alias("b"), F.col("own").alias("_y"))
-    good = (pairs.join(left, "a").join(right, "b").select("a", "b", "_x", "_y").mapInArrow(_verified(percent), "a long, b long"))
-    return found.unionByName(good)
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "_x", "_y").mapInArrow(_verified(percent), "a long, b long")
+
+
+def near_links(nodes: DataFrame, sets: DataFrame, percent: int = PERCENT, near: DataFrame | None = None) -> DataFrame:
+    """a, b: links that connect what is alike. near: pairs (a, b) to verify and link first."""
+    known = None if near is None else stored(_verify(near, sets, percent), "indexed")
+    found, pairs = candidates(nodes, sets, percent, known)
+    return found.unionByName(_verify(pairs, sets, percent))
 
 
 def near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -326,17 +352,19 @@ def near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Null and empty texts are alike. Repeated rows are all returned; an empty table gives none. Other columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_key(), whole().alias("text"))
-    rows = stored(texts.mapInArrow(_nodes, "doc_id long, _id long, _hash long, node long, size long, bands array<long>"), "nodes")
+    rows = stored(texts.mapInArrow(_nodes, "doc_id long, _id long, _hash long, node long, size long, print long, bands array<long>"), "nodes")
     # of equal sets one row stands for all
-    least = F.min(F.struct("_id", "_hash", "size", "bands")).alias("k")
+    least = F.min(F.struct("_id", "_hash", "size", "print", "bands")).alias("k")
     nodes = stored(rows.groupBy("node").agg(least).select("node", "k.*"), "distinct-nodes")
     met = nodes.select("node", F.explode("bands").alias("bucket"))
     repeated = stored(met.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket"), "repeated")
-    wanted = stored(nodes.join(met.join(repeated, "bucket").select("node").distinct(), "node"), "wanted")
+    near = stored(indexed(nodes, percent), "index-pairs")
+    wanted = met.join(repeated, "bucket").select("node").union(near.select("a")).union(near.select("b")).distinct()
+    wanted = stored(nodes.join(wanted, "node"), "wanted")
     discard(repeated), discard(nodes)
     # rows alike in _id and _hash have one text; texts are made distinct, as they take less room than their sets
     one = (texts.select("_id", "_hash", "text").join(wanted.select("node", "_id", "_hash"), ["_id", "_hash"])
            .groupBy("_id", "_hash").agg(F.min("node").alias("node"), F.min("text").alias("text")))
     sets = stored(one.select("node", "text").mapInArrow(_sets, "node long, own array<long>"), "sets")
-    linked = components(near_links(wanted, sets, percent)).select("node", "root")
+    linked = components(near_links(wanted, sets, percent, near)).select("node", "root")
     return rows.join(linked, "node", "left").select("doc_id", "_id", "_hash", F.coalesce("root", "node").alias("root"))
